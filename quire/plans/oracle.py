@@ -128,18 +128,18 @@ def _closure(names: list[str]) -> list[str]:
     return out
 
 
-def with_views(names: list[str], body: str) -> str:
-    """``WITH <views and their dependencies> <body>``."""
+def with_views(names: list[str], body: str, extra: str = "") -> str:
+    """``WITH RECURSIVE <views + dependencies>, <extra CTEs> <body>``."""
     order = _closure(names)
-    ctes = ",\n".join(f"{n} AS ({VIEWS[n]})" for n in order)
-    return f"WITH RECURSIVE {ctes}\n{body}" if ctes else body
+    parts = [f"{n} AS ({VIEWS[n]})" for n in order] + ([extra] if extra else [])
+    return f"WITH RECURSIVE {',\n'.join(parts)}\n{body}" if parts else body
 
 
 ORACLE: dict[str, str] = {}
 
 
-def oracle(name: str, views: list[str], body: str) -> None:
-    ORACLE[name] = with_views(views, body)
+def oracle(name: str, views: list[str], body: str, extra: str = "") -> None:
+    ORACLE[name] = with_views(views, body, extra)
 
 
 oracle("chapter_starts", ["chapter_starts"], "SELECT * FROM chapter_starts")
@@ -147,3 +147,119 @@ oracle("chapter_ranges", ["chapter_ranges"], "SELECT * FROM chapter_ranges")
 oracle("chapter_pages", ["chapter_pages"],
        "SELECT book_id, chapter_no, page_no, CAST(length(text) AS INTEGER) AS n_chars FROM chapter_pages")
 oracle("chapter_text", ["chapter_text"], "SELECT * FROM chapter_text")
+
+
+# --- step 3/4: chunkers as recursive CTEs ----------------------------------------
+
+def _cut_cte(name: str, src: str, keys: str, next_end: str) -> str:
+    """A recursive CTE walking each text window by window: one row per chunk."""
+    return f"""{name}(__KEYS__, text, n, part_no, s, e) AS (
+  SELECT {keys}, text, length(text), 0, 0, 0 FROM {src}
+  UNION ALL
+  SELECT {keys}, text, n, part_no + 1, e,
+         CASE WHEN e + 3000 >= n THEN n ELSE {next_end} END
+  FROM (SELECT *, substring(text, e + 1, 3000) AS w FROM {name} WHERE e < n) q
+)""".replace("__KEYS__", keys)
+
+
+def fixed_chunks_sql(src: str, keys: str) -> tuple[str, str]:
+    nxt = f"CASE WHEN {rfind('w', NL2)} > 2100 THEN e + {rfind('w', NL2)} ELSE e + 3000 END"
+    cte = _cut_cte("fx", src, keys, nxt)
+    return cte, f"""SELECT {keys}, CAST(part_no AS INTEGER) AS part_no,
+       CAST(count(*) OVER (PARTITION BY {keys}) AS INTEGER) AS n_parts,
+       substring(text, s + 1, e - s) AS text
+FROM fx WHERE part_no > 0"""
+
+
+def boundary_chunks_sql(src: str, keys: str) -> tuple[str, str]:
+    lp = rfind("w", NL2)
+    ls = "greatest(" + ", ".join([rfind("w", "'. '"), rfind("w", "'! '"), rfind("w", "'? '"),
+                                  rfind("w", f"'.' || {NL}")]) + ")"
+    lw = rfind("w", "' '")
+    nxt = (f"CASE WHEN {lp} > 1800 THEN e + {lp} WHEN {ls} > 1500 THEN e + {ls} + 1 "
+           f"WHEN {lw} > 2100 THEN e + {lw} ELSE e + 3000 END")
+    cte = _cut_cte("bx", src, keys, nxt)
+    return cte, f"""SELECT {keys}, CAST(part_no AS INTEGER) AS part_no,
+       CAST(count(*) OVER (PARTITION BY {keys}) AS INTEGER) AS n_parts,
+       {strip('substring(text, s + 1, e - s)')} AS text
+FROM bx WHERE part_no > 0"""
+
+
+def pack_sql(src: str, keys: str, max_size: int) -> str:
+    """Paragraph packer with sentence fallback: recursion over sentences of
+    oversize paragraphs, then recursion over paragraphs."""
+    k_eq = " AND ".join(f"g.{k.strip()} = p.{k.strip()}" for k in keys.split(","))
+    delim = ("CASE " + " ".join(f"WHEN strpos(para, '{d}') > 0 THEN '{d}'" for d in
+                                ["。", "！", "？", ".", "!", "?"]) + " END")
+    return f"""pk_paras AS (
+  SELECT {keys}, list_filter(list_transform(string_split(text, {NL2}), lambda x: {strip('x')}), lambda x: x <> '') AS ps
+  FROM {src}),
+pk_one AS (
+  SELECT {keys}, CAST(i AS INTEGER) AS pi, ps[i] AS para FROM pk_paras, range(1, len(ps) + 1) r(i)),
+pk_big AS (
+  SELECT {keys}, pi, para, d,
+         CASE WHEN d IS NULL THEN [para]
+              ELSE list_transform(string_split(para, d),
+                     lambda x, j: CASE WHEN j < len(string_split(para, d)) THEN x || d ELSE x END) END AS sents
+  FROM (SELECT *, {delim} AS d FROM pk_one WHERE length(para) > {max_size})),
+pk_sg({keys}, pi, sents, j, groups, temp, tsize) AS (
+  SELECT {keys}, pi, sents, 0, []::VARCHAR[], []::VARCHAR[], 0 FROM pk_big
+  UNION ALL
+  SELECT {keys}, pi, sents, j + 1,
+         CASE WHEN tsize + length(sents[j + 1]) > {max_size} AND len(temp) > 0
+              THEN list_append(groups, array_to_string(temp, '')) ELSE groups END,
+         CASE WHEN tsize + length(sents[j + 1]) > {max_size} AND len(temp) > 0
+              THEN [sents[j + 1]] ELSE list_append(temp, sents[j + 1]) END,
+         CASE WHEN tsize + length(sents[j + 1]) > {max_size} AND len(temp) > 0
+              THEN length(sents[j + 1]) ELSE tsize + length(sents[j + 1]) END
+  FROM pk_sg WHERE j < len(sents)),
+pk_groups AS (
+  SELECT {keys}, pi,
+         CASE WHEN len(temp) > 0 THEN list_append(groups, array_to_string(temp, '')) ELSE groups END AS g
+  FROM pk_sg WHERE j = len(sents)),
+pk({keys}, ps, i, chunks, cur, sz) AS (
+  SELECT {keys}, ps, 0, []::VARCHAR[], []::VARCHAR[], 0 FROM pk_paras
+  UNION ALL
+  SELECT p.{keys.replace(',', ', p.').replace('p. ', 'p.')}, p.ps, p.i + 1,
+         CASE WHEN length(p.ps[p.i + 1]) > {max_size}
+                THEN list_concat(CASE WHEN len(p.cur) > 0 THEN list_append(p.chunks, array_to_string(p.cur, {NL2})) ELSE p.chunks END, g.g)
+              WHEN p.sz + length(p.ps[p.i + 1]) + 2 > {max_size}
+                THEN CASE WHEN len(p.cur) > 0 THEN list_append(p.chunks, array_to_string(p.cur, {NL2})) ELSE p.chunks END
+              ELSE p.chunks END,
+         CASE WHEN length(p.ps[p.i + 1]) > {max_size} THEN []::VARCHAR[]
+              WHEN p.sz + length(p.ps[p.i + 1]) + 2 > {max_size} THEN [p.ps[p.i + 1]]
+              ELSE list_append(p.cur, p.ps[p.i + 1]) END,
+         CASE WHEN length(p.ps[p.i + 1]) > {max_size} THEN 0
+              WHEN p.sz + length(p.ps[p.i + 1]) + 2 > {max_size} THEN length(p.ps[p.i + 1])
+              ELSE p.sz + length(p.ps[p.i + 1]) + 2 END
+  FROM pk p LEFT JOIN pk_groups g ON {k_eq} AND g.pi = p.i + 1
+  WHERE p.i < len(p.ps)),
+pk_final AS (
+  SELECT {keys},
+         CASE WHEN len(cur) > 0 THEN list_append(chunks, array_to_string(cur, {NL2})) ELSE chunks END AS cs
+  FROM pk WHERE i = len(ps)),
+pk_rows AS (
+  SELECT {keys}, CAST(k AS INTEGER) AS part_no, CAST(len(cs) AS INTEGER) AS n_parts, cs[k] AS text
+  FROM pk_final, range(1, len(cs) + 1) r(k))"""
+
+
+_K3 = "book_id, chapter_no, form"
+oracle("chunk_fixed", ["chapter_docs"], fixed_chunks_sql("chapter_docs", _K3)[1],
+       fixed_chunks_sql("chapter_docs", _K3)[0])
+oracle("chunk_boundary", ["chapter_docs"], boundary_chunks_sql("chapter_docs", _K3)[1],
+       boundary_chunks_sql("chapter_docs", _K3)[0])
+
+view("para_docs", "SELECT book_id, chapter_no, text FROM chapter_docs WHERE form = 'para'",
+     ["chapter_docs"])
+oracle("pack_paragraphs", ["para_docs"], "SELECT * FROM pk_rows",
+       pack_sql("para_docs", "book_id, chapter_no", 4000))
+oracle("pack_sentences", ["para_docs"], "SELECT * FROM pk_rows",
+       pack_sql("para_docs", "book_id, chapter_no", 400))
+view("speech_docs", f"""SELECT book_id, chapter_no, {strip("translate(text, '#*', '')")} AS text FROM zh_docs""",
+     ["zh_docs"])
+oracle("part_names", ["speech_docs"], """
+SELECT book_id, chapter_no, part_no, n_parts, CAST(length(text) AS INTEGER) AS n_chars,
+       CASE WHEN n_parts = 1 THEN printf('chapter_%02d.mp3', chapter_no)
+            ELSE printf('chapter_%02d_part%02d.mp3', chapter_no, part_no) END AS file_name,
+       printf('chapter_%02d_part%02d.mp3', chapter_no, part_no) AS file_name_numbered
+FROM pk_rows""", pack_sql("speech_docs", "book_id, chapter_no", 4000))

@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quire.operators import chunk as CH
 from quire.operators import pages as PG
 from quire.plans import fixtures as FX
 from quire.session import apply_runtime_conf
@@ -60,3 +61,43 @@ def chapter_text(spark, sf_dir):
     """J1 + A2 + A4 + J2: chapter file text and sizes."""
     ranges, pages = _ranges(spark, sf_dir)
     return PG.chapter_texts(pages, ranges, FX.toc(spark))
+
+
+# --- step 3/4: chunkers -----------------------------------------------------------
+
+@query
+def chunk_fixed(spark, sf_dir):
+    """3000-char windows, cut before a late blank line; lossless."""
+    return CH.chunk_fixed(FX.chapter_docs(spark, sf_dir), ["book_id", "chapter_no", "form"])
+
+
+@query
+def chunk_boundary(spark, sf_dir):
+    """Paragraph > sentence > space > hard cut, stripped chunks."""
+    return CH.chunk_boundary(FX.chapter_docs(spark, sf_dir), ["book_id", "chapter_no", "form"])
+
+
+@query
+def pack_paragraphs(spark, sf_dir):
+    """T4: paragraphs packed greedily up to 4000 chars."""
+    return CH.pack_paragraphs(FX.chapter_docs(spark, sf_dir, ("para",)), ["book_id", "chapter_no"])
+
+
+@query
+def pack_sentences(spark, sf_dir):
+    """T4 + T5 at 400 chars: oversize paragraphs fall back to sentences."""
+    return CH.pack_paragraphs(FX.chapter_docs(spark, sf_dir, ("para",)), ["book_id", "chapter_no"],
+                              max_size=400)
+
+
+@query
+def part_names(spark, sf_dir):
+    """P8 + T4 + P13: speech chunks of translated chapters and their file names."""
+    docs = FX.zh_docs(spark, sf_dir).select("book_id", "chapter_no",
+                                           CH.strip_markdown(F.col("text")).alias("text"))
+    parts = CH.pack_paragraphs(docs, ["book_id", "chapter_no"])
+    return parts.select(
+        "book_id", "chapter_no", "part_no", "n_parts", F.length("text").alias("n_chars"),
+        CH.part_file_name(F.col("chapter_no"), F.col("part_no"), F.col("n_parts")).alias("file_name"),
+        CH.part_file_name(F.col("chapter_no"), F.col("part_no"), F.col("n_parts"),
+                          always_numbered=True).alias("file_name_numbered"))
