@@ -26,6 +26,18 @@ TOC_ROWS = [
 ]
 
 
+# Site-move rewrite applied to the web pages table (three literal pairs, the
+# middle one a no-op, like the restructuring step being reproduced).
+PAGE_REWRITES = [
+    ('href="/', 'href="../../'),
+    ('<article>', '<article>'),
+    ('track(', 'trackPage('),
+]
+
+FIRST_N = 2
+RANGE_START, RANGE_END = 3, 7
+
+
 def _book_of(doc_id) -> "F.Column":
     return F.floor(F.col(doc_id) / F.lit(float(PAGES_PER_BOOK))).cast("bigint")
 

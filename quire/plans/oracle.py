@@ -7,7 +7,7 @@ here as a CTE. Nothing in this module runs on Spark.
 from __future__ import annotations
 
 from quire.functions.constants import PY_WHITESPACE
-from quire.plans.fixtures import TOC_ROWS
+from quire.plans.fixtures import PAGE_REWRITES, TOC_ROWS
 
 NL = "chr(10)"
 NL2 = "(chr(10) || chr(10))"
@@ -263,3 +263,52 @@ SELECT book_id, chapter_no, part_no, n_parts, CAST(length(text) AS INTEGER) AS n
             ELSE printf('chapter_%02d_part%02d.mp3', chapter_no, part_no) END AS file_name,
        printf('chapter_%02d_part%02d.mp3', chapter_no, part_no) AS file_name_numbered
 FROM pk_rows""", pack_sql("speech_docs", "book_id, chapter_no", 4000))
+
+
+# --- step 2: projections and filters ------------------------------------------
+
+oracle("title_body_split", ["raw_chapters"], f"""
+SELECT book_id, chapter_no, split_part(text, {NL}, 1) AS title,
+       CASE WHEN strpos(text, {NL}) > 0 THEN substring(text, strpos(text, {NL}) + 1) ELSE text END AS body
+FROM raw_chapters""")
+
+oracle("strip_markdown", ["raw_chapters"], f"""
+SELECT book_id, chapter_no, CAST(length(text) AS INTEGER) AS n_before,
+       CAST(length({strip("replace(replace(text, '#', ''), '*', '')")}) AS INTEGER) AS n_after,
+       {strip("replace(replace(text, '#', ''), '*', '')")} AS text
+FROM raw_chapters""")
+
+oracle("head_truncate", ["raw_chapters"], """
+SELECT book_id, chapter_no, substring(text, 1, 3000) AS summary_input,
+       substring(text, 1, 4000) AS speech_input,
+       substring(text, 1, 500) || '...' AS export_original,
+       substring(text, 1, 3000) || '...' AS prompt_head
+FROM raw_chapters""")
+
+oracle("file_names", ["raw_chapters"], """
+SELECT book_id, chapter_no, seq_no,
+       printf('chapter_%02d.txt', seq_no) AS chapter_file,
+       printf('chapter_%02d_cn.md', seq_no) AS translation_file,
+       printf('chapter_%02d_summary.txt', seq_no) AS summary_file,
+       printf('chapter_%02d_full.mp3', seq_no) AS audio_full_file,
+       printf('chapter_%02d.html', seq_no) AS page_file,
+       printf('chapter_%02d_cn_formatted.md', seq_no) AS formatted_file,
+       printf('%02d', chapter_no) AS chapter_tag
+FROM (SELECT book_id, chapter_no, book_id * 50 + chapter_no AS seq_no FROM raw_chapters)""")
+
+_rw = "html"
+for _a, _b in PAGE_REWRITES:
+    _rw = f"replace({_rw}, {sql_str(_a)}, {sql_str(_b)})"
+oracle("path_rewrite", [], f"""
+SELECT page_id, {_rw} AS html, CAST(length({_rw}) - length(html) AS INTEGER) AS grown_by FROM pages""")
+
+oracle("first_n_chapters", ["raw_chapters"], """
+SELECT book_id, chapter_no, n_chars, chapter_file FROM (
+  SELECT book_id, chapter_no, CAST(length(text) AS INTEGER) AS n_chars,
+         printf('chapter_%02d.txt', chapter_no) AS chapter_file,
+         row_number() OVER (PARTITION BY book_id ORDER BY printf('chapter_%02d.txt', chapter_no), chapter_no) AS rn
+  FROM raw_chapters) WHERE rn <= 2""")
+
+oracle("chapter_range_filter", ["raw_chapters"], """
+SELECT book_id, chapter_no, CAST(length(text) AS INTEGER) AS n_chars FROM raw_chapters
+WHERE chapter_no BETWEEN 3 AND 7""")

@@ -13,6 +13,10 @@ from pyspark.sql import functions as F
 
 from quire.operators import chunk as CH
 from quire.operators import pages as PG
+from quire.operators import project as PJ
+from quire.sources.tables import table
+from quire.functions import constants as C
+from quire.functions import text as T
 from quire.plans import fixtures as FX
 from quire.session import apply_runtime_conf
 
@@ -101,3 +105,70 @@ def part_names(spark, sf_dir):
         CH.part_file_name(F.col("chapter_no"), F.col("part_no"), F.col("n_parts")).alias("file_name"),
         CH.part_file_name(F.col("chapter_no"), F.col("part_no"), F.col("n_parts"),
                           always_numbered=True).alias("file_name_numbered"))
+
+
+# --- step 2: projections and filters ------------------------------------------
+
+@query
+def title_body_split(spark, sf_dir):
+    """Title line and body of each chapter."""
+    d = FX.raw_chapters(spark, sf_dir)
+    title, body = PJ.title_and_body(F.col("text"))
+    return d.select("book_id", "chapter_no", title.alias("title"), body.alias("body"))
+
+
+@query
+def strip_markdown(spark, sf_dir):
+    """Markdown symbols removed before speech, with sizes."""
+    d = FX.raw_chapters(spark, sf_dir)
+    clean = CH.strip_markdown(F.col("text"))
+    return d.select("book_id", "chapter_no", F.length("text").alias("n_before"),
+                    F.length(clean).alias("n_after"), clean.alias("text"))
+
+
+@query
+def head_truncate(spark, sf_dir):
+    """The four head cuts (summary input, speech input, export, old prompt)."""
+    d = FX.raw_chapters(spark, sf_dir)
+    t = F.col("text")
+    return d.select("book_id", "chapter_no",
+                    PJ.head(t, C.SUMMARY_INPUT_CHARS).alias("summary_input"),
+                    PJ.head(t, C.SPEECH_INPUT_CHARS).alias("speech_input"),
+                    PJ.head(t, C.EXPORT_PREVIEW_CHARS, ellipsis=True).alias("export_original"),
+                    PJ.head(t, C.TRANSLATE_CHUNK_SIZE, ellipsis=True).alias("prompt_head"))
+
+
+@query
+def file_names(spark, sf_dir):
+    """Zero-padded artefact names, also past 99 (running number)."""
+    d = FX.raw_chapters(spark, sf_dir)
+    seq = (F.col("book_id") * FX.PAGES_PER_BOOK + F.col("chapter_no")).alias("seq_no")
+    names = PJ.chapter_file_names(F.col("seq_no"))
+    return d.select("book_id", "chapter_no", seq).select(
+        "book_id", "chapter_no", "seq_no", *[c.alias(k) for k, c in names.items()],
+        T.zero_pad(F.col("chapter_no")).alias("chapter_tag"))
+
+
+@query
+def path_rewrite(spark, sf_dir):
+    """Literal path rewrite across every web page."""
+    p = table(spark, sf_dir, "pages").select("page_id", "html")
+    new = PJ.rewrite_literals(F.col("html"), FX.PAGE_REWRITES)
+    return p.select("page_id", new.alias("html"),
+                    (F.length(new) - F.length("html")).alias("grown_by"))
+
+
+@query
+def first_n_chapters(spark, sf_dir):
+    """The first N chapters of each book in file-name order (test mode N=2)."""
+    d = FX.raw_chapters(spark, sf_dir).select(
+        "book_id", "chapter_no", F.length("text").alias("n_chars"),
+        PJ.chapter_file_names(F.col("chapter_no"))["chapter_file"].alias("chapter_file"))
+    return PJ.first_n_per_group(d, ["book_id"], ["chapter_file", "chapter_no"], FX.FIRST_N)
+
+
+@query
+def chapter_range_filter(spark, sf_dir):
+    """Chapters start..end of every book."""
+    d = FX.raw_chapters(spark, sf_dir).select("book_id", "chapter_no", F.length("text").alias("n_chars"))
+    return PJ.chapter_range(d, FX.RANGE_START, FX.RANGE_END)
