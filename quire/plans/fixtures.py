@@ -108,3 +108,36 @@ def zh_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_chapters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``chapter_docs`` restricted to the raw form."""
     return chapter_docs(spark, sf_dir, ("raw",)).drop("form")
+
+
+HEADING_PAGE_OFFSET = 3     # headings before pages 3, 10, 17, ... (k = 1..7)
+LAST_PAGE = PAGES_PER_BOOK - 1   # heading k = 8 before the last page, cut to 300 chars
+DROPPED_HEADING = 4         # its title contains HTTP, so it is filtered out
+
+
+def marked_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``marked_docs(book_id, title, text)``: each book's pages joined in order
+    with blank lines, chapter headings ``k: THE CHAPTER ABOUT TOPIC <letter>``
+    in front of pages 3, 10, …, 45 and 49; heading 4 mentions HTTP (dropped);
+    the last chapter body is short (< 500 chars, dropped); books with
+    ``book_id % 4 == 2`` keep only headings 1–4 (3 kept → fallback) and books
+    with ``book_id % 4 == 3`` have none."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    page_no = (F.col("doc_id") % PAGES_PER_BOOK).cast("int")
+    book = _book_of("doc_id")
+    k = (F.when(page_no % MARK_EVERY == HEADING_PAGE_OFFSET,
+                F.floor((page_no - HEADING_PAGE_OFFSET) / F.lit(float(MARK_EVERY))) + 1)
+         .when(page_no == LAST_PAGE, F.lit(8)).cast("int"))
+    pages = d.select(book.alias("book_id"), page_no.alias("page_no"), k.alias("k"), "text")
+    k, book, page_no = F.col("k"), F.col("book_id"), F.col("page_no")
+    show = k.isNotNull() & ((book % 4) != 3) & (((book % 4) != 2) | (k <= DROPPED_HEADING))
+    heading = F.concat(F.lit("\n"), k.cast("string"), F.lit(": THE "),
+                       F.when(k == DROPPED_HEADING, F.lit("HTTP ")).otherwise(F.lit("")),
+                       F.lit("CHAPTER ABOUT TOPIC "), F.expr("chr(65 + k)"), F.lit("\n"))
+    body = F.when(page_no == LAST_PAGE, F.substring("text", 1, 300)).otherwise(F.col("text"))
+    pages = pages.select("book_id", "page_no",
+                         F.concat(F.when(show, heading).otherwise(F.lit("")), body).alias("piece"))
+    return (pages.groupBy("book_id")
+            .agg(F.expr("listagg(piece, '\\n\\n') WITHIN GROUP (ORDER BY page_no)").alias("text"))
+            .select("book_id", F.concat(F.lit("Book "), F.col("book_id").cast("string")).alias("title"),
+                    "text"))

@@ -7,6 +7,7 @@ here as a CTE. Nothing in this module runs on Spark.
 from __future__ import annotations
 
 from quire.functions.constants import PY_WHITESPACE
+from quire.functions.constants import SEGMENT_PATTERNS
 from quire.plans.fixtures import PAGE_REWRITES, TOC_ROWS
 
 NL = "chr(10)"
@@ -312,3 +313,80 @@ SELECT book_id, chapter_no, n_chars, chapter_file FROM (
 oracle("chapter_range_filter", ["raw_chapters"], """
 SELECT book_id, chapter_no, CAST(length(text) AS INTEGER) AS n_chars FROM raw_chapters
 WHERE chapter_no BETWEEN 3 AND 7""")
+
+
+# --- step 5: regex segmentation ----------------------------------------------------
+
+view("marked_docs", f"""
+SELECT book_id, 'Book ' || CAST(book_id AS VARCHAR) AS title,
+       string_agg(piece, {NL2} ORDER BY page_no) AS text
+FROM (
+  SELECT book_id, page_no,
+         CASE WHEN k IS NOT NULL AND book_id % 4 <> 3 AND (book_id % 4 <> 2 OR k <= 4)
+              THEN {NL} || CAST(k AS VARCHAR) || ': THE ' || CASE WHEN k = 4 THEN 'HTTP ' ELSE '' END
+                   || 'CHAPTER ABOUT TOPIC ' || chr(65 + k) || {NL}
+              ELSE '' END
+         || CASE WHEN page_no = 49 THEN substring(text, 1, 300) ELSE text END AS piece
+  FROM (SELECT CAST(floor(doc_id / 50.0) AS BIGINT) AS book_id, CAST(doc_id % 50 AS INTEGER) AS page_no, text,
+               CASE WHEN doc_id % 50 % 7 = 3 THEN CAST(floor((doc_id % 50 - 3) / 7.0) + 1 AS INTEGER)
+                    WHEN doc_id % 50 = 49 THEN 8 END AS k
+        FROM documents))
+GROUP BY book_id""")
+
+
+def _re2(p: str) -> str:
+    from quire.operators.segment import portable_pattern
+    return portable_pattern(p)
+
+
+_PATS = ", ".join(f"({i + 1}, {sql_str(_re2(p))})" for i, p in enumerate(SEGMENT_PATTERNS))
+view("seg_pieces", f"""
+SELECT book_id, pattern_no, idx, full_text, title, body,
+       (lower(title) NOT LIKE '%http%' AND lower(title) NOT LIKE '%www%'
+        AND length(title) > 20 AND NOT starts_with(title, 'Zone ')) AS kept
+FROM (
+  SELECT book_id, pattern_no, i - 1 AS idx,
+         split_part(lst[i], chr(57345), 1) AS full_text,
+         {strip("split_part(split_part(lst[i], chr(57345), 2), chr(57346), 1)")} AS title,
+         split_part(split_part(lst[i], chr(57345), 2), chr(57346), 2) AS body
+  FROM (SELECT m.book_id, p.pattern_no,
+               string_split(regexp_replace(m.text, p.pat, chr(57344) || '\\0' || chr(57345) || '\\1' || chr(57346), 'gi'),
+                            chr(57344)) AS lst
+        FROM marked_docs m, (VALUES {_PATS}) AS p(pattern_no, pat)) s,
+       range(2, len(lst) + 1) r(i))""", ["marked_docs"])
+
+view("seg_winner", """
+SELECT d.book_id, min(c.pattern_no) FILTER (WHERE c.n_kept > 3) AS pattern_no
+FROM marked_docs d LEFT JOIN (
+  SELECT book_id, pattern_no, count(*) FILTER (WHERE kept) AS n_kept FROM seg_pieces GROUP BY 1, 2) c
+  ON d.book_id = c.book_id
+GROUP BY d.book_id""", ["seg_pieces", "marked_docs"])
+
+view("seg_chapters", f"""
+SELECT i.book_id, CAST(i.pattern_no AS INTEGER) AS pattern_no, CAST(i.grp AS INTEGER) AS chapter_no,
+       max(CASE WHEN i.kept THEN i.title END) AS title,
+       {strip("string_agg(CASE WHEN i.kept THEN i.body ELSE i.full_text || i.body END, '' ORDER BY i.idx)")} AS text
+FROM (SELECT *, sum(CAST(kept AS INTEGER)) OVER (PARTITION BY book_id, pattern_no ORDER BY idx
+                                                ROWS UNBOUNDED PRECEDING) AS grp
+      FROM seg_pieces) i
+JOIN seg_winner w ON i.book_id = w.book_id AND i.pattern_no = w.pattern_no
+WHERE i.grp > 0
+GROUP BY 1, 2, 3
+UNION ALL
+SELECT d.book_id, 0, 1, d.title, d.text FROM marked_docs d JOIN seg_winner w
+  ON d.book_id = w.book_id WHERE w.pattern_no IS NULL""", ["seg_pieces", "seg_winner", "marked_docs"])
+
+oracle("segment_regex", ["seg_chapters"], """
+SELECT book_id, pattern_no, chapter_no, title, CAST(length(text) AS INTEGER) AS n_chars, text
+FROM seg_chapters WHERE pattern_no = 0 OR length(text) >= 500""")
+
+oracle("segment_fallback", ["seg_chapters"], """
+SELECT d.book_id,
+""" + ",\n".join(f"  CAST(count(*) FILTER (WHERE p.pattern_no = {i} AND p.kept) AS INTEGER) AS kept_{i}"
+                 for i in range(1, 6)) + """,
+  CAST(coalesce(max(w.pattern_no), 0) AS INTEGER) AS pattern_no,
+  CAST((SELECT count(*) FROM seg_chapters c WHERE c.book_id = d.book_id
+        AND (c.pattern_no = 0 OR length(c.text) >= 500)) AS INTEGER) AS n_chapters
+FROM marked_docs d LEFT JOIN seg_pieces p ON d.book_id = p.book_id
+LEFT JOIN seg_winner w ON d.book_id = w.book_id
+GROUP BY d.book_id""")

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from quire.operators import chunk as CH
 from quire.operators import pages as PG
 from quire.operators import project as PJ
+from quire.operators import segment as SG
 from quire.sources.tables import table
 from quire.functions import constants as C
 from quire.functions import text as T
@@ -172,3 +173,27 @@ def chapter_range_filter(spark, sf_dir):
     """Chapters start..end of every book."""
     d = FX.raw_chapters(spark, sf_dir).select("book_id", "chapter_no", F.length("text").alias("n_chars"))
     return PJ.chapter_range(d, FX.RANGE_START, FX.RANGE_END)
+
+
+# --- step 5: regex segmentation --------------------------------------------------
+
+@query
+def segment_regex(spark, sf_dir):
+    """T1 + P3–P5 + A8 + W2: chapters cut out of each book's whole text."""
+    docs = FX.marked_docs(spark, sf_dir)
+    ch = SG.split_into_chapters(docs, ["book_id"])
+    return ch.select("book_id", "pattern_no", "chapter_no", "title",
+                     F.length("text").alias("n_chars"), "text")
+
+
+@query
+def segment_fallback(spark, sf_dir):
+    """A8 audit: kept matches per pattern, the winning pattern (0 = one
+    fallback chapter) and the number of chapters kept after P4."""
+    docs = FX.marked_docs(spark, sf_dir)
+    rep = SG.pattern_report(docs, ["book_id"])
+    seg = docs.select("book_id", SG.segment(F.col("text"), F.col("title")).alias("_s")).select(
+        "book_id", F.col("_s.pattern_no").alias("pattern_no"),
+        F.size(F.filter("_s.chapters", lambda c: (F.col("_s.pattern_no") == 0)
+                        | (F.length(c["text"]) >= C.SEGMENT_MIN_BODY))).alias("n_chapters"))
+    return rep.join(seg, "book_id")
