@@ -141,3 +141,24 @@ def marked_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
             .agg(F.expr("listagg(piece, '\\n\\n') WITHIN GROUP (ORDER BY page_no)").alias("text"))
             .select("book_id", F.concat(F.lit("Book "), F.col("book_id").cast("string")).alias("title"),
                     "text"))
+
+
+def zh_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``zh_files(book_id, chapter_no, text)``: translated chapter files,
+    ``"N. Title"`` line, blank line, then the text (TOC title or ``Chapter N``)."""
+    z = zh_docs(spark, sf_dir)
+    t = F.broadcast(toc(spark))
+    return z.join(t, "chapter_no", "left").select(
+        "book_id", "chapter_no",
+        F.concat(F.format_string("%d. %s", F.col("chapter_no"),
+                                 F.coalesce(F.col("title"), F.format_string("Chapter %d", F.col("chapter_no")))),
+                 F.lit("\n\n"), F.col("text")).alias("text"))
+
+
+def broken_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``broken_docs(book_id, chapter_no, text, original)``: hyphen breaks and
+    paragraphs broken mid-sentence put into the raw chapters."""
+    r = raw_chapters(spark, sf_dir)
+    broken = F.replace(F.replace(F.col("text"), F.lit("tion "), F.lit("ti-\non ")),
+                       F.lit(", "), F.lit(",\n\n"))
+    return r.select("book_id", "chapter_no", broken.alias("text"), F.col("text").alias("original"))

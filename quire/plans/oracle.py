@@ -390,3 +390,105 @@ SELECT d.book_id,
 FROM marked_docs d LEFT JOIN seg_pieces p ON d.book_id = p.book_id
 LEFT JOIN seg_winner w ON d.book_id = w.book_id
 GROUP BY d.book_id""")
+
+
+# --- step 6: lines and blocks --------------------------------------------------------
+
+def _ends(x: str, marks: list[str]) -> str:
+    return "(" + " OR ".join(f"suffix({x}, '{m}')" for m in marks) + ")"
+
+
+view("zh_files", f"""
+SELECT z.book_id, z.chapter_no,
+       printf('%d. %s', z.chapter_no, coalesce(t.title, printf('Chapter %d', z.chapter_no))) || {NL2} || z.text AS text
+FROM zh_docs z LEFT JOIN toc t ON z.chapter_no = t.chapter_no""", ["zh_docs", "toc"])
+
+view("fmt_lines", f"""
+SELECT *, lag(s) OVER w AS prev_s, lead(s) OVER w AS next_s FROM (
+  SELECT book_id, chapter_no, i - 1 AS i, lst[i] AS line, {strip('lst[i]')} AS s, len(lst) AS n
+  FROM (SELECT book_id, chapter_no, string_split(text, {NL}) AS lst FROM zh_files), range(1, len(lst) + 1) r(i))
+WINDOW w AS (PARTITION BY book_id, chapter_no ORDER BY i)""", ["zh_files"])
+
+view("line_format", f"""
+SELECT book_id, chapter_no, string_agg(out, {NL} ORDER BY i) AS text FROM (
+  SELECT *, CASE
+    WHEN s = '' THEN line
+    WHEN i = 0 AND regexp_matches(s, '^\\p{{Nd}}+\\.[\\x{{9}}-\\x{{d}}\\x{{1c}}-\\x{{20}}\\x{{85}}\\p{{Z}}]+.+') THEN '# ' || s
+    WHEN i < 3 AND regexp_matches(s, '^\\p{{Nd}}+$') THEN line
+    WHEN i < 5 AND length(s) < 30 AND NOT {_ends('s', ['。', '！', '？', '，', '；'])} THEN '## ' || s
+    WHEN i < 10 AND length(s) < 50 AND ({_ends('s', ['。', '！', '？'])} OR strpos(s, '，') > 0)
+      THEN '*' || s || '*' || {NL}
+    WHEN length(s) < 20 AND NOT {_ends('s', ['。', '！', '？', '，', '；', '：', '、'])} AND i > 10
+         AND (i = 0 OR coalesce(prev_s, '') = '' OR i = n - 1 OR coalesce(next_s, '') = '')
+      THEN {NL} || '## ' || s || {NL}
+    ELSE line END AS out
+  FROM fmt_lines) GROUP BY book_id, chapter_no""", ["fmt_lines"])
+
+oracle("line_format", ["line_format"],
+       "SELECT book_id, chapter_no, CAST(length(text) AS INTEGER) AS n_chars, text FROM line_format")
+
+_H = "'^(#{1,6}) (.*)$'"
+_EM = "'\\*([^*\\n]+)\\*'"
+oracle("markdown_blocks", ["line_format"], f"""
+SELECT book_id, chapter_no, CAST(block_no AS INTEGER) AS block_no,
+       CASE WHEN cnt = 1 AND regexp_matches(first_s, {_H}) THEN 'heading'
+            WHEN cnt = 1 AND regexp_matches(first_s, '^[0-9]+\\. (.*)$') THEN 'list'
+            ELSE 'paragraph' END AS kind,
+       CASE WHEN cnt = 1 AND regexp_matches(first_s, {_H})
+              THEN printf('<h%d>%s</h%d>', length(regexp_extract(first_s, {_H}, 1)),
+                          regexp_replace(regexp_extract(first_s, {_H}, 2), {_EM}, '<em>\\1</em>', 'g'),
+                          length(regexp_extract(first_s, {_H}, 1)))
+            WHEN cnt = 1 AND regexp_matches(first_s, '^[0-9]+\\. (.*)$')
+              THEN '<ol>' || {NL} || '<li>' || regexp_replace(regexp_extract(first_s, '^[0-9]+\\. (.*)$', 1), {_EM}, '<em>\\1</em>', 'g')
+                   || '</li>' || {NL} || '</ol>'
+            ELSE '<p>' || regexp_replace(body, {_EM}, '<em>\\1</em>', 'g') || '</p>' END AS html
+FROM (
+  SELECT book_id, chapter_no, block_no, count(*) AS cnt, arg_min(s, i) AS first_s,
+         string_agg(s, {NL} ORDER BY i) AS body
+  FROM (
+    SELECT *, sum(CASE WHEN s <> '' AND (is_head OR i = 0 OR prev_blank OR prev_head) THEN 1 ELSE 0 END)
+                OVER (PARTITION BY book_id, chapter_no ORDER BY i ROWS UNBOUNDED PRECEDING) AS block_no
+    FROM (
+      SELECT *, coalesce(lag(s = '') OVER w, true) AS prev_blank, coalesce(lag(is_head) OVER w, false) AS prev_head
+      FROM (SELECT book_id, chapter_no, i - 1 AS i, {strip('lst[i]')} AS s,
+                   regexp_matches({strip('lst[i]')}, {_H}) AS is_head
+            FROM (SELECT book_id, chapter_no, string_split(text, {NL}) AS lst FROM line_format),
+                 range(1, len(lst) + 1) r(i))
+      WINDOW w AS (PARTITION BY book_id, chapter_no ORDER BY i)))
+  WHERE s <> ''
+  GROUP BY book_id, chapter_no, block_no)""")
+
+view("broken_docs", f"""
+SELECT book_id, chapter_no,
+       replace(replace(text, 'tion ', 'ti-' || {NL} || 'on '), ', ', ',' || {NL2}) AS text, text AS original
+FROM raw_chapters""", ["raw_chapters"])
+
+view("repaired", f"""
+SELECT book_id, chapter_no, string_agg(g, {NL2} ORDER BY grp) AS fixed FROM (
+  SELECT book_id, chapter_no, grp, string_agg(para, ' ' ORDER BY i) AS g FROM (
+    SELECT *, sum(CASE WHEN i > 1 AND NOT regexp_matches(prev_para, '[.!?:]\\z')
+                            AND regexp_matches(para, '^\\p{{Ll}}') THEN 0 ELSE 1 END)
+                OVER (PARTITION BY book_id, chapter_no ORDER BY i ROWS UNBOUNDED PRECEDING) AS grp
+    FROM (SELECT *, lag(para) OVER (PARTITION BY book_id, chapter_no ORDER BY i) AS prev_para FROM (
+      SELECT book_id, chapter_no, i, lst[i] AS para FROM (
+        SELECT book_id, chapter_no,
+               string_split(regexp_replace(text, '(\\p{{L}})-' || {NL} || '(\\p{{Ll}})', '\\1\\2', 'g'), {NL2}) AS lst
+        FROM broken_docs), range(1, len(lst) + 1) r(i))))
+  GROUP BY book_id, chapter_no, grp)
+GROUP BY book_id, chapter_no""", ["broken_docs"])
+
+oracle("repair_breaks", ["repaired", "broken_docs"], """
+SELECT b.book_id, b.chapter_no, CAST(length(b.text) AS INTEGER) AS n_before,
+       CAST(length(r.fixed) AS INTEGER) AS n_after, length(r.fixed) / length(b.text) AS ratio,
+       r.fixed = b.original AS restored, r.fixed AS text
+FROM broken_docs b JOIN repaired r ON b.book_id = r.book_id AND b.chapter_no = r.chapter_no""")
+
+_KEY = "regexp_replace({x}, '[#*\\x{{9}}-\\x{{d}}\\x{{1c}}-\\x{{20}}\\x{{85}}\\p{{Z}}]', '', 'g')"
+oracle("content_preserved", ["zh_files", "line_format", "repaired", "broken_docs"], f"""
+SELECT z.book_id, z.chapter_no, {_KEY.format(x='z.text')} = {_KEY.format(x='f.text')} AS format_ok,
+       CAST(length({_KEY.format(x='z.text')}) AS INTEGER) AS n_content,
+       {_KEY.format(x='b.text')} = {_KEY.format(x='r.fixed')} AS repair_ok
+FROM zh_files z
+JOIN line_format f ON z.book_id = f.book_id AND z.chapter_no = f.chapter_no
+JOIN broken_docs b ON z.book_id = b.book_id AND z.chapter_no = b.chapter_no
+JOIN repaired r ON z.book_id = r.book_id AND z.chapter_no = r.chapter_no""")

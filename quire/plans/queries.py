@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.operators import chunk as CH
+from quire.operators import lines as LN
 from quire.operators import pages as PG
 from quire.operators import project as PJ
 from quire.operators import segment as SG
@@ -197,3 +198,48 @@ def segment_fallback(spark, sf_dir):
         F.size(F.filter("_s.chapters", lambda c: (F.col("_s.pattern_no") == 0)
                         | (F.length(c["text"]) >= C.SEGMENT_MIN_BODY))).alias("n_chapters"))
     return rep.join(seg, "book_id")
+
+
+# --- step 6: lines and blocks ------------------------------------------------------
+
+@query
+def line_format(spark, sf_dir):
+    """T6 + W4: Markdown formatting of translated chapter files."""
+    d = FX.zh_files(spark, sf_dir)
+    out = LN.format_markdown(F.col("text"))
+    return d.select("book_id", "chapter_no", F.length(out).alias("n_chars"), out.alias("text"))
+
+
+@query
+def markdown_blocks(spark, sf_dir):
+    """HTML blocks of the formatted chapters (heading / list / paragraph)."""
+    d = FX.zh_files(spark, sf_dir)
+    blocks = LN.markdown_blocks(LN.format_markdown(F.col("text")))
+    return d.select("book_id", "chapter_no", F.posexplode(blocks).alias("i", "b")).select(
+        "book_id", "chapter_no", (F.col("i") + 1).alias("block_no"),
+        F.col("b.kind").alias("kind"), F.col("b.html").alias("html"))
+
+
+@query
+def repair_breaks(spark, sf_dir):
+    """T9 + A9: artefact repair with a before/after size audit."""
+    d = FX.broken_docs(spark, sf_dir)
+    fixed = LN.repair_breaks(F.col("text"))
+    return d.select("book_id", "chapter_no", fixed.alias("fixed"), "text", "original").select(
+        "book_id", "chapter_no", F.length("text").alias("n_before"), F.length("fixed").alias("n_after"),
+        (F.length("fixed") / F.length("text")).alias("ratio"),
+        (F.col("fixed") == F.col("original")).alias("restored"), F.col("fixed").alias("text"))
+
+
+@query
+def content_preserved(spark, sf_dir):
+    """Only Markdown symbols / whitespace added by formatting; the repair
+    step is checked too (it removes hyphens, so it may fail the rule)."""
+    z = FX.zh_files(spark, sf_dir)
+    fmt = z.select("book_id", "chapter_no",
+                   LN.content_preserved(F.col("text"), LN.format_markdown(F.col("text"))).alias("format_ok"),
+                   F.length(LN.content_key(F.col("text"))).alias("n_content"))
+    b = FX.broken_docs(spark, sf_dir)
+    rep = b.select("book_id", "chapter_no",
+                   LN.content_preserved(F.col("text"), LN.repair_breaks(F.col("text"))).alias("repair_ok"))
+    return fmt.join(rep, ["book_id", "chapter_no"])
