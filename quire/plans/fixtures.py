@@ -6,6 +6,10 @@ grows with them. ``oracle.py`` restates each one as a DuckDB CTE.
 
 from __future__ import annotations
 
+import string
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -162,3 +166,52 @@ def broken_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     broken = F.replace(F.replace(F.col("text"), F.lit("tion "), F.lit("ti-\non ")),
                        F.lit(", "), F.lit(",\n\n"))
     return r.select("book_id", "chapter_no", broken.alias("text"), F.col("text").alias("original"))
+
+
+# --- deterministic model stand-ins (failures are a function of the key) -----------
+
+_ASCII_UP = str.maketrans(string.ascii_lowercase, string.ascii_uppercase)
+TRANSLATE_SYSTEM = "You translate English prose into Simplified Chinese for a study edition."
+TRANSLATE_INSTRUCTION = ("Translate the text below into Simplified Chinese. Keep every Markdown "
+                         "symbol (# ## *) exactly where it is and translate all of the text.")
+
+
+class KeyedModel:
+    """Succeeds on attempt ``need`` where ``need = (a*chapter_no + b*part_no) % m + 1``;
+    the answer is the input with ASCII letters upper-cased (cut to
+    ``(chapter_no * cut_mul) % cut_mod`` chars and stripped when ``cut_mul``
+    is set). Service time is ``len(input) * 100`` µs per attempt."""
+
+    def __init__(self, a: int = 1, b: int = 1, m: int = 5, cut_mul: int = 0, cut_mod: int = 400):
+        self.a, self.b, self.m, self.cut_mul, self.cut_mod = a, b, m, cut_mul, cut_mod
+
+    def __call__(self, batch: pd.DataFrame, attempt: int) -> pd.DataFrame:
+        part = batch["part_no"] if "part_no" in batch else 0
+        need = (self.a * batch["chapter_no"] + self.b * part) % self.m + 1
+        ok = (need <= attempt).to_numpy()
+        text = batch["input"].astype(object)
+        if self.cut_mul:
+            cut = (batch["chapter_no"] * self.cut_mul) % self.cut_mod
+            answer = [t[:c].strip() for t, c in zip(text, cut)]
+        else:
+            answer = list(text)
+        answer = np.array([t.translate(_ASCII_UP) for t in answer], dtype=object)
+        return pd.DataFrame({
+            "output": np.where(ok, answer, None),
+            "error": np.where(ok, None, f"attempt {attempt} failed"),
+            "service_us": text.str.len().to_numpy(dtype=np.int64) * 100,
+        })
+
+
+TRANSLATE_MODEL = KeyedModel(1, 1, 5)
+SUMMARY_MODEL = KeyedModel(1, 0, 4, cut_mul=37, cut_mod=400)
+CLEAN_MODEL = KeyedModel(3, 0, 5)
+REDO_MODEL = KeyedModel(1, 1, 3)
+REDO_CHAPTER = 3
+
+
+def chunk_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``chunk_requests``: boundary chunks of the raw chapters, ``input`` = chunk."""
+    from quire.operators.chunk import chunk_boundary
+    ch = chunk_boundary(raw_chapters(spark, sf_dir), ["book_id", "chapter_no"])
+    return ch.withColumnRenamed("text", "input")

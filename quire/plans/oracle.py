@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from quire.functions.constants import PY_WHITESPACE
 from quire.functions.constants import SEGMENT_PATTERNS
-from quire.plans.fixtures import PAGE_REWRITES, TOC_ROWS
+from quire.plans.fixtures import PAGE_REWRITES, TOC_ROWS, TRANSLATE_INSTRUCTION, TRANSLATE_SYSTEM
 
 NL = "chr(10)"
 NL2 = "(chr(10) || chr(10))"
@@ -34,9 +34,15 @@ VIEWS: dict[str, str] = {}
 VIEW_DEPS: dict[str, list[str]] = {}
 
 
-def view(name: str, sql: str, deps: list[str] | None = None) -> None:
+RAW: set[str] = set()
+
+
+def view(name: str, sql: str, deps: list[str] | None = None, raw: bool = False) -> None:
+    """Register a CTE; ``raw`` ones are given whole (``name(cols) AS (...)``)."""
     VIEWS[name] = sql
     VIEW_DEPS[name] = deps or []
+    if raw:
+        RAW.add(name)
 
 
 view("book_pages", f"""
@@ -132,7 +138,7 @@ def _closure(names: list[str]) -> list[str]:
 def with_views(names: list[str], body: str, extra: str = "") -> str:
     """``WITH RECURSIVE <views + dependencies>, <extra CTEs> <body>``."""
     order = _closure(names)
-    parts = [f"{n} AS ({VIEWS[n]})" for n in order] + ([extra] if extra else [])
+    parts = [VIEWS[n] if n in RAW else f"{n} AS ({VIEWS[n]})" for n in order] + ([extra] if extra else [])
     return f"WITH RECURSIVE {',\n'.join(parts)}\n{body}" if parts else body
 
 
@@ -492,3 +498,95 @@ FROM zh_files z
 JOIN line_format f ON z.book_id = f.book_id AND z.chapter_no = f.chapter_no
 JOIN broken_docs b ON z.book_id = b.book_id AND z.chapter_no = b.chapter_no
 JOIN repaired r ON z.book_id = r.book_id AND z.chapter_no = r.chapter_no""")
+
+
+# --- step 7: model step ----------------------------------------------------------------
+
+_bx_cte, _bx_sel = boundary_chunks_sql("raw_chapters", "book_id, chapter_no")
+view("bx", _bx_cte, ["raw_chapters"], raw=True)
+view("chunk_requests", _bx_sel.replace("AS text", "AS input"), ["bx"])
+_UP = "translate({x}, 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ')"
+
+
+def _model_cols(need: str, x: str, fail: str, cut: str | None = None) -> str:
+    ans = _UP.format(x=x if cut is None else strip(f"substring({x}, 1, {cut})"))
+    return f"""CASE WHEN {need} <= 3 THEN {ans} ELSE {fail} END AS output,
+       CASE WHEN {need} <= 3 THEN 'ok' ELSE 'failed' END AS status,
+       CAST(least({need}, 3) AS INTEGER) AS attempts,
+       CAST((1 << (least({need}, 3) - 1)) - 1 AS INTEGER) AS backoff_s,
+       CASE WHEN {need} <= 3 THEN NULL ELSE 'attempt 3 failed' END AS error,
+       CAST(least({need}, 3) * length({x}) * 100 AS BIGINT) AS service_us"""
+
+
+view("translated", f"""
+SELECT book_id, chapter_no, part_no, n_parts, input,
+       {_model_cols("((chapter_no + part_no) % 5 + 1)", "input", "printf('[Translation failed for chunk %d]', part_no)")}
+FROM chunk_requests""", ["chunk_requests"])
+
+view("translations", f"""
+SELECT book_id, chapter_no, string_agg(output, {NL2} ORDER BY part_no) AS text, count(*) AS n_parts,
+       count(*) FILTER (WHERE status = 'ok') AS n_ok, count(*) FILTER (WHERE status <> 'ok') AS n_failed
+FROM translated GROUP BY book_id, chapter_no""", ["translated"])
+
+oracle("prompts", ["chunk_requests"], f"""
+SELECT book_id, chapter_no, part_no, n_parts,
+       {sql_str(TRANSLATE_SYSTEM)} AS system,
+       {sql_str(TRANSLATE_INSTRUCTION)} || {NL2} || printf('Text (part %d of %d):', part_no, n_parts) || {NL2} || input AS "user",
+       CAST(0.3 AS DOUBLE) AS temperature, 16000 AS max_tokens
+FROM chunk_requests""")
+
+oracle("translate_chunks", ["translated"],
+       "SELECT book_id, chapter_no, part_no, output, status, attempts, backoff_s, error, service_us FROM translated")
+
+oracle("reassemble", ["translations", "raw_chapters"], f"""
+SELECT t.book_id, t.chapter_no, t.n_parts, t.n_ok, t.n_failed, t.text AS translation,
+       split_part(r.text, {NL}, 1) || {NL2} || t.text AS file_text
+FROM translations t JOIN raw_chapters r ON t.book_id = r.book_id AND t.chapter_no = r.chapter_no""")
+
+view("summary_req", """
+SELECT t.book_id, t.chapter_no, substring(coalesce(nullif(t.text, ''), r.text), 1, 3000) AS input
+FROM translations t JOIN raw_chapters r ON t.book_id = r.book_id AND t.chapter_no = r.chapter_no""",
+     ["translations", "raw_chapters"])
+
+view("summaries", f"""
+SELECT book_id, chapter_no, status, attempts, {strip('output')} AS text FROM (
+  SELECT book_id, chapter_no,
+         {_model_cols("(chapter_no % 4 + 1)", "input", "''", "(chapter_no * 37) % 400")}
+  FROM summary_req)""", ["summary_req"])
+
+oracle("summaries", ["summaries"], "SELECT * FROM summaries WHERE text <> ''")
+
+oracle("clean_passthrough", ["broken_docs"], f"""
+SELECT book_id, chapter_no, status, attempts, output = input AS unchanged,
+       CAST(length(input) AS INTEGER) AS n_before, CAST(length(output) AS INTEGER) AS n_after,
+       output AS text
+FROM (SELECT book_id, chapter_no, text AS input,
+             {_model_cols("((3 * chapter_no) % 5 + 1)", "text", "text")}
+      FROM broken_docs)""")
+
+oracle("retry_accounting", ["translated"], """
+SELECT book_id, count(*) AS n_chunks, CAST(sum(attempts) AS BIGINT) AS n_attempts,
+       count(*) FILTER (WHERE status = 'failed') AS n_failed, CAST(sum(backoff_s) AS BIGINT) AS backoff_s,
+       CAST(sum(service_us) AS BIGINT) AS service_us, max(service_us) AS max_service_us, count(*) * 1 AS pause_s
+FROM translated GROUP BY book_id""")
+
+oracle("fail_fast", ["translated"], """
+SELECT book_id, chapter_no, part_no,
+       CASE WHEN late THEN 'not_attempted' ELSE status END AS status,
+       CASE WHEN late THEN 0 ELSE attempts END AS attempts,
+       CASE WHEN late THEN 0 ELSE backoff_s END AS backoff_s,
+       CASE WHEN late THEN NULL ELSE output END AS output
+FROM (SELECT *, coalesce(part_no > min(CASE WHEN status <> 'ok' THEN part_no END)
+                          OVER (PARTITION BY book_id, chapter_no), false) AS late
+      FROM translated)""")
+
+oracle("redo_chapter", ["translations", "chunk_requests"], f"""
+SELECT book_id, chapter_no, n_parts, n_ok, n_failed, CAST(length(text) AS INTEGER) AS n_chars, text FROM (
+  SELECT * FROM translations WHERE chapter_no <> 3
+  UNION ALL
+  SELECT book_id, chapter_no, string_agg(output, {NL2} ORDER BY part_no), count(*),
+         count(*) FILTER (WHERE status = 'ok'), count(*) FILTER (WHERE status <> 'ok')
+  FROM (SELECT book_id, chapter_no, part_no,
+               {_model_cols("((chapter_no + part_no) % 3 + 1)", "input", "printf('[Translation failed for chunk %d]', part_no)")}
+        FROM chunk_requests WHERE chapter_no = 3)
+  GROUP BY book_id, chapter_no)""")

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from quire.operators import chunk as CH
 from quire.operators import lines as LN
+from quire.operators import model as MD
 from quire.operators import pages as PG
 from quire.operators import project as PJ
 from quire.operators import segment as SG
@@ -243,3 +244,100 @@ def content_preserved(spark, sf_dir):
     rep = b.select("book_id", "chapter_no",
                    LN.content_preserved(F.col("text"), LN.repair_breaks(F.col("text"))).alias("repair_ok"))
     return fmt.join(rep, ["book_id", "chapter_no"])
+
+
+# --- step 7: model step -----------------------------------------------------------
+
+_CK = ["book_id", "chapter_no", "part_no"]
+
+
+def _translated(spark, sf_dir):
+    req = FX.chunk_requests(spark, sf_dir)
+    return MD.call_model(req, FX.TRANSLATE_MODEL, _CK, on_failure="sentinel")
+
+
+@query
+def prompts(spark, sf_dir):
+    """P14 + W5: one request per chunk with ``part i of n``."""
+    req = FX.chunk_requests(spark, sf_dir)
+    r = MD.build_request(F.col("input"), F.col("part_no"), F.col("n_parts"),
+                         FX.TRANSLATE_SYSTEM, FX.TRANSLATE_INSTRUCTION)
+    return req.select(*_CK, "n_parts", r.alias("r")).select(
+        *_CK, "n_parts", "r.system", "r.user", "r.temperature", "r.max_tokens")
+
+
+@query
+def translate_chunks(spark, sf_dir):
+    """M1 + M8: model output per chunk with attempts, backoff and status."""
+    return _translated(spark, sf_dir)
+
+
+@query
+def reassemble(spark, sf_dir):
+    """J6 + A2 + A5 + K2: chapter translations (failed chunks keep their
+    sentinel text) and the translation file text."""
+    ch = MD.reassemble(_translated(spark, sf_dir), ["book_id", "chapter_no"])
+    title, _ = PJ.title_and_body(F.col("original"))
+    orig = FX.raw_chapters(spark, sf_dir).select("book_id", "chapter_no", F.col("text").alias("original"))
+    return ch.join(orig, ["book_id", "chapter_no"]).select(
+        "book_id", "chapter_no", "n_parts", "n_ok", "n_failed", F.col("text").alias("translation"),
+        F.concat(title, F.lit("\n\n"), F.col("text")).alias("file_text"))
+
+
+@query
+def summaries(spark, sf_dir):
+    """M2 + P9 + P21 + K3: summaries of the translations (failure → '',
+    stripped, empty ones not written)."""
+    tr = MD.reassemble(_translated(spark, sf_dir), ["book_id", "chapter_no"])
+    orig = FX.raw_chapters(spark, sf_dir).select("book_id", "chapter_no", F.col("text").alias("original"))
+    req = tr.join(orig, ["book_id", "chapter_no"]).select(
+        "book_id", "chapter_no", MD.summary_input(F.col("text"), F.col("original")).alias("input"))
+    res = MD.call_model(req, FX.SUMMARY_MODEL, ["book_id", "chapter_no"], on_failure="empty")
+    out = res.select("book_id", "chapter_no", "status", "attempts", T.py_strip("output").alias("text"))
+    return out.where(F.col("text") != "")
+
+
+@query
+def clean_passthrough(spark, sf_dir):
+    """M3 + A9: whole-chapter cleaning; a failed call keeps the input unchanged."""
+    b = FX.broken_docs(spark, sf_dir).select("book_id", "chapter_no", F.col("text").alias("input"))
+    res = MD.call_model(b, FX.CLEAN_MODEL, ["book_id", "chapter_no"], on_failure="passthrough")
+    return res.join(b, ["book_id", "chapter_no"]).select(
+        "book_id", "chapter_no", "status", "attempts",
+        (F.col("output") == F.col("input")).alias("unchanged"),
+        F.length("input").alias("n_before"), F.length("output").alias("n_after"),
+        F.col("output").alias("text"))
+
+
+@query
+def retry_accounting(spark, sf_dir):
+    """M8 + R4 + A10: per book: calls, attempts, retries' backoff, service
+    and the fixed pause after every call (integers, so exact everywhere)."""
+    r = _translated(spark, sf_dir)
+    return r.groupBy("book_id").agg(
+        F.count("*").alias("n_chunks"),
+        F.sum("attempts").alias("n_attempts"),
+        F.count_if(F.col("status") == "failed").alias("n_failed"),
+        F.sum("backoff_s").alias("backoff_s"),
+        F.sum("service_us").alias("service_us"),
+        F.max("service_us").alias("max_service_us"),
+        (F.count("*") * C.PAUSE_AFTER_CALL_S).alias("pause_s"))
+
+
+@query
+def fail_fast(spark, sf_dir):
+    """M6: the stop-at-first-failure policy (later parts not attempted; no merge)."""
+    r = MD.stop_at_first_failure(_translated(spark, sf_dir), ["book_id", "chapter_no"])
+    return r.select(*_CK, "status", "attempts", "backoff_s", "output")
+
+
+@query
+def redo_chapter(spark, sf_dir):
+    """M9: re-run one chapter with another model and replace only its rows."""
+    first = MD.reassemble(_translated(spark, sf_dir), ["book_id", "chapter_no"])
+    req = PJ.chapter_range(FX.chunk_requests(spark, sf_dir), FX.REDO_CHAPTER)
+    again = MD.reassemble(MD.call_model(req, FX.REDO_MODEL, _CK, on_failure="sentinel"),
+                          ["book_id", "chapter_no"])
+    out = MD.replace_partitions(first, again, ["book_id", "chapter_no"])
+    return out.select("book_id", "chapter_no", "n_parts", "n_ok", "n_failed",
+                      F.length("text").alias("n_chars"), "text")
