@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quire.functions import constants as C
+from quire.session import materialize  # noqa: F401  (re-exported)
 
 # model(batch, attempt) -> DataFrame[output, error, service_us] aligned with batch;
 # output None means the attempt failed.
@@ -106,14 +107,6 @@ def call_model(df: DataFrame, model: Model, keys: list[str], input_col: str = "i
     return df.select(*cols).mapInPandas(run, schema)
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage after a non-deterministic step: reliable checkpoint into
-    the shared folder named by ``spark.checkpoint.dir``."""
-    from quire.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def reassemble(responses: DataFrame, keys: list[str], text_col: str = "output",
                part_col: str = "part_no", sep: str = C.PAGE_JOIN_SEPARATOR) -> DataFrame:
     """J6 + A2: chunk outputs back into one text per chapter, in part order,

@@ -215,3 +215,26 @@ def chunk_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quire.operators.chunk import chunk_boundary
     ch = chunk_boundary(raw_chapters(spark, sf_dir), ["book_id", "chapter_no"])
     return ch.withColumnRenamed("text", "input")
+
+
+# --- rate tables from events -------------------------------------------------------
+
+OPEN_LOOP_GAP_US = 3_600_000_000     # one request per hour per user
+AUDIT_QPM = 5
+
+
+def _epoch_us(ts):
+    return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {ts})")
+
+
+def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``arrivals(user_id, event_id, ts, at_us)``: request arrival times (µs)."""
+    e = table(spark, sf_dir, "events").select("user_id", "event_id", "ts")
+    return e.select("user_id", "event_id", "ts", _epoch_us("ts").alias("at_us"))
+
+
+def calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``calls(user_id, event_id, ts, service_us)``: call durations (µs, >= 0)."""
+    e = table(spark, sf_dir, "events").select("user_id", "event_id", "ts", "value")
+    return e.select("user_id", "event_id", "ts",
+                    F.greatest(F.lit(0), F.floor(F.col("value") * 1_000_000).cast("bigint")).alias("service_us"))

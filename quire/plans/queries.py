@@ -16,6 +16,7 @@ from quire.operators import lines as LN
 from quire.operators import model as MD
 from quire.operators import pages as PG
 from quire.operators import project as PJ
+from quire.operators import rate as RT
 from quire.operators import segment as SG
 from quire.sources.tables import table
 from quire.functions import constants as C
@@ -341,3 +342,46 @@ def redo_chapter(spark, sf_dir):
     out = MD.replace_partitions(first, again, ["book_id", "chapter_no"])
     return out.select("book_id", "chapter_no", "n_parts", "n_ok", "n_failed",
                       F.length("text").alias("n_chars"), "text")
+
+
+# --- step 8: rate schedules and audit -------------------------------------------------
+
+_ORDER = ["ts", "event_id"]
+
+
+def _open_loop(spark, sf_dir):
+    return RT.open_loop_schedule(FX.arrivals(spark, sf_dir), "user_id", "at_us", _ORDER,
+                                 FX.OPEN_LOOP_GAP_US)
+
+
+@query
+def rate_open_loop(spark, sf_dir):
+    """R2: earliest allowed send per request (one per hour per user)."""
+    return _open_loop(spark, sf_dir).select("user_id", "event_id", "i", "at_us", "send_us", "delay_us")
+
+
+@query
+def rate_closed_loop(spark, sf_dir):
+    """R1 + R4: queued calls at QPM 5 (12 s spacing) with a 1 s pause after each."""
+    s = RT.closed_loop_schedule(FX.calls(spark, sf_dir), "user_id", "service_us", _ORDER,
+                                RT.gap_us(C.SPEECH_QPM))
+    return s.select("user_id", "event_id", "i", "service_us", "send_us", "end_us")
+
+
+@query
+def rate_audit(spark, sf_dir):
+    """R3 + W6 + W7: violations in the raw arrivals vs the open-loop schedule
+    (which must have none), per user."""
+    sched = _open_loop(spark, sf_dir)
+    raw = RT.audit(sched, "user_id", "i", "at_us", FX.OPEN_LOOP_GAP_US, FX.AUDIT_QPM)
+    fixed = RT.audit(sched, "user_id", "i", "send_us", FX.OPEN_LOOP_GAP_US, FX.AUDIT_QPM)
+    r = raw.groupBy("user_id").agg(
+        F.count("*").alias("n_requests"),
+        F.count_if("gap_violation").alias("raw_gap_violations"),
+        F.count_if("window_violation").alias("raw_window_violations"))
+    f = fixed.groupBy("user_id").agg(
+        F.count_if("gap_violation").alias("sched_gap_violations"),
+        F.count_if("window_violation").alias("sched_window_violations"))
+    d = sched.groupBy("user_id").agg(F.count_if(F.col("delay_us") > 0).alias("n_delayed"),
+                                     F.max("delay_us").alias("max_delay_us"))
+    return r.join(f, "user_id").join(d, "user_id")

@@ -80,3 +80,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if base.startswith("file:"):
         base = base[len("file:"):]
     return os.path.join(base, "tables", name)
+
+
+def materialize(df):
+    """Cut lineage: reliable checkpoint into the shared ``spark.checkpoint.dir``.
+
+    Used after non-deterministic steps (model calls, physical slice ids) so
+    every later branch and every retried task sees the same rows.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
