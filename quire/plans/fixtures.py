@@ -182,8 +182,10 @@ class KeyedModel:
     ``(chapter_no * cut_mul) % cut_mod`` chars and stripped when ``cut_mul``
     is set). Service time is ``len(input) * 100`` µs per attempt."""
 
-    def __init__(self, a: int = 1, b: int = 1, m: int = 5, cut_mul: int = 0, cut_mod: int = 400):
+    def __init__(self, a: int = 1, b: int = 1, m: int = 5, cut_mul: int = 0, cut_mod: int = 400,
+                 binary: bool = False):
         self.a, self.b, self.m, self.cut_mul, self.cut_mod = a, b, m, cut_mul, cut_mod
+        self.binary = binary
 
     def __call__(self, batch: pd.DataFrame, attempt: int) -> pd.DataFrame:
         part = batch["part_no"] if "part_no" in batch else 0
@@ -195,7 +197,10 @@ class KeyedModel:
             answer = [t[:c].strip() for t, c in zip(text, cut)]
         else:
             answer = list(text)
-        answer = np.array([t.translate(_ASCII_UP) for t in answer], dtype=object)
+        if self.binary:
+            answer = np.array([t.encode("utf-8") for t in answer], dtype=object)
+        else:
+            answer = np.array([t.translate(_ASCII_UP) for t in answer], dtype=object)
         return pd.DataFrame({
             "output": np.where(ok, answer, None),
             "error": np.where(ok, None, f"attempt {attempt} failed"),
@@ -208,6 +213,7 @@ SUMMARY_MODEL = KeyedModel(1, 0, 4, cut_mul=37, cut_mod=400)
 CLEAN_MODEL = KeyedModel(3, 0, 5)
 REDO_MODEL = KeyedModel(1, 1, 3)
 REDO_CHAPTER = 3
+SPEECH_MODEL = KeyedModel(1, 2, 4, binary=True)
 
 
 def chunk_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -238,3 +244,26 @@ def calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events").select("user_id", "event_id", "ts", "value")
     return e.select("user_id", "event_id", "ts",
                     F.greatest(F.lit(0), F.floor(F.col("value") * 1_000_000).cast("bigint")).alias("service_us"))
+
+
+# --- speech parts -------------------------------------------------------------------
+
+def speech_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Speech chunks (P8 + T4) of the translated chapters."""
+    from quire.operators.chunk import pack_paragraphs, strip_markdown
+    z = zh_docs(spark, sf_dir).select("book_id", "chapter_no", strip_markdown(F.col("text")).alias("text"))
+    return pack_paragraphs(z, ["book_id", "chapter_no"])
+
+
+def audio_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``audio_parts(book_id, chapter_no, part_no, n_parts, content)``: the
+    speech chunks as bytes, with some parts missing."""
+    c = speech_chunks(spark, sf_dir)
+    return (c.where(((F.col("chapter_no") * 7 + F.col("part_no")) % 11) != 0)
+            .select("book_id", "chapter_no", "part_no", "n_parts",
+                    F.encode("text", "UTF-8").alias("content")))
+
+
+def done_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``done_parts``: the parts produced by an earlier run."""
+    return audio_parts(spark, sf_dir).where(F.col("part_no") % 2 == 0)

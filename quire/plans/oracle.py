@@ -634,3 +634,51 @@ FROM (SELECT *, lag(at_us) OVER w AS a1, lag(at_us, 5) OVER w AS a5,
              lag(send_us) OVER w AS s1, lag(send_us, 5) OVER w AS s5
       FROM open_loop WINDOW w AS (PARTITION BY user_id ORDER BY i))
 GROUP BY user_id""")
+
+
+# --- step 9: speech parts -------------------------------------------------------------------
+
+view("pk_all", pack_sql("speech_docs", "book_id, chapter_no", 4000), ["speech_docs"], raw=True)
+view("speech_chunks", "SELECT book_id, chapter_no, part_no, n_parts, text FROM pk_rows", ["pk_all"])
+view("audio_parts", """
+SELECT book_id, chapter_no, part_no, n_parts, text FROM speech_chunks
+WHERE (chapter_no * 7 + part_no) % 11 <> 0""", ["speech_chunks"])
+
+oracle("skip_existing", ["speech_chunks", "audio_parts"], """
+SELECT book_id, chapter_no, part_no, 'existing' AS source, CAST(octet_length(encode(text)) AS INTEGER) AS n_bytes
+FROM audio_parts WHERE part_no % 2 = 0
+UNION ALL
+SELECT book_id, chapter_no, part_no,
+       CASE WHEN (chapter_no + 2 * part_no) % 4 + 1 <= 3 THEN 'ok' ELSE 'failed' END,
+       CASE WHEN (chapter_no + 2 * part_no) % 4 + 1 <= 3 THEN CAST(octet_length(encode(text)) AS INTEGER) END
+FROM speech_chunks e
+WHERE NOT EXISTS (SELECT 1 FROM audio_parts d WHERE d.part_no % 2 = 0 AND d.book_id = e.book_id
+                  AND d.chapter_no = e.chapter_no AND d.part_no = e.part_no)""")
+
+view("merged", """
+SELECT s.book_id, s.chapter_no, s.n_parts, coalesce(p.n_present, 0) AS n_present,
+       coalesce(p.n_present, 0) = s.n_parts AS complete,
+       CASE WHEN coalesce(p.n_present, 0) = s.n_parts AND s.n_parts > 1 THEN p.body END AS body
+FROM (SELECT DISTINCT book_id, chapter_no, n_parts FROM speech_chunks) s
+LEFT JOIN (SELECT book_id, chapter_no, count(*) AS n_present, string_agg(text, '' ORDER BY part_no) AS body
+           FROM audio_parts GROUP BY book_id, chapter_no) p
+  ON s.book_id = p.book_id AND s.chapter_no = p.chapter_no""", ["speech_chunks", "audio_parts"])
+
+oracle("merge_complete", ["merged"], """
+SELECT book_id, chapter_no, n_parts, n_present, complete, body IS NOT NULL AS merged,
+       CAST(octet_length(encode(body)) AS INTEGER) AS merged_bytes, md5(body) AS merged_md5,
+       CASE WHEN body IS NOT NULL THEN printf('chapter_%02d_full.mp3', chapter_no) END AS full_file
+FROM merged""")
+
+oracle("merge_size", ["merged"], """
+SELECT book_id, chapter_no, CAST(octet_length(encode(body)) AS INTEGER) AS n_bytes,
+       octet_length(encode(body)) / (1024.0 * 1024.0) AS mb,
+       (octet_length(encode(body)) / (1024.0 * 1024.0) * 8 * 1024) / 11520.0 AS minutes
+FROM merged WHERE body IS NOT NULL""")
+
+oracle("run_summary", ["merged"], """
+SELECT book_id, count(*) AS n_chapters, CAST(sum(n_parts) AS BIGINT) AS n_parts,
+       CAST(sum(n_present) AS BIGINT) AS n_present, count(*) FILTER (WHERE complete) AS n_complete,
+       count(body) AS n_merged, CAST(coalesce(sum(octet_length(encode(body))), 0) AS BIGINT) AS merged_bytes,
+       bool_and(complete) AS all_ok
+FROM merged GROUP BY book_id""")

@@ -15,6 +15,7 @@ from quire.operators import chunk as CH
 from quire.operators import lines as LN
 from quire.operators import model as MD
 from quire.operators import pages as PG
+from quire.operators import parts as PT
 from quire.operators import project as PJ
 from quire.operators import rate as RT
 from quire.operators import segment as SG
@@ -385,3 +386,65 @@ def rate_audit(spark, sf_dir):
     d = sched.groupBy("user_id").agg(F.count_if(F.col("delay_us") > 0).alias("n_delayed"),
                                      F.max("delay_us").alias("max_delay_us"))
     return r.join(f, "user_id").join(d, "user_id")
+
+
+# --- step 9: speech parts: skip, generate, merge --------------------------------------
+
+_SK = ["book_id", "chapter_no"]
+
+
+@query
+def skip_existing(spark, sf_dir):
+    """J5 + M4 + U1: generate only parts not produced yet; existing parts
+    count as done; failed generations stay as rows with status."""
+    expected = FX.speech_chunks(spark, sf_dir)
+    done = FX.done_parts(spark, sf_dir)
+    todo = PT.missing_parts(expected, done, _CK).withColumnRenamed("text", "input")
+    gen = MD.call_model(todo, FX.SPEECH_MODEL, _CK, on_failure="null", binary=True)
+    old = done.select(*_CK, F.lit("existing").alias("source"), F.octet_length("content").alias("n_bytes"))
+    new = gen.select(*_CK, F.col("status").alias("source"), F.octet_length("output").alias("n_bytes"))
+    return old.unionByName(new)
+
+
+def _merge_table(spark, sf_dir):
+    parts = FX.audio_parts(spark, sf_dir)
+    sets = FX.speech_chunks(spark, sf_dir).select(*_SK, "n_parts").distinct()
+    status = PT.complete_sets(parts, sets, _SK)
+    # M5 + P13/P18: merge only complete chapters of more than one part.
+    todo = status.where(F.col("complete") & (F.col("n_parts") > 1)).select(*_SK)
+    merged = PT.merge_parts(parts.join(todo, _SK, "left_semi"), _SK)
+    return status.join(merged, _SK, "left")
+
+
+@query
+def merge_complete(spark, sf_dir):
+    """J7 + A3 + M5: merge a chapter's parts only when all of them exist."""
+    m = _merge_table(spark, sf_dir)
+    return m.select(*_SK, "n_parts", "n_present", "complete",
+                    F.col("content").isNotNull().alias("merged"),
+                    F.octet_length("content").alias("merged_bytes"),
+                    F.md5("content").alias("merged_md5"),
+                    F.when(F.col("content").isNotNull(),
+                           F.format_string("chapter_%02d_full.mp3", F.col("chapter_no"))).alias("full_file"))
+
+
+@query
+def merge_size(spark, sf_dir):
+    """Merged size in MB and the 192 kbps duration estimate."""
+    m = _merge_table(spark, sf_dir).where(F.col("content").isNotNull())
+    mb, minutes = PT.size_estimate(F.octet_length("content"))
+    return m.select(*_SK, F.octet_length("content").alias("n_bytes"), mb.alias("mb"), minutes.alias("minutes"))
+
+
+@query
+def run_summary(spark, sf_dir):
+    """A5 + M5: per book: parts expected / present, complete and merged chapters."""
+    m = _merge_table(spark, sf_dir)
+    return m.groupBy("book_id").agg(
+        F.count("*").alias("n_chapters"),
+        F.sum("n_parts").alias("n_parts"),
+        F.sum("n_present").alias("n_present"),
+        F.count_if("complete").alias("n_complete"),
+        F.count_if(F.col("content").isNotNull()).alias("n_merged"),
+        F.coalesce(F.sum(F.octet_length("content")), F.lit(0)).cast("bigint").alias("merged_bytes"),
+        F.bool_and("complete").alias("all_ok"))

@@ -26,6 +26,7 @@ SCALE_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.files.maxPartitionBytes": "128MB",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
