@@ -435,7 +435,7 @@ oracle("line_format", ["line_format"],
 
 _H = "'^(#{1,6}) (.*)$'"
 _EM = "'\\*([^*\\n]+)\\*'"
-oracle("markdown_blocks", ["line_format"], f"""
+view("md_blocks", f"""
 SELECT book_id, chapter_no, CAST(block_no AS INTEGER) AS block_no,
        CASE WHEN cnt = 1 AND regexp_matches(first_s, {_H}) THEN 'heading'
             WHEN cnt = 1 AND regexp_matches(first_s, '^[0-9]+\\. (.*)$') THEN 'list'
@@ -462,7 +462,9 @@ FROM (
                  range(1, len(lst) + 1) r(i))
       WINDOW w AS (PARTITION BY book_id, chapter_no ORDER BY i)))
   WHERE s <> ''
-  GROUP BY book_id, chapter_no, block_no)""")
+  GROUP BY book_id, chapter_no, block_no)""", ["line_format"])
+
+oracle("markdown_blocks", ["md_blocks"], "SELECT * FROM md_blocks")
 
 view("broken_docs", f"""
 SELECT book_id, chapter_no,
@@ -682,3 +684,80 @@ SELECT book_id, count(*) AS n_chapters, CAST(sum(n_parts) AS BIGINT) AS n_parts,
        count(body) AS n_merged, CAST(coalesce(sum(octet_length(encode(body))), 0) AS BIGINT) AS merged_bytes,
        bool_and(complete) AS all_ok
 FROM merged GROUP BY book_id""")
+
+
+# --- step 10: catalogue ------------------------------------------------------------------
+
+view("cat_translations", "SELECT * FROM zh_files WHERE (book_id + chapter_no) % 9 <> 0", ["zh_files"])
+view("cat_summaries", f"""
+SELECT book_id, chapter_no, {strip(_UP.format(x=strip("substring(substring(text, 1, 3000), 1, (chapter_no * 37) % 400)")))} AS text
+FROM cat_translations WHERE chapter_no % 4 + 1 <= 3""", ["cat_translations"])
+view("cat_merged", "SELECT book_id, chapter_no FROM merged WHERE body IS NOT NULL", ["merged"])
+_PREVIEW = (f"CASE WHEN s.text IS NULL THEN '暂无摘要' WHEN length({strip('s.text')}) > 200 "
+            f"THEN substring({strip('s.text')}, 1, 200) || '...' ELSE {strip('s.text')} END")
+view("cat", f"""
+SELECT t.book_id, t.chapter_no, t.chapter_no AS number,
+       coalesce(c.title, printf('Chapter %d', t.chapter_no)) AS title,
+       {_PREVIEW} AS summary,
+       m.chapter_no IS NOT NULL AS hasAudio,
+       CAST(length(regexp_replace(t.text, '[^一-鿿]', '', 'g')) AS INTEGER) AS wordCount,
+       printf('chapter_%02d.html', t.chapter_no) AS file
+FROM cat_translations t
+LEFT JOIN cat_summaries s ON t.book_id = s.book_id AND t.chapter_no = s.chapter_no
+LEFT JOIN cat_merged m ON t.book_id = m.book_id AND t.chapter_no = m.chapter_no
+LEFT JOIN toc c ON t.chapter_no = c.chapter_no
+WHERE t.chapter_no BETWEEN 1 AND 20""", ["cat_translations", "cat_summaries", "cat_merged", "toc"])
+
+oracle("cjk_count", ["cat_translations"], """
+SELECT book_id, chapter_no, CAST(length(regexp_replace(text, '[^一-鿿]', '', 'g')) AS INTEGER) AS wordCount,
+       CAST(length(text) AS INTEGER) AS n_chars FROM cat_translations""")
+
+oracle("catalogue", ["cat"], "SELECT * FROM cat")
+
+oracle("catalogue_json", ["cat"], """
+SELECT book_id, CAST(to_json(list(struct_pack(number := number, title := title, summary := summary,
+       hasAudio := hasAudio, wordCount := wordCount, file := file) ORDER BY number)) AS VARCHAR) AS json,
+       count(*) AS n_chapters
+FROM cat GROUP BY book_id""")
+
+oracle("book_export", ["cat_translations", "cat_summaries", "cat_merged", "raw_chapters", "toc"], """
+SELECT book_id, CAST(to_json(struct_pack(book_title := printf('Book %d', book_id),
+       total_chapters := CAST(count(*) AS INTEGER),
+       chapters := list(struct_pack(number := number, title := title, original := original,
+                                    translation := translation, summary := summary, audio := audio)
+                        ORDER BY number))) AS VARCHAR) AS json
+FROM (
+  SELECT t.book_id, t.chapter_no AS number, coalesce(c.title, printf('Chapter %d', t.chapter_no)) AS title,
+         substring(r.text, 1, 500) || '...' AS original, t.text AS translation,
+         coalesce(s.text, '') AS summary,
+         CASE WHEN m.chapter_no IS NOT NULL THEN printf('audio/chapter_%02d_full.mp3', t.chapter_no) ELSE '' END AS audio
+  FROM cat_translations t
+  JOIN raw_chapters r ON t.book_id = r.book_id AND t.chapter_no = r.chapter_no
+  LEFT JOIN cat_summaries s ON t.book_id = s.book_id AND t.chapter_no = s.chapter_no
+  LEFT JOIN cat_merged m ON t.book_id = m.book_id AND t.chapter_no = m.chapter_no
+  LEFT JOIN toc c ON t.chapter_no = c.chapter_no)
+GROUP BY book_id""")
+
+oracle("book_cards", ["cat"], """
+SELECT c.book_id, c.number, printf('chapters/chapter_%02d.html', c.number) AS href,
+       printf('Chapter %d · %s', c.number, c.title) AS heading, c.summary, c.hasAudio,
+       coalesce(CAST(nullif(c.wordCount, 0) AS VARCHAR), 'N/A') AS count_text,
+       CASE WHEN b.n = 20 THEN 'completed' ELSE 'in-progress' END AS status_class
+FROM cat c JOIN (SELECT book_id, count(*) AS n FROM cat GROUP BY book_id) b ON c.book_id = b.book_id""")
+
+oracle("chapter_page", ["md_blocks", "cat_translations", "cat_summaries", "cat_merged", "toc"], """
+SELECT t.book_id, t.chapter_no, printf('chapter_%02d.html', t.chapter_no) AS file,
+       concat_ws(chr(10),
+         printf('<header><h1>Chapter %d: %s</h1></header>', t.chapter_no, coalesce(c.title, '')),
+         CASE WHEN s.text IS NOT NULL THEN '<section class="summary"><h3>Summary</h3><p>' || s.text || '</p></section>' ELSE '' END,
+         CASE WHEN m.chapter_no IS NOT NULL
+              THEN printf('<section class="audio"><audio controls src="../audio/chapter_%02d_full.mp3"></audio></section>', t.chapter_no)
+              ELSE '' END,
+         '<article>' || chr(10) || coalesce(b.body, '') || chr(10) || '</article>') AS html
+FROM cat_translations t
+LEFT JOIN (SELECT book_id, chapter_no, string_agg(html, chr(10) ORDER BY block_no) AS body
+           FROM md_blocks GROUP BY book_id, chapter_no) b ON t.book_id = b.book_id AND t.chapter_no = b.chapter_no
+LEFT JOIN cat_summaries s ON t.book_id = s.book_id AND t.chapter_no = s.chapter_no
+LEFT JOIN cat_merged m ON t.book_id = m.book_id AND t.chapter_no = m.chapter_no
+LEFT JOIN toc c ON t.chapter_no = c.chapter_no
+WHERE t.chapter_no BETWEEN 1 AND 20""")

@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quire.operators import catalog as CT
 from quire.operators import chunk as CH
 from quire.operators import lines as LN
 from quire.operators import model as MD
@@ -448,3 +449,89 @@ def run_summary(spark, sf_dir):
         F.count_if(F.col("content").isNotNull()).alias("n_merged"),
         F.coalesce(F.sum(F.octet_length("content")), F.lit(0)).cast("bigint").alias("merged_bytes"),
         F.bool_and("complete").alias("all_ok"))
+
+
+# --- step 10: catalogue, export, pages ----------------------------------------------------
+
+def _catalog_inputs(spark, sf_dir):
+    tr = FX.cat_translations(spark, sf_dir)
+    req = tr.select(*_SK, F.substring("text", 1, C.SUMMARY_INPUT_CHARS).alias("input"))
+    summ = (MD.call_model(req, FX.SUMMARY_MODEL, _SK, on_failure="empty")
+            .select(*_SK, T.py_strip("output").alias("text")).where(F.col("text") != ""))
+    merged = _merge_table(spark, sf_dir).where(F.col("content").isNotNull()).select(*_SK)
+    return tr, summ, merged
+
+
+def _catalogue(spark, sf_dir):
+    tr, summ, merged = _catalog_inputs(spark, sf_dir)
+    return CT.catalogue(spark, tr, summ, merged, FX.toc(spark))
+
+
+@query
+def cjk_count(spark, sf_dir):
+    """CJK ideographs per translated chapter file."""
+    tr = FX.cat_translations(spark, sf_dir)
+    return tr.select(*_SK, T.cjk_count(F.col("text")).alias("wordCount"), F.length("text").alias("n_chars"))
+
+
+@query
+def catalogue(spark, sf_dir):
+    """J3 + J4 + P10 + P11 + P18: catalogue rows of chapters 1..20."""
+    return _catalogue(spark, sf_dir)
+
+
+@query
+def catalogue_json(spark, sf_dir):
+    """K4 + A11: one JSON array per book."""
+    return CT.catalogue_json(_catalogue(spark, sf_dir))
+
+
+@query
+def book_export(spark, sf_dir):
+    """K5: nested per-book export (original cut to 500 + '...')."""
+    tr, summ, merged = _catalog_inputs(spark, sf_dir)
+    orig = FX.raw_chapters(spark, sf_dir).select(*_SK, F.col("text").alias("original"))
+    ch = (tr.join(orig, _SK)
+          .join(summ.withColumnRenamed("text", "summary"), _SK, "left")
+          .join(merged.withColumn("_m", F.lit(True)), _SK, "left")
+          .join(F.broadcast(FX.toc(spark)), "chapter_no", "left")
+          .select("book_id", F.col("chapter_no").alias("number"),
+                  F.coalesce("title", F.format_string("Chapter %d", F.col("chapter_no"))).alias("title"),
+                  "original", F.col("text").alias("translation"),
+                  F.coalesce("summary", F.lit("")).alias("summary"),
+                  F.when(F.col("_m"), F.format_string("audio/chapter_%02d_full.mp3", F.col("chapter_no")))
+                  .otherwise(F.lit("")).alias("audio")))
+    titles = tr.select("book_id").distinct().select(
+        "book_id", F.format_string("Book %d", F.col("book_id")).alias("book_title"))
+    return CT.book_export(ch, titles)
+
+
+@query
+def chapter_page(spark, sf_dir):
+    """T7 + T8 + K6: the HTML page of every catalogued chapter."""
+    tr, summ, merged = _catalog_inputs(spark, sf_dir)
+    tr = tr.join(F.broadcast(CT.number_domain(spark)), "chapter_no", "left_semi")
+    page = (tr.join(summ.withColumnRenamed("text", "summary"), _SK, "left")
+            .join(merged.withColumn("_m", F.lit(True)), _SK, "left")
+            .join(F.broadcast(FX.toc(spark)), "chapter_no", "left"))
+    html = CT.chapter_page(F.col("chapter_no"), F.coalesce("title", F.lit("")), F.col("summary"),
+                           F.coalesce("_m", F.lit(False)), LN.format_markdown(F.col("text")))
+    return page.select(*_SK, F.format_string("chapter_%02d.html", F.col("chapter_no")).alias("file"),
+                       html.alias("html"))
+
+
+@query
+def book_cards(spark, sf_dir):
+    """P22 + P16 + P17: the card view over the catalogue with the book's
+    status badge (completed when no chapter of 1..20 is missing)."""
+    cat = _catalogue(spark, sf_dir)
+    books = cat.groupBy("book_id").agg(F.count("*").alias("n"))
+    status = books.select("book_id", F.when(F.col("n") == C.CATALOGUE_RANGE[1], F.lit(C.STATUS_COMPLETED))
+                          .otherwise(F.lit("in progress")).alias("status"))
+    return cat.join(status, "book_id").select(
+        "book_id", "number",
+        F.format_string("chapters/chapter_%02d.html", F.col("number")).alias("href"),
+        F.format_string("Chapter %d · %s", F.col("number"), F.col("title")).alias("heading"),
+        "summary", "hasAudio",
+        CT.card_count_text(F.col("wordCount")).alias("count_text"),
+        CT.book_status_class(F.col("status")).alias("status_class"))
