@@ -761,3 +761,15 @@ LEFT JOIN cat_summaries s ON t.book_id = s.book_id AND t.chapter_no = s.chapter_
 LEFT JOIN cat_merged m ON t.book_id = m.book_id AND t.chapter_no = m.chapter_no
 LEFT JOIN toc c ON t.chapter_no = c.chapter_no
 WHERE t.chapter_no BETWEEN 1 AND 20""")
+
+
+# --- step 11: round trips ---------------------------------------------------------------------
+
+oracle("text_file_roundtrip", ["chapter_text"], """
+SELECT book_id, chapter_no, CAST(length(file_text) AS INTEGER) AS n_chars, file_text FROM chapter_text""")
+
+oracle("json_roundtrip", ["cat"],
+       "SELECT book_id, number, title, summary, hasAudio, wordCount, file FROM cat")
+
+oracle("incremental_run", ["audio_parts"], """
+SELECT book_id, chapter_no, part_no, CAST(octet_length(encode(text)) AS INTEGER) AS n_bytes FROM audio_parts""")

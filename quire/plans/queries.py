@@ -6,6 +6,7 @@ Each query composes fixture views (``fixtures.py``) with library operators;
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,7 +25,10 @@ from quire.sources.tables import table
 from quire.functions import constants as C
 from quire.functions import text as T
 from quire.plans import fixtures as FX
-from quire.session import apply_runtime_conf
+from quire.session import apply_runtime_conf, scratch_path
+from quire.sinks import files as SK
+from quire.sources import files as SF
+from quire.streaming.incremental import run_incremental
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -535,3 +539,50 @@ def book_cards(spark, sf_dir):
         "summary", "hasAudio",
         CT.card_count_text(F.col("wordCount")).alias("count_text"),
         CT.book_status_class(F.col("status")).alias("status_class"))
+
+
+# --- step 11: files in and out, incremental runs ------------------------------------------
+
+def _scratch(spark, name):
+    return scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+@query
+def text_file_roundtrip(spark, sf_dir):
+    """K1 + S2 + S3: chapter files written one per partition directory and
+    read back whole, keys parsed from the path."""
+    ranges, pages = _ranges(spark, sf_dir)
+    ch = PG.chapter_texts(pages, ranges, FX.toc(spark))
+    path = _scratch(spark, "chapter-files")
+    SK.write_text_files(ch.withColumn("chapter", SK.chapter_dir(F.col("chapter_no"))), path,
+                        "file_text", ["book_id", "chapter"])
+    back = SF.read_text_files(spark, path)
+    return back.select(F.col("book_id").cast("bigint").alias("book_id"),
+                       SF.key_from_name(F.col("file_path")).alias("chapter_no"),
+                       F.length("value").alias("n_chars"), F.col("value").alias("file_text"))
+
+
+@query
+def json_roundtrip(spark, sf_dir):
+    """K4 + S5: per-book catalogue JSON arrays written as files and read back."""
+    cj = CT.catalogue_json(_catalogue(spark, sf_dir))
+    path = _scratch(spark, "catalogue-json")
+    SK.write_text_files(cj, path, "json", ["book_id"])
+    schema = ("number INT, title STRING, summary STRING, hasAudio BOOLEAN, "
+              "wordCount INT, file STRING")
+    back = SF.read_json_arrays(spark, path, schema)
+    return back.select(F.col("book_id").cast("bigint").alias("book_id"), *CT.CATALOGUE_FIELDS)
+
+
+@query
+def incremental_run(spark, sf_dir):
+    """X1 + J5 + U1: parts arrive in two batches; a stream appends only the
+    ones missing from the output (which already holds an earlier run)."""
+    parts = FX.audio_parts(spark, sf_dir).select(*_CK, F.octet_length("content").alias("n_bytes"))
+    base = _scratch(spark, "incremental")
+    inp, out, ck = f"{base}/in", f"{base}/out", f"{base}/checkpoint"
+    SK.write_parquet(FX.done_parts(spark, sf_dir).select(*_CK, F.octet_length("content").alias("n_bytes")), out)
+    SK.write_parquet(parts.where(F.col("part_no") % 2 == 1), inp, mode="append")
+    SK.write_parquet(parts.where(F.col("part_no") % 2 == 0), inp, mode="append")
+    run_incremental(spark, inp, parts.schema, out, ck, _CK)
+    return spark.read.parquet(out)
