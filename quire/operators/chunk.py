@@ -21,26 +21,38 @@ from quire.functions import text as T
 CUT_TYPE = "array<struct<s:int,e:int>>"
 
 
+def _rfind_rev(rev_window: Column, wlen: Column, pattern: str) -> Column:
+    """``window.rfind(pattern)`` from the reversed window: a forward search
+    that stops at the first hit, i.e. at the last occurrence."""
+    hit = F.instr(rev_window, pattern[::-1])
+    return F.when(hit == 0, F.lit(-1)).otherwise(wlen - hit + 1 - len(pattern))
+
+
 def _fold_cuts(text: Column, size: int, min_advance: int, next_end) -> Column:
-    """Run ``pos -> next_end(window, pos, n)`` until the text is consumed.
+    """Run ``pos -> next_end(rfind, pos, end)`` until the text is consumed.
 
     ``min_advance`` is the smallest step any rule can take before the last
-    window, so ``ceil(n / min_advance) + 1`` steps always suffice.
+    window, so ``ceil(n / min_advance) + 1`` steps always suffice. The text
+    length is bound once per row; each step cuts one window, reverses it
+    once and finds every "last occurrence" with a short forward search.
     """
-    n = F.length(text)
-    steps = F.sequence(F.lit(1), F.greatest(F.lit(1), (F.ceil(n / F.lit(float(min_advance))) + 1).cast("int")))
-    init = F.struct(F.lit(0).alias("pos"), F.array().cast(CUT_TYPE).alias("cuts"))
+    def run(n):
+        steps = F.sequence(F.lit(1), F.greatest(F.lit(1), (F.ceil(n / F.lit(float(min_advance))) + 1).cast("int")))
+        init = F.struct(F.lit(0).alias("pos"), F.array().cast(CUT_TYPE).alias("cuts"))
+
+        def step(acc, _):
+            pos = acc["pos"]
+            end = F.least(pos + size, n)
+            rev = F.reverse(F.substring(text, pos + 1, size))
+            e = F.when(end >= n, end).otherwise(
+                T.let(rev, lambda r: next_end(lambda p: _rfind_rev(r, F.lit(size), p), pos, end)))
+            return F.when(pos >= n, acc).otherwise(T.let(e, lambda e1: F.struct(
+                e1.alias("pos"),
+                F.concat(acc["cuts"], F.array(F.struct(pos.alias("s"), e1.alias("e")))).alias("cuts"))))
 
-    def step(acc, _):
-        pos = acc["pos"]
-        end = F.least(pos + size, n)
-        window = F.substring(text, pos + 1, size)
-        e = F.when(end >= n, end).otherwise(T.let(window, lambda w: next_end(w, pos, end)))
-        return F.when(pos >= n, acc).otherwise(T.let(e, lambda e1: F.struct(
-            e1.alias("pos"),
-            F.concat(acc["cuts"], F.array(F.struct(pos.alias("s"), e1.alias("e")))).alias("cuts"))))
+        return F.aggregate(steps, init, step, lambda acc: acc["cuts"])
 
-    return F.aggregate(steps, init, step, lambda acc: acc["cuts"])
+    return T.let(F.length(text), run)
 
 
 def fixed_cuts(text: Column, size: int = C.FIXED_CHUNK_SIZE,
@@ -48,8 +60,8 @@ def fixed_cuts(text: Column, size: int = C.FIXED_CHUNK_SIZE,
     """T2 cut offsets: cut before the last ``\\n\\n`` past ``para_ratio``."""
     limit = size * para_ratio
 
-    def next_end(w, pos, end):
-        return T.let(T.rfind(w, "\n\n"), lambda lp: F.when(lp > F.lit(limit), pos + lp).otherwise(end))
+    def next_end(rf, pos, end):
+        return T.let(rf("\n\n"), lambda lp: F.when(lp > F.lit(limit), pos + lp).otherwise(end))
 
     return _fold_cuts(text, size, math.floor(limit) + 1, next_end)
 
@@ -61,11 +73,11 @@ def boundary_cuts(text: Column, size: int = C.TRANSLATE_CHUNK_SIZE,
     """T3 cut offsets: paragraph > sentence mark > space > hard cut, strict."""
     lim_p, lim_s, lim_w = size * para_ratio, size * sent_ratio, size * space_ratio
 
-    def next_end(w, pos, end):
-        last_sent = F.greatest(*[T.rfind(w, m) for m in C.SENTENCE_MARKS])
-        return T.let(T.rfind(w, "\n\n"), lambda lp: F.when(lp > F.lit(lim_p), pos + lp).otherwise(
+    def next_end(rf, pos, end):
+        last_sent = F.greatest(*[rf(m) for m in C.SENTENCE_MARKS])
+        return T.let(rf("\n\n"), lambda lp: F.when(lp > F.lit(lim_p), pos + lp).otherwise(
             T.let(last_sent, lambda ls: F.when(ls > F.lit(lim_s), pos + ls + 1).otherwise(
-                T.let(T.rfind(w, " "), lambda lw: F.when(lw > F.lit(lim_w), pos + lw).otherwise(end))))))
+                T.let(rf(" "), lambda lw: F.when(lw > F.lit(lim_w), pos + lw).otherwise(end))))))
 
     min_adv = min(math.floor(lim_p) + 1, math.floor(lim_s) + 2, math.floor(lim_w) + 1, size)
     return _fold_cuts(text, size, min_adv, next_end)

@@ -124,16 +124,17 @@ def repair_breaks(text: Column) -> Column:
     previous one when that one does not end a sentence and this one starts
     lower-case; true paragraph breaks stay."""
     joined = F.regexp_replace(text, r"(\p{L})-\n(\p{Ll})", "$1$2")
-    paras = F.split(joined, "\n\n", -1)
 
-    def step(acc, p):
-        last = F.element_at(acc, -1)
-        merge = (F.size(acc) > 0) & ~last.rlike(r"[.!?:]\z") & p.rlike(r"^\p{Ll}")
-        return F.when(merge, F.concat(F.slice(acc, 1, F.size(acc) - 1),
-                                      F.array(F.concat(last, F.lit(" "), p)))).otherwise(
-            F.concat(acc, F.array(p)))
+    def glue(paras):
+        # Merging paragraph i into i-1 only swaps the blank line between them
+        # for a space, so each paragraph picks its own separator: O(paragraphs).
+        def sep(p, i):
+            prev = F.get(paras, i - 1)
+            merge = ~prev.rlike(r"[.!?:]\z") & p.rlike(r"^\p{Ll}")
+            return F.when(i == 0, F.lit("")).when(merge, F.lit(" ")).otherwise(F.lit("\n\n"))
+        return F.array_join(F.transform(paras, lambda p, i: F.concat(sep(p, i), p)), "")
 
-    return F.array_join(F.aggregate(paras, F.array().cast("array<string>"), step), "\n\n")
+    return T.let(F.split(joined, "\n\n", -1), glue)
 
 
 # --- T10: content preservation ---------------------------------------------------

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.functions import text as T
-from quire.sources.tables import table
+from quire.sources.tables import table, text_table
 
 PAGES_PER_BOOK = 50
 FIRST_MARKED_PAGE = 10
@@ -55,7 +55,7 @@ def _upper(c):
 def book_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``book_pages(book_id, page_no, text)``: 50 pages per book; pages 10, 17, …
     start with a chapter-number line and an upper-case title line."""
-    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    d = text_table(spark, sf_dir, "documents", ["doc_id", "text"], "doc_id")
     page_no = (F.col("doc_id") % PAGES_PER_BOOK).cast("int")
     is_mark = (page_no >= FIRST_MARKED_PAGE) & (((page_no - FIRST_MARKED_PAGE) % MARK_EVERY) == 0)
     chap = (F.floor((page_no - FIRST_MARKED_PAGE) / F.lit(float(MARK_EVERY))) + 1).cast("bigint")
@@ -88,7 +88,7 @@ def chapter_docs(spark: SparkSession, sf_dir: str,
     chapter, in up to four forms that drive the chunkers down each cut rule
     (raw; newline doubled = paragraph cut; marks blanked = space cut;
     blanks and marks replaced = hard cut)."""
-    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    d = text_table(spark, sf_dir, "documents", ["doc_id", "text"], "doc_id")
     base = d.select(_book_of("doc_id").alias("book_id"),
                     ((F.col("doc_id") % PAGES_PER_BOOK) + 1).cast("int").alias("chapter_no"),
                     F.col("text"))
@@ -102,7 +102,7 @@ def chapter_docs(spark: SparkSession, sf_dir: str,
 def zh_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``zh_docs(book_id, chapter_no, text)``: paragraph form with CJK letters
     and full-width marks substituted in."""
-    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    d = text_table(spark, sf_dir, "documents", ["doc_id", "text"], "doc_id")
     para = F.replace(F.col("text"), F.lit("\n"), F.lit("\n\n"))
     return d.select(_book_of("doc_id").alias("book_id"),
                     ((F.col("doc_id") % PAGES_PER_BOOK) + 1).cast("int").alias("chapter_no"),
@@ -126,7 +126,7 @@ def marked_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     the last chapter body is short (< 500 chars, dropped); books with
     ``book_id % 4 == 2`` keep only headings 1–4 (3 kept → fallback) and books
     with ``book_id % 4 == 3`` have none."""
-    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    d = text_table(spark, sf_dir, "documents", ["doc_id", "text"], "doc_id")
     page_no = (F.col("doc_id") % PAGES_PER_BOOK).cast("int")
     book = _book_of("doc_id")
     k = (F.when(page_no % MARK_EVERY == HEADING_PAGE_OFFSET,
@@ -255,18 +255,18 @@ def speech_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_paragraphs(z, ["book_id", "chapter_no"])
 
 
-def audio_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def audio_parts(spark: SparkSession, sf_dir: str, chunks: DataFrame | None = None) -> DataFrame:
     """``audio_parts(book_id, chapter_no, part_no, n_parts, content)``: the
     speech chunks as bytes, with some parts missing."""
-    c = speech_chunks(spark, sf_dir)
+    c = speech_chunks(spark, sf_dir) if chunks is None else chunks
     return (c.where(((F.col("chapter_no") * 7 + F.col("part_no")) % 11) != 0)
             .select("book_id", "chapter_no", "part_no", "n_parts",
                     F.encode("text", "UTF-8").alias("content")))
 
 
-def done_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def done_parts(spark: SparkSession, sf_dir: str, chunks: DataFrame | None = None) -> DataFrame:
     """``done_parts``: the parts produced by an earlier run."""
-    return audio_parts(spark, sf_dir).where(F.col("part_no") % 2 == 0)
+    return audio_parts(spark, sf_dir, chunks).where(F.col("part_no") % 2 == 0)
 
 
 def cat_translations(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,7 +25,7 @@ from quire.sources.tables import table
 from quire.functions import constants as C
 from quire.functions import text as T
 from quire.plans import fixtures as FX
-from quire.session import apply_runtime_conf, scratch_path
+from quire.session import apply_runtime_conf, materialize, scratch_path
 from quire.sinks import files as SK
 from quire.sources import files as SF
 from quire.streaming.incremental import run_incremental
@@ -402,8 +402,8 @@ _SK = ["book_id", "chapter_no"]
 def skip_existing(spark, sf_dir):
     """J5 + M4 + U1: generate only parts not produced yet; existing parts
     count as done; failed generations stay as rows with status."""
-    expected = FX.speech_chunks(spark, sf_dir)
-    done = FX.done_parts(spark, sf_dir)
+    expected = materialize(FX.speech_chunks(spark, sf_dir))
+    done = FX.done_parts(spark, sf_dir, expected)
     todo = PT.missing_parts(expected, done, _CK).withColumnRenamed("text", "input")
     gen = MD.call_model(todo, FX.SPEECH_MODEL, _CK, on_failure="null", binary=True)
     old = done.select(*_CK, F.lit("existing").alias("source"), F.octet_length("content").alias("n_bytes"))
@@ -412,8 +412,11 @@ def skip_existing(spark, sf_dir):
 
 
 def _merge_table(spark, sf_dir):
-    parts = FX.audio_parts(spark, sf_dir)
-    sets = FX.speech_chunks(spark, sf_dir).select(*_SK, "n_parts").distinct()
+    # The chunk plan feeds both the expected sets and the stored parts: write
+    # it once instead of running the packing fold twice.
+    chunks = materialize(FX.speech_chunks(spark, sf_dir))
+    parts = FX.audio_parts(spark, sf_dir, chunks)
+    sets = chunks.select(*_SK, "n_parts").distinct()
     status = PT.complete_sets(parts, sets, _SK)
     # M5 + P13/P18: merge only complete chapters of more than one part.
     todo = status.where(F.col("complete") & (F.col("n_parts") > 1)).select(*_SK)
@@ -578,10 +581,11 @@ def json_roundtrip(spark, sf_dir):
 def incremental_run(spark, sf_dir):
     """X1 + J5 + U1: parts arrive in two batches; a stream appends only the
     ones missing from the output (which already holds an earlier run)."""
-    parts = FX.audio_parts(spark, sf_dir).select(*_CK, F.octet_length("content").alias("n_bytes"))
+    chunks = materialize(FX.speech_chunks(spark, sf_dir))
+    parts = FX.audio_parts(spark, sf_dir, chunks).select(*_CK, F.octet_length("content").alias("n_bytes"))
     base = _scratch(spark, "incremental")
     inp, out, ck = f"{base}/in", f"{base}/out", f"{base}/checkpoint"
-    SK.write_parquet(FX.done_parts(spark, sf_dir).select(*_CK, F.octet_length("content").alias("n_bytes")), out)
+    SK.write_parquet(parts.where(F.col("part_no") % 2 == 0), out)
     SK.write_parquet(parts.where(F.col("part_no") % 2 == 1), inp, mode="append")
     SK.write_parquet(parts.where(F.col("part_no") % 2 == 0), inp, mode="append")
     run_incremental(spark, inp, parts.schema, out, ck, _CK)
