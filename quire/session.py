@@ -49,13 +49,39 @@ def build_session(master: str | None = None, app: str = "quire",
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
 def apply_runtime_conf(spark: SparkSession) -> None:
-    """Set the correctness settings on a session someone else created."""
+    """Set the correctness settings on a session someone else created and
+    make the package importable by the Python workers."""
     for k, v in CORRECTNESS_CONF.items():
         spark.conf.set(k, v)
+    ship_package(spark)
+
+
+_SHIPPED: set[int] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """``addPyFile`` a zip of this package once per SparkContext, so the
+    Python steps (``mapInPandas``) import it on every executor."""
+    sc = spark.sparkContext
+    if id(sc) in _SHIPPED:
+        return
+    import zipfile
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    fd, path = tempfile.mkstemp(prefix="quire-", suffix=".zip")
+    os.close(fd)
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _dirs, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(path)
+    _SHIPPED.add(id(sc))
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
