@@ -41,6 +41,26 @@ def merge_parts(parts: DataFrame, set_keys: list[str], part_col: str = "part_no"
         F.expr(f"listagg({content_col}) WITHIN GROUP (ORDER BY {part_col})").alias("content"))
 
 
+def gated_merge(parts: DataFrame, expected: DataFrame, set_keys: list[str], part_col: str = "part_no",
+                n_col: str = "n_parts", content_col: str = "content", min_parts: int = 1) -> DataFrame:
+    """J7 + A3 + M5 in one join and one aggregation: per expected set, the
+    number of parts ``1..n`` present, ``complete``, and the ordered
+    concatenation when complete and at least ``min_parts`` long (else NULL).
+
+    Part rows are keyed by ``(set_keys, part_no)`` (one row per part).
+    """
+    j = expected.select(*set_keys, n_col).join(parts.select(*set_keys, part_col, content_col), set_keys, "left")
+    valid = F.col(part_col).between(F.lit(1), F.col(n_col))
+    agg = j.groupBy(*set_keys).agg(
+        F.max(n_col).alias(n_col),
+        F.count(F.when(valid, F.col(part_col))).alias("n_present"),
+        F.expr(f"listagg(CASE WHEN {part_col} BETWEEN 1 AND {n_col} THEN {content_col} END) "
+               f"WITHIN GROUP (ORDER BY {part_col})").alias("_all"))
+    complete = F.col("n_present") == F.col(n_col)
+    return agg.select(*set_keys, n_col, "n_present", complete.alias("complete"),
+                      F.when(complete & (F.col(n_col) >= min_parts), F.col("_all")).alias("content"))
+
+
 def size_estimate(n_bytes, kbps: int = C.AUDIO_KBPS):
     """Size in MB and the duration estimate ``MB * 8 * 1024 / (kbps * 60)``."""
     mb = n_bytes / F.lit(1024.0 * 1024.0)

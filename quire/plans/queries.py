@@ -45,9 +45,13 @@ def query(fn):
 
 # --- step 1: pages -> chapters ------------------------------------------------
 
-def _ranges(spark, sf_dir):
+def _ranges(spark, sf_dir, write: bool = True):
+    """Chapter ranges (small: one row per chapter) are written once, so the
+    page join and the outer join for empty chapters reuse them instead of
+    scanning and aggregating the pages twice."""
     pages = FX.book_pages(spark, sf_dir)
-    return PG.chapter_ranges(PG.chapter_starts(pages), PG.book_page_counts(pages)), pages
+    ranges = PG.chapter_ranges(PG.chapter_starts(pages), PG.book_page_counts(pages))
+    return (materialize(ranges) if write else ranges), pages
 
 
 @query
@@ -59,7 +63,7 @@ def chapter_starts(spark, sf_dir):
 @query
 def chapter_ranges(spark, sf_dir):
     """Page range of each chapter."""
-    return _ranges(spark, sf_dir)[0]
+    return _ranges(spark, sf_dir, write=False)[0]
 
 
 @query
@@ -415,13 +419,10 @@ def _merge_table(spark, sf_dir):
     # The chunk plan feeds both the expected sets and the stored parts: write
     # it once instead of running the packing fold twice.
     chunks = materialize(FX.speech_chunks(spark, sf_dir))
-    parts = FX.audio_parts(spark, sf_dir, chunks)
+    parts = FX.audio_parts(spark, sf_dir, chunks).drop("n_parts")
     sets = chunks.select(*_SK, "n_parts").distinct()
-    status = PT.complete_sets(parts, sets, _SK)
     # M5 + P13/P18: merge only complete chapters of more than one part.
-    todo = status.where(F.col("complete") & (F.col("n_parts") > 1)).select(*_SK)
-    merged = PT.merge_parts(parts.join(todo, _SK, "left_semi"), _SK)
-    return status.join(merged, _SK, "left")
+    return PT.gated_merge(parts, sets, _SK, min_parts=2)
 
 
 @query
