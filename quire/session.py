@@ -67,8 +67,8 @@ _SHIPPED: set[int] = set()
 def ship_package(spark: SparkSession) -> None:
     """``addPyFile`` a zip of this package once per SparkContext, so the
     Python steps (``mapInPandas``) import it on every executor."""
-    sc = spark.sparkContext
-    if id(sc) in _SHIPPED:
+    sc = _context(spark)
+    if sc is None or id(sc) in _SHIPPED:
         return
     import zipfile
     pkg = os.path.dirname(os.path.abspath(__file__))
@@ -91,16 +91,25 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     unset, which happens in local tests.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
+    sc = _context(spark)
+    if not d and sc is not None:
+        d = sc.getCheckpointDir()
     if not d:
-        d = spark.sparkContext.getCheckpointDir()
-    if not d:
+        # Only when the cluster names no shared folder (local tests).
         d = tempfile.mkdtemp(prefix="quire-ckpt-", dir=os.environ.get("QUIRE_SCRATCH", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", d)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(d)
     return d
 
 
+def _context(spark: SparkSession):
+    try:
+        return spark.sparkContext
+    except Exception:  # remote (Connect) sessions have no SparkContext
+        return None
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path for a written intermediate table inside the shared folder."""
     base = ensure_checkpoint_dir(spark)

@@ -23,8 +23,12 @@ def spread(df: DataFrame, key: str | None = None, factor: int = 2) -> DataFrame:
     then it is hash-partitioned (by ``key`` when given, deterministic on
     retry) over ``factor`` × the cluster's default parallelism.
     """
-    want = df.sparkSession.sparkContext.defaultParallelism * factor
-    if df.rdd.getNumPartitions() >= want:
+    try:
+        want = df.sparkSession.sparkContext.defaultParallelism * factor
+        have = df.rdd.getNumPartitions()
+    except Exception:  # e.g. a remote session without RDD access: keep the scan as is
+        return df
+    if have >= want:
         return df
     return df.repartition(want, key) if key else df.repartition(want)
 
