@@ -136,6 +136,11 @@ def stop_at_first_failure(responses: DataFrame, keys: list[str], part_col: str =
         F.when(late, F.lit(0)).otherwise(F.col("backoff_s")).alias("backoff_s"))
 
 
+def non_empty(df: DataFrame, col: str) -> DataFrame:
+    """P20: no speech for a chapter whose translation is empty."""
+    return df.where(F.col(col).isNotNull() & (F.col(col) != ""))
+
+
 def summary_input(translation: Column, original: Column, n: int = C.SUMMARY_INPUT_CHARS) -> Column:
     """P21 + P9: translation when non-empty, else the original; first ``n`` chars."""
     return F.substring(F.coalesce(F.nullif(translation, F.lit("")), original), 1, n)

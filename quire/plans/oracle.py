@@ -773,3 +773,23 @@ oracle("json_roundtrip", ["cat"],
 
 oracle("incremental_run", ["audio_parts"], """
 SELECT book_id, chapter_no, part_no, CAST(octet_length(encode(text)) AS INTEGER) AS n_bytes FROM audio_parts""")
+
+
+# --- additions -------------------------------------------------------------------------------
+
+oracle("line_neighbours", ["fmt_lines"], """
+SELECT book_id, chapter_no, CAST(i AS INTEGER) AS line_no, CAST(length(line) AS INTEGER) AS n_chars,
+       coalesce(prev_s = '', true) AS prev_blank, coalesce(next_s = '', true) AS next_blank
+FROM fmt_lines""")
+
+oracle("clean_audit", ["broken_docs", "repaired"], """
+SELECT b.book_id, CAST(sum(length(b.text)) AS BIGINT) AS chars_before, CAST(sum(length(r.fixed)) AS BIGINT) AS chars_after,
+       min(length(r.fixed) / length(b.text)) AS min_ratio, max(length(r.fixed) / length(b.text)) AS max_ratio,
+       count(*) FILTER (WHERE r.fixed = b.original) AS n_restored, count(*) AS n_chapters
+FROM broken_docs b JOIN repaired r ON b.book_id = r.book_id AND b.chapter_no = r.chapter_no
+GROUP BY b.book_id""")
+
+oracle("binary_roundtrip", ["merged"], """
+SELECT book_id, chapter_no, CAST(octet_length(encode(body)) AS BIGINT) AS n_bytes, md5(body) AS md5,
+       min(printf('chapter_%02d_full.mp3', chapter_no)) OVER (PARTITION BY book_id) AS first_file
+FROM merged WHERE body IS NOT NULL""")

@@ -346,7 +346,7 @@ def fail_fast(spark, sf_dir):
 def redo_chapter(spark, sf_dir):
     """M9: re-run one chapter with another model and replace only its rows."""
     first = MD.reassemble(_translated(spark, sf_dir), ["book_id", "chapter_no"])
-    req = PJ.chapter_range(FX.chunk_requests(spark, sf_dir), FX.REDO_CHAPTER)
+    req = SF.lookup_chapter(FX.chunk_requests(spark, sf_dir), FX.REDO_CHAPTER)
     again = MD.reassemble(MD.call_model(req, FX.REDO_MODEL, _CK, on_failure="sentinel"),
                           ["book_id", "chapter_no"])
     out = MD.replace_partitions(first, again, ["book_id", "chapter_no"])
@@ -591,3 +591,44 @@ def incremental_run(spark, sf_dir):
     SK.write_parquet(parts.where(F.col("part_no") % 2 == 0), inp, mode="append")
     run_incremental(spark, inp, parts.schema, out, ck, _CK)
     return spark.read.parquet(out)
+
+
+# --- additions: line table, cleaning audit, binary files ----------------------------------
+
+@query
+def line_neighbours(spark, sf_dir):
+    """W4 as a line table: one row per line with ``lag``/``lead`` blank flags."""
+    t = LN.line_table(FX.zh_files(spark, sf_dir), ["book_id", "chapter_no"])
+    return t.select("book_id", "chapter_no", "line_no", F.length("line").alias("n_chars"),
+                    "prev_blank", "next_blank")
+
+
+@query
+def clean_audit(spark, sf_dir):
+    """A9 grouped: per book, sizes before/after the repair and how many
+    chapters came back to the original text."""
+    d = FX.broken_docs(spark, sf_dir)
+    fixed = LN.repair_breaks(F.col("text"))
+    per = d.select("book_id", F.length("text").alias("b"), F.length(fixed).alias("a"),
+                   (fixed == F.col("original")).alias("ok"))
+    return per.groupBy("book_id").agg(
+        F.sum("b").alias("chars_before"), F.sum("a").alias("chars_after"),
+        F.min(F.col("a") / F.col("b")).alias("min_ratio"), F.max(F.col("a") / F.col("b")).alias("max_ratio"),
+        F.count_if("ok").alias("n_restored"), F.count("*").alias("n_chapters"))
+
+
+@query
+def binary_roundtrip(spark, sf_dir):
+    """K8 + S6 + S3 + S9: merged audio written as one file per chapter by the
+    executors, read back with the binary-file source, keys parsed from names."""
+    m = _merge_table(spark, sf_dir).where(F.col("content").isNotNull())
+    base = _scratch(spark, "audio")
+    files = m.select(F.concat(F.lit("book_id="), F.col("book_id").cast("string")).alias("dir"),
+                     F.format_string("chapter_%02d_full.mp3", F.col("chapter_no")).alias("name"), "content")
+    SK.write_binary_files(files, base, "dir", "name", "content")
+    back = SF.read_binary_parts(spark, base, "*_full.mp3")
+    first = back.groupBy("book_id").agg(SF.first_path(back, "path").alias("first_file"))
+    return back.join(first, "book_id").select(
+        F.col("book_id").cast("bigint").alias("book_id"), "chapter_no",
+        F.col("length").alias("n_bytes"), F.md5("content").alias("md5"),
+        F.regexp_extract("first_file", r"([^/]+)$", 1).alias("first_file"))

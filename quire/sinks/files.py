@@ -59,3 +59,19 @@ def write_parquet(df: DataFrame, path: str, partition_cols: list[str] | None = N
 def formatted_name(file_name: Column) -> Column:
     """K7: ``{stem}_formatted.md`` next to the source file."""
     return F.concat(F.regexp_replace(file_name, r"\.[^.]*$", ""), F.lit("_formatted.md"))
+
+
+def write_binary_files(df: DataFrame, base: str, dir_col: str, name_col: str, content_col: str) -> None:
+    """K8 at the edge: one file per row (``base/<dir>/<name>``), written by the
+    executors through ``pyarrow.fs`` (local, HDFS or object-store URIs), so
+    no bytes pass through the driver."""
+    def write(rows):
+        from pyarrow import fs as pafs
+        filesystem, root = pafs.FileSystem.from_uri(base)
+        for r in rows:
+            folder = f"{root}/{r[dir_col]}"
+            filesystem.create_dir(folder, recursive=True)
+            with filesystem.open_output_stream(f"{folder}/{r[name_col]}") as out:
+                out.write(bytes(r[content_col]))
+
+    df.select(dir_col, name_col, content_col).foreachPartition(write)

@@ -37,7 +37,7 @@ def read_binary_parts(spark: SparkSession, path: str, glob: str = "*.mp3") -> Da
     """Binary part files with S3 keys parsed from their names."""
     df = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
     name = F.regexp_extract("path", r"([^/]+)$", 1)
-    return df.select("path", "length", "content",
+    return df.select("*",
                      key_from_name(name, "chapter").alias("chapter_no"),
                      F.regexp_extract(name, r"_part(\d+)", 1).try_cast("int").alias("part_no"))
 
