@@ -85,12 +85,27 @@ def boundary_cuts(text: Column, size: int = C.TRANSLATE_CHUNK_SIZE,
 
 def explode_cuts(df: DataFrame, text_col: str, cuts: Column, keys: list[str],
                  strip: bool) -> DataFrame:
-    """One row per chunk: ``part_no`` (1-based), ``n_parts`` and the text."""
-    tmp = df.select(*keys, F.col(text_col).alias("_t"), cuts.alias("_c"))
-    tmp = tmp.select(*keys, "_t", F.size("_c").alias("n_parts"), F.posexplode("_c").alias("_i", "_cut"))
-    piece = F.substring(F.col("_t"), F.col("_cut.s") + 1, F.col("_cut.e") - F.col("_cut.s"))
-    return tmp.select(*keys, (F.col("_i") + 1).alias("part_no"), "n_parts",
-                      (T.py_strip(piece) if strip else piece).alias("text"))
+    """One row per chunk: ``part_no`` (1-based), ``n_parts`` and the text.
+
+    The chunk strings are cut out *before* the explode, so each output row
+    carries only its own chunk (not the whole text or array)."""
+    text = F.col(text_col)
+
+    def cut(c):
+        piece = F.substring(text, c["s"] + 1, c["e"] - c["s"])
+        return T.py_strip(piece) if strip else piece
+
+    return _explode_chunks(df.select(*keys, F.transform(cuts, cut).alias("_c")), keys)
+
+
+def _explode_chunks(df: DataFrame, keys: list[str]) -> DataFrame:
+    # The chunk array is referenced once (by the generator): n_parts rides in
+    # each element, so the optimizer never copies the fold expression.
+    tagged = T.let(F.col("_c"), lambda cs: F.transform(
+        cs, lambda x: F.struct(x.alias("text"), F.size(cs).alias("n"))))
+    return df.select(*keys, F.posexplode(tagged).alias("_i", "_x")).select(
+        *keys, (F.col("_i") + 1).alias("part_no"), F.col("_x.n").alias("n_parts"),
+        F.col("_x.text").alias("text"))
 
 
 def chunk_fixed(df: DataFrame, keys: list[str], text_col: str = "text", **kw) -> DataFrame:
@@ -112,6 +127,34 @@ def _first_present(p: Column, delims: list[str]) -> Column:
     return out
 
 
+BOUNDS_T = "array<struct<a:int,n:int>>"
+
+
+def _ranges_fold(lengths: Column, step_rule) -> Column:
+    """Fold over item *lengths* only, producing ``(first index, count)``
+    ranges; strings are joined once afterwards. The accumulator holds
+    integers, so each step stays cheap however long the text is."""
+    init = F.struct(F.array().cast(BOUNDS_T).alias("b"), F.lit(1).alias("ca"),
+                    F.lit(0).alias("cn"), F.lit(0).alias("sz"))
+
+    def finish(acc):
+        return F.when(acc["cn"] > 0, F.concat(acc["b"], F.array(F.struct(
+            acc["ca"].alias("a"), acc["cn"].alias("n"))))).otherwise(acc["b"])
+
+    def run(ls):
+        idx = F.sequence(F.lit(1), F.size(ls))
+        return F.when(F.size(ls) == 0, F.array().cast(BOUNDS_T)).otherwise(
+            F.aggregate(idx, init, lambda acc, i: step_rule(acc, i, F.element_at(ls, i), finish), finish))
+
+    # Bind the length array once; referenced inside the lambda it would be
+    # rebuilt at every step.
+    return T.let(lengths, run)
+
+
+def _state(b, ca, cn, sz):
+    return F.struct(b.alias("b"), ca.alias("ca"), cn.alias("cn"), sz.alias("sz"))
+
+
 def sentence_groups(p: Column, max_size: int,
                     delims: list[str] = C.SENTENCE_DELIMITERS) -> Column:
     """T5: split an oversize paragraph on the first delimiter present (kept on
@@ -121,21 +164,17 @@ def sentence_groups(p: Column, max_size: int,
         sents = F.when(d.isNull(), F.array(p)).otherwise(
             T.let(parts, lambda ps: F.transform(
                 ps, lambda s, i: F.when(i < F.size(ps) - 1, F.concat(s, d)).otherwise(s))))
-        init = F.struct(F.array().cast("array<string>").alias("groups"),
-                        F.array().cast("array<string>").alias("temp"),
-                        F.lit(0).alias("tsize"))
-
-        def step(a, s):
-            ls = F.length(s)
-            return F.when((a["tsize"] + ls > max_size) & (F.size(a["temp"]) > 0), F.struct(
-                F.concat(a["groups"], F.array(F.array_join(a["temp"], ""))).alias("groups"),
-                F.array(s).alias("temp"), ls.alias("tsize"))).otherwise(F.struct(
-                    a["groups"].alias("groups"), F.concat(a["temp"], F.array(s)).alias("temp"),
-                    (a["tsize"] + ls).alias("tsize")))
-
-        return F.aggregate(sents, init, step, lambda a: F.when(
-            F.size(a["temp"]) > 0, F.concat(a["groups"], F.array(F.array_join(a["temp"], ""))))
-            .otherwise(a["groups"]))
+
+        def rule(acc, i, ln, finish):
+            flush = (acc["sz"] + ln > max_size) & (acc["cn"] > 0)
+            return F.when(flush, _state(finish(acc), i, F.lit(1), ln)).otherwise(
+                _state(acc["b"], F.when(acc["cn"] == 0, i).otherwise(acc["ca"]), acc["cn"] + 1, acc["sz"] + ln))
+
+        def build(ss):
+            bounds = _ranges_fold(F.transform(ss, lambda x: F.length(x)), rule)
+            return F.transform(bounds, lambda b: F.array_join(F.slice(ss, b["a"], b["n"]), ""))
+
+        return T.let(sents, build)
 
     return T.let(_first_present(p, delims), on_delim)
 
@@ -146,40 +185,34 @@ def paragraph_pack(text: Column, max_size: int = C.SPEECH_CHUNK_SIZE,
 
     A paragraph appended to the buffer costs ``len + join_cost``; one that
     opens a new buffer after a flush costs ``len``; an oversize paragraph
-    flushes the buffer and goes through :func:`sentence_groups`.
+    flushes the buffer and goes through :func:`sentence_groups`. The fold
+    sees only paragraph lengths and emits index ranges (``n = 0`` marks an
+    oversize paragraph); the chunk strings are joined once at the end.
     """
+    def rule(acc, i, ln, finish):
+        big = ln > max_size
+        over = acc["sz"] + ln + join_cost > max_size
+        return (F.when(big, _state(F.concat(finish(acc), F.array(F.struct(i.alias("a"), F.lit(0).alias("n")))),
+                                   i + 1, F.lit(0), F.lit(0)))
+                .when(over, _state(finish(acc), i, F.lit(1), ln))
+                .otherwise(_state(acc["b"], F.when(acc["cn"] == 0, i).otherwise(acc["ca"]),
+                                  acc["cn"] + 1, acc["sz"] + ln + join_cost)))
+
+    def build(ps):
+        bounds = _ranges_fold(F.transform(ps, lambda x: F.length(x)), rule)
+        return F.flatten(F.transform(bounds, lambda b: F.when(
+            b["n"] > 0, F.array(F.array_join(F.slice(ps, b["a"], b["n"]), "\n\n"))
+        ).otherwise(sentence_groups(F.element_at(ps, b["a"]), max_size))))
+
     paras = F.filter(F.transform(T.split_literal(text, "\n\n"), lambda s: T.py_strip(s)),
                      lambda s: s != "")
-    init = F.struct(F.array().cast("array<string>").alias("chunks"),
-                    F.array().cast("array<string>").alias("cur"),
-                    F.lit(0).alias("size"))
-
-    def flushed(a):
-        return F.when(F.size(a["cur"]) > 0,
-                      F.concat(a["chunks"], F.array(F.array_join(a["cur"], "\n\n")))).otherwise(a["chunks"])
-
-    def step(a, p):
-        lp = F.length(p)
-        empty = F.array().cast("array<string>")
-        return (F.when(lp > max_size, F.struct(
-                    F.concat(flushed(a), sentence_groups(p, max_size)).alias("chunks"),
-                    empty.alias("cur"), F.lit(0).alias("size")))
-                .when(a["size"] + lp + join_cost > max_size, F.struct(
-                    flushed(a).alias("chunks"), F.array(p).alias("cur"), lp.alias("size")))
-                .otherwise(F.struct(
-                    a["chunks"].alias("chunks"), F.concat(a["cur"], F.array(p)).alias("cur"),
-                    (a["size"] + lp + join_cost).alias("size"))))
-
-    return F.aggregate(paras, init, step, flushed)
+    return T.let(paras, build)
 
 
 def pack_paragraphs(df: DataFrame, keys: list[str], text_col: str = "text",
                     max_size: int = C.SPEECH_CHUNK_SIZE) -> DataFrame:
     """One row per packed chunk: ``part_no``, ``n_parts``, ``text``."""
-    tmp = df.select(*keys, paragraph_pack(F.col(text_col), max_size).alias("_c"))
-    return tmp.select(*keys, F.size("_c").alias("n_parts"),
-                      F.posexplode("_c").alias("_i", "text")).select(
-        *keys, (F.col("_i") + 1).alias("part_no"), "n_parts", "text")
+    return _explode_chunks(df.select(*keys, paragraph_pack(F.col(text_col), max_size).alias("_c")), keys)
 
 
 def strip_markdown(text: Column) -> Column:
