@@ -251,9 +251,9 @@ def calls(spark: SparkSession, sf_dir: str) -> DataFrame:
 def speech_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Speech chunks (P8 + T4) of the translated chapters."""
     from quire.operators.chunk import pack_paragraphs, strip_markdown
-    from quire.operators.model import non_empty
+    # An empty translation yields no paragraphs, hence no speech chunks (P20).
     z = zh_docs(spark, sf_dir).select("book_id", "chapter_no", strip_markdown(F.col("text")).alias("text"))
-    return pack_paragraphs(non_empty(z, "text"), ["book_id", "chapter_no"])
+    return pack_paragraphs(z, ["book_id", "chapter_no"])
 
 
 def audio_parts(spark: SparkSession, sf_dir: str, chunks: DataFrame | None = None) -> DataFrame:

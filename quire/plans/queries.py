@@ -406,9 +406,9 @@ _SK = ["book_id", "chapter_no"]
 def skip_existing(spark, sf_dir):
     """J5 + M4 + U1: generate only parts not produced yet; existing parts
     count as done; failed generations stay as rows with status."""
-    expected = materialize(FX.speech_chunks(spark, sf_dir))
+    expected = FX.speech_chunks(spark, sf_dir)
     done = FX.done_parts(spark, sf_dir, expected)
-    todo = PT.missing_parts(expected, done, _CK).withColumnRenamed("text", "input")
+    todo = MD.non_empty(PT.missing_parts(expected, done, _CK), "text").withColumnRenamed("text", "input")
     gen = MD.call_model(todo, FX.SPEECH_MODEL, _CK, on_failure="null", binary=True)
     old = done.select(*_CK, F.lit("existing").alias("source"), F.octet_length("content").alias("n_bytes"))
     new = gen.select(*_CK, F.col("status").alias("source"), F.octet_length("output").alias("n_bytes"))
@@ -416,9 +416,9 @@ def skip_existing(spark, sf_dir):
 
 
 def _merge_table(spark, sf_dir):
-    # The chunk plan feeds both the expected sets and the stored parts: write
-    # it once instead of running the packing fold twice.
-    chunks = materialize(FX.speech_chunks(spark, sf_dir))
+    # The chunk plan feeds both the expected sets and the stored parts; the
+    # fold is cheap next to writing its text out, so it simply runs twice.
+    chunks = FX.speech_chunks(spark, sf_dir)
     parts = FX.audio_parts(spark, sf_dir, chunks).drop("n_parts")
     sets = chunks.select(*_SK, "n_parts").distinct()
     # M5 + P13/P18: merge only complete chapters of more than one part.

@@ -27,6 +27,9 @@ SCALE_CONF = {
     "spark.sql.files.maxPartitionBytes": "128MB",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Task-side commit: a job writing one file per chapter does not rename
+    # every file serially on the driver at job end.
+    "spark.hadoop.mapreduce.fileoutputcommitter.algorithm.version": "2",
 }
 
 
@@ -58,6 +61,9 @@ def apply_runtime_conf(spark: SparkSession) -> None:
     make the package importable by the Python workers."""
     for k, v in CORRECTNESS_CONF.items():
         spark.conf.set(k, v)
+    sc = _context(spark)
+    if sc is not None:
+        sc._jsc.hadoopConfiguration().set("mapreduce.fileoutputcommitter.algorithm.version", "2")
     ship_package(spark)
 
 
@@ -119,10 +125,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def materialize(df):
-    """Cut lineage: reliable checkpoint into the shared ``spark.checkpoint.dir``.
+    """Cut lineage: write the rows once as a Parquet table in the shared
+    folder named by ``spark.checkpoint.dir`` and read them back.
 
-    Used after non-deterministic steps (model calls, physical slice ids) so
-    every later branch and every retried task sees the same rows.
+    Used after non-deterministic steps (model calls, physical slice ids) and
+    for results several branches reuse, so every later branch and every
+    retried task sees the same rows and the work runs once (an RDD
+    checkpoint would compute the plan twice: once to count, once to write).
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    import uuid
+    spark = df.sparkSession
+    path = scratch_path(spark, f"m-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
