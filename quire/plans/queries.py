@@ -382,7 +382,8 @@ def rate_closed_loop(spark, sf_dir):
 def rate_audit(spark, sf_dir):
     """R3 + W6 + W7: violations in the raw arrivals vs the open-loop schedule
     (which must have none), per user."""
-    sched = _open_loop(spark, sf_dir)
+    # The schedule feeds four index self-joins and an aggregate: write it once.
+    sched = materialize(_open_loop(spark, sf_dir))
     raw = RT.audit(sched, "user_id", "i", "at_us", FX.OPEN_LOOP_GAP_US, FX.AUDIT_QPM)
     fixed = RT.audit(sched, "user_id", "i", "send_us", FX.OPEN_LOOP_GAP_US, FX.AUDIT_QPM)
     r = raw.groupBy("user_id").agg(
