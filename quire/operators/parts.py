@@ -50,8 +50,16 @@ def gated_merge(parts: DataFrame, expected: DataFrame, set_keys: list[str], part
     Part rows are keyed by ``(set_keys, part_no)`` (one row per part).
     """
     j = expected.select(*set_keys, n_col).join(parts.select(*set_keys, part_col, content_col), set_keys, "left")
+    return gate_rows(j, set_keys, part_col, n_col, content_col, min_parts)
+
+
+def gate_rows(rows: DataFrame, set_keys: list[str], part_col: str = "part_no", n_col: str = "n_parts",
+              content_col: str = "content", min_parts: int = 1) -> DataFrame:
+    """The aggregation half of :func:`gated_merge`, for rows that already pair
+    each expected set (``n_col``) with its parts (NULL part when none), e.g.
+    from ``posexplode_outer`` when plan and parts live in the same row."""
     valid = F.col(part_col).between(F.lit(1), F.col(n_col))
-    agg = j.groupBy(*set_keys).agg(
+    agg = rows.groupBy(*set_keys).agg(
         F.max(n_col).alias(n_col),
         F.count(F.when(valid, F.col(part_col))).alias("n_present"),
         F.expr(f"listagg(CASE WHEN {part_col} BETWEEN 1 AND {n_col} THEN {content_col} END) "

@@ -274,3 +274,16 @@ def cat_translations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Translated chapter files for the catalogue; some are missing
     (``(book_id + chapter_no) % 9 == 0``) so the number domain join skips them."""
     return zh_files(spark, sf_dir).where(((F.col("book_id") + F.col("chapter_no")) % 9) != 0)
+
+
+def chapter_part_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each chapter's speech plan paired with its stored parts in one pass
+    (``posexplode_outer`` keeps chapters whose parts are all missing):
+    ``(book_id, chapter_no, n_parts, part_no, content)``."""
+    from quire.operators.chunk import paragraph_pack, strip_markdown
+    z = zh_docs(spark, sf_dir).select("book_id", "chapter_no", paragraph_pack(strip_markdown(F.col("text"))).alias("c"))
+    kept = F.filter(F.transform("c", lambda t, i: F.struct((i + 1).alias("p"), F.encode(t, "UTF-8").alias("b"))),
+                    lambda x: ((F.col("chapter_no") * 7 + x["p"]) % 11) != 0)
+    rows = z.select("book_id", "chapter_no", F.size("c").alias("n_parts"), F.posexplode_outer(kept).alias("_i", "_x"))
+    return rows.select("book_id", "chapter_no", "n_parts", F.col("_x.p").alias("part_no"),
+                       F.col("_x.b").alias("content"))

@@ -9,7 +9,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quire.operators import catalog as CT
@@ -417,13 +417,11 @@ def skip_existing(spark, sf_dir):
 
 
 def _merge_table(spark, sf_dir):
-    # The chunk plan feeds both the expected sets and the stored parts; the
-    # fold is cheap next to writing its text out, so it simply runs twice.
-    chunks = FX.speech_chunks(spark, sf_dir)
-    parts = FX.audio_parts(spark, sf_dir, chunks).drop("n_parts")
-    sets = chunks.select(*_SK, "n_parts").distinct()
+    # Plan and stored parts come from the same chapter row here, so they are
+    # paired without a join; ``PT.gated_merge`` is the form for separate tables.
+    rows = FX.chapter_part_rows(spark, sf_dir)
     # M5 + P13/P18: merge only complete chapters of more than one part.
-    return PT.gated_merge(parts, sets, _SK, min_parts=2)
+    return PT.gate_rows(rows, _SK, min_parts=2)
 
 
 @query
@@ -534,10 +532,9 @@ def book_cards(spark, sf_dir):
     """P22 + P16 + P17: the card view over the catalogue with the book's
     status badge (completed when no chapter of 1..20 is missing)."""
     cat = _catalogue(spark, sf_dir)
-    books = cat.groupBy("book_id").agg(F.count("*").alias("n"))
-    status = books.select("book_id", F.when(F.col("n") == C.CATALOGUE_RANGE[1], F.lit(C.STATUS_COMPLETED))
-                          .otherwise(F.lit("in progress")).alias("status"))
-    return cat.join(status, "book_id").select(
+    n = F.count("*").over(Window.partitionBy("book_id"))
+    status = F.when(n == C.CATALOGUE_RANGE[1], F.lit(C.STATUS_COMPLETED)).otherwise(F.lit("in progress"))
+    return cat.withColumn("status", status).select(
         "book_id", "number",
         F.format_string("chapters/chapter_%02d.html", F.col("number")).alias("href"),
         F.format_string("Chapter %d · %s", F.col("number"), F.col("title")).alias("heading"),

@@ -177,3 +177,15 @@ def test_first_n_limit(spark):
     assert df.transform(lambda d: PJ.first_n_per_group(d, ["b"], ["c"], 0)).count() == 5
     assert rows(PJ.first_n_per_group(df, ["b"], ["c"], 2), "c") == [(1,), (2,)]
     assert df.transform(lambda d: PJ.first_n_per_group(d, ["b"], ["c"], None)).count() == 5
+
+
+def test_gated_merge_join_form(spark):
+    parts = spark.createDataFrame([(1, 1, 1, b"a"), (1, 1, 3, b"c"), (1, 2, 1, b"x"), (1, 2, 2, b"y"),
+                                   (1, 3, 1, b"s")],
+                                  "book_id int, chapter_no int, part_no int, content binary")
+    sets = spark.createDataFrame([(1, 1, 3), (1, 2, 2), (1, 3, 1), (1, 4, 2)],
+                                 "book_id int, chapter_no int, n_parts int")
+    got = {r["chapter_no"]: (r["n_present"], r["complete"], None if r["content"] is None else bytes(r["content"]))
+           for r in PT.gated_merge(parts, sets, ["book_id", "chapter_no"], min_parts=2).collect()}
+    # missing part -> no merge; complete -> merged; single part -> never merged; no parts -> 0 present
+    assert got == {1: (2, False, None), 2: (2, True, b"xy"), 3: (1, True, None), 4: (0, False, None)}
