@@ -263,8 +263,10 @@ _CK = ["book_id", "chapter_no", "part_no"]
 
 
 def _translated(spark, sf_dir):
+    # Model answers are written once: a lost executor or a second branch then
+    # reads the same responses instead of calling the model again.
     req = FX.chunk_requests(spark, sf_dir)
-    return MD.call_model(req, FX.TRANSLATE_MODEL, _CK, on_failure="sentinel")
+    return materialize(MD.call_model(req, FX.TRANSLATE_MODEL, _CK, on_failure="sentinel"))
 
 
 @query

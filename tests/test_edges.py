@@ -189,3 +189,28 @@ def test_gated_merge_join_form(spark):
            for r in PT.gated_merge(parts, sets, ["book_id", "chapter_no"], min_parts=2).collect()}
     # missing part -> no merge; complete -> merged; single part -> never merged; no parts -> 0 present
     assert got == {1: (2, False, None), 2: (2, True, b"xy"), 3: (1, True, None), 4: (0, False, None)}
+
+
+def test_dynamic_partition_overwrite(spark, tmp_path):
+    from quire.sinks import files as SK
+    from quire.sources import files as SF
+    path = str(tmp_path / "chapters")
+    df = spark.createDataFrame([(1, 1, "one"), (1, 2, "two"), (2, 1, "three")],
+                               "book_id int, chapter_no int, text string")
+    SK.write_text_files(df.withColumn("chapter", SK.chapter_dir(F.col("chapter_no"))), path, "text",
+                        ["book_id", "chapter"])
+    redo = spark.createDataFrame([(1, 2, "TWO")], "book_id int, chapter_no int, text string")
+    SK.write_text_files(redo.withColumn("chapter", SK.chapter_dir(F.col("chapter_no"))), path, "text",
+                        ["book_id", "chapter"])
+    back = SF.read_text_files(spark, path)
+    got = sorted((r["book_id"], r["chapter"], r["value"]) for r in back.collect())
+    assert got == [(1, "chapter_01", "one"), (1, "chapter_02", "TWO"), (2, "chapter_01", "three")]
+
+
+def test_point_lookup_missing_chapter(spark):
+    import pytest
+    from quire.sources import files as SF
+    df = spark.createDataFrame([(1, 1)], "book_id int, chapter_no int")
+    assert SF.lookup_chapter(df, 1).count() == 1
+    with pytest.raises(FileNotFoundError):
+        SF.lookup_chapter(df, 9)
