@@ -76,3 +76,10 @@ def py_upper_ratio_gt(c, ratio: float) -> Column:
 def try_int(c) -> Column:
     """``int(s)`` that yields NULL instead of raising."""
     return col(c).try_cast("int")
+
+
+def with_once(df, **cols):
+    """Add columns computed exactly once per row, even when later
+    projections reference them several times: they come out of a one-row
+    ``inline`` generator, which the optimizer never inlines into consumers."""
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in cols.items()]))))

@@ -204,12 +204,12 @@ def segment_fallback(spark, sf_dir):
     """A8 audit: kept matches per pattern, the winning pattern (0 = one
     fallback chapter) and the number of chapters kept after P4."""
     docs = FX.marked_docs(spark, sf_dir)
-    rep = SG.pattern_report(docs, ["book_id"])
-    seg = docs.select("book_id", SG.segment(F.col("text"), F.col("title")).alias("_s")).select(
-        "book_id", F.col("_s.pattern_no").alias("pattern_no"),
-        F.size(F.filter("_s.chapters", lambda c: (F.col("_s.pattern_no") == 0)
-                        | (F.length(c["text"]) >= C.SEGMENT_MIN_BODY))).alias("n_chapters"))
-    return rep.join(seg, "book_id")
+    rep = SG.pattern_report(docs, ["book_id", "text", "title"])
+    seg = T.with_once(rep, _s=SG.segment(F.col("text"), F.col("title")))
+    kept = F.filter("_s.chapters", lambda c: (F.col("_s.pattern_no") == 0)
+                    | (F.length(c["text"]) >= C.SEGMENT_MIN_BODY))
+    return seg.select("book_id", *[f"kept_{i}" for i in range(1, 6)],
+                      F.col("_s.pattern_no").alias("pattern_no"), F.size(kept).alias("n_chapters"))
 
 
 # --- step 6: lines and blocks ------------------------------------------------------
