@@ -1,6 +1,6 @@
 """Batch model step.
 
-The reference calls a remote model once per chunk, retries up to three
+The original pipeline calls a remote model once per chunk, retries up to three
 times with 1 s / 2 s backoff and turns a final failure into a fixed text.
 Here the call is a *pluggable callable* run by ``mapInPandas`` on Arrow
 batches (the only Python boundary in the engine). Attempts, backoff,

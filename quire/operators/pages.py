@@ -57,7 +57,7 @@ def book_page_counts(pages: DataFrame) -> DataFrame:
 def chapter_ranges(starts: DataFrame, page_counts: DataFrame) -> DataFrame:
     """``[start, end)`` where end is the next chapter *number*'s start,
     or the page count for the last one. Out-of-order starts therefore give
-    empty or overlapping ranges, as in the reference behaviour."""
+    empty or overlapping ranges, as in the reproduced behaviour."""
     w = Window.partitionBy("book_id").orderBy("chapter_no")
     return (starts.join(page_counts, "book_id")
             .select("book_id", "chapter_no", "start_page",

@@ -1,6 +1,6 @@
 """Rate-limit scheduling and audit as window algebra.
 
-The reference throttles one process with a sleeping limiter. Here the
+The original pipeline throttles one process with a sleeping limiter. Here the
 same rules are computed for *all* keys at once over tables of arrivals or
 calls, in integer microseconds so every engine agrees exactly:
 
