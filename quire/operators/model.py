@@ -44,23 +44,27 @@ def build_request(chunk: Column, part_no: Column, n_parts: Column, system: str,
 
 def call_model(df: DataFrame, model: Model, keys: list[str], input_col: str = "input",
                on_failure: str = "sentinel", part_col: str = "part_no",
-               max_attempts: int = C.MAX_ATTEMPTS, binary: bool = False) -> DataFrame:
+               max_attempts: int = C.MAX_ATTEMPTS, binary: bool = False,
+               carry: list[str] | None = None) -> DataFrame:
     """M1–M4 + M8: run ``model`` over ``input_col`` with retries.
 
     Output columns: ``keys``, ``output``, ``status`` (ok/failed), ``attempts``,
     ``backoff_s`` (sum of ``2**k`` for every retry), ``error``, ``service_us``.
     ``on_failure`` picks the text of a failed row: the chunk sentinel
     (``sentinel``), ``''`` (``empty``), the input (``passthrough``) or NULL.
+    ``carry`` columns pass through unchanged (no join back to the input).
     """
+    carry = [c for c in (carry or []) if c not in keys]
     if on_failure not in POLICIES:
         raise ValueError(on_failure)
     out_t = T.BinaryType() if binary else T.StringType()
-    key_fields = [f for f in df.schema.fields if f.name in keys]
+    key_fields = [f for f in df.schema.fields if f.name in keys + carry]
     schema = T.StructType(key_fields + [
         T.StructField("output", out_t), T.StructField("status", T.StringType()),
         T.StructField("attempts", T.IntegerType()), T.StructField("backoff_s", T.IntegerType()),
         T.StructField("error", T.StringType()), T.StructField("service_us", T.LongType())])
-    cols = list(dict.fromkeys(keys + [input_col] + ([part_col] if part_col in df.columns else [])))
+    cols = list(dict.fromkeys(keys + carry + [input_col] + ([part_col] if part_col in df.columns else [])))
+    out_cols = [f.name for f in key_fields]
 
     def run(batches):
         for pdf in batches:
@@ -95,7 +99,7 @@ def call_model(df: DataFrame, model: Model, keys: list[str], input_col: str = "i
                 output[failed] = pdf[input_col].to_numpy(dtype=object)[failed]
             else:
                 output[failed] = None
-            res_df = pdf[keys].copy()
+            res_df = pdf[out_cols].copy()
             res_df["output"] = output
             res_df["status"] = np.where(ok, "ok", "failed")
             res_df["attempts"] = attempts

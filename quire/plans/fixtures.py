@@ -217,9 +217,11 @@ SPEECH_MODEL = KeyedModel(1, 2, 4, binary=True)
 
 
 def chunk_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``chunk_requests``: boundary chunks of the raw chapters, ``input`` = chunk."""
+    """``chunk_requests``: boundary chunks of the raw chapters, ``input`` = chunk,
+    with the chapter's title line carried along."""
     from quire.operators.chunk import chunk_boundary
-    ch = chunk_boundary(raw_chapters(spark, sf_dir), ["book_id", "chapter_no"])
+    raw = raw_chapters(spark, sf_dir).withColumn("title", F.element_at(F.split("text", "\n", 2), 1))
+    ch = chunk_boundary(raw, ["book_id", "chapter_no", "title"])
     return ch.withColumnRenamed("text", "input")
 
 

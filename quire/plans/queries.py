@@ -266,7 +266,7 @@ def _translated(spark, sf_dir):
     # Model answers are written once: a lost executor or a second branch then
     # reads the same responses instead of calling the model again.
     req = FX.chunk_requests(spark, sf_dir)
-    return materialize(MD.call_model(req, FX.TRANSLATE_MODEL, _CK, on_failure="sentinel"))
+    return materialize(MD.call_model(req, FX.TRANSLATE_MODEL, _CK, on_failure="sentinel", carry=["title"]))
 
 
 @query
@@ -282,19 +282,17 @@ def prompts(spark, sf_dir):
 @query
 def translate_chunks(spark, sf_dir):
     """M1 + M8: model output per chunk with attempts, backoff and status."""
-    return _translated(spark, sf_dir)
+    return _translated(spark, sf_dir).drop("title")
 
 
 @query
 def reassemble(spark, sf_dir):
     """J6 + A2 + A5 + K2: chapter translations (failed chunks keep their
     sentinel text) and the translation file text."""
-    ch = MD.reassemble(_translated(spark, sf_dir), ["book_id", "chapter_no"])
-    title, _ = PJ.title_and_body(F.col("original"))
-    orig = FX.raw_chapters(spark, sf_dir).select("book_id", "chapter_no", F.col("text").alias("original"))
-    return ch.join(orig, ["book_id", "chapter_no"]).select(
+    ch = MD.reassemble(_translated(spark, sf_dir), ["book_id", "chapter_no", "title"])
+    return ch.select(
         "book_id", "chapter_no", "n_parts", "n_ok", "n_failed", F.col("text").alias("translation"),
-        F.concat(title, F.lit("\n\n"), F.col("text")).alias("file_text"))
+        F.concat(F.col("title"), F.lit("\n\n"), F.col("text")).alias("file_text"))
 
 
 @query
