@@ -28,31 +28,45 @@ def _rfind_rev(rev_window: Column, wlen: Column, pattern: str) -> Column:
     return F.when(hit == 0, F.lit(-1)).otherwise(wlen - hit + 1 - len(pattern))
 
 
-def _fold_cuts(text: Column, size: int, min_advance: int, next_end) -> Column:
-    """Run ``pos -> next_end(rfind, pos, end)`` until the text is consumed.
-
-    ``min_advance`` is the smallest step any rule can take before the last
-    window, so ``ceil(n / min_advance) + 1`` steps always suffice. The text
-    length is bound once per row; each step cuts one window, reverses it
-    once and finds every "last occurrence" with a short forward search.
+def _fold_cuts(text: Column, size: int, min_advance: int, next_cut) -> Column:
+    """Run the greedy window rule until the text is consumed; return the
+    cuts as ``(s, e)`` *byte* offsets into the UTF-8 text.
+
+    Each step looks at one window of ``size`` code points. The text is
+    encoded once and the window is taken as a byte slice (at most 4 bytes a
+    code point) from the current byte offset, so a step costs O(window) no
+    matter how far into a long text it is (a character-indexed substring
+    would walk from the start every time). ``next_cut(rfind)`` returns the
+    relative cut for a full window; ``min_advance`` is the smallest such
+    cut, so ``ceil(n / min_advance) + 1`` steps always suffice.
     """
-    def run(n):
+    def run(bn):
+        b, n, nb = bn["b"], bn["n"], F.octet_length(bn["b"])
         steps = F.sequence(F.lit(1), F.greatest(F.lit(1), (F.ceil(n / F.lit(float(min_advance))) + 1).cast("int")))
-        init = F.struct(F.lit(0).alias("pos"), F.array().cast(CUT_TYPE).alias("cuts"))
+        init = F.struct(F.lit(0).alias("pos"), F.lit(0).alias("bpos"), F.array().cast(CUT_TYPE).alias("cuts"))
 
         def step(acc, _):
-            pos = acc["pos"]
-            end = F.least(pos + size, n)
-            rev = F.reverse(F.substring(text, pos + 1, size))
-            e = F.when(end >= n, end).otherwise(
-                T.let(rev, lambda r: next_end(lambda p: _rfind_rev(r, F.lit(size), p), pos, end)))
-            return F.when(pos >= n, acc).otherwise(T.let(e, lambda e1: F.struct(
-                e1.alias("pos"),
-                F.concat(acc["cuts"], F.array(F.struct(pos.alias("s"), e1.alias("e")))).alias("cuts"))))
+            pos, bpos = acc["pos"], acc["bpos"]
+            last = pos + size >= n
+            window = F.substring(F.substring(b, bpos + 1, 4 * size).cast("string"), 1, size)
+
+            def advance(w):
+                rel = F.when(last, n - pos).otherwise(
+                    T.let(F.reverse(w), lambda r: next_cut(lambda p: _rfind_rev(r, F.lit(size), p))))
+
+                def emit(er):
+                    nbpos = F.when(last, nb).otherwise(bpos + F.octet_length(F.substring(w, 1, er)))
+                    return T.let(nbpos, lambda e1: F.struct(
+                        (pos + er).alias("pos"), e1.alias("bpos"),
+                        F.concat(acc["cuts"], F.array(F.struct(bpos.alias("s"), e1.alias("e")))).alias("cuts")))
+
+                return T.let(rel, emit)
+
+            return F.when(pos >= n, acc).otherwise(T.let(window, advance))
 
         return F.aggregate(steps, init, step, lambda acc: acc["cuts"])
 
-    return T.let(F.length(text), run)
+    return T.let(F.struct(F.encode(text, "UTF-8").alias("b"), F.length(text).alias("n")), run)
 
 
 def fixed_cuts(text: Column, size: int = C.FIXED_CHUNK_SIZE,
@@ -60,10 +74,10 @@ def fixed_cuts(text: Column, size: int = C.FIXED_CHUNK_SIZE,
     """T2 cut offsets: cut before the last ``\\n\\n`` past ``para_ratio``."""
     limit = size * para_ratio
 
-    def next_end(rf, pos, end):
-        return T.let(rf("\n\n"), lambda lp: F.when(lp > F.lit(limit), pos + lp).otherwise(end))
+    def next_cut(rf):
+        return T.let(rf("\n\n"), lambda lp: F.when(lp > F.lit(limit), lp).otherwise(F.lit(size)))
 
-    return _fold_cuts(text, size, math.floor(limit) + 1, next_end)
+    return _fold_cuts(text, size, math.floor(limit) + 1, next_cut)
 
 
 def boundary_cuts(text: Column, size: int = C.TRANSLATE_CHUNK_SIZE,
@@ -73,29 +87,30 @@ def boundary_cuts(text: Column, size: int = C.TRANSLATE_CHUNK_SIZE,
     """T3 cut offsets: paragraph > sentence mark > space > hard cut, strict."""
     lim_p, lim_s, lim_w = size * para_ratio, size * sent_ratio, size * space_ratio
 
-    def next_end(rf, pos, end):
+    def next_cut(rf):
         last_sent = F.greatest(*[rf(m) for m in C.SENTENCE_MARKS])
-        return T.let(rf("\n\n"), lambda lp: F.when(lp > F.lit(lim_p), pos + lp).otherwise(
-            T.let(last_sent, lambda ls: F.when(ls > F.lit(lim_s), pos + ls + 1).otherwise(
-                T.let(rf(" "), lambda lw: F.when(lw > F.lit(lim_w), pos + lw).otherwise(end))))))
+        return T.let(rf("\n\n"), lambda lp: F.when(lp > F.lit(lim_p), lp).otherwise(
+            T.let(last_sent, lambda ls: F.when(ls > F.lit(lim_s), ls + 1).otherwise(
+                T.let(rf(" "), lambda lw: F.when(lw > F.lit(lim_w), lw).otherwise(F.lit(size)))))))
 
     min_adv = min(math.floor(lim_p) + 1, math.floor(lim_s) + 2, math.floor(lim_w) + 1, size)
-    return _fold_cuts(text, size, min_adv, next_end)
+    return _fold_cuts(text, size, min_adv, next_cut)
 
 
 def explode_cuts(df: DataFrame, text_col: str, cuts: Column, keys: list[str],
                  strip: bool) -> DataFrame:
     """One row per chunk: ``part_no`` (1-based), ``n_parts`` and the text.
 
-    The chunk strings are cut out *before* the explode, so each output row
-    carries only its own chunk (not the whole text or array)."""
-    text = F.col(text_col)
-
-    def cut(c):
-        piece = F.substring(text, c["s"] + 1, c["e"] - c["s"])
-        return T.py_strip(piece) if strip else piece
+    Cuts are byte offsets, so each chunk is an O(chunk) byte slice of the
+    encoded text; the strings are cut out *before* the explode, so each
+    output row carries only its own chunk."""
+    def pieces(b):
+        def cut(c):
+            piece = F.substring(b, c["s"] + 1, c["e"] - c["s"]).cast("string")
+            return T.py_strip(piece) if strip else piece
+        return F.transform(cuts, cut)
 
-    return _explode_chunks(df.select(*keys, F.transform(cuts, cut).alias("_c")), keys)
+    return _explode_chunks(df.select(*keys, T.let(F.encode(F.col(text_col), "UTF-8"), pieces).alias("_c")), keys)
 
 
 def _explode_chunks(df: DataFrame, keys: list[str]) -> DataFrame:

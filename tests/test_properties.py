@@ -201,3 +201,21 @@ def test_documents_have_no_sentinels():
                    "WHERE strpos(text, chr(57344)) > 0 OR strpos(text, chr(57345)) > 0 "
                    "OR strpos(text, chr(57346)) > 0").fetchall()[0][0]
     assert n == 0
+
+
+def test_long_document_is_linear_and_exact(spark):
+    # 600k code points with multi-byte letters: byte-offset windows must cut
+    # exactly where the character rule cuts, in about linear time.
+    import random
+    rnd = random.Random(7)
+    words = ["alpha", "béta", "的一是", "gamma", "δέλτα", "x"]
+    parts = []
+    while sum(map(len, parts)) < 600_000:
+        parts.append(" ".join(rnd.choice(words) for _ in range(rnd.randint(3, 40)))
+                     + rnd.choice([". ", "! ", "? ", ".\n", "\n\n", " "]))
+    text = "".join(parts)
+    df = spark.createDataFrame([(1, text)], "k int, text string")
+    got = [r["text"] for r in CH.chunk_boundary(df, ["k"]).orderBy("part_no").collect()]
+    assert got == brute_boundary(text)
+    got_fixed = [r["text"] for r in CH.chunk_fixed(df, ["k"]).orderBy("part_no").collect()]
+    assert got_fixed == brute_fixed(text) and "".join(got_fixed) == text
