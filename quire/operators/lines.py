@@ -76,41 +76,48 @@ def markdown_blocks(md: Column) -> Column:
     Blank lines separate blocks, a heading line is always its own block,
     other consecutive lines form a paragraph; a paragraph that is one
     ``N. text`` line becomes an ordered list; ``*x*`` becomes ``<em>``.
+    Blocks are found by a fold over line *flags* that emits index ranges
+    (integers only); the lines are sliced out once per block.
     """
-    lines = F.split(md, "\n", -1)
-    init = F.struct(F.array().cast("array<array<string>>").alias("blocks"),
-                    F.array().cast("array<string>").alias("cur"))
-
-    def flush(a):
-        return F.when(F.size(a["cur"]) > 0, F.concat(a["blocks"], F.array(a["cur"]))).otherwise(a["blocks"])
-
-    def step(a, line):
-        s = T.py_strip(line)
-        empty = F.array().cast("array<string>")
-        return (F.when(s == "", F.struct(flush(a).alias("blocks"), empty.alias("cur")))
-                .when(s.rlike(_HEADING_RE), F.struct(
-                    F.concat(flush(a), F.array(F.array(s))).alias("blocks"), empty.alias("cur")))
-                .otherwise(F.struct(a["blocks"].alias("blocks"),
-                                    F.concat(a["cur"], F.array(s)).alias("cur"))))
-
-    blocks = F.aggregate(lines, init, step, flush)
-
-    def render(b):
-        first = F.element_at(b, 1)
-        level = F.length(F.regexp_extract(first, _HEADING_RE, 1))
-        return (F.when((F.size(b) == 1) & first.rlike(_HEADING_RE), F.struct(
-                    F.lit("heading").alias("kind"),
-                    F.format_string("<h%d>%s</h%d>", level,
-                                    _inline(F.regexp_extract(first, _HEADING_RE, 2)), level).alias("html")))
-                .when((F.size(b) == 1) & first.rlike(_OL_RE), F.struct(
-                    F.lit("list").alias("kind"),
-                    F.concat(F.lit("<ol>\n<li>"), _inline(F.regexp_extract(first, _OL_RE, 1)),
-                             F.lit("</li>\n</ol>")).alias("html")))
-                .otherwise(F.struct(
-                    F.lit("paragraph").alias("kind"),
-                    F.concat(F.lit("<p>"), _inline(F.array_join(b, "\n")), F.lit("</p>")).alias("html"))))
-
-    return F.transform(blocks, render)
+    bounds_t = "array<struct<a:int,n:int>>"
+
+    def build(ss):
+        init = F.struct(F.array().cast(bounds_t).alias("b"), F.lit(1).alias("ca"), F.lit(0).alias("cn"))
+
+        def flush(a):
+            return F.when(a["cn"] > 0, F.concat(a["b"], F.array(F.struct(
+                a["ca"].alias("a"), a["cn"].alias("n"))))).otherwise(a["b"])
+
+        def step(a, i):
+            s = F.element_at(ss, i)
+            return (F.when(s == "", F.struct(flush(a).alias("b"), (i + 1).alias("ca"), F.lit(0).alias("cn")))
+                    .when(s.rlike(_HEADING_RE), F.struct(
+                        F.concat(flush(a), F.array(F.struct(i.alias("a"), F.lit(1).alias("n")))).alias("b"),
+                        (i + 1).alias("ca"), F.lit(0).alias("cn")))
+                    .otherwise(F.struct(a["b"].alias("b"),
+                                        F.when(a["cn"] == 0, i).otherwise(a["ca"]).alias("ca"),
+                                        (a["cn"] + 1).alias("cn"))))
+
+        bounds = F.aggregate(F.sequence(F.lit(1), F.size(ss)), init, step, flush)
+        return F.transform(bounds, lambda r: _render(F.slice(ss, r["a"], r["n"])))
+
+    return T.let(F.transform(F.split(md, "\n", -1), lambda l: T.py_strip(l)), build)
+
+
+def _render(b: Column) -> Column:
+    first = F.element_at(b, 1)
+    level = F.length(F.regexp_extract(first, _HEADING_RE, 1))
+    return (F.when((F.size(b) == 1) & first.rlike(_HEADING_RE), F.struct(
+                F.lit("heading").alias("kind"),
+                F.format_string("<h%d>%s</h%d>", level,
+                                _inline(F.regexp_extract(first, _HEADING_RE, 2)), level).alias("html")))
+            .when((F.size(b) == 1) & first.rlike(_OL_RE), F.struct(
+                F.lit("list").alias("kind"),
+                F.concat(F.lit("<ol>\n<li>"), _inline(F.regexp_extract(first, _OL_RE, 1)),
+                         F.lit("</li>\n</ol>")).alias("html")))
+            .otherwise(F.struct(
+                F.lit("paragraph").alias("kind"),
+                F.concat(F.lit("<p>"), _inline(F.array_join(b, "\n")), F.lit("</p>")).alias("html"))))
 
 
 def markdown_to_html(md: Column) -> Column:

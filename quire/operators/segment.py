@@ -84,26 +84,29 @@ def match_pieces(text: Column, pattern: str) -> Column:
 def chapters_from_pieces(pieces: Column) -> Column:
     """W2 + gaps-and-islands: body of a kept match runs to the next *kept*
     match; dropped matches (and their text) stay inside the previous body.
-    Numbers count kept matches, so later length filtering leaves gaps."""
-    init = F.struct(F.lit(0).alias("n"), F.array().cast(CHAPTER_T).alias("ch"))
-
-    def step(acc, p):
-        n1 = acc["n"] + 1
-        new = F.struct(n1.alias("n"), F.concat(acc["ch"], F.array(F.struct(
-            n1.cast("int").alias("chapter_no"), p["title"].alias("title"),
-            p["body"].alias("text")))).alias("ch"))
-        last = F.element_at(acc["ch"], -1)
-        grown = F.struct(acc["n"].alias("n"), F.concat(
-            F.slice(acc["ch"], 1, F.size(acc["ch"]) - 1),
-            F.array(F.struct(last["chapter_no"].alias("chapter_no"), last["title"].alias("title"),
-                             F.concat(last["text"], p["full"], p["body"]).alias("text")))).alias("ch"))
-        return (F.when(p["kept"], new)
-                .when(acc["n"] > 0, grown)
-                .otherwise(acc))
-
-    return F.aggregate(pieces, init, step, lambda acc: F.transform(
-        acc["ch"], lambda c: F.struct(c["chapter_no"].alias("chapter_no"), c["title"].alias("title"),
-                                      T.py_strip(c["text"]).alias("text"))))
+    Numbers count kept matches, so later length filtering leaves gaps.
+
+    Index arithmetic instead of a fold: the kept positions are listed once,
+    and each chapter joins its own slice of pieces, so the work is linear in
+    the text however many matches are dropped."""
+    def build(kept_idx):
+        n = F.size(pieces)
+        m = F.size(kept_idx)
+
+        def chapter(k, j):
+            nxt = F.when(j + 1 < m, F.element_at(kept_idx, j + 2)).otherwise(n + 1)
+            head = F.element_at(pieces, k)
+            tail = F.slice(pieces, k + 1, nxt - k - 1)
+            body = F.concat(head["body"], F.array_join(
+                F.transform(tail, lambda p: F.concat(p["full"], p["body"])), ""))
+            return F.struct((j + 1).cast("int").alias("chapter_no"), head["title"].alias("title"),
+                            T.py_strip(body).alias("text"))
+
+        return F.transform(kept_idx, chapter)
+
+    idx = F.filter(F.sequence(F.lit(1), F.greatest(F.size(pieces), F.lit(1))),
+                   lambda i: F.coalesce(F.element_at(pieces, i)["kept"], F.lit(False)))
+    return F.when(F.size(pieces) == 0, F.array().cast(CHAPTER_T)).otherwise(T.let(idx, build))
 
 
 def n_kept(pieces: Column) -> Column:
