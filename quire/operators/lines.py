@@ -9,11 +9,12 @@ callers that want one row per line.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions import constants as C
 from quire.functions import text as T
+from quire.operators.scan import lag_by_index
 from quire.operators.segment import portable_pattern
 
 _TITLE_RE = "(?d)" + portable_pattern(C.TITLE_LINE_PATTERN)
@@ -52,12 +53,19 @@ def format_markdown(text: Column) -> Column:
 
 
 def line_table(df: DataFrame, keys: list[str], text_col: str = "text") -> DataFrame:
-    """One row per line with W4 neighbour flags from ``lag``/``lead``."""
+    """One row per line with W4 neighbour flags.
+
+    ``posexplode`` already numbers the lines, so the previous / next line are
+    1:1 equi-joins on ``(keys, line_no ∓ 1)`` (hash-distributed by line
+    number as well) instead of a window that would put a whole chapter's
+    lines into one task."""
     lines = df.select(*keys, F.posexplode(F.split(F.col(text_col), "\n", -1)).alias("line_no", "line"))
-    w = Window.partitionBy(*keys).orderBy("line_no")
-    return lines.select(*keys, "line_no", "line",
-                        _blank(F.lag("line").over(w)).alias("prev_blank"),
-                        _blank(F.lead("line").over(w)).alias("next_blank"))
+    blank = lines.select(*keys, "line_no", "line", _blank(F.col("line")).alias("blank"))
+    prev = lag_by_index(blank, keys, "line_no", ["blank"], 1, "_prev")
+    both = lag_by_index(prev, keys, "line_no", ["blank"], -1, "_next")
+    return both.select(*keys, "line_no", "line",
+                       F.coalesce("blank_prev", F.lit(True)).alias("prev_blank"),
+                       F.coalesce("blank_next", F.lit(True)).alias("next_blank"))
 
 
 # --- T8: Markdown blocks -> HTML (the subset the formatter emits) ----------------

@@ -74,10 +74,15 @@ def keyed_scan(df: DataFrame, key: str, order: list[str], sums: dict[str, Column
     return out
 
 
-def lag_by_index(df: DataFrame, key: str, index: str, cols: list[str], k: int = 1,
+def lag_by_index(df: DataFrame, key, index: str, cols: list[str], k: int = 1,
                  suffix: str = "_prev") -> DataFrame:
-    """``lag(col, k)`` per key via a 1:1 equi-join on ``(key, index - k)``."""
-    prev = df.select(F.col(key).alias("_k"), (F.col(index) + k).alias("_j"),
-                     *[F.col(c).alias(c + suffix) for c in cols])
-    return df.join(prev, (F.col(key) == F.col("_k")) & (F.col(index) == F.col("_j")), "left") \
-        .drop("_k", "_j")
+    """``lag(col, k)`` per key via a 1:1 equi-join on ``(key…, index - k)``
+    (``k < 0`` gives ``lead``). Rows are hash-distributed by the index too, so
+    one huge key is spread over all tasks."""
+    keys = [key] if isinstance(key, str) else list(key)
+    prev = df.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(keys)],
+                     (F.col(index) + k).alias("_j"), *[F.col(c).alias(c + suffix) for c in cols])
+    cond = F.col(index) == F.col("_j")
+    for i, c in enumerate(keys):
+        cond = cond & (F.col(c) == F.col(f"_k{i}"))
+    return df.join(prev, cond, "left").drop(*[f"_k{i}" for i in range(len(keys))], "_j")
