@@ -219,3 +219,20 @@ def test_long_document_is_linear_and_exact(spark):
     assert got == brute_boundary(text)
     got_fixed = [r["text"] for r in CH.chunk_fixed(df, ["k"]).orderBy("part_no").collect()]
     assert got_fixed == brute_fixed(text) and "".join(got_fixed) == text
+
+
+def test_random_texts_match_loops(spark):
+    # Randomised inputs (separators, blanks, multi-byte letters, Unicode
+    # whitespace at the edges) for the three greedy rules in one Spark job.
+    from hypothesis import strategies as st
+    alphabet = st.sampled_from(list("ab cd.!?\n\n  ") + ["é", "的", "　", " ", "。", "？"])
+    texts = [st.text(alphabet, min_size=0, max_size=9000).example() for _ in range(40)]
+    texts += ["", " ", "\n\n", "a" * 3001, ("word " * 1200).strip()]
+    df = spark.createDataFrame(list(enumerate(texts)), "k int, text string")
+    b = _by_key(CH.chunk_boundary(df, ["k"]), ["k"])
+    f = _by_key(CH.chunk_fixed(df, ["k"]), ["k"])
+    p = _by_key(CH.pack_paragraphs(df, ["k"], max_size=400), ["k"])
+    for k, t in enumerate(texts):
+        assert b.get((k,), []) == brute_boundary(t), k
+        assert f.get((k,), []) == brute_fixed(t), k
+        assert p.get((k,), []) == brute_pack(t, 400), k
