@@ -237,3 +237,47 @@ def test_random_texts_match_loops(spark):
         assert b.get((k,), []) == brute_boundary(t), k
         assert f.get((k,), []) == brute_fixed(t), k
         assert p.get((k,), []) == brute_pack(t, 400), k
+
+
+def _python_segments(text, title):
+    for pat in C.SEGMENT_PATTERNS:
+        ms = [m for m in re.finditer(pat, text, re.IGNORECASE | re.MULTILINE)
+              if "http" not in m.group(1).strip().lower() and "www" not in m.group(1).strip().lower()
+              and len(m.group(1).strip()) > 20 and not m.group(1).strip().startswith("Zone ")]
+        if len(ms) > 3:
+            out = []
+            for i, m in enumerate(ms):
+                end = ms[i + 1].start() if i + 1 < len(ms) else len(text)
+                body = text[m.end():end].strip()
+                if len(body) >= 500:
+                    out.append((i + 1, m.group(1).strip(), body))
+            return out
+    return [(1, title, text)]
+
+
+def test_segmentation_pattern_portability(spark):
+    # Headings that exercise case folding, Unicode / control whitespace inside
+    # \s, "." not crossing "\n" (but crossing "\r" and U+0085), titles that run
+    # into the next line, URL titles and "Zone " titles.
+    body = ("Lorem ipsum dolor sit amet. " * 25).strip()
+    heads = [
+        ["Chapter 1: The Beginning Of Things", "chapter 2:\tthe middle of things here",
+         "CHAPTER 3  Another Long Heading Here", "Chapter 4: www.example.com/is/a/url",
+         "Chapter 5: Final words\u0085 and more text"],
+        ["1\nTHE FIRST CAPITAL HEADING", "2\nTHE SECOND CAPITAL HEADING", "3\nA THIRD ONE WITH NBSP",
+         "4\nFOURTH AND LAST HEADING"],
+        ["1. THE FIRST NUMBERED HEADING", "2: the second numbered heading", "3 Zone THREE IS HERE NOW",
+         "4. FOURTH NUMBERED HEADING", "5. SHORT"],
+        ["PART 1\nA part title that is long enough", "part 2\nanother part title\rwith cr",
+         "PART 3\nyet another part title", "PART 4\nfinal part title here"],
+    ]
+    rows = []
+    for k, hs in enumerate(heads):
+        text = "Front matter\n" + "".join(f"\n  {h}\n{body}\n" for h in hs)
+        rows.append((k, f"B{k}", text))
+    df = spark.createDataFrame(rows, "book_id int, title string, text string")
+    got = {}
+    for r in SG.split_into_chapters(df, ["book_id"]).collect():
+        got.setdefault(r.book_id, []).append((r.chapter_no, r.title, r.text))
+    for k, title, text in rows:
+        assert sorted(got.get(k, [])) == _python_segments(text, title), k
