@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from quire.functions import constants as C
 from quire.functions import text as T
-from quire.operators.scan import lag_by_index
 from quire.operators.segment import portable_pattern
 
 _TITLE_RE = "(?d)" + portable_pattern(C.TITLE_LINE_PATTERN)
@@ -55,17 +54,19 @@ def format_markdown(text: Column) -> Column:
 def line_table(df: DataFrame, keys: list[str], text_col: str = "text") -> DataFrame:
     """One row per line with W4 neighbour flags.
 
-    ``posexplode`` already numbers the lines, so the previous / next line are
-    1:1 equi-joins on ``(keys, line_no ∓ 1)`` (hash-distributed by line
-    number as well) instead of a window that would put a whole chapter's
-    lines into one task."""
-    lines = df.select(*keys, F.posexplode(F.split(F.col(text_col), "\n", -1)).alias("line_no", "line"))
-    blank = lines.select(*keys, "line_no", "line", _blank(F.col("line")).alias("blank"))
-    prev = lag_by_index(blank, keys, "line_no", ["blank"], 1, "_prev")
-    both = lag_by_index(prev, keys, "line_no", ["blank"], -1, "_next")
-    return both.select(*keys, "line_no", "line",
-                       F.coalesce("blank_prev", F.lit(True)).alias("prev_blank"),
-                       F.coalesce("blank_next", F.lit(True)).alias("next_blank"))
+    The flags are taken from the line array of the same row before it is
+    exploded (``lines[i-1]``, ``lines[i+1]``), so the table needs no window
+    and no shuffle, and no chapter is ever gathered into one task."""
+    def tag(lines):
+        n = F.size(lines)
+        return F.transform(lines, lambda l, i: F.struct(
+            l.alias("line"),
+            ((i == 0) | _blank(F.get(lines, i - 1))).alias("prev_blank"),
+            ((i == n - 1) | _blank(F.get(lines, i + 1))).alias("next_blank")))
+
+    tagged = T.let(F.split(F.col(text_col), "\n", -1), tag)
+    return df.select(*keys, F.posexplode(tagged).alias("line_no", "_l")).select(
+        *keys, "line_no", "_l.line", "_l.prev_blank", "_l.next_blank")
 
 
 # --- T8: Markdown blocks -> HTML (the subset the formatter emits) ----------------
