@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -27,9 +28,6 @@ SCALE_CONF = {
     "spark.sql.files.maxPartitionBytes": "128MB",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
-    # Task-side commit: a job writing one file per chapter does not rename
-    # every file serially on the driver at job end.
-    "spark.hadoop.mapreduce.fileoutputcommitter.algorithm.version": "2",
 }
 
 
@@ -61,9 +59,6 @@ def apply_runtime_conf(spark: SparkSession) -> None:
     make the package importable by the Python workers."""
     for k, v in CORRECTNESS_CONF.items():
         spark.conf.set(k, v)
-    sc = _context(spark)
-    if sc is not None:
-        sc._jsc.hadoopConfiguration().set("mapreduce.fileoutputcommitter.algorithm.version", "2")
     ship_package(spark)
 
 
@@ -91,17 +86,20 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """Return the shared folder named by ``spark.checkpoint.dir``.
 
-    A cluster names a shared folder there; we only invent one when it is
-    unset, which happens in local tests.
+    A cluster must name one: a folder of our own would be a different disk
+    on each executor, so its absence is an error there. Only a ``local``
+    master (tests, the bench), where everything runs on one machine, gets a
+    temporary folder.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     sc = _context(spark)
     if not d and sc is not None:
         d = sc.getCheckpointDir()
     if not d:
-        # Only when the cluster names no shared folder (local tests).
+        if sc is None or not re.match(r"local(\[|$)", sc.master):
+            raise ValueError("spark.checkpoint.dir must name a folder shared by the driver and the executors")
         d = tempfile.mkdtemp(prefix="quire-ckpt-", dir=os.environ.get("QUIRE_SCRATCH", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", d)
     if sc is not None and sc.getCheckpointDir() is None:
@@ -118,10 +116,7 @@ def _context(spark: SparkSession):
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path for a written intermediate table inside the shared folder."""
-    base = ensure_checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    return os.path.join(base, "tables", name)
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name}"
 
 
 def materialize(df):
