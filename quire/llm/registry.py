@@ -10,6 +10,8 @@ from quire.sources.tables import table
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     apply_runtime_conf(spark)
+    # Small Arrow batches bound a Python worker's memory on long texts.
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     return table(spark, sf_dir, "documents")
 
 
@@ -23,8 +25,17 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.digest(op.remove_repeats(_docs(spark, sf_dir), keep_first=False))
 
 
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from quire.llm import bpe as op
+    return op.digest(op.encode(_docs(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"),
+                               public_tokenizers.PATTERN))
+
+
 QUERIES = {
     "op2_phrase_dedup": op2_phrase_dedup,
+    "op9_bpe": op9_bpe,
     "op10_suffix_dedup": op10_suffix_dedup,
 }
 
