@@ -25,6 +25,11 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.digest(op.remove_repeats(_docs(spark, sf_dir), keep_first=False))
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quire.llm import jaccard_join as op
+    return op.digest(op.join(_docs(spark, sf_dir)))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -35,6 +40,7 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_phrase_dedup": op2_phrase_dedup,
+    "op6_jaccard_join": op6_jaccard_join,
     "op9_bpe": op9_bpe,
     "op10_suffix_dedup": op10_suffix_dedup,
 }
