@@ -46,11 +46,12 @@ from pyspark.sql import functions as F
 from quire.llm import vectors as V
 from quire.llm.components import components
 from quire.llm.repeats import grouped, keyed
+from quire.llm.sieve import sieved
 from quire.session import materialize
 
 SHINGLE = 3
 PERCENT = 90
-BLOCK = 1024
+BLOCK = 256
 _MAX = (1 << 63) - 1
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -315,7 +316,7 @@ def links(texts: DataFrame, named: DataFrame, k: int, percent: int, block: int)
     sig = signed_sets(texts, k, percent)
     shared = materialize(sig.groupBy("sig").agg(F.min("s1").alias("lo"), F.max("s1").alias("hi"))
                          .where("lo <> hi").select("sig"))
-    members = materialize(materialize(sig.join(shared, "sig")).distinct())
+    members = materialize(materialize(sieved(sig, shared, ["sig"]).join(shared, "sig")).distinct())
     crowd = materialize(members.groupBy("sig").agg(F.count(F.lit(1)).alias("c")))
     score = materialize(members.join(crowd, "sig").groupBy("s1").agg(F.sum("c").alias("score")))
     best = materialize(members.join(score, "s1").groupBy("sig").agg(F.max(F.struct("score", "s1")).alias("best")))
@@ -324,7 +325,8 @@ def links(texts: DataFrame, named: DataFrame, k: int, percent: int, block: int)
     # One text of each candidate set, and its items.
     of = named.join(materialize(members.select("s1").distinct()), "s1")
     of = materialize(of.groupBy("s1", "s2").agg(F.min(F.struct("did", "cls")).alias("at")).select("at.*").distinct())
-    sets = materialize(set_table(texts.join(of, ["did", "cls"]), k).dropDuplicates(["s1", "s2"]))
+    own = sieved(texts, of, ["cls"]).join(of, ["did", "cls"]).dropDuplicates(["did", "cls"])
+    sets = materialize(set_table(own, k))
 
     # Distances to pivots, in slices of bounded size with the pivot in each.
     pairs = region.join(sets.select("s1", "s2"), "s1")
