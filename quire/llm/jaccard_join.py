@@ -15,9 +15,10 @@ goes in three steps, each exact:
    another hash function.)
 2. *Voronoi regions.* Each signature that several sets share takes as pivot its
    best connected set; a set belongs to the regions of the pivots of its
-   signatures. Two sets within r share a signature and so a region. Regions
-   are cut into slices of bounded size to measure each member's distance to
-   its pivot: members within r are linked by that.
+   signatures. Two sets within r share a signature and so a region. A region
+   of up to ``block`` sets is joined as it is. Larger ones are cut into slices
+   to measure each member's distance to the pivot: members within r are
+   linked by that.
 3. *Windows.* The members of a region form rings of width r by their distance
    to the pivot; by the triangle inequality only sets of one ring or of
    adjacent rings can be linked, so each ring is joined with itself and with
@@ -333,7 +334,14 @@ def links(texts: DataFrame, named: DataFrame, k: int, percent: int, block: int)
     pivots = sets.select(F.col("s1").alias("pivot"), F.col("s2").alias("p2"))
     pairs = materialize(pairs.join(pivots, "pivot"))
     sizes = materialize(pairs.groupBy("pivot", "p2").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("slices")))
-    rest = pairs.join(sizes, ["pivot", "p2"]).where("pivot <> s1 or p2 <> s2").withColumn(
+    sized = pairs.join(sizes, ["pivot", "p2"])
+    # A region of one slice is joined as it is, under the ring number -1.
+    zero, whole = F.lit(0), F.lit(-1)
+    small = sized.where("slices = 1").select(
+        "pivot", "p2", whole.alias("ring"), zero.alias("lo"), zero.alias("hi"), zero.alias("b"), zero.alias("side"),
+        F.lit(0.0).alias("dist"), "s1", "s2", F.xxhash64("pivot", "p2", whole, zero, zero).alias("task"))
+    sizes = sizes.where("slices > 1")
+    rest = sized.where("slices > 1 and (pivot <> s1 or p2 <> s2)").withColumn(
         "slice", F.pmod(F.xxhash64("s1", "s2"), F.col("slices")).cast("int")).select(
         "pivot", "p2", "slice", F.lit(False).alias("first"), "s1", "s2")
     firsts = sizes.select("pivot", "p2", F.explode(F.expr("sequence(0, slices - 1)")).alias("slice"),
@@ -344,7 +352,7 @@ def links(texts: DataFrame, named: DataFrame, k: int, percent: int, block: int)
                       .mapInArrow(_distances, "pivot long, p2 long, s1 long, s2 long, both long, either long").distinct())
     star = far.where(F.col("both") * 100 >= F.col("either") * percent).select(
         F.col("pivot").alias("a1"), F.col("p2").alias("a2"), F.col("s1").alias("b1"), F.col("s2").alias("b2"))
-    inner = materialize(_ring_tasks(far, percent, block)).join(sets, ["s1", "s2"]).repartition("task") \
+    inner = materialize(small.unionByName(_ring_tasks(far, percent, block))).join(sets, ["s1", "s2"]).repartition("task") \
         .sortWithinPartitions("task").mapInArrow(_rings(percent), "a1 long, a2 long, b1 long, b2 long")
     return star.unionByName(inner)
 
