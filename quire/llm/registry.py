@@ -25,6 +25,16 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.digest(op.remove_repeats(_docs(spark, sf_dir), keep_first=False))
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quire.llm import decontaminate as op
+    return op.contaminated(_docs(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quire.llm import sharding as op
+    return op.shard(_docs(spark, sf_dir))
+
+
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quire.llm import jaccard_join as op
     return op.digest(op.join(_docs(spark, sf_dir)))
@@ -40,6 +50,8 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_phrase_dedup": op2_phrase_dedup,
+    "op4_decontaminate": op4_decontaminate,
+    "op5_sharding": op5_sharding,
     "op6_jaccard_join": op6_jaccard_join,
     "op9_bpe": op9_bpe,
     "op10_suffix_dedup": op10_suffix_dedup,
