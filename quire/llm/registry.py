@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.session import apply_runtime_conf
+from quire.session import apply_runtime_conf, scratch_path
 from quire.sources.tables import table
 
 
@@ -15,6 +15,15 @@ def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With a ledger of its own, so each call scans every blob."""
+    import uuid
+
+    from quire.llm import secret_scan as op
+    docs = _docs(spark, sf_dir)
+    return op.digest(op.document_findings(docs, scratch_path(spark, f"ledger-{uuid.uuid4().hex}")))
+
+
 def op2_phrase_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quire.llm import phrase_dedup as op
     return op.digest(op.remove_phrases(_docs(spark, sf_dir)))
@@ -49,6 +58,7 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_secret_scan": op1_secret_scan,
     "op2_phrase_dedup": op2_phrase_dedup,
     "op4_decontaminate": op4_decontaminate,
     "op5_sharding": op5_sharding,
