@@ -49,6 +49,11 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.digest(op.join(_docs(spark, sf_dir)))
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quire.llm import quality_rules as op
+    return op.judged(_docs(spark, sf_dir))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -63,6 +68,7 @@ QUERIES = {
     "op4_decontaminate": op4_decontaminate,
     "op5_sharding": op5_sharding,
     "op6_jaccard_join": op6_jaccard_join,
+    "op8_quality_rules": op8_quality_rules,
     "op9_bpe": op9_bpe,
     "op10_suffix_dedup": op10_suffix_dedup,
 }
