@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from quire.llm import vectors as V
 from quire.llm.repeats import keyed, text_class
-from quire.llm.sieve import WORDS, sieved
+from quire.llm.sieve import WORDS, parted, sieved
 from quire.session import materialize
 
 N = 3
@@ -195,7 +195,8 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD
 
 
 def keep_clean(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents without a leak, with their own columns."""
+    """The documents without a leak, with their own columns. Texts that surely
+    have none are not shuffled."""
     leaks = materialize(scored(docs, items).where(F.col("score") >= threshold).select("cls").distinct())
-    names = docs.columns
-    return docs.withColumn("_cls", text_class()).join(leaks.withColumnRenamed("cls", "_cls"), "_cls", "left_anti").select(*names)
+    may, sure = parted(docs.select(F.struct(*docs.columns).alias("row"), text_class().alias("cls")), leaks, ["cls"])
+    return sure.select("row.*").unionByName(may.join(leaks, "cls", "left_anti").select("row.*"))

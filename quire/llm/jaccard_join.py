@@ -11,8 +11,8 @@ goes in three steps, each exact:
    into D + 1 parts by hash, so two such sets agree in a part at least. Sums of
    the hashes of each part are the signatures; D follows the size, in bands,
    and a set near the upper border of its band is replicated to the next one.
-   (Where a part is empty its sum says nothing, and the set is dealt again by
-   another hash function.)
+   (A part that is empty says nothing: there are some parts more than D + 1,
+   and a set with too many empty ones is dealt again by another hash.)
 2. *Voronoi regions.* Each signature that several sets share takes as pivot its
    best connected set; a set belongs to the regions of the pivots of its
    signatures. Two sets within r share a signature and so a region. A region
@@ -46,8 +46,8 @@ from pyspark.sql import functions as F
 
 from quire.llm import vectors as V
 from quire.llm.components import components
-from quire.llm.repeats import grouped, keyed
-from quire.llm.sieve import sieved
+from quire.llm.repeats import grouped, keyed, keyed_columns
+from quire.llm.sieve import parted, sieved
 from quire.session import materialize
 
 SHINGLE = 3
@@ -89,17 +89,34 @@ def _names(h: np.ndarray, bounds: np.ndarray):
     return [V.signed(V.mix(_sums(V.mix(h ^ x), row, len(bounds) - 1) ^ x)) for x in _SEEDS[:2]]
 
 
-def bands() -> np.ndarray:
-    """Lower borders of the size bands (each 1.5 times the one before)."""
+def bands(percent: int) -> np.ndarray:
+    """Lower borders of the size bands."""
+    ratio = 150 if percent >= 90 else 135
     out = [1]
     while out[-1] < 1 << 44:
-        out.append(max(out[-1] + 1, out[-1] * 3 // 2))
+        out.append(max(out[-1] + 1, out[-1] * ratio // 100))
     return np.array(out)
 
 
+def part_counts(percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Borders of the bands; for each the most differences of two sets that
+    meet in it, and the number of parts. Of these, at least parts - differences
+    agree; that is made more than the parts that the hash leaves empty in
+    nearly all sets, so that a part with items agrees."""
+    border = bands(percent)
+    worst = (border[1:] - 1) * (100 - percent) // percent
+    parts = worst + 1
+    for _ in range(4):
+        empty = parts * np.exp(-np.maximum(border[:-1] * percent / 100, 1) / parts)
+        parts = worst + 1 + np.where(worst > 0, np.ceil(1.2 * empty + 2 * np.sqrt(empty)), 0).astype(np.int64)
+    return border, worst, parts
+
+
 def signatures(h: np.ndarray, bounds: np.ndarray, percent: int):
-    """Row and signature of each part of each row's set."""
-    border = bands()
+    """Row and signature of each part of each row's set. Empty parts have
+    none; a set with too many of them is dealt again by another hash (the last
+    one keeps them)."""
+    border, worst, number = part_counts(percent)
     size = np.diff(bounds)
     rows, out = [], []
     own = np.searchsorted(border, size, "right") - 1
@@ -111,7 +128,7 @@ def signatures(h: np.ndarray, bounds: np.ndarray, percent: int):
             if not len(r):
                 break
             band = own[r] + step
-            parts = (border[band + 1] - 1) * (100 - percent) // percent + 1
+            parts = number[band]
             base = np.cumsum(parts) - parts
             n = size[r]
             x = h[V.ranges(bounds[r], n)]
@@ -127,9 +144,9 @@ def signatures(h: np.ndarray, bounds: np.ndarray, percent: int):
             tag = V.mix((band[where].astype(V.U) << V.U(34)) + (part.astype(V.U) << V.U(3)) + V.U(level))
             rows.append(r[where][keep])
             out.append(V.mix(sums ^ tag)[keep])
-            empty = np.zeros(len(size), bool)
-            empty[r[where[count == 0]]] = True
-            todo = empty
+            empties = np.bincount(where[count == 0], minlength=len(r))
+            todo = np.zeros(len(size), bool)
+            todo[r[empties >= parts - worst[band]]] = True
     if not rows:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     return np.concatenate(rows), V.signed(np.concatenate(out))
@@ -357,21 +374,26 @@ def links(texts: DataFrame, named: DataFrame, k: int, percent: int, block: int)
     return star.unionByName(inner)
 
 
-def join(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
-    """doc_id, text class, set size and component of each document: the
-    smallest number that links lead to, its own included."""
+def groups(docs: DataFrame, k: int, percent: int, block: int) -> tuple[DataFrame, DataFrame]:
+    """The written rows of :func:`describe`, and for each set its group:
+    s1, s2, least (number), root."""
     texts = keyed(docs)
     named = materialize(describe(texts, k))
     found = links(texts, named, k, percent, block)
-    node = F.struct(F.col("s1"), F.col("s2"))
     edges = found.select(F.struct(F.col("a1").alias("s1"), F.col("a2").alias("s2")).alias("u"),
                          F.struct(F.col("b1").alias("s1"), F.col("b2").alias("s2")).alias("v"))
     roots = components(edges)
-    groups = named.where("size > 0").groupBy("s1", "s2").agg(F.min("did").alias("least"))
-    groups = materialize(groups.withColumn("node", node).join(roots, "node", "left")
-                         .select("s1", "s2", "least", F.coalesce("root", "node").alias("root")))
-    best = materialize(groups.groupBy("root").agg(F.min("least").alias("component")))
-    of = materialize(groups.join(best, "root").select("s1", "s2", "component"))
+    sets = named.where("size > 0").groupBy("s1", "s2").agg(F.min("did").alias("least"))
+    return named, materialize(sets.withColumn("node", F.struct("s1", "s2")).join(roots, "node", "left")
+                              .select("s1", "s2", "least", F.coalesce("root", "node").alias("root")))
+
+
+def join(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
+    """doc_id, text class, set size and component of each document: the
+    smallest number that links lead to, its own included."""
+    named, group = groups(docs, k, percent, block)
+    best = materialize(group.groupBy("root").agg(F.min("least").alias("component")))
+    of = materialize(group.join(best, "root").select("s1", "s2", "component"))
     rows = named.withColumnRenamed("size", "n_shingles").join(of, ["s1", "s2"], "left")
     part = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("did"))
     null_if_none = lambda c: F.when(c < _MAX, c)
@@ -379,5 +401,25 @@ def join(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, block: int =
                        null_if_none(part).alias("component_id"))
 
 
+def keep_one(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
+    """One document of each group (the lowest number; among equal numbers one
+    text, and one of equal rows), and every document without words. Texts that
+    surely stay are not shuffled."""
+    named, group = groups(docs, k, percent, block)
+    full = named.where("size > 0").select("did", "cls", "s1", "s2")
+    placed = materialize(full.join(group.select("s1", "s2", "root"), ["s1", "s2"]).select("did", "cls", "root"))
+    best = materialize(placed.groupBy("root").agg(F.min(F.struct("did", "cls")).alias("best")))
+    losers = materialize(placed.join(best, "root").where(F.struct("did", "cls") != F.col("best")).select("did", "cls").distinct())
+    again = full.groupBy("did", "cls").count().where("count > 1").select("did", "cls")
+    special = materialize(losers.unionByName(again).distinct())
+    held = docs.select(F.struct(*docs.columns).alias("row"), *keyed_columns())
+    may, sure = parted(held, special, ["did", "cls"])
+    # Only the rows of equal number and text that have words are one document.
+    has_words = F.coalesce(F.col("row.text").rlike(r"[^ \t\n\x0B\f\r]"), F.lit(False))
+    stay = may.join(losers, ["did", "cls"], "left_anti")
+    stay = stay.where(has_words).dropDuplicates(["did", "cls"]).unionByName(stay.where(~has_words))
+    return sure.select("row.*").unionByName(stay.select("row.*"))
+
+
 def digest(joined: DataFrame) -> DataFrame:
     return joined.select("doc_id", "n_shingles", "component_id")

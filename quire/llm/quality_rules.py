@@ -31,6 +31,7 @@ from quire.session import materialize
 SUPPORT = 0.75
 STEPS = 2
 LEAST = 50
+SALTS = 32
 #: Squared distance beyond which a document is rejected.
 CUTOFF = 36.0
 #: Least standard deviation of each statistic, in thousandths.
@@ -106,10 +107,19 @@ def _moments(rows: DataFrame) -> DataFrame:
                       *[f"l_{a}_{b}" for j, a in enumerate(NAMES) for b in NAMES[:j + 1]])
 
 
+def _meet(rows: DataFrame, groups: DataFrame, how: str = "inner") -> DataFrame:
+    """Join rows with their group's row. The group's row is there ``SALTS``
+    times, so a group with a large part of all rows is dealt over that many
+    tasks, and an aggregation that follows combines inside them first."""
+    salt = F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")
+    groups = groups.withColumn("_salt", F.explode(F.expr(f"sequence(0, {SALTS - 1})")))
+    return rows.withColumn("_salt", salt).join(groups, ["g", "_salt"], how).drop("_salt")
+
+
 def _distance(rows: DataFrame, estimate: DataFrame) -> DataFrame:
     """Add the squared Mahalanobis distance ``d2`` (forward substitution)."""
     names = rows.columns
-    rows = rows.join(estimate, "g", "left")
+    rows = _meet(rows, estimate, "left")
     for j, a in enumerate(NAMES):
         rest = F.col(a) - F.col(f"m_{a}")
         for b in NAMES[:j]:
@@ -130,11 +140,11 @@ def estimates(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
     # Start: the documents nearest to the medians, each statistic over its floor.
     medians = materialize(good.groupBy("g").agg(*[F.percentile(a, 0.5).alias(f"p_{a}") for a in NAMES]))
     far = sum((F.abs(F.col(a) - F.col(f"p_{a}")) / FLOOR[a] for a in NAMES), F.lit(0.0))
-    scored = good.join(medians, "g").select("g", *NAMES, far.alias("d2"))
+    scored = _meet(good, medians).select("g", *NAMES, far.alias("d2"))
     for _ in range(STEPS + 1):
         scored = scored.withColumn("bin", F.least(F.floor(F.col("d2") * 64), F.lit(1 << 14)).cast("int"))
         limit = materialize(scored.groupBy("g").agg(F.percentile("bin", SUPPORT).alias("limit")))
-        estimate = materialize(_moments(scored.join(limit, "g").where("bin <= limit").select("g", *NAMES)))
+        estimate = materialize(_moments(_meet(scored, limit).where("bin <= limit").select("g", *NAMES)))
         scored = _distance(good, estimate)
     return groups, materialize(_moments(scored.where(F.col("d2") <= CUTOFF).select("g", *NAMES)))
 

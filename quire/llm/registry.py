@@ -8,10 +8,15 @@ from quire.session import apply_runtime_conf, scratch_path
 from quire.sources.tables import table
 
 
-def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def prepare(spark: SparkSession) -> None:
+    """Settings that the operators rely on."""
     apply_runtime_conf(spark)
     # Small Arrow batches bound a Python worker's memory on long texts.
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+
+
+def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
     return table(spark, sf_dir, "documents")
 
 
@@ -34,6 +39,11 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.digest(op.remove_repeats(_docs(spark, sf_dir), keep_first=False))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quire.llm import toxicity as op
+    return op.score(_docs(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quire.llm import decontaminate as op
     return op.contaminated(_docs(spark, sf_dir), table(spark, sf_dir, "benchmark"))
@@ -49,6 +59,11 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.digest(op.join(_docs(spark, sf_dir)))
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quire.llm import pii as op
+    return op.digest(op.find(_docs(spark, sf_dir)))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quire.llm import quality_rules as op
     return op.judged(_docs(spark, sf_dir))
@@ -65,9 +80,11 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_phrase_dedup": op2_phrase_dedup,
+    "op3_toxicity": op3_toxicity,
     "op4_decontaminate": op4_decontaminate,
     "op5_sharding": op5_sharding,
     "op6_jaccard_join": op6_jaccard_join,
+    "op7_pii": op7_pii,
     "op8_quality_rules": op8_quality_rules,
     "op9_bpe": op9_bpe,
     "op10_suffix_dedup": op10_suffix_dedup,

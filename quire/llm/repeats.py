@@ -27,10 +27,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.llm import vectors as V
+from quire.llm.sieve import sieved
 
 #: An anchor with more different contexts than this is compared through a
 #: shuffle on window hashes instead of inside one task (same result).
-GROUP_LIMIT = 4096
+GROUP_LIMIT = 512
 
 
 def text_class(text: str = "text"):
@@ -95,7 +96,7 @@ def repeated_runs(all_runs: DataFrame, write, place: list[str]) -> DataFrame:
     spot = F.xxhash64(*place)
     twice = write(all_runs.groupBy("anchor").agg(F.min(spot).alias("lo"), F.max(spot).alias("hi"))
                   .where("lo <> hi").select("anchor"))
-    kept = write(all_runs.join(twice, "anchor"))
+    kept = write(sieved(all_runs, twice, ["anchor"]).join(twice, "anchor"))
     return write(kept.groupBy("anchor", "context", "cls", "first", "n").agg(F.min("did").alias("did")))
 
 
@@ -127,7 +128,7 @@ def contexts(texts: DataFrame, wanted: DataFrame, unit: str, length: int) -> Dat
                 keys = [b.column(k).slice(i, j - i).take(pa.array(r)) for k in ("did", "cls")]
                 yield pa.RecordBatch.from_arrays([*cols, *keys, out], [*names, "did", "cls", "part"])
 
-    return texts.join(lists, ["cls", "did"]).select("cls", "did", "text", "runs").mapInArrow(work, schema)
+    return sieved(texts, wanted, ["cls"]).join(lists, ["cls", "did"]).select("cls", "did", "text", "runs").mapInArrow(work, schema)
 
 
 def window_hashes(parts: list[bytes], unit: str, length: int):
@@ -194,12 +195,15 @@ def found_ranges(flags: np.ndarray, bounds: np.ndarray):
     return item, first - bounds[item], counts
 
 
+def keyed_columns(text: str = "text", doc_id: str = "doc_id"):
+    """cls, the class of the text, and did, the number that orders documents
+    (a null number comes after all others)."""
+    return [text_class(text).alias("cls"), F.coalesce(F.col(doc_id).cast("long"), F.lit((1 << 63) - 1)).alias("did")]
+
+
 def keyed(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """(cls, did, text): the class of the text and the number that orders
-    documents (a null number comes after all others)."""
-    return docs.select(text_class(text).alias("cls"),
-                       F.coalesce(F.col(doc_id).cast("long"), F.lit((1 << 63) - 1)).alias("did"),
-                       F.col(text).alias("text"))
+    """(cls, did, text) of each document."""
+    return docs.select(*keyed_columns(text, doc_id), F.col(text).alias("text"))
 
 
 def hot_windows(parts: DataFrame, unit: str, length: int) -> DataFrame:

@@ -25,7 +25,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.sieve import sieved
+from quire.llm.sieve import parted, sieved
 from quire.llm.spans import Pattern, joined, matches
 
 
@@ -141,14 +141,21 @@ def redact(docs: DataFrame, ledger: str, rules: list[Rule] = RULES, mark: str =
     from quire.session import materialize
     lists = materialize(per_blob(update_ledger(docs, ledger, rules), rules))
     names = docs.columns
-    rows = docs.withColumn("_blob", blob()).join(lists.select(F.col("blob").alias("_blob"), F.col("spans").alias("_spans")), "_blob", "left")
+    held = docs.select(F.struct(*names).alias("row"), "text", blob().alias("blob"))
+    may, sure = parted(held, lists, ["blob"])
     # Keep the text before each finding that starts after all earlier ones end.
-    fold = F.expr(f"""aggregate(array_sort(_spans), named_struct('at', 0L, 'out', ''),
+    fold = F.expr(f"""aggregate(array_sort(spans), named_struct('at', 0L, 'out', ''),
         (a, x) -> named_struct('at', greatest(a.at, x.end), 'out', if(x.start >= a.at,
             concat(a.out, substring(text, int(a.at + 1), int(x.start - a.at)), '{mark}'), a.out)),
         a -> concat(a.out, substring(text, int(a.at + 1))))""")
-    rows = rows.withColumn("text", F.when(F.col("_spans").isNotNull(), fold).otherwise(F.col("text")))
-    if "n_chars" in names:
-        rows = rows.withColumn("n_chars", F.when(F.col("_spans").isNotNull(), F.length("text").cast(docs.schema["n_chars"].dataType))
-                               .otherwise(F.col("n_chars")))
-    return rows.select(*names)
+    hit = may.join(lists, "blob", "left").withColumn("text", F.when(F.col("spans").isNotNull(), fold).otherwise(F.col("text")))
+
+    def renewed(name: str):
+        if name == "text":
+            return F.col("text")
+        if name == "n_chars":
+            kind = docs.schema["n_chars"].dataType
+            return F.when(F.col("spans").isNotNull(), F.length("text").cast(kind)).otherwise(F.col("row.n_chars")).alias(name)
+        return F.col("row").getField(name).alias(name)
+
+    return sure.select("row.*").unionByName(hit.select(*[renewed(c) for c in names]))

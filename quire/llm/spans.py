@@ -38,7 +38,7 @@ def matches(texts: DataFrame, key: str, patterns: list[Pattern], around: int = 0
             F.regexp_extract_all("text", F.lit(p.regex), F.lit(0)).alias("match")).alias("z"))
         one = one.select(key, "kind", F.posexplode(F.expr(
             "transform(z, (x, i) -> named_struct('gap', length(x.gap), 'match', x.match"
-            + (f", 'before', right(x.gap, {around}), 'after', left(z[i + 1].gap, {around})" if around else "") + "))")))
+            + (f", 'before', right(x.gap, {around}), 'after', left(get(z, i + 1).gap, {around})" if around else "") + "))")))
         found = one if found is None else found.unionByName(one)
     upto = Window.partitionBy(key, "kind").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
     end = F.sum(F.col("col.gap") + F.coalesce(F.length("col.match"), F.lit(0))).over(upto)

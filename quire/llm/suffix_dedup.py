@@ -53,7 +53,7 @@ def neighbours(keys: np.ndarray):
 
 def _bucket(keep_first: bool, length: int):
     def work(batches):
-        for t in R.grouped(batches, "anchor", 2000):
+        for t in R.grouped(batches, "anchor", 1000):
             # In text order, each context once.
             t = t.sort_by([("did", "ascending"), ("cls", "ascending"), ("first", "ascending")]).combine_chunks()
             ctx = t.column("context").to_numpy()

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 U = np.uint64
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 _BASE = U(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
 _INV = U(pow(int(_BASE), -1, 1 << 64))
 
