@@ -24,8 +24,10 @@ goes in three steps, each exact:
    adjacent rings can be linked, so each ring is joined with itself and with
    the members replicated from the next. The innermost ring is linked already
    and needs no join with itself. A ring that is too large is cut into blocks,
-   and pairs of blocks are joined; nothing is capped. Inside a block, sums over
-   finer parts rule pairs out, and sets already connected are not compared.
+   and pairs of blocks are joined; nothing is capped. Sketches of a byte for
+   each of many finer parts go first and tell which sets may be near another
+   at all; only these travel themselves. Inside a block, sets already
+   connected are not compared.
 
 The result is the components of the links, so a chain of links stands for the
 pairs. Equal sets are one class from the start. Sets are compared as sets of
@@ -177,20 +179,43 @@ def signed_sets(texts: DataFrame, k: int, percent: int) -> DataFrame:
         for _, h, bounds in _sets(batches, k):
             s1, _ = _names(h, bounds)
             row, sig = signatures(h, bounds, percent)
-            yield pa.RecordBatch.from_arrays([pa.array(sig), pa.array(s1[row])], ["sig", "s1"])
+            # 48 bits are enough: a collision only makes a candidate.
+            yield pa.RecordBatch.from_arrays([pa.array(sig & (1 << 48) - 1), pa.array(s1[row])], ["sig", "s1"])
     return texts.select("text").mapInArrow(work, "sig long, s1 long")
 
 
-def set_table(texts: DataFrame, k: int) -> DataFrame:
-    """The sets themselves: s1, s2, items (sorted 64-bit hashes)."""
+def sketch_width(size: int, percent: int) -> int:
+    width = 64
+    while width < 3 * (size * (100 - percent) // percent):
+        width *= 2
+    return width
+
+
+def sketches(h: np.ndarray, bounds: np.ndarray, percent: int) -> list[bytes]:
+    """For each set, sums of item hashes over parts of the universe, a byte
+    each. Sets that differ in d items differ in at most d parts. A sketch
+    folds to half its width by adding its halves."""
+    out = []
+    low = V.mix(h).astype(np.uint8)
+    at = V.mix(h ^ _SEEDS[3])
+    for a, z in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+        width = sketch_width(z - a, percent)
+        sums = np.bincount((at[a:z] % V.U(width)).astype(np.int64), low[a:z], width)
+        out.append(sums.astype(np.int64).astype(np.uint8).tobytes())
+    return out
+
+
+def set_table(texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """The sets themselves: s1, s2, items (sorted 64-bit hashes), size and sketch."""
     def work(batches):
         for _, h, bounds in _sets(batches, k):
             s1, s2 = _names(h, bounds)
             raw, at = h.tobytes(), (bounds * 8).tolist()
             yield pa.RecordBatch.from_arrays(
-                [pa.array(s1), pa.array(s2), pa.array([raw[x:y] for x, y in zip(at[:-1], at[1:])], pa.binary())],
-                ["s1", "s2", "items"])
-    return texts.select("text").mapInArrow(work, "s1 long, s2 long, items binary")
+                [pa.array(s1), pa.array(s2), pa.array([raw[x:y] for x, y in zip(at[:-1], at[1:])], pa.binary()),
+                 pa.array(np.diff(bounds)), pa.array(sketches(h, bounds, percent), pa.binary())],
+                ["s1", "s2", "items", "size", "sketch"])
+    return texts.select("text").mapInArrow(work, "s1 long, s2 long, items binary, size long, sketch binary")
 
 
 def _overlap(a: np.ndarray, b: np.ndarray) -> int:
@@ -280,24 +305,74 @@ def join_block(sets: list[np.ndarray], side: np.ndarray, dist: np.ndarray, perce
     return out
 
 
+def near_flags(size: np.ndarray, sketch: list[bytes], side: np.ndarray, dist: np.ndarray, percent: int,
+               inner: bool, part: np.ndarray | None = None) -> np.ndarray:
+    """Which sets of a block may be within the threshold of another, by their
+    sketches (see :func:`join_block` for the rest)."""
+    width = np.array([len(x) for x in sketch])
+    flags = np.zeros(len(size), bool)
+    r = (100 - percent) / 100 + 1e-9
+    for w in np.unique(width).tolist():
+        own, wide = np.flatnonzero(width == w), np.flatnonzero(width == 2 * w)
+        table = np.frombuffer(b"".join(sketch[i] for i in own), np.uint8).reshape(-1, w)
+        if len(wide):
+            double = np.frombuffer(b"".join(sketch[i] for i in wide), np.uint8).reshape(-1, 2, w)
+            table = np.concatenate([table, double[:, 0] + double[:, 1]])
+        all_ = np.concatenate([own, wide])
+        for k, i in enumerate(own.tolist()):
+            j = np.arange(k + 1, len(all_))
+            o = all_[j]
+            least = np.minimum(size[o], size[i])
+            ok = (100 * least >= percent * np.maximum(size[o], size[i])) & (np.abs(dist[o] - dist[i]) <= r)
+            ok &= (side[o] != side[i]) if inner else (side[o] == 0) | (side[i] == 0)
+            if part is not None:
+                ok &= part[o] != part[i]
+            j, o, least = j[ok], o[ok], least[ok]
+            if len(j):
+                near = (table[j] != table[k]).sum(1) * percent <= least * (100 - percent)
+                flags[o[near]] = True
+                flags[i] |= bool(near.any())
+    return flags
+
+
+def _blocks_of(t: pa.Table):
+    """The blocks of a table of whole tasks. A task's name is a hash; regions
+    that share one are told apart here."""
+    tasks = t.column("task").to_numpy()
+    cuts = np.flatnonzero(np.concatenate([[True], tasks[1:] != tasks[:-1], [True]]))
+    for a, z in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+        g = t.slice(a, z - a)
+        home = list(zip(*(g.column(c).to_pylist() for c in ("pivot", "p2", "ring", "lo", "hi"))))
+        for which in dict.fromkeys(home):
+            own = g if all(x == which for x in home) else g.take(pa.array([k for k, x in enumerate(home) if x == which]))
+            yield own, which[2] == 0, own.column("b").to_numpy() if which[3] < which[4] else None
+
+
+_TASK = "pivot long, p2 long, ring int, lo int, hi int, b int, side int, dist double, s1 long, s2 long, task long"
+
+
+def _flagged(percent: int):
+    names = [c.split()[0] for c in _TASK.split(", ")]
+
+    def work(batches):
+        for t in grouped(batches, "task", 1):
+            for own, inner, part in _blocks_of(t):
+                flags = near_flags(own.column("size").to_numpy(), own.column("sketch").to_pylist(),
+                                   own.column("side").to_numpy(), own.column("dist").to_numpy(), percent, inner, part)
+                if flags.any():
+                    yield from own.select(names).filter(pa.array(flags)).combine_chunks().to_batches()
+    return work
+
+
 def _rings(percent: int):
     def work(batches):
         for t in grouped(batches, "task", 1):
-            tasks = t.column("task").to_numpy()
-            cuts = np.flatnonzero(np.concatenate([[True], tasks[1:] != tasks[:-1], [True]]))
             rows = []
-            for a, z in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-                g = t.slice(a, z - a)
-                # A task's name is a hash; regions that share one are told apart here.
-                home = list(zip(*(g.column(c).to_pylist() for c in ("pivot", "p2", "ring", "lo", "hi"))))
-                for which in sorted(set(home)):
-                    own = g.take(pa.array([k for k, x in enumerate(home) if x == which]))
-                    side = own.column("side").to_numpy()
-                    names = list(zip(own.column("s1").to_pylist(), own.column("s2").to_pylist()))
-                    for i, j in join_block(_items(own.column("items")), side, own.column("dist").to_numpy(),
-                                           percent, which[2] == 0,
-                                           own.column("b").to_numpy() if which[3] < which[4] else None):
-                        rows.append((*names[i], *names[j]))
+            for own, inner, part in _blocks_of(t):
+                names = list(zip(own.column("s1").to_pylist(), own.column("s2").to_pylist()))
+                for i, j in join_block(_items(own.column("items")), own.column("side").to_numpy(),
+                                       own.column("dist").to_numpy(), percent, inner, part):
+                    rows.append((*names[i], *names[j]))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], ["a1", "a2", "b1", "b2"])
     return work
@@ -332,7 +407,8 @@ def links(texts: DataFrame, named: DataFrame, k: int, percent: int, block: int)
     """Links (a1, a2, b1, b2) between different sets that connect all sets
     within the threshold. ``named``: the written rows of :func:`describe`."""
     sig = signed_sets(texts, k, percent)
-    shared = materialize(sig.groupBy("sig").agg(F.min("s1").alias("lo"), F.max("s1").alias("hi"))
+    short = F.col("s1").bitwiseAND((1 << 40) - 1)  # to tell sets apart, in fewer bytes
+    shared = materialize(sig.groupBy("sig").agg(F.min(short).alias("lo"), F.max(short).alias("hi"))
                          .where("lo <> hi").select("sig"))
     members = materialize(materialize(sieved(sig, shared, ["sig"]).join(shared, "sig")).distinct())
     crowd = materialize(members.groupBy("sig").agg(F.count(F.lit(1)).alias("c")))
@@ -344,7 +420,7 @@ def links(texts: DataFrame, named: DataFrame, k: int, percent: int, block: int)
     of = named.join(materialize(members.select("s1").distinct()), "s1")
     of = materialize(of.groupBy("s1", "s2").agg(F.min(F.struct("did", "cls")).alias("at")).select("at.*").distinct())
     own = sieved(texts, of, ["cls"]).join(of, ["did", "cls"]).dropDuplicates(["did", "cls"])
-    sets = materialize(set_table(own, k))
+    sets = materialize(set_table(own, k, percent))
 
     # Distances to pivots, in slices of bounded size with the pivot in each.
     pairs = region.join(sets.select("s1", "s2"), "s1")
@@ -364,12 +440,16 @@ def links(texts: DataFrame, named: DataFrame, k: int, percent: int, block: int)
     firsts = sizes.select("pivot", "p2", F.explode(F.expr("sequence(0, slices - 1)")).alias("slice"),
                           F.lit(True).alias("first"), F.col("pivot").alias("s1"), F.col("p2").alias("s2"))
     order = ["pivot", "p2", "slice", F.col("first").desc()]
-    far = materialize(rest.unionByName(firsts).join(sets, ["s1", "s2"])
+    far = materialize(rest.unionByName(firsts).join(sets.select("s1", "s2", "items"), ["s1", "s2"])
                       .repartition("pivot", "p2", "slice").sortWithinPartitions(*order)
                       .mapInArrow(_distances, "pivot long, p2 long, s1 long, s2 long, both long, either long").distinct())
     star = far.where(F.col("both") * 100 >= F.col("either") * percent).select(
         F.col("pivot").alias("a1"), F.col("p2").alias("a2"), F.col("s1").alias("b1"), F.col("s2").alias("b2"))
-    inner = materialize(small.unionByName(_ring_tasks(far, percent, block))).join(sets, ["s1", "s2"]).repartition("task") \
+    # Sketches first: sets travel only to blocks where they may be near another.
+    tasks = materialize(small.unionByName(_ring_tasks(far, percent, block)))
+    tasks = materialize(tasks.join(sets.select("s1", "s2", "size", "sketch"), ["s1", "s2"]).repartition("task")
+                        .sortWithinPartitions("task").mapInArrow(_flagged(percent), _TASK))
+    inner = tasks.join(sets.select("s1", "s2", "items"), ["s1", "s2"]).repartition("task") \
         .sortWithinPartitions("task").mapInArrow(_rings(percent), "a1 long, a2 long, b1 long, b2 long")
     return star.unionByName(inner)
 
