@@ -54,7 +54,7 @@ from quire.session import materialize
 
 SHINGLE = 3
 PERCENT = 90
-BLOCK = 256
+BLOCK = 1024
 _MAX = (1 << 63) - 1
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -440,7 +440,9 @@ def links(texts: DataFrame, named: DataFrame, k: int, percent: int, block: int)
     firsts = sizes.select("pivot", "p2", F.explode(F.expr("sequence(0, slices - 1)")).alias("slice"),
                           F.lit(True).alias("first"), F.col("pivot").alias("s1"), F.col("p2").alias("s2"))
     order = ["pivot", "p2", "slice", F.col("first").desc()]
-    far = materialize(rest.unionByName(firsts).join(sets.select("s1", "s2", "items"), ["s1", "s2"])
+    apart = materialize(rest.unionByName(firsts))
+    items = sieved(sets.select("s1", "s2", "items"), apart, ["s1", "s2"])
+    far = materialize(apart.join(items, ["s1", "s2"])
                       .repartition("pivot", "p2", "slice").sortWithinPartitions(*order)
                       .mapInArrow(_distances, "pivot long, p2 long, s1 long, s2 long, both long, either long").distinct())
     star = far.where(F.col("both") * 100 >= F.col("either") * percent).select(
@@ -449,7 +451,8 @@ def links(texts: DataFrame, named: DataFrame, k: int, percent: int, block: int)
     tasks = materialize(small.unionByName(_ring_tasks(far, percent, block)))
     tasks = materialize(tasks.join(sets.select("s1", "s2", "size", "sketch"), ["s1", "s2"]).repartition("task")
                         .sortWithinPartitions("task").mapInArrow(_flagged(percent), _TASK))
-    inner = tasks.join(sets.select("s1", "s2", "items"), ["s1", "s2"]).repartition("task") \
+    items = sieved(sets.select("s1", "s2", "items"), tasks, ["s1", "s2"])
+    inner = tasks.join(items, ["s1", "s2"]).repartition("task") \
         .sortWithinPartitions("task").mapInArrow(_rings(percent), "a1 long, a2 long, b1 long, b2 long")
     return star.unionByName(inner)
 
