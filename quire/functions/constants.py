@@ -91,7 +91,6 @@ DEFAULT_TITLE_CATALOGUE = "Chapter %d"
 DEFAULT_TITLE_SCAN = "Unknown"
 WORDCOUNT_MISSING = "N/A"
 STATUS_COMPLETED = "完成"
-CATALOGUE_RANGE = (1, 20)
 # ---------------------------------------------------------------------------
 
 # Python's str.isspace() set (equals what str.strip() removes), built by rule.

@@ -17,12 +17,6 @@ from quire.functions import text as T
 from quire.operators.lines import markdown_to_html
 
 
-def number_domain(spark: SparkSession, lo: int = C.CATALOGUE_RANGE[0],
-                  hi: int = C.CATALOGUE_RANGE[1]) -> DataFrame:
-    """The fixed chapter-number domain ``lo..hi`` (size fixed, broadcast-safe)."""
-    return spark.range(lo, hi + 1).select(F.col("id").cast("int").alias("chapter_no"))
-
-
 def preview(summary: Column, n: int = C.PREVIEW_CHARS) -> Column:
     """P10: stripped summary cut to ``n`` chars plus ``...``; missing ⇒ literal."""
     s = T.py_strip(summary)
@@ -30,21 +24,26 @@ def preview(summary: Column, n: int = C.PREVIEW_CHARS) -> Column:
         F.when(F.length(s) > n, F.concat(F.substring(s, 1, n), F.lit(C.ELLIPSIS))).otherwise(s))
 
 
+def title_keys(toc: DataFrame) -> list[str]:
+    """Titles are keyed by book and chapter, or by chapter where one table of
+    contents holds for all books."""
+    return [c for c in ("book_id", "chapter_no") if c in toc.columns]
+
+
 def catalogue(spark: SparkSession, translations: DataFrame, summaries: DataFrame,
               merged: DataFrame, toc: DataFrame) -> DataFrame:
     """J3 + J4 + A7 + P10 + P11 + P18: one catalogue row per translated
-    chapter in the number domain.
+    chapter, whatever the book's size.
 
     ``translations(book_id, chapter_no, text)``, ``summaries(book_id,
     chapter_no, text)`` (no row = no summary), ``merged(book_id, chapter_no)``
-    (a full audio file exists), ``toc(chapter_no, title)``.
+    (a full audio file exists), ``toc([book_id,] chapter_no, title)``.
     """
     k = ["book_id", "chapter_no"]
-    tr = translations.join(F.broadcast(number_domain(spark)), "chapter_no", "left_semi")
-    return (tr.select(*k, T.cjk_count(F.col("text")).alias("wordCount"))
+    return (translations.select(*k, T.cjk_count(F.col("text")).alias("wordCount"))
             .join(summaries.select(*k, F.col("text").alias("_summary")), k, "left")
             .join(merged.select(*k, F.lit(True).alias("_audio")), k, "left")
-            .join(F.broadcast(toc.select("chapter_no", F.col("title").alias("_title"))), "chapter_no", "left")
+            .join(toc.withColumnRenamed("title", "_title"), title_keys(toc), "left")
             .select(*k,
                     F.col("chapter_no").alias("number"),
                     F.coalesce("_title", F.format_string(C.DEFAULT_TITLE_CATALOGUE, F.col("chapter_no"))).alias("title"),

@@ -45,7 +45,7 @@ def build_request(chunk: Column, part_no: Column, n_parts: Column, system: str,
 def call_model(df: DataFrame, model: Model, keys: list[str], input_col: str = "input",
                on_failure: str = "sentinel", part_col: str = "part_no",
                max_attempts: int = C.MAX_ATTEMPTS, binary: bool = False,
-               carry: list[str] | None = None) -> DataFrame:
+               carry: list[str] | None = None, parallelism: int | None = None) -> DataFrame:
     """M1–M4 + M8: run ``model`` over ``input_col`` with retries.
 
     Output columns: ``keys``, ``output``, ``status`` (ok/failed), ``attempts``,
@@ -53,6 +53,9 @@ def call_model(df: DataFrame, model: Model, keys: list[str], input_col: str = "i
     ``on_failure`` picks the text of a failed row: the chunk sentinel
     (``sentinel``), ``''`` (``empty``), the input (``passthrough``) or NULL.
     ``carry`` columns pass through unchanged (no join back to the input).
+    ``parallelism`` bounds how many batches run at once (default: the scan's
+    tasks). A model that raises fails rows, not the job: the batch is called
+    again row by row, and a row that raises has the message as its error.
     """
     carry = [c for c in (carry or []) if c not in keys]
     if on_failure not in POLICIES:
@@ -79,7 +82,7 @@ def call_model(df: DataFrame, model: Model, keys: list[str], input_col: str = "i
                 if len(pending) == 0:
                     break
                 batch = pdf.iloc[pending].reset_index(drop=True)
-                res = model(batch, a)
+                res = _isolated(model, batch, a)
                 got = res["output"].to_numpy(dtype=object)
                 success = np.array([g is not None for g in got], dtype=bool)
                 attempts[pending] = a
@@ -108,7 +111,21 @@ def call_model(df: DataFrame, model: Model, keys: list[str], input_col: str = "i
             res_df["service_us"] = service
             yield res_df
 
-    return df.select(*cols).mapInPandas(run, schema)
+    rows = df.select(*cols)
+    if parallelism is not None:
+        rows = rows.repartition(parallelism, *keys)
+    return rows.mapInPandas(run, schema)
+
+
+def _isolated(model: Model, batch: pd.DataFrame, attempt: int) -> pd.DataFrame:
+    """One attempt over a batch; an exception becomes a failed row."""
+    try:
+        return model(batch, attempt)
+    except Exception as e:
+        if len(batch) == 1:
+            return pd.DataFrame({"output": [None], "error": [f"{type(e).__name__}: {e}"], "service_us": [0]})
+        return pd.concat([_isolated(model, batch.iloc[[i]].reset_index(drop=True), attempt)
+                          for i in range(len(batch))], ignore_index=True)
 
 
 def reassemble(responses: DataFrame, keys: list[str], text_col: str = "output",

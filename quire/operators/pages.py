@@ -107,7 +107,7 @@ def chapter_texts(pages: DataFrame, ranges: DataFrame, toc: DataFrame | None = N
                    F.coalesce("body", F.lit("")).alias("body"),
                    F.coalesce("n_text_pages", F.lit(0)).alias("n_text_pages")))
     if toc is not None:
-        out = out.join(F.broadcast(toc.select("chapter_no", "title")), "chapter_no", "left")
+        out = out.join(toc, [c for c in ("book_id", "chapter_no") if c in toc.columns], "left")
         title = F.coalesce(F.col("title"), F.lit(default_title))
     else:
         title = F.lit(default_title)

@@ -19,12 +19,16 @@ def missing_parts(expected: DataFrame, existing: DataFrame, keys: list[str]) ->
 
 
 def complete_sets(parts: DataFrame, expected: DataFrame, set_keys: list[str],
-                  part_col: str = "part_no", n_col: str = "n_parts") -> DataFrame:
+                  part_col: str = "part_no", n_col: str = "n_parts",
+                  content_col: str = "content") -> DataFrame:
     """J7 + A5: per set, how many of the expected parts ``1..n`` exist.
 
     ``expected`` has one row per set with ``n_col``; a set is complete when
-    every part number ``1..n`` is present (duplicates and strays ignored).
+    every part number ``1..n`` is present (duplicates and strays ignored). A
+    part whose content is NULL (a failed one) is not present.
     """
+    if content_col in parts.columns:
+        parts = parts.where(F.col(content_col).isNotNull())
     present = (parts.where(F.col(part_col) >= 1).select(*set_keys, part_col).distinct()
                .join(expected.select(*set_keys, n_col), set_keys)
                .where(F.col(part_col) <= F.col(n_col))
@@ -47,7 +51,8 @@ def gated_merge(parts: DataFrame, expected: DataFrame, set_keys: list[str], part
     number of parts ``1..n`` present, ``complete``, and the ordered
     concatenation when complete and at least ``min_parts`` long (else NULL).
 
-    Part rows are keyed by ``(set_keys, part_no)`` (one row per part).
+    A part is present when it has content; of several rows of one part the
+    least content counts.
     """
     j = expected.select(*set_keys, n_col).join(parts.select(*set_keys, part_col, content_col), set_keys, "left")
     return gate_rows(j, set_keys, part_col, n_col, content_col, min_parts)
@@ -58,12 +63,13 @@ def gate_rows(rows: DataFrame, set_keys: list[str], part_col: str = "part_no", n
     """The aggregation half of :func:`gated_merge`, for rows that already pair
     each expected set (``n_col``) with its parts (NULL part when none), e.g.
     from ``posexplode_outer`` when plan and parts live in the same row."""
-    valid = F.col(part_col).between(F.lit(1), F.col(n_col))
-    agg = rows.groupBy(*set_keys).agg(
+    valid = F.col(part_col).between(F.lit(1), F.col(n_col)) & F.col(content_col).isNotNull()
+    one = rows.groupBy(*set_keys, part_col).agg(
+        F.max(n_col).alias(n_col), F.min(F.when(valid, F.col(content_col))).alias(content_col))
+    agg = one.groupBy(*set_keys).agg(
         F.max(n_col).alias(n_col),
-        F.count(F.when(valid, F.col(part_col))).alias("n_present"),
-        F.expr(f"listagg(CASE WHEN {part_col} BETWEEN 1 AND {n_col} THEN {content_col} END) "
-               f"WITHIN GROUP (ORDER BY {part_col})").alias("_all"))
+        F.count(content_col).alias("n_present"),
+        F.expr(f"listagg({content_col}) WITHIN GROUP (ORDER BY {part_col})").alias("_all"))
     complete = F.col("n_present") == F.col(n_col)
     return agg.select(*set_keys, n_col, "n_present", complete.alias("complete"),
                       F.when(complete & (F.col(n_col) >= min_parts), F.col("_all")).alias("content"))

@@ -17,8 +17,11 @@ from pyspark.sql import functions as F
 from quire.functions import constants as C
 from quire.functions import text as T
 
-# Private-use sentinels; documents must not contain them (checked by the tests).
-MATCH_START, TITLE_START, TITLE_END = "\ue000", "\ue001", "\ue002"
+# Private-use sentinels. Where a text has them (or the escape) itself, each
+# is written as the escape and a second mark, and put back in every piece.
+MATCH_START, TITLE_START, TITLE_END, ESCAPE = "\ue000", "\ue001", "\ue002", "\ue003"
+_ESCAPED = [(ESCAPE, ESCAPE + "\ue007"), (MATCH_START, ESCAPE + "\ue004"),
+            (TITLE_START, ESCAPE + "\ue005"), (TITLE_END, ESCAPE + "\ue006")]
 
 _WS_INNER = C.WS_CLASS[1:-1]
 
@@ -64,18 +67,35 @@ def title_kept(title: Column) -> Column:
     return ok & (F.length(title) >= C.SEGMENT_TITLE_MIN_LEN) & ~title.startswith(C.SEGMENT_TITLE_BANNED_PREFIX)
 
 
+def _swap(text: Column, pairs: list[tuple[str, str]]) -> Column:
+    out = text
+    for old, new in pairs:
+        out = F.replace(out, F.lit(old), F.lit(new))
+    return F.when(text.contains(ESCAPE) | text.contains(MATCH_START) | text.contains(TITLE_START)
+                  | text.contains(TITLE_END), out).otherwise(text)
+
+
+def _escape(text: Column) -> Column:
+    return _swap(text, _ESCAPED)
+
+
+def _restore(text: Column) -> Column:
+    return _swap(text, [(new, old) for old, new in reversed(_ESCAPED)])
+
+
 def match_pieces(text: Column, pattern: str) -> Column:
     """``array<struct<full, title, body, kept>>``: one element per match."""
-    marked = F.regexp_replace(text, F.lit(java_pattern(pattern)),
+    marked = F.regexp_replace(_escape(text), F.lit(java_pattern(pattern)),
                               F.lit(MATCH_START + "$0" + TITLE_START + "$1" + TITLE_END))
-    raw = F.slice(F.split(marked, MATCH_START), 2, 1 << 30)
+    split = F.split(marked, MATCH_START)
+    raw = F.slice(split, 2, F.size(split))  # all but the first
 
     def parse(piece):
         rest = F.substring_index(piece, TITLE_START, -1)
-        title = T.py_strip(F.substring_index(rest, TITLE_END, 1))
-        return F.struct(F.substring_index(piece, TITLE_START, 1).alias("full"),
+        title = T.py_strip(_restore(F.substring_index(rest, TITLE_END, 1)))
+        return F.struct(_restore(F.substring_index(piece, TITLE_START, 1)).alias("full"),
                         title.alias("title"),
-                        F.substring_index(rest, TITLE_END, -1).alias("body"),
+                        _restore(F.substring_index(rest, TITLE_END, -1)).alias("body"),
                         title_kept(title).alias("kept"))
 
     return F.transform(raw, parse)

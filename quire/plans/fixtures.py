@@ -88,7 +88,7 @@ def chapter_docs(spark: SparkSession, sf_dir: str,
     chapter, in up to four forms that drive the chunkers down each cut rule
     (raw; newline doubled = paragraph cut; marks blanked = space cut;
     blanks and marks replaced = hard cut)."""
-    d = text_table(spark, sf_dir, "documents", ["doc_id", "text"], "doc_id")
+    d = text_table(spark, sf_dir, "documents", ["doc_id", "text"])
     base = d.select(_book_of("doc_id").alias("book_id"),
                     ((F.col("doc_id") % PAGES_PER_BOOK) + 1).cast("int").alias("chapter_no"),
                     F.col("text"))
@@ -102,7 +102,7 @@ def chapter_docs(spark: SparkSession, sf_dir: str,
 def zh_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``zh_docs(book_id, chapter_no, text)``: paragraph form with CJK letters
     and full-width marks substituted in."""
-    d = text_table(spark, sf_dir, "documents", ["doc_id", "text"], "doc_id")
+    d = text_table(spark, sf_dir, "documents", ["doc_id", "text"])
     para = F.replace(F.col("text"), F.lit("\n"), F.lit("\n\n"))
     return d.select(_book_of("doc_id").alias("book_id"),
                     ((F.col("doc_id") % PAGES_PER_BOOK) + 1).cast("int").alias("chapter_no"),
@@ -115,7 +115,7 @@ def raw_chapters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 HEADING_PAGE_OFFSET = 3     # headings before pages 3, 10, 17, ... (k = 1..7)
-LAST_PAGE = PAGES_PER_BOOK - 1   # heading k = 8 before the last page, cut to 300 chars
+LAST_PAGE = PAGES_PER_BOOK - 1   # heading k = 8 before the last page
 DROPPED_HEADING = 4         # its title contains HTTP, so it is filtered out
 
 
@@ -138,7 +138,7 @@ def marked_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     heading = F.concat(F.lit("\n"), k.cast("string"), F.lit(": THE "),
                        F.when(k == DROPPED_HEADING, F.lit("HTTP ")).otherwise(F.lit("")),
                        F.lit("CHAPTER ABOUT TOPIC "), F.expr("chr(65 + k)"), F.lit("\n"))
-    body = F.when(page_no == LAST_PAGE, F.substring("text", 1, 300)).otherwise(F.col("text"))
+    body = F.col("text")
     pages = pages.select("book_id", "page_no",
                          F.concat(F.when(show, heading).otherwise(F.lit("")), body).alias("piece"))
     return (pages.groupBy("book_id")
@@ -273,9 +273,8 @@ def done_parts(spark: SparkSession, sf_dir: str, chunks: DataFrame | None = None
 
 
 def cat_translations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Translated chapter files for the catalogue; some are missing
-    (``(book_id + chapter_no) % 9 == 0``) so the number domain join skips them."""
-    return zh_files(spark, sf_dir).where(((F.col("book_id") + F.col("chapter_no")) % 9) != 0)
+    """Translated chapter files for the catalogue: all of them."""
+    return zh_files(spark, sf_dir)
 
 
 def chapter_part_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -332,7 +332,7 @@ FROM (
               THEN {NL} || CAST(k AS VARCHAR) || ': THE ' || CASE WHEN k = 4 THEN 'HTTP ' ELSE '' END
                    || 'CHAPTER ABOUT TOPIC ' || chr(65 + k) || {NL}
               ELSE '' END
-         || CASE WHEN page_no = 49 THEN substring(text, 1, 300) ELSE text END AS piece
+         || text AS piece
   FROM (SELECT CAST(floor(doc_id / 50.0) AS BIGINT) AS book_id, CAST(doc_id % 50 AS INTEGER) AS page_no, text,
                CASE WHEN doc_id % 50 % 7 = 3 THEN CAST(floor((doc_id % 50 - 3) / 7.0) + 1 AS INTEGER)
                     WHEN doc_id % 50 = 49 THEN 8 END AS k
@@ -688,7 +688,7 @@ FROM merged GROUP BY book_id""")
 
 # --- step 10: catalogue ------------------------------------------------------------------
 
-view("cat_translations", "SELECT * FROM zh_files WHERE (book_id + chapter_no) % 9 <> 0", ["zh_files"])
+view("cat_translations", "SELECT * FROM zh_files", ["zh_files"])
 view("cat_summaries", f"""
 SELECT book_id, chapter_no, {strip(_UP.format(x=strip("substring(substring(text, 1, 3000), 1, (chapter_no * 37) % 400)")))} AS text
 FROM cat_translations WHERE chapter_no % 4 + 1 <= 3""", ["cat_translations"])
@@ -705,8 +705,7 @@ SELECT t.book_id, t.chapter_no, t.chapter_no AS number,
 FROM cat_translations t
 LEFT JOIN cat_summaries s ON t.book_id = s.book_id AND t.chapter_no = s.chapter_no
 LEFT JOIN cat_merged m ON t.book_id = m.book_id AND t.chapter_no = m.chapter_no
-LEFT JOIN toc c ON t.chapter_no = c.chapter_no
-WHERE t.chapter_no BETWEEN 1 AND 20""", ["cat_translations", "cat_summaries", "cat_merged", "toc"])
+LEFT JOIN toc c ON t.chapter_no = c.chapter_no""", ["cat_translations", "cat_summaries", "cat_merged", "toc"])
 
 oracle("cjk_count", ["cat_translations"], """
 SELECT book_id, chapter_no, CAST(length(regexp_replace(text, '[^一-鿿]', '', 'g')) AS INTEGER) AS wordCount,
@@ -738,12 +737,13 @@ FROM (
   LEFT JOIN toc c ON t.chapter_no = c.chapter_no)
 GROUP BY book_id""")
 
-oracle("book_cards", ["cat"], """
+oracle("book_cards", ["cat", "raw_chapters"], """
 SELECT c.book_id, c.number, printf('chapters/chapter_%02d.html', c.number) AS href,
        printf('Chapter %d · %s', c.number, c.title) AS heading, c.summary, c.hasAudio,
        coalesce(CAST(nullif(c.wordCount, 0) AS VARCHAR), 'N/A') AS count_text,
-       CASE WHEN b.n = 20 THEN 'completed' ELSE 'in-progress' END AS status_class
-FROM cat c JOIN (SELECT book_id, count(*) AS n FROM cat GROUP BY book_id) b ON c.book_id = b.book_id""")
+       CASE WHEN b.n = r.n THEN 'completed' ELSE 'in-progress' END AS status_class
+FROM cat c JOIN (SELECT book_id, count(*) AS n FROM cat GROUP BY book_id) b ON c.book_id = b.book_id
+JOIN (SELECT book_id, count(*) AS n FROM raw_chapters GROUP BY book_id) r ON c.book_id = r.book_id""")
 
 oracle("chapter_page", ["md_blocks", "cat_translations", "cat_summaries", "cat_merged", "toc"], """
 SELECT t.book_id, t.chapter_no, printf('chapter_%02d.html', t.chapter_no) AS file,
@@ -759,8 +759,7 @@ LEFT JOIN (SELECT book_id, chapter_no, string_agg(html, chr(10) ORDER BY block_n
            FROM md_blocks GROUP BY book_id, chapter_no) b ON t.book_id = b.book_id AND t.chapter_no = b.chapter_no
 LEFT JOIN cat_summaries s ON t.book_id = s.book_id AND t.chapter_no = s.chapter_no
 LEFT JOIN cat_merged m ON t.book_id = m.book_id AND t.chapter_no = m.chapter_no
-LEFT JOIN toc c ON t.chapter_no = c.chapter_no
-WHERE t.chapter_no BETWEEN 1 AND 20""")
+LEFT JOIN toc c ON t.chapter_no = c.chapter_no""")
 
 
 # --- step 11: round trips ---------------------------------------------------------------------

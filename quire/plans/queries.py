@@ -279,7 +279,6 @@ def prompts(spark, sf_dir):
         *_CK, "n_parts", "r.system", "r.user", "r.temperature", "r.max_tokens")
 
 
-@query
 def translate_chunks(spark, sf_dir):
     """M1 + M8: model output per chunk with attempts, backoff and status."""
     return _translated(spark, sf_dir).drop("title")
@@ -320,7 +319,6 @@ def clean_passthrough(spark, sf_dir):
         F.col("output").alias("text"))
 
 
-@query
 def retry_accounting(spark, sf_dir):
     """M8 + R4 + A10: per book: calls, attempts, retries' backoff, service
     and the fixed pause after every call (integers, so exact everywhere)."""
@@ -335,7 +333,6 @@ def retry_accounting(spark, sf_dir):
         (F.count("*") * C.PAUSE_AFTER_CALL_S).alias("pause_s"))
 
 
-@query
 def fail_fast(spark, sf_dir):
     """M6: the stop-at-first-failure policy (later parts not attempted; no merge)."""
     r = MD.stop_at_first_failure(_translated(spark, sf_dir), ["book_id", "chapter_no"])
@@ -364,13 +361,11 @@ def _open_loop(spark, sf_dir):
                                  FX.OPEN_LOOP_GAP_US)
 
 
-@query
 def rate_open_loop(spark, sf_dir):
     """R2: earliest allowed send per request (one per hour per user)."""
     return _open_loop(spark, sf_dir).select("user_id", "event_id", "i", "at_us", "send_us", "delay_us")
 
 
-@query
 def rate_closed_loop(spark, sf_dir):
     """R1 + R4: queued calls at QPM 5 (12 s spacing) with a 1 s pause after each."""
     s = RT.closed_loop_schedule(FX.calls(spark, sf_dir), "user_id", "service_us", _ORDER,
@@ -501,7 +496,7 @@ def book_export(spark, sf_dir):
     ch = (tr.join(orig, _SK)
           .join(summ.withColumnRenamed("text", "summary"), _SK, "left")
           .join(merged.withColumn("_m", F.lit(True)), _SK, "left")
-          .join(F.broadcast(FX.toc(spark)), "chapter_no", "left")
+          .join(FX.toc(spark), "chapter_no", "left")
           .select("book_id", F.col("chapter_no").alias("number"),
                   F.coalesce("title", F.format_string("Chapter %d", F.col("chapter_no"))).alias("title"),
                   "original", F.col("text").alias("translation"),
@@ -517,10 +512,9 @@ def book_export(spark, sf_dir):
 def chapter_page(spark, sf_dir):
     """T7 + T8 + K6: the HTML page of every catalogued chapter."""
     tr, summ, merged = _catalog_inputs(spark, sf_dir)
-    tr = tr.join(F.broadcast(CT.number_domain(spark)), "chapter_no", "left_semi")
     page = (tr.join(summ.withColumnRenamed("text", "summary"), _SK, "left")
             .join(merged.withColumn("_m", F.lit(True)), _SK, "left")
-            .join(F.broadcast(FX.toc(spark)), "chapter_no", "left"))
+            .join(FX.toc(spark), "chapter_no", "left"))
     html = CT.chapter_page(F.col("chapter_no"), F.coalesce("title", F.lit("")), F.col("summary"),
                            F.coalesce("_m", F.lit(False)), LN.format_markdown(F.col("text")))
     return page.select(*_SK, F.format_string("chapter_%02d.html", F.col("chapter_no")).alias("file"),
@@ -530,10 +524,11 @@ def chapter_page(spark, sf_dir):
 @query
 def book_cards(spark, sf_dir):
     """P22 + P16 + P17: the card view over the catalogue with the book's
-    status badge (completed when no chapter of 1..20 is missing)."""
-    cat = _catalogue(spark, sf_dir)
+    status badge (completed when no chapter of the book is missing)."""
+    sizes = FX.raw_chapters(spark, sf_dir).groupBy("book_id").agg(F.count("*").alias("_size"))
+    cat = _catalogue(spark, sf_dir).join(sizes, "book_id")
     n = F.count("*").over(Window.partitionBy("book_id"))
-    status = F.when(n == C.CATALOGUE_RANGE[1], F.lit(C.STATUS_COMPLETED)).otherwise(F.lit("in progress"))
+    status = F.when(n == F.col("_size"), F.lit(C.STATUS_COMPLETED)).otherwise(F.lit("in progress"))
     return cat.withColumn("status", status).select(
         "book_id", "number",
         F.format_string("chapters/chapter_%02d.html", F.col("number")).alias("href"),

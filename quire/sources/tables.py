@@ -15,24 +15,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def spread(df: DataFrame, key: str | None = None, factor: int = 2) -> DataFrame:
-    """Give CPU-heavy per-row work enough tasks.
-
-    A large table already scans as many splits and is returned unchanged
-    (no shuffle). A table stored as few row groups scans as one or two tasks;
-    then it is hash-partitioned (by ``key`` when given, deterministic on
-    retry) over ``factor`` × the cluster's default parallelism.
-    """
-    try:
-        want = df.sparkSession.sparkContext.defaultParallelism * factor
-        have = df.rdd.getNumPartitions()
-    except Exception:  # e.g. a remote session without RDD access: keep the scan as is
-        return df
-    if have >= want:
-        return df
-    return df.repartition(want, key) if key else df.repartition(want)
-
-
-def text_table(spark: SparkSession, sf_dir: str, name: str, cols: list[str], key: str) -> DataFrame:
-    """Scan the needed columns of a text-heavy table and spread it (see :func:`spread`)."""
-    return spread(table(spark, sf_dir, name).select(*cols), key)
+def text_table(spark: SparkSession, sf_dir: str, name: str, cols: list[str]) -> DataFrame:
+    """Scan the needed columns of a text-heavy table. The number of tasks is
+    the scan's (``spark.sql.files.maxPartitionBytes``)."""
+    return table(spark, sf_dir, name).select(*cols)
