@@ -2,8 +2,8 @@
 
 Words are runs of letters, digits and bytes beyond ASCII, in lower case, so
 punctuation and case are no differences. The n-grams of the test items are
-looked up in all texts; of each item's n-grams those are seeds that are rare
-in the corpus: its rarer half, ``least_seeds`` at least, by a corpus-wide
+looked up in all texts; of each item's n-grams that occur those are seeds that
+are rare in the corpus: the rarer half, ``least_seeds`` at least, by a corpus-wide
 count. (A share, not a fixed frequency: an item that has leaked very often has
 frequent n-grams only, and keeps its seeds.) A text and an item that share
 ``min_seeds`` seeds (all of them, for items of fewer) are aligned locally over
@@ -168,8 +168,9 @@ def scored(docs: DataFrame, items: DataFrame, n: int = N, min_seeds: int = MIN_S
     # One place for each distinct text (the one of the lowest number).
     counts = found.groupBy("gram").agg(F.count(F.lit(1)).alias("c"))
     per_item = grams.groupBy("item", "item_id", "gram", "words").agg(F.min("at").alias("at"))
-    rare = Window.partitionBy("item").orderBy(F.coalesce("c", F.lit(0)), "gram")
-    seeds = materialize(per_item.join(counts, "gram", "left").withColumn("r", F.row_number().over(rare))
+    # N-grams that the corpus lacks (an edit broke them) would be no seeds.
+    rare = Window.partitionBy("item").orderBy("c", "gram")
+    seeds = materialize(per_item.join(counts, "gram").withColumn("r", F.row_number().over(rare))
                         .withColumn("of", F.count(F.lit(1)).over(Window.partitionBy("item")))
                         .where(F.col("r") <= F.greatest(F.ceil(F.col("of") / 2), F.lit(least_seeds))))
     pairs = found.join(seeds.select("gram", "item", "of", "at"), "gram").groupBy("cls", "did", "item").agg(
