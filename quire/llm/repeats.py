@@ -31,7 +31,7 @@ from quire.llm.sieve import sieved
 
 #: An anchor with more different contexts than this is compared through a
 #: shuffle on window hashes instead of inside one task (same result).
-GROUP_LIMIT = 512
+GROUP_LIMIT = 4096
 
 
 def text_class(text: str = "text"):
