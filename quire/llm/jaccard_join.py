@@ -12,7 +12,8 @@ goes in three steps, each exact:
    the hashes of each part are the signatures; D follows the size, in bands,
    and a set near the upper border of its band is replicated to the next one.
    (A part that is empty says nothing: there are some parts more than D + 1,
-   and a set with too many empty ones is dealt again by another hash.)
+   and a set with too many empty ones is dealt again by another hash.) As all
+   parts but D agree, a set that shares fewer signatures than these goes.
 2. *Voronoi regions.* Each signature that several sets share takes as pivot its
    best connected set; a set belongs to the regions of the pivots of its
    signatures. Two sets within r share a signature and so a region. A region
@@ -115,12 +116,17 @@ def part_counts(percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def signatures(h: np.ndarray, bounds: np.ndarray, percent: int):
-    """Row and signature of each part of each row's set. Empty parts have
-    none; a set with too many of them is dealt again by another hash (the last
-    one keeps them)."""
+    """Row and signature of each part of each row's set, and ``need``. Empty
+    parts have none; a set with too many of them is dealt again by another hash
+    (the last one keeps them).
+
+    A set of n items within the threshold of another differs from it in at
+    most n * (100 - percent) / percent items, so all parts of a deal but as
+    many agree. Less its empty ones, these are the signatures it must share:
+    ``need`` holds their number times 8, plus the number of the deal."""
     border, worst, number = part_counts(percent)
     size = np.diff(bounds)
-    rows, out = [], []
+    rows, out, needs = [], [], []
     own = np.searchsorted(border, size, "right") - 1
     nearby = 100 * size >= percent * border[np.minimum(own + 1, len(border) - 1)]
     for step in (0, 1):
@@ -147,11 +153,13 @@ def signatures(h: np.ndarray, bounds: np.ndarray, percent: int):
             rows.append(r[where][keep])
             out.append(V.mix(sums ^ tag)[keep])
             empties = np.bincount(where[count == 0], minlength=len(r))
+            agree = parts - np.minimum(worst[band], n * (100 - percent) // percent) - (0 if last else empties)
+            needs.append((np.maximum(agree, 1) * 8 + step * len(_SEEDS) + level)[where][keep])
             todo = np.zeros(len(size), bool)
             todo[r[empties >= parts - worst[band]]] = True
     if not rows:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return np.concatenate(rows), V.signed(np.concatenate(out))
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return np.concatenate(rows), V.signed(np.concatenate(out)), np.concatenate(needs)
 
 
 def _sets(batches, k: int):
@@ -174,14 +182,24 @@ def describe(texts: DataFrame, k: int) -> DataFrame:
 
 
 def signed_sets(texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """One row for each signature: sig, s1."""
+    """One row for each signature: sig, s1, need."""
     def work(batches):
         for _, h, bounds in _sets(batches, k):
             s1, _ = _names(h, bounds)
-            row, sig = signatures(h, bounds, percent)
+            row, sig, need = signatures(h, bounds, percent)
             # 48 bits are enough: a collision only makes a candidate.
-            yield pa.RecordBatch.from_arrays([pa.array(sig & (1 << 48) - 1), pa.array(s1[row])], ["sig", "s1"])
-    return texts.select("text").mapInArrow(work, "sig long, s1 long")
+            yield pa.RecordBatch.from_arrays([pa.array(sig & (1 << 48) - 1), pa.array(s1[row]), pa.array(need)],
+                                             ["sig", "s1", "need"])
+    return texts.select("text").mapInArrow(work, "sig long, s1 long, need long")
+
+
+def _with_enough(members: DataFrame) -> DataFrame:
+    """The rows (sig, s1, need) of sets that share as many signatures as they
+    need, as far as another such set has the signature."""
+    enough = members.groupBy("s1", "need").agg(F.count(F.lit(1)).alias("c")).where("c >= shiftright(need, 3)")
+    held = materialize(members.join(materialize(enough.select("s1", "need")), ["s1", "need"]))
+    several = held.groupBy("sig").agg(F.min("s1").alias("lo"), F.max("s1").alias("hi")).where("lo <> hi")
+    return materialize(held.join(materialize(several.select("sig")), "sig"))
 
 
 def sketch_width(size: int, percent: int) -> int:
@@ -411,6 +429,9 @@ def links(texts: DataFrame, named: DataFrame, k: int, percent: int, block: int)
     shared = materialize(sig.groupBy("sig").agg(F.min(short).alias("lo"), F.max(short).alias("hi"))
                          .where("lo <> hi").select("sig"))
     members = materialize(materialize(sieved(sig, shared, ["sig"]).join(shared, "sig")).distinct())
+    for _ in range(2):  # what the first round takes away lets the second take more
+        members = _with_enough(members)
+    members = members.select("sig", "s1")
     crowd = materialize(members.groupBy("sig").agg(F.count(F.lit(1)).alias("c")))
     score = materialize(members.join(crowd, "sig").groupBy("s1").agg(F.sum("c").alias("score")))
     best = materialize(members.join(score, "s1").groupBy("sig").agg(F.max(F.struct("score", "s1")).alias("best")))

@@ -5,6 +5,7 @@ import collections
 import hashlib
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -133,6 +134,29 @@ def test_jaccard(docs, rows, k, percent, block):
     assert kept.count() == len({r for r, s in zip(root, sets) if s}) + sum(not s for s in sets)
 
 
+@pytest.mark.parametrize("percent", [80, 90])
+def test_near_sets_share_as_many_signatures_as_they_need(percent):
+    rng = np.random.default_rng(percent)
+    met = 0
+    for size in [1, 2, 3, 5, 8, 12, 20, 41, 80, 150, 400, 900] * 40:
+        x = np.unique(rng.integers(0, 1 << 63, int(size * rng.uniform(1, 1.4))).astype(np.uint64))
+        d = int(rng.integers(0, len(x) * (100 - percent) // percent + 1))
+        less = int(rng.choice([0, d // 2, d])) if d < len(x) else 0
+        y = np.unique(np.concatenate([rng.permutation(x)[less:], rng.integers(0, 1 << 63, d - less).astype(np.uint64)]))
+        both = len(np.intersect1d(x, y))
+        if len(x) == len(y) == both or 100 * both < percent * (len(x) + len(y) - both):
+            continue
+        met += 1
+        row, sig, need = jaccard_join.signatures(np.concatenate([x, y]), np.array([0, len(x), len(x) + len(y)]), percent)
+        shared = set(sig[row == 0]) & set(sig[row == 1])
+        stay = []
+        for r in (0, 1):
+            deals = [(t >> 3, set(sig[(row == r) & (need == t)])) for t in np.unique(need[row == r]).tolist()]
+            stay.append(set().union(*(own for least, own in deals if len(own & shared) >= least)))
+        assert stay[0] & stay[1]
+    assert met > 200
+
+
 def test_sharding(docs, rows):
     got = sharding.shard(docs, ranges=16).collect()
     assert len(got) == len(rows)
