@@ -1,15 +1,16 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman.
 
 Words are runs of letters, digits and bytes beyond ASCII, in lower case, so
 punctuation and case are no differences. The n-grams of the test items are
-looked up in all texts; of each item's n-grams that occur those are seeds that
-are rare in the corpus: the rarer half, ``least_seeds`` at least, by a corpus-wide
-count. (A share, not a fixed frequency: an item that has leaked very often has
-frequent n-grams only, and keeps its seeds.) A text and an item that share
-``min_seeds`` seeds (all of them, for items of fewer) are aligned locally over
-the part of the text that the seeds point at; the score is the alignment's
-score over that of the whole item, so an edited copy loses a little for each
-edit.
+looked up in all texts, and all that occur are seeds, however frequent: counts
+would take the leaks themselves for common language, and the n-grams that an
+edited copy still has are the very ones that other copies make frequent. A
+text and an item that share ``min_seeds`` seeds (all of them, for items of
+fewer; one, for items so short that an edit in every run of n + 1 words leaves
+one) are aligned locally over the part of the text that the seeds point at;
+the score is the alignment's score over that of the whole item, so an edited
+copy loses a little for each edit. What this costs grows with the pairs of a
+text and an item that share a seed, by common words too.
 
 All work is on distinct texts. What is broadcast to find hits is a bitmap of
 bounded size (:mod:`quire.llm.sieve`); the exact join with the seeds follows.
@@ -33,7 +34,6 @@ from quire.session import materialize
 
 N = 3
 MIN_SEEDS = 2
-LEAST_SEEDS = 8
 THRESHOLD = 0.5
 #: Alignment scores for an equal word, a different word and a gap.
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -156,8 +156,7 @@ def _score(batches):
                 ["cls", "item_id", "score", "first_word", "end_word", "n_seeds"])
 
 
-def scored(docs: DataFrame, items: DataFrame, n: int = N, min_seeds: int = MIN_SEEDS,
-           least_seeds: int = LEAST_SEEDS) -> DataFrame:
+def scored(docs: DataFrame, items: DataFrame, n: int = N, min_seeds: int = MIN_SEEDS) -> DataFrame:
     """(cls, item_id, score, first_word, end_word, n_seeds) of every text
     class and item that share enough seeds."""
     texts = keyed(docs)
@@ -165,19 +164,18 @@ def scored(docs: DataFrame, items: DataFrame, n: int = N, min_seeds: int = MIN_S
                                      F.col("item_id").cast("long").alias("item_id"), "text"))
     grams = materialize(item_grams(named, n))
     found = materialize(hits(texts, grams, n))
-    # One place for each distinct text (the one of the lowest number).
-    counts = found.groupBy("gram").agg(F.count(F.lit(1)).alias("c"))
     per_item = grams.groupBy("item", "item_id", "gram", "words").agg(F.min("at").alias("at"))
-    # N-grams that the corpus lacks (an edit broke them) would be no seeds.
-    rare = Window.partitionBy("item").orderBy("c", "gram")
-    seeds = materialize(per_item.join(counts, "gram").withColumn("r", F.row_number().over(rare))
-                        .withColumn("of", F.count(F.lit(1)).over(Window.partitionBy("item")))
-                        .where(F.col("r") <= F.greatest(F.ceil(F.col("of") / 2), F.lit(least_seeds))))
-    pairs = found.join(seeds.select("gram", "item", "of", "at"), "gram").groupBy("cls", "did", "item").agg(
-        F.countDistinct("gram").cast("int").alias("seeds"), F.first("of").alias("of"),
+    # N-grams that the corpus lacks (an edit broke them) are no seeds.
+    occur = found.select("gram").distinct()
+    seeds = materialize(per_item.join(occur, "gram").withColumn("of", F.count(F.lit(1)).over(Window.partitionBy("item")))
+                        .withColumn("need", F.least(F.lit(min_seeds), F.col("of"),
+                                                    F.greatest(F.expr(f"length(words) div {8 * (n + 1)}"), F.lit(1)))))
+    pairs = found.join(seeds.select("gram", "item", "need", "at"), "gram").groupBy("cls", "did", "item").agg(
+        F.countDistinct("gram").cast("int").alias("seeds"), F.first("need").alias("need"),
         F.min(F.col("pos") - F.col("at")).alias("lo"), F.max(F.col("pos") - F.col("at")).alias("hi"))
-    pairs = pairs.where(F.col("seeds") >= F.least(F.lit(min_seeds), F.col("of")))
+    pairs = pairs.where(F.col("seeds") >= F.col("need"))
     words = seeds.select("item", "item_id", "words").distinct()
+    # One place for each distinct text (the one of the lowest number).
     first = pairs.groupBy("cls", "item").agg(F.min(F.struct("did", "seeds", "lo", "hi")).alias("p"))
     first = materialize(first.join(words, "item").select("cls", "p.*", "item_id", "words"))
     # A text's pairs travel as one list, bounded by its own hits.

@@ -269,6 +269,21 @@ def test_decontamination(spark, docs, rows, small):
     assert [r.doc_id for r in decontaminate.keep_clean(one, items).orderBy("doc_id").collect()] == [2, 3]
 
 
+def test_edited_leaks_beside_exact_ones(spark, small):
+    """Copies of an item do not hide its edited copies, whatever is how frequent."""
+    items = spark.read.parquet(f"{small}/benchmark.parquet").where("item_id < 6").select("item_id", "text")
+    text = {r.item_id: r.text.split() for r in items.collect()}
+    text[77] = "seven short words make this whole item".split()
+    items = items.unionByName(spark.createDataFrame([(77, " ".join(text[77]))], items.schema))
+    docs = [(k, 0, 0, c, f"copy {c} of it: {' '.join(w)}") for k, w in text.items() for c in range(5)]
+    docs += [(k, step, at, c, f"number {c} " + " ".join(w if n % step != at else f"changed{c}" for n, w in enumerate(words)))
+             for k, words in text.items() for step in (4, 5, 6) for at in range(step) for c in range(2)]
+    table = spark.createDataFrame([(i, d[-1]) for i, d in enumerate(docs)], "doc_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(table, items).collect()}
+    assert {(i, d[0]) for i, d in enumerate(docs)} - got == set()
+    assert decontaminate.keep_clean(table, items).count() == 0
+
+
 def test_alignment():
     import numpy as np
     a, b = np.array([1, 2, 3, 4]), np.array([9, 1, 2, 7, 3, 4, 8])
