@@ -34,8 +34,11 @@ LEAST = 50
 SALTS = 32
 #: Squared distance beyond which a document is rejected.
 CUTOFF = 36.0
-#: Least standard deviation of each statistic, in thousandths.
-FLOOR = {"x_length": 80, "x_symbols": 350, "x_lines": 800, "x_words": 800}
+#: Least standard deviation of each statistic, in thousandths. Of shares of
+#: repeats it is less than the largest value (1000 log1p(100) of lines, 1000
+#: log1p(50) of words that pass the base rules) over the cutoff's root, so that
+#: each can reject by itself.
+FLOOR = {"x_length": 80, "x_symbols": 350, "x_lines": 600, "x_words": 600}
 NAMES = list(FLOOR)
 _SPACE = r"[ \t\n\x0B\f\r]+"
 

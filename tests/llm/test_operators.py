@@ -243,6 +243,24 @@ def test_quality_rejects_a_planted_outlier(spark):
     assert kept == {i for i, _ in good}
 
 
+def test_quality_rejects_repeated_lines_and_words_alone(spark):
+    """Each share of repeats can reject by itself; a small one does not."""
+    import random
+    rnd = random.Random(3)
+    good = [(i, " ".join(f"word{(i * 7 + k * k) % 911}" for k in range(80 + i % 40))) for i in range(200)]
+    other = [f"word{k}" for k in range(100, 500)]
+    short = [rnd.choice(other[:20]) for _ in range(200)]
+    lines = "\n".join(x for k in range(0, 200, 20) for x in [" ".join(other[k:k + 20]), *short[k:k + 20]])
+    words = " ".join(other[:24] + other[100:126] + other[:24] + other[200:226])
+    few = "\n".join([*(" ".join(other[k:k + 8]) for k in range(0, 144, 8)), "word1", "word2", "word1", " ".join(["word3", *other[:8]])])
+    df = spark.createDataFrame([(i, t, "en", "s") for i, t in [*good, (1000, lines), (1001, words), (1002, few)]],
+                               "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r for r in quality_rules.judged(df).collect()}
+    assert not got[1000].base_failed and got[1000].n_dup_lines > 170 and not got[1001].base_failed
+    assert got[1002].n_dup_lines and got[1002].n_repeat_words
+    assert {i for i, r in got.items() if r.kept} == {1002} | {i for i, _ in good}
+
+
 def test_bpe(docs, rows):
     import numpy as np
     import public_tokenizers
