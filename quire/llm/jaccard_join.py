@@ -400,7 +400,10 @@ def _ring_tasks(far: DataFrame, percent: int, block: int) -> DataFrame:
     """Members of regions to the tasks that join them.
 
     Task (ring, lo, hi): blocks lo and hi of the sets that ring takes part
-    with: its own members (side 0) and those of the next ring (side 1)."""
+    with: its own members (side 0) and those of the next ring (side 1). A ring
+    of more than a block has blocks of its own members and, numbered after
+    them, of guests. Guests are not compared with one another, nor own members
+    of ring 0, so there is no task for such blocks."""
     # Ring k: distances in (k r, (k + 1) r]; ring 0 is linked to the pivot.
     ratio = (F.col("either") - F.col("both")) * 100 / (F.col("either") * (100 - percent))
     far = far.withColumn("ring", F.greatest(F.ceil(ratio) - 1, F.lit(0)).cast("int")) \
@@ -412,10 +415,13 @@ def _ring_tasks(far: DataFrame, percent: int, block: int) -> DataFrame:
         F.count(F.lit(1)).alias("n"), F.sum("side").alias("guests"),
         F.sum(1 - F.col("side")).alias("own"))
     needed = counts.where("(ring = 0 and guests > 0 and own > 0) or (ring > 0 and own > 0 and n > 1)").select(
-        "pivot", "p2", "ring", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
+        "pivot", "p2", "ring", (F.col("n") <= block).alias("one"), F.ceil(F.col("own") / block).cast("int").alias("homes"),
+        F.ceil(F.col("guests") / block).cast("int").alias("visits"))
     rows = rows.join(materialize(needed), ["pivot", "p2", "ring"])
-    rows = rows.withColumn("b", F.pmod(F.xxhash64("s1", "s2"), F.col("blocks")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+    rows = rows.withColumn("b", F.expr("""case when one then 0 when side = 0 then int(pmod(xxhash64(s1, s2), homes))
+        else homes + int(pmod(xxhash64(s1, s2), visits)) end"""))
+    rows = rows.withColumn("other", F.explode(F.expr("""case when one then array(0) when side = 1 then sequence(0, homes - 1)
+        when ring = 0 then sequence(homes, homes + visits - 1) else sequence(0, homes + visits - 1) end""")))
     rows = rows.withColumn("lo", F.least("b", "other")).withColumn("hi", F.greatest("b", "other"))
     return rows.select("pivot", "p2", "ring", "lo", "hi", "b", "side", "dist", "s1", "s2",
                        F.xxhash64("pivot", "p2", "ring", "lo", "hi").alias("task"))

@@ -134,6 +134,27 @@ def test_jaccard(docs, rows, k, percent, block):
     assert kept.count() == len({r for r, s in zip(root, sets) if s}) + sum(not s for s in sets)
 
 
+def test_ring_tasks_are_no_square(spark):
+    """In ring 0 own members meet guests only; elsewhere all but guests meet."""
+    rings = {i: 0 if i < 400 else 1 if i < 430 else 2 for i in range(440)}
+    far = spark.createDataFrame([(1, 1, i, i, 95 - 10 * r, 100) for i, r in rings.items()],
+                                "pivot long, p2 long, s1 long, s2 long, both long, either long")
+    tasks = collections.defaultdict(list)
+    for r in jaccard_join._ring_tasks(far, 90, 16).collect():
+        tasks[r.ring, r.lo, r.hi, r.task].append(r)
+    assert max(map(len, tasks.values())) <= 64
+    assert sum(len(t) for k, t in tasks.items() if k[0] == 0) <= 400 * 2 + 30 * 25
+    met = collections.Counter()
+    for (ring, lo, hi, _), t in tasks.items():
+        for i, a in enumerate(t):
+            for b in t[i + 1:]:
+                if (lo == hi or a.b != b.b) and (a.side != b.side if ring == 0 else not a.side & b.side):
+                    met[tuple(sorted((a.s1, b.s1)))] += 1
+    assert set(met.values()) == {1}
+    want = {(i, j) for i in rings for j in rings if i < j and 0 <= rings[j] - rings[i] <= 1 and rings[j] > 0}
+    assert set(met) == want
+
+
 @pytest.mark.parametrize("percent", [80, 90])
 def test_near_sets_share_as_many_signatures_as_they_need(percent):
     rng = np.random.default_rng(percent)
