@@ -3,8 +3,8 @@
 1. Blocks of about ``block_bytes`` of text are cut into pre-tokens. A block
    keeps its positions (the number of each pre-token's word in the block's own
    list, packed) and sends its distinct words, a packed list for each shard.
-2. A shard gathers the words of all blocks, encodes each distinct word once
-   and answers each block with the ids of its words.
+2. The lists of all blocks pass through their shards, which encode a word they
+   know only once and answer each block with the ids of its words.
 3. Answers and positions meet at the block, which puts the ids of each
    document together by position, and decodes them by joining the ids with
    the table of token bytes.
@@ -32,6 +32,9 @@ from quire.llm import vectors as V
 
 BLOCK_BYTES = 8 << 20
 ROW_DOCS = 64
+ROW_LISTS = 64
+KNOWN_WORDS = 1 << 18
+KNOWN_BYTES = 16 << 20
 _LOADED: dict = {}
 
 
@@ -158,23 +161,37 @@ def positions(docs: DataFrame, pattern: str, block_bytes: int, shards: int) -> D
     return docs.mapInArrow(work, "block long, n_words int, docs array<long>, counts array<int>, numbers binary")
 
 
-def _encode_shard(path: str, pattern: str):
-    def work(table: pa.Table) -> pa.Table:
+def _encode_shards(path: str, pattern: str):
+    """Lists in order of shard, one at a time: what is held is a batch and the
+    words known in the shard, ``KNOWN_WORDS`` of ``KNOWN_BYTES`` at most
+    (others are encoded again)."""
+    def work(batches):
         encode = _encoder(path, pattern)._encode_single_piece
         known: dict[bytes, list[int]] = {}
-        counts, ids = [], []
-        for lens, words in zip(table.column("lens").to_pylist(), table.column("words").to_pylist()):
-            raw, at, own = _unzip(words), 0, []
-            for n in _unpack(lens).tolist():
-                word = raw[at:at + n]
-                at += n
-                if word not in known:
-                    known[word] = encode(word)
-                own.append(known[word])
-            counts.append(_pack(np.array([len(x) for x in own])))
-            ids.append(_pack(np.array([y for x in own for y in x])))
-        return pa.table({"block": table.column("block"), "shard": table.column("shard"),
-                         "counts": pa.array(counts, pa.binary()), "ids": pa.array(ids, pa.binary())})
+        held, last = 0, None
+        for b in batches:
+            for i in range(0, b.num_rows, ROW_LISTS):
+                t = b.slice(i, ROW_LISTS)
+                counts, ids = [], []
+                for shard, lens, words in zip(*(t.column(c).to_pylist() for c in ("shard", "lens", "words"))):
+                    if shard != last:
+                        known, held, last = {}, 0, shard
+                    raw, at, own = _unzip(words), 0, []
+                    for n in _unpack(lens).tolist():
+                        word = raw[at:at + n]
+                        at += n
+                        got = known.get(word)
+                        if got is None:
+                            if len(known) >= KNOWN_WORDS or held + n > KNOWN_BYTES:
+                                known, held = {}, 0
+                            got = known[word] = encode(word)
+                            held += n
+                        own.append(got)
+                    counts.append(_pack(np.array([len(x) for x in own])))
+                    ids.append(_pack(np.array([y for x in own for y in x])))
+                yield pa.RecordBatch.from_arrays(
+                    [t.column("block"), t.column("shard"), pa.array(counts, pa.binary()), pa.array(ids, pa.binary())],
+                    ["block", "shard", "counts", "ids"])
     return work
 
 
@@ -238,8 +255,10 @@ def encode(docs: DataFrame, path: str, pattern: str, block_bytes: int = BLOCK_BY
     spark = docs.sparkSession
     shards = shards or max(64, int(spark.conf.get("spark.sql.shuffle.partitions")))
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    answers = word_lists(docs, pattern, block_bytes, shards).groupBy("shard").applyInArrow(
-        _encode_shard(path, pattern), "block long, shard int, counts binary, ids binary")
+    # Each block sends its common words, so a shard's lists grow with the
+    # corpus: they pass in order of shard and are never held together.
+    lists = word_lists(docs, pattern, block_bytes, shards).repartition(shards, "shard").sortWithinPartitions("shard")
+    answers = lists.mapInArrow(_encode_shards(path, pattern), "block long, shard int, counts binary, ids binary")
     places = positions(docs, pattern, block_bytes, shards)
     return places.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
         _reassemble(path), "doc_id long, n_tokens long, ids binary, decoded binary")

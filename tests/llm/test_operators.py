@@ -308,6 +308,35 @@ def test_decontamination(spark, docs, rows, small):
     assert [r.doc_id for r in decontaminate.keep_clean(one, items).orderBy("doc_id").collect()] == [2, 3]
 
 
+def test_bpe_shards_stream_their_lists(monkeypatch):
+    """Lists are answered as they come, also when few words may be held."""
+    import pyarrow as pa
+    import public_tokenizers
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    words = [f" word{k}".encode() for k in range(40)]
+    read = []
+
+    def lists():
+        for k in range(30):
+            read.append(k)
+            own = words[k % 7:]
+            yield pa.RecordBatch.from_pydict({
+                "block": pa.array([k], pa.int64()), "shard": pa.array([k // 10], pa.int32()),
+                "lens": pa.array([bpe._pack(np.array([len(w) for w in own]))], pa.binary()),
+                "words": pa.array([bpe._zip(b"".join(own))], pa.binary())})
+
+    encode = bpe._encoder(path, public_tokenizers.PATTERN)._encode_single_piece
+    for limit in (1 << 18, 3):
+        monkeypatch.setattr(bpe, "KNOWN_WORDS", limit)
+        read.clear()
+        for k, b in enumerate(bpe._encode_shards(path, public_tokenizers.PATTERN)(lists())):
+            assert len(read) == k + 1 and b.column("block").to_pylist() == [k]
+            want = [encode(w) for w in words[k % 7:]]
+            assert bpe._unpack(b.column("counts")[0].as_py()).tolist() == [len(x) for x in want]
+            assert bpe._unpack(b.column("ids")[0].as_py()).tolist() == [y for x in want for y in x]
+        assert len(read) == 30
+
+
 def test_edited_leaks_beside_exact_ones(spark, small):
     """Copies of an item do not hide its edited copies, whatever is how frequent."""
     items = spark.read.parquet(f"{small}/benchmark.parquet").where("item_id < 6").select("item_id", "text")
