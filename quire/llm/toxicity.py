@@ -28,6 +28,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,6 +37,8 @@ from quire.llm.sieve import sieved
 from quire.session import materialize
 
 TRAIN_ROWS = 20000
+#: Labelled texts are near copies if so many least hashes agree.
+LEAST_HASHES = 6
 #: Entries of the lexicon, best first; a term needs this many texts and odds.
 LEXICON = 2000
 LEAST_TEXTS, LEAST_SHARE, LEAST_WEIGHT, CHANCE = 3, 0.01, 3.0, 0.0
@@ -179,7 +182,8 @@ def _features(text: str | None):
 
 def training_rows(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
     """(text, toxic) of labelled rows that are not held out, one for each
-    group of near copies (same least hash of three words)."""
+    group of near copies (``LEAST_HASHES`` least hashes of three words agree; of
+    texts of fewer than three words, those that are equal)."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")) \
         .where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id"))) \
         .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -194,14 +198,19 @@ def training_rows(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
             d, o = data[off[0]:off[-1]], off - off[0]
             s, e, bounds = V.words(d, o)
             p = V.Prefix(V.byte_prefix(d).span(s, e))
-            h = np.full(len(o) - 1, np.iinfo(V.U).max, V.U)
+            h = np.full((len(o) - 1, LEAST_HASHES), np.iinfo(V.U).max, V.U)
             at = np.flatnonzero(V.room(bounds) >= 3) if len(s) else np.zeros(0, np.int64)
-            np.minimum.at(h, V.rows_of(bounds)[at], p.span(at, at + 3))
-            yield pa.RecordBatch.from_arrays([b.column("text"), b.column("toxic"), pa.array(V.signed(h))],
-                                             ["text", "toxic", "least"])
-
-    return materialize(texts.select("text", "toxic").mapInArrow(least, "text string, toxic int, least long")
-                       .dropDuplicates(["least", "toxic"]).select("text", "toxic"))
+            grams = p.span(at, at + 3)
+            for k in range(LEAST_HASHES):
+                np.minimum.at(h[:, k], V.rows_of(bounds)[at], V.mix(grams ^ V.mix(np.array([k], V.U))))
+            short = np.diff(bounds) < 3
+            yield pa.RecordBatch.from_arrays(
+                [b.column("text"), b.column("toxic"), pa.array([x.tobytes() for x in h], pa.binary()),
+                 pc.if_else(pa.array(short), b.column("text"), pa.scalar(None, b.column("text").type))],
+                ["text", "toxic", "least", "short"])
+
+    return materialize(texts.select("text", "toxic").mapInArrow(least, "text string, toxic int, least binary, short string")
+                       .dropDuplicates(["least", "short", "toxic"]).select("text", "toxic"))
 
 
 def learn_lexicon(rows: DataFrame) -> Lexicon | None:

@@ -388,6 +388,20 @@ def test_toxicity(spark):
     assert all(r.predicted == 0 for r in got if r.doc_id in (None, 7000))
 
 
+def test_training_rows_are_thinned_by_near_copies_only(spark):
+    """A shared passage, or fewer than three words, makes no near copies."""
+    shared = " ".join(f"terms{k}" for k in range(30))
+    texts = [f"{shared} " + " ".join(f"own{i}x{k}" for k in range(30)) for i in range(200)]
+    texts += [f"rude{i} word" for i in range(100)] + ["the same text of some words"] * 100 + ["same"] * 100
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = table.select("doc_id", F.lit(1).alias("toxic"))
+    train = [texts[r.doc_id] for r in labels.where(~toxicity.held_out(F.col("doc_id"))).collect()]
+    got = [r.text for r in toxicity.training_rows(table, labels, 1 << 20).collect()]
+    assert len(got) == len(set(got)) and set(got) <= set(train)
+    assert {t for t in train if shared not in t} == {t for t in got if shared not in t}
+    assert sum(shared in t for t in got) >= 0.95 * sum(shared in t for t in train)
+
+
 @pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_empty_tables(spark, small, tmp_path, name):
     for t in ("documents", "benchmark", "labels"):
