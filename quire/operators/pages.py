@@ -20,19 +20,27 @@ def non_empty_pages(pages: DataFrame) -> DataFrame:
 
 def start_candidates(pages: DataFrame, skip: int = C.FRONT_MATTER_PAGES,
                      lo: int = C.MIN_CHAPTER_NUMBER, hi: int = C.MAX_CHAPTER_NUMBER,
-                     ratio: float = C.TITLE_UPPER_RATIO) -> DataFrame:
+                     ratio: float = C.TITLE_UPPER_RATIO, toc: DataFrame | None = None) -> DataFrame:
     """P1 + P2: pages (after the front matter) that open a chapter.
 
     The first line, stripped, must be a 1–2 digit number in ``[lo, hi]`` and
     more than ``ratio`` of the letters on lines 2–3 must be upper case.
+    With ``toc`` (``book_id``, ``chapter_no``) the bound and the digits are
+    those of the book's own largest number; ``hi``, the reference's setting,
+    is then the bound of books that it lacks.
     The page filter is a plain comparison, so it reaches the Parquet scan.
     """
     p = non_empty_pages(pages.where(F.col("page_no") >= F.lit(skip)))
+    most, digits = F.lit(hi), F.lit(2)
+    if toc is not None:
+        p = p.join(toc.groupBy("book_id").agg(F.max("chapter_no").alias("_most")), "book_id", "left")
+        most = F.coalesce(F.col("_most"), most)
+        digits = F.greatest(F.length(most.cast("string")), digits)
     lines = F.slice(F.split(F.col("text"), "\n"), 1, C.PAGE_LINES_SCANNED)
     first = T.py_strip(F.element_at(lines, 1))
     title = F.array_join(F.slice(lines, 2, 2), " ")
     number = T.try_int(first)
-    ok = (first.rlike(r"^[0-9]{1,2}$") & number.between(lo, hi)
+    ok = (first.rlike(r"^[0-9]+$") & (F.length(first) <= digits) & number.between(F.lit(lo), most)
           & T.py_upper_ratio_gt(title, ratio))
     return (p.select("book_id", "page_no", number.alias("chapter_no"), ok.alias("ok"))
             .where(F.col("ok")).drop("ok"))
@@ -68,7 +76,7 @@ def assign_pages(pages: DataFrame, ranges: DataFrame) -> DataFrame:
     """Range join ``start <= page_no < end`` on the same book.
 
     ``book_id`` is the equi key, the bounds are a residual; a page meets at
-    most ``MAX_CHAPTER_NUMBER`` ranges of its own book, so the candidate set is
+    most as many ranges as its own book has chapters, so the candidate set is
     bounded. AQE turns this into a broadcast join only when the measured
     size of ``ranges`` is under the threshold; otherwise it stays a shuffled
     join whose skewed book partitions AQE splits.

@@ -19,6 +19,16 @@ def rows(df, *cols):
     return sorted(tuple(r[c] for c in cols) for r in df.collect())
 
 
+def test_chapter_numbers_up_to_the_books_own_contents(spark):
+    pages = spark.createDataFrame([(b, C.FRONT_MATTER_PAGES + n, f"{n}\nLOUD TITLE\ntext") for b in (1, 2, 3) for n in range(1, 121)],
+                                  "book_id long, page_no int, text string")
+    toc = spark.createDataFrame([(1, n) for n in range(1, 111)] + [(2, n) for n in range(1, 6)], "book_id long, chapter_no int")
+    got = rows(PG.chapter_starts(pages, toc=toc), "book_id", "chapter_no")
+    assert got == [(b, n) for b, most in ((1, 110), (2, 5), (3, 19)) for n in range(C.MIN_CHAPTER_NUMBER, most + 1)]
+    plain = rows(PG.chapter_starts(pages), "book_id", "chapter_no")
+    assert plain == [(b, n) for b in (1, 2, 3) for n in range(C.MIN_CHAPTER_NUMBER, 20)]
+
+
 def test_range_join_out_of_order_starts(spark):
     starts = spark.createDataFrame([(1, 1, 20), (1, 2, 15), (1, 3, 30)],
                                    "book_id bigint, chapter_no int, start_page int")
