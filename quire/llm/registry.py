@@ -77,6 +77,22 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                                public_tokenizers.PATTERN))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quire.llm import prefix_trie as op
+    prepare(spark)
+    return op.trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quire.llm import line_dedup as op
+    return op.digest(op.drop_lines(_docs(spark, sf_dir)))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quire.llm import merkle as op
+    return op.digest(op.manifest(_docs(spark, sf_dir)))
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_phrase_dedup": op2_phrase_dedup,
@@ -88,6 +104,9 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_bpe": op9_bpe,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_line_dedup": op12_line_dedup,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 ORACLE: dict[str, str] = {}
