@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quire.llm.oracle import ORACLE  # noqa: F401
 from quire.session import apply_runtime_conf, scratch_path
 from quire.sources.tables import table
 
@@ -108,5 +109,3 @@ QUERIES = {
     "op12_line_dedup": op12_line_dedup,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
-
-ORACLE: dict[str, str] = {}
