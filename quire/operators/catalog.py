@@ -63,18 +63,18 @@ def catalogue_json(cat: DataFrame) -> DataFrame:
         F.count("*").alias("n_chapters"))
 
 
-def book_export(chapters: DataFrame, book_titles: DataFrame) -> DataFrame:
+def book_export(chapters: DataFrame, book_title: Column) -> DataFrame:
     """K5: nested export per book; ``original`` is always cut to 500 chars
     plus ``...``. ``chapters(book_id, number, title, original, translation,
-    summary, audio)``."""
+    summary, audio)``; ``book_title``: an expression over ``book_id``."""
     ch = chapters.select("book_id", F.struct(
         "number", "title",
         F.concat(F.substring("original", 1, C.EXPORT_PREVIEW_CHARS), F.lit(C.ELLIPSIS)).alias("original"),
         "translation", "summary", "audio").alias("c"))
     per_book = ch.groupBy("book_id").agg(F.array_sort(F.collect_list("c")).alias("chapters"))
-    return per_book.join(book_titles, "book_id").select(
+    return per_book.select(
         "book_id", F.to_json(F.struct(
-            F.col("book_title"), F.size("chapters").alias("total_chapters"), F.col("chapters"))).alias("json"))
+            book_title.alias("book_title"), F.size("chapters").alias("total_chapters"), F.col("chapters"))).alias("json"))
 
 
 def chapter_page(number: Column, title: Column, summary_full: Column, has_audio: Column,

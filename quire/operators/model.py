@@ -140,6 +140,32 @@ def reassemble(responses: DataFrame, keys: list[str], text_col: str = "output",
         F.count_if(F.col("status") != "ok").alias("n_failed"))
 
 
+def pair_responses(requests: DataFrame, responses: DataFrame, keys: list[str], order: list[str],
+                   part_col: str = "part_no", input_col: str = "input", output_col: str = "output",
+                   on_failure: str = "sentinel") -> DataFrame:
+    """Every request with its own answer, by key and part number.
+
+    A left join from the requests, so a lost answer leaves a gap that is
+    filled by the policy (see :func:`call_model`) and ``n_parts`` counts what
+    was asked, not what came back. Of several answers to one request the first
+    in ``order`` counts (ties: the least text); null answers and answers to no
+    request are ignored, and so are requests without a key.
+
+    Output: ``keys``, the part, ``n_parts``, the input, ``output``, ``status``.
+    """
+    if on_failure not in POLICIES:
+        raise ValueError(on_failure)
+    k = [*keys, part_col]
+    first = responses.where(F.col(output_col).isNotNull()).groupBy(*k).agg(
+        F.min(F.struct(*order, F.col(output_col).alias("_text"))).getField("_text").alias("_answer"))
+    totals = requests.groupBy(*keys).agg(F.count("*").cast("int").alias("n_parts"))
+    filled = {"sentinel": F.replace(F.lit(C.FAILED_CHUNK_TEXT), F.lit("%d"), F.col(part_col).cast("string")),
+              "empty": F.lit(""), "passthrough": F.col(input_col), "null": F.lit(None).cast("string")}[on_failure]
+    both = requests.select(*k, input_col).join(totals, keys).join(first, k, "left")
+    return both.select(*k, "n_parts", input_col, F.coalesce("_answer", filled).alias("output"),
+                       F.when(F.col("_answer").isNull(), F.lit("failed")).otherwise(F.lit("ok")).alias("status"))
+
+
 def stop_at_first_failure(responses: DataFrame, keys: list[str], part_col: str = "part_no") -> DataFrame:
     """M6: parts after the first failed part of a chapter were never
     attempted: their status becomes ``not_attempted`` and output NULL.

@@ -75,6 +75,21 @@ def gate_rows(rows: DataFrame, set_keys: list[str], part_col: str = "part_no", n
                       F.when(complete & (F.col(n_col) >= min_parts), F.col("_all")).alias("content"))
 
 
+def gate_sizes(rows: DataFrame, set_keys: list[str], part_col: str = "part_no", n_col: str = "n_parts",
+               bytes_col: str = "n_bytes", min_parts: int = 1) -> DataFrame:
+    """The same gate where only the flag and the merged size are wanted: no
+    content moves. ``bytes_col`` is the size of a part's content (NULL: not
+    present); of several rows of one part the smallest counts."""
+    valid = F.col(part_col).between(F.lit(1), F.col(n_col))
+    one = rows.groupBy(*set_keys, part_col).agg(
+        F.max(n_col).alias(n_col), F.min(F.when(valid, F.col(bytes_col))).alias(bytes_col))
+    agg = one.groupBy(*set_keys).agg(F.max(n_col).alias(n_col), F.count(bytes_col).alias("n_present"),
+                                     F.sum(bytes_col).alias("_all"))
+    complete = F.col("n_present") == F.col(n_col)
+    return agg.select(*set_keys, n_col, "n_present", complete.alias("complete"),
+                      F.when(complete & (F.col(n_col) >= min_parts), F.col("_all")).alias(bytes_col))
+
+
 def size_estimate(n_bytes, kbps: int = C.AUDIO_KBPS):
     """Size in MB and the duration estimate ``MB * 8 * 1024 / (kbps * 60)``."""
     mb = n_bytes / F.lit(1024.0 * 1024.0)

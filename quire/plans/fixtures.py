@@ -39,6 +39,7 @@ PAGE_REWRITES = [
 ]
 
 FIRST_N = 2
+CHUNK_BLOCK = 1 << 16   # several blocks for most books
 RANGE_START, RANGE_END = 3, 7
 
 
@@ -178,25 +179,18 @@ TRANSLATE_INSTRUCTION = ("Translate the text below into Simplified Chinese. Keep
 
 class KeyedModel:
     """Succeeds on attempt ``need`` where ``need = (a*chapter_no + b*part_no) % m + 1``;
-    the answer is the input with ASCII letters upper-cased (cut to
-    ``(chapter_no * cut_mul) % cut_mod`` chars and stripped when ``cut_mul``
-    is set). Service time is ``len(input) * 100`` µs per attempt."""
+    the answer is the input with ASCII letters upper-cased. Service time is
+    ``len(input) * 100`` µs per attempt."""
 
-    def __init__(self, a: int = 1, b: int = 1, m: int = 5, cut_mul: int = 0, cut_mod: int = 400,
-                 binary: bool = False):
-        self.a, self.b, self.m, self.cut_mul, self.cut_mod = a, b, m, cut_mul, cut_mod
-        self.binary = binary
+    def __init__(self, a: int = 1, b: int = 1, m: int = 5, binary: bool = False):
+        self.a, self.b, self.m, self.binary = a, b, m, binary
 
     def __call__(self, batch: pd.DataFrame, attempt: int) -> pd.DataFrame:
         part = batch["part_no"] if "part_no" in batch else 0
         need = (self.a * batch["chapter_no"] + self.b * part) % self.m + 1
         ok = (need <= attempt).to_numpy()
         text = batch["input"].astype(object)
-        if self.cut_mul:
-            cut = (batch["chapter_no"] * self.cut_mul) % self.cut_mod
-            answer = [t[:c].strip() for t, c in zip(text, cut)]
-        else:
-            answer = list(text)
+        answer = list(text)
         if self.binary:
             answer = np.array([t.encode("utf-8") for t in answer], dtype=object)
         else:
@@ -209,9 +203,7 @@ class KeyedModel:
 
 
 TRANSLATE_MODEL = KeyedModel(1, 1, 5)
-SUMMARY_MODEL = KeyedModel(1, 0, 4, cut_mul=37, cut_mod=400)
 CLEAN_MODEL = KeyedModel(3, 0, 5)
-REDO_MODEL = KeyedModel(1, 1, 3)
 REDO_CHAPTER = 3
 SPEECH_MODEL = KeyedModel(1, 2, 4, binary=True)
 
@@ -225,6 +217,43 @@ def chunk_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ch.withColumnRenamed("text", "input")
 
 
+# --- request and answer turns -------------------------------------------------------
+
+def numbered_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``conversations`` with ``part_no``: the number of the request (user
+    turn) that a turn is or follows, 0 before the first. A running count that
+    keeps no conversation in one task."""
+    from quire.operators.scan import keyed_scan
+    t = table(spark, sf_dir, "conversations").where("conv_id is not null").select("conv_id", "turn", "role", "text")
+    asked = F.when(F.col("role") == "user", 1).otherwise(0)
+    return keyed_scan(t, "conv_id", ["turn", "role", "text"], sums={"part_no": asked}).select(
+        "conv_id", "turn", "role", "text", F.col("part_no").cast("int").alias("part_no"))
+
+
+def turn_requests(turns: DataFrame) -> DataFrame:
+    """``turn_requests(conv_id, part_no, input)``: user turns."""
+    return turns.where(F.col("role") == "user").select("conv_id", "part_no", F.col("text").alias("input"))
+
+
+def turn_answers(turns: DataFrame) -> DataFrame:
+    """``turn_answers(conv_id, part_no, turn, output)``: assistant turns."""
+    return turns.where((F.col("role") == "assistant") & (F.col("part_no") > 0)).select(
+        "conv_id", "part_no", "turn", F.col("text").alias("output"))
+
+
+def as_chapter(conv_id: str = "conv_id") -> list:
+    """Conversation n answers the chapter made from document n."""
+    return [_book_of(conv_id).alias("book_id"), ((F.col(conv_id) % PAGES_PER_BOOK) + 1).cast("int").alias("chapter_no")]
+
+
+def given_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``given_summaries(book_id, chapter_no, output)``: the first answer of each
+    conversation, whole; most chapters have none."""
+    t = table(spark, sf_dir, "conversations").where("role = 'assistant' and text is not null")
+    first = t.groupBy("conv_id").agg(F.min(F.struct("turn", "text")).alias("x"))
+    return first.select(*as_chapter(), F.col("x.text").alias("output"))
+
+
 # --- rate tables from events -------------------------------------------------------
 
 OPEN_LOOP_GAP_US = 3_600_000_000     # one request per hour per user
@@ -281,10 +310,18 @@ def chapter_part_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each chapter's speech plan paired with its stored parts in one pass
     (``posexplode_outer`` keeps chapters whose parts are all missing):
     ``(book_id, chapter_no, n_parts, part_no, content)``."""
+    return _part_rows(spark, sf_dir, lambda t: F.encode(t, "UTF-8"), "content")
+
+
+def chapter_part_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with the size of each part (``n_bytes``) in place of its content."""
+    return _part_rows(spark, sf_dir, F.octet_length, "n_bytes")
+
+
+def _part_rows(spark: SparkSession, sf_dir: str, value, name: str) -> DataFrame:
     from quire.operators.chunk import paragraph_pack, strip_markdown
     z = zh_docs(spark, sf_dir).select("book_id", "chapter_no", paragraph_pack(strip_markdown(F.col("text"))).alias("c"))
-    kept = F.filter(F.transform("c", lambda t, i: F.struct((i + 1).alias("p"), F.encode(t, "UTF-8").alias("b"))),
+    kept = F.filter(F.transform("c", lambda t, i: F.struct((i + 1).alias("p"), value(t).alias("b"))),
                     lambda x: ((F.col("chapter_no") * 7 + x["p"]) % 11) != 0)
     rows = z.select("book_id", "chapter_no", F.size("c").alias("n_parts"), F.posexplode_outer(kept).alias("_i", "_x"))
-    return rows.select("book_id", "chapter_no", "n_parts", F.col("_x.p").alias("part_no"),
-                       F.col("_x.b").alias("content"))
+    return rows.select("book_id", "chapter_no", "n_parts", F.col("_x.p").alias("part_no"), F.col("_x.b").alias(name))

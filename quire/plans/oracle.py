@@ -510,8 +510,8 @@ view("chunk_requests", _bx_sel.replace("AS text", "AS input"), ["bx"])
 _UP = "translate({x}, 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ')"
 
 
-def _model_cols(need: str, x: str, fail: str, cut: str | None = None) -> str:
-    ans = _UP.format(x=x if cut is None else strip(f"substring({x}, 1, {cut})"))
+def _model_cols(need: str, x: str, fail: str) -> str:
+    ans = _UP.format(x=x)
     return f"""CASE WHEN {need} <= 3 THEN {ans} ELSE {fail} END AS output,
        CASE WHEN {need} <= 3 THEN 'ok' ELSE 'failed' END AS status,
        CAST(least({need}, 3) AS INTEGER) AS attempts,
@@ -520,16 +520,6 @@ def _model_cols(need: str, x: str, fail: str, cut: str | None = None) -> str:
        CAST(least({need}, 3) * length({x}) * 100 AS BIGINT) AS service_us"""
 
 
-view("translated", f"""
-SELECT book_id, chapter_no, part_no, n_parts, input,
-       {_model_cols("((chapter_no + part_no) % 5 + 1)", "input", "printf('[Translation failed for chunk %d]', part_no)")}
-FROM chunk_requests""", ["chunk_requests"])
-
-view("translations", f"""
-SELECT book_id, chapter_no, string_agg(output, {NL2} ORDER BY part_no) AS text, count(*) AS n_parts,
-       count(*) FILTER (WHERE status = 'ok') AS n_ok, count(*) FILTER (WHERE status <> 'ok') AS n_failed
-FROM translated GROUP BY book_id, chapter_no""", ["translated"])
-
 oracle("prompts", ["chunk_requests"], f"""
 SELECT book_id, chapter_no, part_no, n_parts,
        {sql_str(TRANSLATE_SYSTEM)} AS system,
@@ -537,26 +527,54 @@ SELECT book_id, chapter_no, part_no, n_parts,
        CAST(0.3 AS DOUBLE) AS temperature, 16000 AS max_tokens
 FROM chunk_requests""")
 
-oracle("translate_chunks", ["translated"],
-       "SELECT book_id, chapter_no, part_no, output, status, attempts, backoff_s, error, service_us FROM translated")
+# --- request and answer turns ---------------------------------------------------------
+
+view("turns", """
+SELECT conv_id, turn, role, text, CAST(sum(CASE WHEN role = 'user' THEN 1 ELSE 0 END) OVER (
+         PARTITION BY conv_id ORDER BY turn, role, text ROWS UNBOUNDED PRECEDING) AS INTEGER) AS part_no
+FROM conversations WHERE conv_id IS NOT NULL""")
+
+view("answers", """
+SELECT conv_id, part_no, text AS answer FROM turns WHERE role = 'assistant' AND part_no > 0 AND text IS NOT NULL
+QUALIFY row_number() OVER (PARTITION BY conv_id, part_no ORDER BY turn, text) = 1""", ["turns"])
+
+view("pairs", """
+SELECT r.conv_id, r.part_no, r.text AS input, answer,
+       CAST(count(*) OVER (PARTITION BY r.conv_id) AS INTEGER) AS n_parts
+FROM turns r LEFT JOIN answers a ON a.conv_id = r.conv_id AND a.part_no = r.part_no WHERE r.role = 'user'""", ["turns", "answers"])
+
+_LOST = "printf('[Translation failed for chunk %d]', part_no)"
+
+oracle("turn_pairs", ["pairs"], f"""
+SELECT conv_id, part_no, n_parts, input, coalesce(answer, {_LOST}) AS output,
+       CASE WHEN answer IS NULL THEN 'failed' ELSE 'ok' END AS status FROM pairs""")
+
+oracle("reassemble", ["pairs"], f"""
+SELECT conv_id, n_parts, n_ok, n_failed, text AS translation, printf('Conversation %d', conv_id) || {NL2} || text AS file_text
+FROM (SELECT conv_id, count(*) AS n_parts, count(answer) AS n_ok, count(*) - count(answer) AS n_failed,
+             string_agg(coalesce(answer, {_LOST}), {NL2} ORDER BY part_no) AS text FROM pairs GROUP BY conv_id)""")
 
-oracle("reassemble", ["translations", "raw_chapters"], f"""
-SELECT t.book_id, t.chapter_no, t.n_parts, t.n_ok, t.n_failed, t.text AS translation,
-       split_part(r.text, {NL}, 1) || {NL2} || t.text AS file_text
-FROM translations t JOIN raw_chapters r ON t.book_id = r.book_id AND t.chapter_no = r.chapter_no""")
+view("given_summaries", """
+SELECT CAST(floor(conv_id / 50.0) AS BIGINT) AS book_id, CAST(conv_id % 50 + 1 AS INTEGER) AS chapter_no, text
+FROM conversations WHERE role = 'assistant' AND text IS NOT NULL
+QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn, text) = 1""")
 
-view("summary_req", """
-SELECT t.book_id, t.chapter_no, substring(coalesce(nullif(t.text, ''), r.text), 1, 3000) AS input
-FROM translations t JOIN raw_chapters r ON t.book_id = r.book_id AND t.chapter_no = r.chapter_no""",
-     ["translations", "raw_chapters"])
+view("turn_texts", f"""
+SELECT CAST(floor(conv_id / 50.0) AS BIGINT) AS book_id, CAST(conv_id % 50 + 1 AS INTEGER) AS chapter_no,
+       string_agg(coalesce(answer, ''), {NL2} ORDER BY part_no) AS text FROM pairs GROUP BY conv_id""", ["pairs"])
 
-view("summaries", f"""
-SELECT book_id, chapter_no, status, attempts, {strip('output')} AS text FROM (
-  SELECT book_id, chapter_no,
-         {_model_cols("(chapter_no % 4 + 1)", "input", "''", "(chapter_no * 37) % 400")}
-  FROM summary_req)""", ["summary_req"])
+oracle("summaries", ["given_summaries", "turn_texts", "raw_chapters"], f"""
+SELECT r.book_id, r.chapter_no, 'ok' AS status, coalesce(t.text, '') <> '' AS from_translation,
+       CAST(length(substring(coalesce(nullif(t.text, ''), r.text), 1, 3000)) AS INTEGER) AS n_input, {strip('s.text')} AS text
+FROM raw_chapters r JOIN given_summaries s ON s.book_id = r.book_id AND s.chapter_no = r.chapter_no
+LEFT JOIN turn_texts t ON t.book_id = r.book_id AND t.chapter_no = r.chapter_no WHERE {strip('s.text')} <> ''""")
 
-oracle("summaries", ["summaries"], "SELECT * FROM summaries WHERE text <> ''")
+oracle("redo_chapter", ["pairs"], f"""
+SELECT conv_id, CAST(conv_id % 50 + 1 AS INTEGER) AS chapter_no, n_parts, n_ok, n_parts - n_ok AS n_failed,
+       CAST(length(text) AS INTEGER) AS n_chars, text
+FROM (SELECT conv_id, count(*) AS n_parts, count(answer) AS n_ok,
+             string_agg(coalesce(answer, CASE WHEN conv_id % 50 = 2 THEN input ELSE {_LOST} END), {NL2} ORDER BY part_no) AS text
+      FROM pairs GROUP BY conv_id)""")
 
 oracle("clean_passthrough", ["broken_docs"], f"""
 SELECT book_id, chapter_no, status, attempts, output = input AS unchanged,
@@ -566,33 +584,6 @@ FROM (SELECT book_id, chapter_no, text AS input,
              {_model_cols("((3 * chapter_no) % 5 + 1)", "text", "text")}
       FROM broken_docs)""")
 
-oracle("retry_accounting", ["translated"], """
-SELECT book_id, count(*) AS n_chunks, CAST(sum(attempts) AS BIGINT) AS n_attempts,
-       count(*) FILTER (WHERE status = 'failed') AS n_failed, CAST(sum(backoff_s) AS BIGINT) AS backoff_s,
-       CAST(sum(service_us) AS BIGINT) AS service_us, max(service_us) AS max_service_us, count(*) * 1 AS pause_s
-FROM translated GROUP BY book_id""")
-
-oracle("fail_fast", ["translated"], """
-SELECT book_id, chapter_no, part_no,
-       CASE WHEN late THEN 'not_attempted' ELSE status END AS status,
-       CASE WHEN late THEN 0 ELSE attempts END AS attempts,
-       CASE WHEN late THEN 0 ELSE backoff_s END AS backoff_s,
-       CASE WHEN late THEN NULL ELSE output END AS output
-FROM (SELECT *, coalesce(part_no > min(CASE WHEN status <> 'ok' THEN part_no END)
-                          OVER (PARTITION BY book_id, chapter_no), false) AS late
-      FROM translated)""")
-
-oracle("redo_chapter", ["translations", "chunk_requests"], f"""
-SELECT book_id, chapter_no, n_parts, n_ok, n_failed, CAST(length(text) AS INTEGER) AS n_chars, text FROM (
-  SELECT * FROM translations WHERE chapter_no <> 3
-  UNION ALL
-  SELECT book_id, chapter_no, string_agg(output, {NL2} ORDER BY part_no), count(*),
-         count(*) FILTER (WHERE status = 'ok'), count(*) FILTER (WHERE status <> 'ok')
-  FROM (SELECT book_id, chapter_no, part_no,
-               {_model_cols("((chapter_no + part_no) % 3 + 1)", "input", "printf('[Translation failed for chunk %d]', part_no)")}
-        FROM chunk_requests WHERE chapter_no = 3)
-  GROUP BY book_id, chapter_no)""")
-
 
 # --- step 8: rate schedules (step-by-step recurrences) ------------------------------------
 
@@ -689,9 +680,8 @@ FROM merged GROUP BY book_id""")
 # --- step 10: catalogue ------------------------------------------------------------------
 
 view("cat_translations", "SELECT * FROM zh_files", ["zh_files"])
-view("cat_summaries", f"""
-SELECT book_id, chapter_no, {strip(_UP.format(x=strip("substring(substring(text, 1, 3000), 1, (chapter_no * 37) % 400)")))} AS text
-FROM cat_translations WHERE chapter_no % 4 + 1 <= 3""", ["cat_translations"])
+view("cat_summaries", f"SELECT book_id, chapter_no, {strip('text')} AS text FROM given_summaries WHERE {strip('text')} <> ''",
+     ["given_summaries"])
 view("cat_merged", "SELECT book_id, chapter_no FROM merged WHERE body IS NOT NULL", ["merged"])
 _PREVIEW = (f"CASE WHEN s.text IS NULL THEN '暂无摘要' WHEN length({strip('s.text')}) > 200 "
             f"THEN substring({strip('s.text')}, 1, 200) || '...' ELSE {strip('s.text')} END")
@@ -792,3 +782,17 @@ oracle("binary_roundtrip", ["merged"], """
 SELECT book_id, chapter_no, CAST(octet_length(encode(body)) AS BIGINT) AS n_bytes, md5(body) AS md5,
        min(printf('chapter_%02d_full.mp3', chapter_no)) OVER (PARTITION BY book_id) AS first_file
 FROM merged WHERE body IS NOT NULL""")
+
+view("book_texts", f"""
+SELECT book_id, string_agg(text, {NL2} ORDER BY page_no) AS text FROM book_pages
+WHERE text IS NOT NULL AND text <> '' GROUP BY book_id""", ["book_pages"])
+_dx_cte, _dx_sel = boundary_chunks_sql("book_texts", "book_id")
+view("dx", _dx_cte.replace("bx", "dx"), ["book_texts"], raw=True)
+oracle("chunk_distributed", ["dx"], _dx_sel.replace("bx", "dx"))
+
+oracle("incremental_arrivals", ["speech_chunks"], """
+SELECT book_id, chapter_no, part_no, CAST(octet_length(encode(text)) AS INTEGER) AS n_bytes FROM speech_chunks""")
+
+oracle("binary_committed", ["merged"], """
+SELECT book_id, chapter_no, CAST(octet_length(encode(body)) AS BIGINT) AS n_bytes, md5(body) AS md5
+FROM merged WHERE body IS NOT NULL""")

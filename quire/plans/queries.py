@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from quire.operators import blocks as BL
 from quire.operators import catalog as CT
 from quire.operators import chunk as CH
 from quire.operators import lines as LN
@@ -26,8 +27,10 @@ from quire.functions import constants as C
 from quire.functions import text as T
 from quire.plans import fixtures as FX
 from quire.session import apply_runtime_conf, materialize, scratch_path
+from quire.sinks import committed as CF
 from quire.sinks import files as SK
 from quire.sources import files as SF
+from quire.streaming.arrivals import run_arrivals
 from quire.streaming.incremental import run_incremental
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,6 +98,13 @@ def chunk_boundary(spark, sf_dir):
     return CH.chunk_boundary(FX.chapter_docs(spark, sf_dir), ["book_id", "chapter_no", "form"])
 
 
+@query
+def chunk_distributed(spark, sf_dir):
+    """T3 over page rows: the chunks of each book's joined text, which is
+    never in one row."""
+    return BL.chunk_boundary(FX.book_pages(spark, sf_dir), ["book_id"], ["page_no"], block=FX.CHUNK_BLOCK)
+
+
 @query
 def pack_paragraphs(spark, sf_dir):
     """T4: paragraphs packed greedily up to 4000 chars."""
@@ -260,6 +270,7 @@ def content_preserved(spark, sf_dir):
 # --- step 7: model step -----------------------------------------------------------
 
 _CK = ["book_id", "chapter_no", "part_no"]
+_SK = ["book_id", "chapter_no"]
 
 
 def _translated(spark, sf_dir):
@@ -279,31 +290,41 @@ def prompts(spark, sf_dir):
         *_CK, "n_parts", "r.system", "r.user", "r.temperature", "r.max_tokens")
 
 
-def translate_chunks(spark, sf_dir):
-    """M1 + M8: model output per chunk with attempts, backoff and status."""
-    return _translated(spark, sf_dir).drop("title")
+def _pairs(spark, sf_dir, **kw):
+    turns = materialize(FX.numbered_turns(spark, sf_dir))
+    return MD.pair_responses(FX.turn_requests(turns), FX.turn_answers(turns), ["conv_id"], ["turn"], **kw)
+
+
+@query
+def turn_pairs(spark, sf_dir):
+    """Every request turn with its answer; a sentinel where none came."""
+    return _pairs(spark, sf_dir)
 
 
 @query
 def reassemble(spark, sf_dir):
-    """J6 + A2 + A5 + K2: chapter translations (failed chunks keep their
-    sentinel text) and the translation file text."""
-    ch = MD.reassemble(_translated(spark, sf_dir), ["book_id", "chapter_no", "title"])
+    """J6 + A2 + A5 + K2: the answers of each conversation in order (a lost one
+    keeps its sentinel, ``n_parts`` counts requests) and the file text."""
+    ch = MD.reassemble(_pairs(spark, sf_dir), ["conv_id"])
     return ch.select(
-        "book_id", "chapter_no", "n_parts", "n_ok", "n_failed", F.col("text").alias("translation"),
-        F.concat(F.col("title"), F.lit("\n\n"), F.col("text")).alias("file_text"))
+        "conv_id", "n_parts", "n_ok", "n_failed", F.col("text").alias("translation"),
+        F.concat(F.format_string("Conversation %d", F.col("conv_id")), F.lit("\n\n"), F.col("text")).alias("file_text"))
 
 
 @query
 def summaries(spark, sf_dir):
-    """M2 + P9 + P21 + K3: summaries of the translations (failure → '',
-    stripped, empty ones not written)."""
-    tr = MD.reassemble(_translated(spark, sf_dir), ["book_id", "chapter_no"])
-    orig = FX.raw_chapters(spark, sf_dir).select("book_id", "chapter_no", F.col("text").alias("original"))
-    req = tr.join(orig, ["book_id", "chapter_no"]).select(
-        "book_id", "chapter_no", MD.summary_input(F.col("text"), F.col("original")).alias("input"))
-    res = MD.call_model(req, FX.SUMMARY_MODEL, ["book_id", "chapter_no"], on_failure="empty")
-    out = res.select("book_id", "chapter_no", "status", "attempts", T.py_strip("output").alias("text"))
+    """M2 + P9 + P21 + K3: one summary request for each chapter (its translation,
+    else the original), paired with the given answers; a request without an
+    answer has an empty summary, which is not written."""
+    tr = MD.reassemble(_pairs(spark, sf_dir, on_failure="empty"), ["conv_id"]).select(*FX.as_chapter(), "text")
+    orig = FX.raw_chapters(spark, sf_dir).select(*_SK, F.col("text").alias("original"))
+    req = orig.join(tr, _SK, "left").select(
+        *_SK, F.lit(1).alias("part_no"), MD.summary_input(F.col("text"), F.col("original")).alias("input"),
+        (F.coalesce("text", F.lit("")) != "").alias("from_translation"))
+    res = MD.pair_responses(req, FX.given_summaries(spark, sf_dir).withColumn("part_no", F.lit(1)), _SK, [],
+                            on_failure="empty")
+    out = res.join(req.select(*_SK, "from_translation"), _SK).select(
+        *_SK, "status", "from_translation", F.length("input").alias("n_input"), T.py_strip("output").alias("text"))
     return out.where(F.col("text") != "")
 
 
@@ -319,36 +340,22 @@ def clean_passthrough(spark, sf_dir):
         F.col("output").alias("text"))
 
 
-def retry_accounting(spark, sf_dir):
-    """M8 + R4 + A10: per book: calls, attempts, retries' backoff, service
-    and the fixed pause after every call (integers, so exact everywhere)."""
-    r = _translated(spark, sf_dir)
-    return r.groupBy("book_id").agg(
-        F.count("*").alias("n_chunks"),
-        F.sum("attempts").alias("n_attempts"),
-        F.count_if(F.col("status") == "failed").alias("n_failed"),
-        F.sum("backoff_s").alias("backoff_s"),
-        F.sum("service_us").alias("service_us"),
-        F.max("service_us").alias("max_service_us"),
-        (F.count("*") * C.PAUSE_AFTER_CALL_S).alias("pause_s"))
-
-
-def fail_fast(spark, sf_dir):
-    """M6: the stop-at-first-failure policy (later parts not attempted; no merge)."""
-    r = MD.stop_at_first_failure(_translated(spark, sf_dir), ["book_id", "chapter_no"])
-    return r.select(*_CK, "status", "attempts", "backoff_s", "output")
-
-
 @query
 def redo_chapter(spark, sf_dir):
-    """M9: re-run one chapter with another model and replace only its rows."""
-    first = MD.reassemble(_translated(spark, sf_dir), ["book_id", "chapter_no"])
-    req = SF.lookup_chapter(FX.chunk_requests(spark, sf_dir), FX.REDO_CHAPTER)
-    again = MD.reassemble(MD.call_model(req, FX.REDO_MODEL, _CK, on_failure="sentinel"),
-                          ["book_id", "chapter_no"])
-    out = MD.replace_partitions(first, again, ["book_id", "chapter_no"])
-    return out.select("book_id", "chapter_no", "n_parts", "n_ok", "n_failed",
-                      F.length("text").alias("n_chars"), "text")
+    """M9 + S4 + K2: answers stored in a table partitioned by chapter; one
+    chapter is read alone (a pruned scan), answered again under another policy
+    (a lost answer leaves the request) and replaces its own partition only."""
+    turns = materialize(FX.numbered_turns(spark, sf_dir))
+    path = _scratch(spark, "redo")
+    answers = FX.turn_answers(turns)
+    pairs = MD.pair_responses(FX.turn_requests(turns), answers, ["conv_id"], ["turn"]).select("*", *FX.as_chapter())
+    SK.write_parquet(pairs.repartition("chapter_no"), path, ["chapter_no"])
+    stored = SF.lookup_chapter(spark.read.parquet(path), FX.REDO_CHAPTER)
+    again = MD.pair_responses(stored, answers, ["conv_id"], ["turn"], on_failure="passthrough").select("*", *FX.as_chapter())
+    # The new rows are written down before they replace what they were read from.
+    SK.replace_partition(materialize(again), path, ["chapter_no"])
+    back = MD.reassemble(spark.read.parquet(path), ["conv_id", "chapter_no"])
+    return back.select("conv_id", "chapter_no", "n_parts", "n_ok", "n_failed", F.length("text").alias("n_chars"), "text")
 
 
 # --- step 8: rate schedules and audit -------------------------------------------------
@@ -395,9 +402,6 @@ def rate_audit(spark, sf_dir):
 
 # --- step 9: speech parts: skip, generate, merge --------------------------------------
 
-_SK = ["book_id", "chapter_no"]
-
-
 @query
 def skip_existing(spark, sf_dir):
     """J5 + M4 + U1: generate only parts not produced yet; existing parts
@@ -419,6 +423,11 @@ def _merge_table(spark, sf_dir):
     return PT.gate_rows(rows, _SK, min_parts=2)
 
 
+def _merge_sizes(spark, sf_dir):
+    # Flags and sizes only: no content in the shuffle.
+    return PT.gate_sizes(FX.chapter_part_sizes(spark, sf_dir), _SK, min_parts=2)
+
+
 @query
 def merge_complete(spark, sf_dir):
     """J7 + A3 + M5: merge a chapter's parts only when all of them exist."""
@@ -434,22 +443,22 @@ def merge_complete(spark, sf_dir):
 @query
 def merge_size(spark, sf_dir):
     """Merged size in MB and the 192 kbps duration estimate."""
-    m = _merge_table(spark, sf_dir).where(F.col("content").isNotNull())
-    mb, minutes = PT.size_estimate(F.octet_length("content"))
-    return m.select(*_SK, F.octet_length("content").alias("n_bytes"), mb.alias("mb"), minutes.alias("minutes"))
+    m = _merge_sizes(spark, sf_dir).where(F.col("n_bytes").isNotNull())
+    mb, minutes = PT.size_estimate(F.col("n_bytes"))
+    return m.select(*_SK, F.col("n_bytes").cast("int").alias("n_bytes"), mb.alias("mb"), minutes.alias("minutes"))
 
 
 @query
 def run_summary(spark, sf_dir):
     """A5 + M5: per book: parts expected / present, complete and merged chapters."""
-    m = _merge_table(spark, sf_dir)
+    m = _merge_sizes(spark, sf_dir)
     return m.groupBy("book_id").agg(
         F.count("*").alias("n_chapters"),
         F.sum("n_parts").alias("n_parts"),
         F.sum("n_present").alias("n_present"),
         F.count_if("complete").alias("n_complete"),
-        F.count_if(F.col("content").isNotNull()).alias("n_merged"),
-        F.coalesce(F.sum(F.octet_length("content")), F.lit(0)).cast("bigint").alias("merged_bytes"),
+        F.count_if(F.col("n_bytes").isNotNull()).alias("n_merged"),
+        F.coalesce(F.sum("n_bytes"), F.lit(0)).cast("bigint").alias("merged_bytes"),
         F.bool_and("complete").alias("all_ok"))
 
 
@@ -457,10 +466,9 @@ def run_summary(spark, sf_dir):
 
 def _catalog_inputs(spark, sf_dir):
     tr = FX.cat_translations(spark, sf_dir)
-    req = tr.select(*_SK, F.substring("text", 1, C.SUMMARY_INPUT_CHARS).alias("input"))
-    summ = (MD.call_model(req, FX.SUMMARY_MODEL, _SK, on_failure="empty")
-            .select(*_SK, T.py_strip("output").alias("text")).where(F.col("text") != ""))
-    merged = _merge_table(spark, sf_dir).where(F.col("content").isNotNull()).select(*_SK)
+    summ = (FX.given_summaries(spark, sf_dir).select(*_SK, T.py_strip("output").alias("text"))
+            .where(F.col("text") != ""))
+    merged = _merge_sizes(spark, sf_dir).where(F.col("n_bytes").isNotNull()).select(*_SK)
     return tr, summ, merged
 
 
@@ -503,9 +511,7 @@ def book_export(spark, sf_dir):
                   F.coalesce("summary", F.lit("")).alias("summary"),
                   F.when(F.col("_m"), F.format_string("audio/chapter_%02d_full.mp3", F.col("chapter_no")))
                   .otherwise(F.lit("")).alias("audio")))
-    titles = tr.select("book_id").distinct().select(
-        "book_id", F.format_string("Book %d", F.col("book_id")).alias("book_title"))
-    return CT.book_export(ch, titles)
+    return CT.book_export(ch, F.format_string("Book %d", F.col("book_id")))
 
 
 @query
@@ -586,6 +592,37 @@ def incremental_run(spark, sf_dir):
     return spark.read.parquet(out)
 
 
+@query
+def incremental_arrivals(spark, sf_dir):
+    """X1 with state: three arrivals, the second with parts of the first again
+    (other bytes), the third with late ones; each part counts once, as it
+    first came, and no output is read back."""
+    chunks = materialize(FX.speech_chunks(spark, sf_dir))
+    parts = chunks.select(*_CK, F.octet_length("text").alias("n_bytes"))
+    base = _scratch(spark, "arrivals")
+    late = (F.col("chapter_no") * 7 + F.col("part_no")) % 11 == 0
+    even = F.col("part_no") % 2 == 0
+    again = parts.where(even & ~late).withColumn("n_bytes", -F.col("n_bytes"))
+    for batch in (parts.where(even & ~late), parts.where(~even & ~late).unionByName(again), parts.where(late)):
+        SK.write_parquet(batch, f"{base}/in", mode="append")
+        run_arrivals(spark, f"{base}/in", parts.schema, f"{base}/out", f"{base}/checkpoint", _CK)
+    return spark.read.parquet(f"{base}/out")
+
+
+@query
+def binary_committed(spark, sf_dir):
+    """K8 + K1: merged audio written under task-attempt names, then renamed
+    from the manifest; read back from the visible files."""
+    m = _merge_table(spark, sf_dir).where(F.col("content").isNotNull())
+    base = _scratch(spark, "committed")
+    files = m.select(F.concat(F.lit("book_id="), F.col("book_id").cast("string")).alias("dir"),
+                     F.format_string("chapter_%02d_full.mp3", F.col("chapter_no")).alias("name"), "content")
+    CF.write_files(files, base)
+    back = SF.read_binary_parts(spark, base, "*_full.mp3")
+    return back.select(F.col("book_id").cast("bigint").alias("book_id"), "chapter_no", F.col("length").alias("n_bytes"),
+                       F.md5("content").alias("md5"))
+
+
 # --- additions: line table, cleaning audit, binary files ----------------------------------
 
 @query

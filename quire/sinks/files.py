@@ -56,6 +56,13 @@ def write_parquet(df: DataFrame, path: str, partition_cols: list[str] | None = N
     w.parquet(path)
 
 
+def replace_partition(fresh: DataFrame, path: str, partition_cols: list[str]) -> None:
+    """K2/M9: the partitions that ``fresh`` has rows for are replaced, all
+    other files of the table stay as they are."""
+    (fresh.repartition(*partition_cols).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*partition_cols).parquet(path))
+
+
 def formatted_name(file_name: Column) -> Column:
     """K7: ``{stem}_formatted.md`` next to the source file."""
     return F.concat(F.regexp_replace(file_name, r"\.[^.]*$", ""), F.lit("_formatted.md"))
