@@ -95,8 +95,9 @@ def exits(nxt: np.ndarray, size: int) -> np.ndarray:
 
 def layout(rows: DataFrame, keys: list[str], order: list[str], text_col: str = "text",
            sep: str = C.PAGE_JOIN_SEPARATOR, block: int = BLOCK, halo: int = C.TRANSLATE_CHUNK_SIZE) -> DataFrame:
-    """``keys``, block number ``b``, its text with the halo and the whole
-    text's length ``n``, written once."""
+    """The keys (a struct and ``key_id``, their name in later joins), block
+    number ``b``, its text with the halo and the whole text's length ``n``,
+    written once."""
     rows = rows.where(F.col(text_col).isNotNull() & (F.col(text_col) != "")).select(
         F.struct(*keys).alias("_key"), *order, F.col(text_col).alias("_text"))
     placed = keyed_scan(rows, "_key", [*order, "_text"], sums={"_upto": F.length("_text").cast("long")})
@@ -116,10 +117,12 @@ def layout(rows: DataFrame, keys: list[str], order: list[str], text_col: str = "
     blocks = pieces.groupBy("_key", "b").agg(F.expr("listagg(_piece, '') WITHIN GROUP (ORDER BY _at)").alias("text"))
     # A text may end inside the halo of its last full block: no block of its own.
     return materialize(blocks.join(whole, F.col("_key") == F.col("_k")).where(F.col("b") * block < F.col("n")).select(
-        "_key", "b", "text", "n"))
+        "_key", F.to_json("_key", {"ignoreNullFields": "false"}).alias("key_id"), "b", "text", "n"))
 
 
-def _per_block(fn: Callable, block: int):
+def per_block(fn: Callable, block: int):
+    """``fn(row, text, own, left)`` for each block: its own code points and
+    those from its start to the end of the whole text."""
     def work(batches):
         for pdf in batches:
             yield pd.concat([fn(r, r.text, int(min(block, r.n - r.b * block)), int(r.n - r.b * block))
@@ -132,19 +135,25 @@ def entries(blocks: DataFrame, size: int, rules: list[Rule], block: int) -> Data
     def leave(r, text, own, left):
         return pd.DataFrame({"key_id": [r.key_id], "b": [r.b], "m": [exits(successors(text, own, left, size, rules), size).tolist()]})
 
-    longest = blocks.agg(F.max("b")).first()[0] or 0
     maps = blocks.where(F.col("n") > block * (F.col("b") + 1)).select("key_id", "b", "text", "n").mapInPandas(
-        _per_block(leave, block), "key_id string, b long, m array<int>")
+        per_block(leave, block), "key_id string, b long, m array<int>")
+    maps = composed(maps, ["key_id"], blocks.agg(F.max("b")).first()[0] or 0,
+                    lambda before, m: F.transform(before, lambda x: F.get(m, x)))
+    return maps.select("key_id", (F.col("b") + 1).alias("b"), F.get("m", F.lit(0)).alias("entry"))
+
+
+def composed(maps: DataFrame, by: list[str], longest: int, after: Callable) -> DataFrame:
+    """(``by``, b, m) with each map taken after all maps of the blocks before
+    it, by pointer doubling. ``after(before, m)``: first ``before``, then ``m``."""
     step = 1
     while step <= longest:
         # Each map after the one that ends where it begins.
         maps = materialize(maps)
-        before = maps.select("key_id", (F.col("b") + step).alias("b"), F.col("m").alias("_before"))
-        maps = maps.join(before, ["key_id", "b"], "left").select("key_id", "b", F.when(
-            F.col("_before").isNull(), F.col("m")).otherwise(
-            F.transform("_before", lambda x: F.get("m", x))).alias("m"))
+        before = maps.select(*by, (F.col("b") + step).alias("b"), F.col("m").alias("_before"))
+        maps = maps.join(before, [*by, "b"], "left").select(*by, "b", F.when(
+            F.col("_before").isNull(), F.col("m")).otherwise(after(F.col("_before"), F.col("m"))).alias("m"))
         step *= 2
-    return maps.select("key_id", (F.col("b") + 1).alias("b"), F.get("m", F.lit(0)).alias("entry"))
+    return maps
 
 
 def _chunks(rows: DataFrame, keys: list[str], order: list[str], rules: list[Rule], size: int, strip: bool,
@@ -152,8 +161,6 @@ def _chunks(rows: DataFrame, keys: list[str], order: list[str], rules: list[Rule
     if block < size:
         raise ValueError("a block holds at least one window")
     laid = layout(rows, keys, order, text_col, sep, block, size)
-    # One name for each text: a join key of plain text in the rounds.
-    laid = laid.withColumn("key_id", F.to_json("_key", {"ignoreNullFields": "false"}))
     at = laid.join(entries(laid, size, rules, block), ["key_id", "b"], "left").select(
         "key_id", "b", "text", "n", F.coalesce("entry", F.lit(0)).alias("entry"))
 
@@ -165,7 +172,7 @@ def _chunks(rows: DataFrame, keys: list[str], order: list[str], rules: list[Rule
         return pd.DataFrame({"key_id": r.key_id, "b": r.b, "k": range(1, len(out) + 1), "text": out}).astype(
             {"b": "int64", "k": "int64"})
 
-    parts = materialize(at.mapInPandas(_per_block(cut, block), "key_id string, b long, k long, text string"))
+    parts = materialize(at.mapInPandas(per_block(cut, block), "key_id string, b long, k long, text string"))
     earlier = Window.partitionBy("key_id").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
     counts = parts.groupBy("key_id", "b").agg(F.count(F.lit(1)).alias("c")).select(
         "key_id", "b", F.coalesce(F.sum("c").over(earlier), F.lit(0)).alias("before"),

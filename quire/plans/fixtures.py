@@ -39,6 +39,7 @@ PAGE_REWRITES = [
 ]
 
 FIRST_N = 2
+PIECE = 10_000
 CHUNK_BLOCK = 1 << 16   # several blocks for most books
 RANGE_START, RANGE_END = 3, 7
 
@@ -120,13 +121,8 @@ LAST_PAGE = PAGES_PER_BOOK - 1   # heading k = 8 before the last page
 DROPPED_HEADING = 4         # its title contains HTTP, so it is filtered out
 
 
-def marked_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``marked_docs(book_id, title, text)``: each book's pages joined in order
-    with blank lines, chapter headings ``k: THE CHAPTER ABOUT TOPIC <letter>``
-    in front of pages 3, 10, …, 45 and 49; heading 4 mentions HTTP (dropped);
-    the last chapter body is short (< 500 chars, dropped); books with
-    ``book_id % 4 == 2`` keep only headings 1–4 (3 kept → fallback) and books
-    with ``book_id % 4 == 3`` have none."""
+def marked_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``marked_pages(book_id, page_no, piece)``: the pages of :func:`marked_docs`."""
     d = table(spark, sf_dir, "documents").select("doc_id", "text")
     page_no = (F.col("doc_id") % PAGES_PER_BOOK).cast("int")
     book = _book_of("doc_id")
@@ -142,7 +138,17 @@ def marked_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     body = F.col("text")
     pages = pages.select("book_id", "page_no",
                          F.concat(F.when(show, heading).otherwise(F.lit("")), body).alias("piece"))
-    return (pages.groupBy("book_id")
+    return pages
+
+
+def marked_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``marked_docs(book_id, title, text)``: each book's pages joined in order
+    with blank lines, chapter headings ``k: THE CHAPTER ABOUT TOPIC <letter>``
+    in front of pages 3, 10, …, 45 and 49; heading 4 mentions HTTP (dropped);
+    the last chapter body is short (< 500 chars, dropped); books with
+    ``book_id % 4 == 2`` keep only headings 1–4 (3 kept → fallback) and books
+    with ``book_id % 4 == 3`` have none."""
+    return (marked_pages(spark, sf_dir).groupBy("book_id")
             .agg(F.expr("listagg(piece, '\\n\\n') WITHIN GROUP (ORDER BY page_no)").alias("text"))
             .select("book_id", F.concat(F.lit("Book "), F.col("book_id").cast("string")).alias("title"),
                     "text"))

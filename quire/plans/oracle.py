@@ -796,3 +796,9 @@ SELECT book_id, chapter_no, part_no, CAST(octet_length(encode(text)) AS INTEGER)
 oracle("binary_committed", ["merged"], """
 SELECT book_id, chapter_no, CAST(octet_length(encode(body)) AS BIGINT) AS n_bytes, md5(body) AS md5
 FROM merged WHERE body IS NOT NULL""")
+
+oracle("segment_pages", ["seg_chapters"], """
+SELECT book_id, pattern_no, chapter_no, title, CAST(length(text) AS INTEGER) AS n_chars,
+       CAST(k + 1 AS INTEGER) AS piece_no, substring(text, 10000 * k + 1, 10000) AS text
+FROM (SELECT *, unnest(range(0, (length(text) - 1) // 10000 + 1)) AS k FROM seg_chapters
+      WHERE pattern_no = 0 OR length(text) >= 500)""")

@@ -22,6 +22,7 @@ from quire.operators import parts as PT
 from quire.operators import project as PJ
 from quire.operators import rate as RT
 from quire.operators import segment as SG
+from quire.operators import segment_blocks as SB
 from quire.sources.tables import table
 from quire.functions import constants as C
 from quire.functions import text as T
@@ -222,6 +223,15 @@ def segment_fallback(spark, sf_dir):
                       F.col("_s.pattern_no").alias("pattern_no"), F.size(kept).alias("n_chapters"))
 
 
+@query
+def segment_pages(spark, sf_dir):
+    """T1 over page rows: the chapters of each book's joined text, in pieces;
+    no book is ever in one row."""
+    return SB.split_into_chapters(FX.marked_pages(spark, sf_dir), ["book_id"], ["page_no"], text_col="piece",
+                                  title=F.concat(F.lit("Book "), F.col("book_id").cast("string")),
+                                  block=FX.CHUNK_BLOCK, piece=FX.PIECE)
+
+
 # --- step 6: lines and blocks ------------------------------------------------------
 
 @query
