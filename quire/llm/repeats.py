@@ -15,7 +15,10 @@ window would multiply the corpus, so the search narrows down:
 3. what remains are the different contexts of one anchor, where a repeated
    passage begins or ends. They are compared window by window.
 
-Equality is decided on 64-bit hashes (see :mod:`quire.llm.vectors`).
+Anchors and contexts are known by 64-bit hashes (see :mod:`quire.llm.vectors`),
+so only contexts of one anchor could be taken for one another; what is removed
+is decided on the texts themselves, or for crowded anchors on the anchor and
+two independent hashes of the window.
 """
 
 from __future__ import annotations
@@ -39,9 +42,9 @@ def text_class(text: str = "text"):
     return F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")))
 
 
-def _units(data: np.ndarray, off: np.ndarray, unit: str):
+def _units(data: np.ndarray, off: np.ndarray, unit: str, family: int = 0):
     """Prefix hash over units, unit bounds per row, and unit spans in bytes."""
-    p = V.byte_prefix(data)
+    p = V.byte_prefix(data, family)
     if unit == "byte":
         return p, off, None, None
     s, e, b = V.words(data, off)
@@ -131,11 +134,12 @@ def contexts(texts: DataFrame, wanted: DataFrame, unit: str, length: int) -> Dat
     return sieved(texts, wanted, ["cls"]).join(lists, ["cls", "did"]).select("cls", "did", "text", "runs").mapInArrow(work, schema)
 
 
-def window_hashes(parts: list[bytes], unit: str, length: int):
-    """Hashes of all windows of each part, and window bounds per part."""
+def window_hashes(parts: list[bytes], unit: str, length: int, family: int = 0):
+    """Hashes of all windows of each part, and window bounds per part. Hashes
+    of two families are independent."""
     data = np.frombuffer(b"".join(parts), np.uint8)
     off = np.concatenate([[0], np.cumsum([len(x) for x in parts], dtype=np.int64)])
-    p, bounds, _, _ = _units(data, off, unit)
+    p, bounds, _, _ = _units(data, off, unit, family)
     start = np.flatnonzero(V.room(bounds) >= length)
     return V.signed(p.span(start, start + length)), np.searchsorted(start, bounds)
 
@@ -207,21 +211,26 @@ def keyed(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFr
 
 
 def hot_windows(parts: DataFrame, unit: str, length: int) -> DataFrame:
-    """One row for each window of the contexts of crowded anchors."""
-    schema = "h long, did long, cls binary, first int, open boolean"
+    """One row for each window ``w`` of the contexts of crowded anchors, with
+    its hash in two halves."""
+    schema = "anchor long, context long, h long, h2 long, w int, did long, cls binary, first int, open boolean"
 
     def work(batches):
         for b in batches:
             for i in range(0, b.num_rows, 512):
                 t = b.slice(i, 512)
-                h, bounds = window_hashes(t.column("part").to_pylist(), unit, length)
+                parts_ = t.column("part").to_pylist()
+                h, bounds = window_hashes(parts_, unit, length)
+                h2, _ = window_hashes(parts_, unit, length, 1)
                 r = V.rows_of(bounds)
-                first = t.column("first").to_numpy()[r] + np.arange(len(h)) - bounds[r]
+                w = np.arange(len(h)) - bounds[r]
+                first = t.column("first").to_numpy()[r] + w
                 r = pa.array(r)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(h), t.column("did").take(r), t.column("cls").take(r),
+                    [t.column("anchor").take(r), t.column("context").take(r), pa.array(h), pa.array(h2),
+                     pa.array(w.astype(np.int32)), t.column("did").take(r), t.column("cls").take(r),
                      pa.array(first.astype(np.int32)), t.column("open").take(r)],
-                    ["h", "did", "cls", "first", "open"])
+                    ["anchor", "context", "h", "h2", "w", "did", "cls", "first", "open"])
 
     return parts.mapInArrow(work, schema)
 

@@ -2,19 +2,22 @@
 
 The longest previous factor (LPF) of a position is the longest string there
 that also starts at an earlier position. In suffix order it is the larger of
-the common prefixes with the previous and the next suffix of smaller
-position. Only LPF >= ``length`` matters here, so suffixes are ordered to
-that depth: suffixes that agree in ``length`` bytes stand together, in order
-of their position, and for these the previous smaller position is the
-neighbour before, the next larger one the neighbour after. An LPF of at least
-``length`` is exactly the presence of the former.
+the common prefixes with the nearest suffix before and the nearest after that
+start at a smaller position; with larger positions it is the longest *next*
+factor. A string of ``length`` bytes has an earlier copy exactly where LPF is
+``length`` or more.
 
 A suffix array of the corpus would pass through one place; instead the
 anchors of :mod:`quire.llm.repeats` cut it into buckets that hold all
-suffixes which can agree, and each bucket is sorted in a task. Buckets of
-more than ``group_limit`` different contexts (a passage whose surroundings
-differ in very many documents) are ordered by a Spark shuffle instead, with
-the same result.
+suffixes which can agree in ``length`` bytes. In each bucket the suffixes are
+sorted (prefix doubling), previous and next smaller positions are found by
+pointer jumping, and their common prefixes give the LPF array. Equal
+contexts of an anchor enter a bucket once, with their first place; the other
+places are copies of it as they stand. Buckets of more than ``group_limit``
+different contexts (a passage whose surroundings differ in very many
+documents) are ordered by a Spark shuffle of 128-bit window hashes instead:
+their suffixes written out would be 400 times their text. The result is the
+same.
 
 Defined results: a null text is an empty text; texts shorter than ``length``
 bytes lose nothing; rows of equal number and text get equal results; a null
@@ -39,31 +42,113 @@ SEED = 64
 _MAX = (1 << 63) - 1
 
 
-def neighbours(keys: np.ndarray):
-    """For positions in text order with depth-limited suffix keys: whether an
-    earlier position and whether a later one has the same key (LPF >= depth,
-    and the same looking forward)."""
-    order = np.argsort(keys, kind="stable")
-    same = keys[order][1:] == keys[order][:-1]
-    earlier, later = np.zeros(len(keys), bool), np.zeros(len(keys), bool)
-    earlier[order[1:]] = same
-    later[order[:-1]] = same
-    return earlier, later
+#: Bytes that one 64-bit word of nine-bit symbols holds.
+_WORD = 7
+
+
+class Suffixes:
+    """Suffixes of some texts (``data`` cut at ``off``), in order up to a depth
+    of ``depth`` bytes or a little more; no suffix goes on into the next text.
+    Suffixes that agree so far are in order of position."""
+
+    def __init__(self, data: np.ndarray, off: np.ndarray, depth: int):
+        self.data, self.n = data, len(data)
+        self.end = np.repeat(off[1:], np.diff(off))  # of the text that a position is in
+        at = np.arange(self.n)
+        symbols = data.astype(np.int64) + 1  # 0 is the end of a text
+        key = np.zeros(self.n, np.int64)
+        for k in range(_WORD):
+            inside = np.minimum(at + k, self.n - 1) if self.n else at
+            key = (key << 9) | np.where(at + k < self.end, symbols[inside], 0)
+        self.depths, self.ranks = [_WORD], [self._ranked(key)]
+        while self.depths[-1] < depth:
+            d, r = self.depths[-1], self.ranks[-1].astype(np.int64)
+            after = np.where(at + d < self.end, r[np.minimum(at + d, max(self.n - 1, 0))], 0) if self.n else r
+            self.ranks.append(self._ranked(r * (self.n + 2) + after))
+            self.depths.append(2 * d)
+        self.order = np.argsort(self.ranks[-1], kind="stable")
+
+    @staticmethod
+    def _ranked(key: np.ndarray) -> np.ndarray:
+        """Ranks from 1; equal keys have equal ranks."""
+        order = np.argsort(key, kind="stable")
+        step = np.ones(len(key), np.int32)
+        step[1:] = key[order][1:] != key[order][:-1]
+        rank = np.empty(len(key), np.int32)
+        rank[order] = np.cumsum(step)
+        return rank
+
+    def common(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Length of the common prefix of pairs of suffixes, as deep as they
+        are sorted: equal ranks step over their depth, from deep to shallow."""
+        ends = self.end[a], self.end[b]
+        at = a.copy(), b.copy()
+        out = np.zeros(len(a), np.int64)
+
+        def inside():
+            return [np.minimum(x, self.n - 1) for x in at]
+
+        def go_on(step: np.ndarray, d: int) -> None:
+            out[step] += d
+            for x in at:
+                x[step] += d
+
+        for d, r in zip(reversed(self.depths), reversed(self.ranks)):
+            x, y = inside()
+            go_on((at[0] + d <= ends[0]) & (at[1] + d <= ends[1]) & (r[x] == r[y]), d)
+        for _ in range(_WORD - 1):
+            x, y = inside()
+            go_on((at[0] < ends[0]) & (at[1] < ends[1]) & (self.data[x] == self.data[y]), 1)
+        return out
+
+
+def _nearest(values: np.ndarray) -> np.ndarray:
+    """For each entry, the nearest one before it with a smaller value (-1:
+    none). A pointer skips to where the larger entry that it stands on points;
+    all entries between are larger, so no stack is needed."""
+    at = np.arange(len(values)) - 1
+    todo = np.arange(len(values))
+    while True:
+        todo = todo[at[todo] >= 0]
+        todo = todo[values[at[todo]] > values[todo]]
+        if not len(todo):
+            return at
+        at[todo] = at[at[todo]]
+
+
+def factors(data: np.ndarray, off: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """The longest previous and the longest next factor of every position, up
+    to ``depth``. A string that starts in one text and its copy may overlap;
+    neither leaves its text."""
+    s = Suffixes(data, off, depth)
+    place = s.order  # positions in suffix order
+    out = []
+    for sign in (1, -1):
+        best = np.zeros(s.n, np.int64)
+        for way in (1, -1):
+            p = place[::way]
+            near = _nearest(sign * p)
+            has = np.flatnonzero(near >= 0)
+            best[p[has]] = np.maximum(best[p[has]], s.common(p[has], p[near[has]]))
+        out.append(np.minimum(best, depth))
+    return out[0], out[1]
 
 
 def _bucket(keep_first: bool, length: int):
     def work(batches):
-        for t in R.grouped(batches, "anchor", 1000):
+        for t in R.grouped(batches, "anchor", 300):
             # In text order, each context once.
             t = t.sort_by([("did", "ascending"), ("cls", "ascending"), ("first", "ascending")]).combine_chunks()
-            ctx = t.column("context").to_numpy()
-            _, once = np.unique(ctx, return_index=True)
+            ctx = np.stack([t.column("anchor").to_numpy(), t.column("context").to_numpy()])
+            _, once = np.unique(ctx, axis=1, return_index=True)
             t = t.take(pa.array(np.sort(once)))
-            h, bounds = R.window_hashes(t.column("part").to_pylist(), "byte", length)
-            earlier, later = neighbours(h)
+            parts = t.column("part").to_pylist()
+            off = np.concatenate([[0], np.cumsum([len(x) for x in parts], dtype=np.int64)])
+            before, after = factors(np.frombuffer(b"".join(parts), np.uint8), off, length)
+            hit = before >= length if keep_first else np.maximum(before, after) >= length
             open_ = t.column("open").to_numpy(zero_copy_only=False)
-            hit = (earlier if keep_first else earlier | later) & np.repeat(open_, np.diff(bounds))
-            item, first, n = R.found_ranges(hit, bounds)
+            hit &= np.repeat(open_, np.diff(off))
+            item, first, n = R.found_ranges(hit, off)
             if len(item):
                 yield pa.RecordBatch.from_arrays(
                     [t.column("cls").combine_chunks().take(pa.array(item)),
@@ -96,8 +181,9 @@ def repeated_windows(docs: DataFrame, length: int, seed: int, keep_first: bool,
             .mapInArrow(_bucket(keep_first, length), schema))
     rows = R.write_once(R.hot_windows(parts.where("hot").dropDuplicates(["anchor", "context"]), "byte", length))
     place = F.struct("did", "cls", "first")
-    classes = R.write_once(rows.groupBy("h").agg(F.min(place).alias("lo"), F.count(F.lit(1)).alias("c")).where("c > 1"))
-    there = rows.where("open").join(classes, "h")
+    same = ["anchor", "h", "h2"]
+    classes = R.write_once(rows.groupBy(*same).agg(F.min(place).alias("lo"), F.count(F.lit(1)).alias("c")).where("c > 1"))
+    there = rows.where("open").join(classes, same)
     if keep_first:
         there = there.where(F.struct("did", "cls", "first") != F.col("lo"))
     there = there.select("cls", "first", F.lit(1).alias("n"))

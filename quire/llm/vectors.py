@@ -80,8 +80,8 @@ class Prefix:
         return mix((self.sums[e] - self.sums[s]) * self.inv[s] + (e - s).astype(U) * U(0xA24BAED4963EE407))
 
 
-def byte_prefix(data: np.ndarray) -> Prefix:
-    return Prefix(_BYTE[data])
+def byte_prefix(data: np.ndarray, family: int = 0) -> Prefix:
+    return Prefix(_BYTE[data] if not family else mix(_BYTE ^ U(family))[data])
 
 
 def words(data: np.ndarray, off: np.ndarray):

@@ -90,6 +90,68 @@ def test_suffixes(docs, rows, limit, keep_first):
     same(suffix_dedup.digest(suffix_dedup.remove_repeats(docs, keep_first=keep_first, group_limit=limit)), want)
 
 
+def brute_factors(raw):
+    """Longest previous and next factor of each position, text by text."""
+    at = [(k, p) for k, b in enumerate(raw) for p in range(len(b))]
+
+    def common(x, y):
+        a, b = raw[x[0]][x[1]:], raw[y[0]][y[1]:]
+        n = 0
+        while n < min(len(a), len(b)) and a[n] == b[n]:
+            n += 1
+        return n
+
+    return ([max([common(x, y) for y in at[:i]], default=0) for i, x in enumerate(at)],
+            [max([common(x, y) for y in at[i + 1:]], default=0) for i, x in enumerate(at)])
+
+
+@pytest.mark.parametrize("raw", [[b""], [b"a"], [b"aaaaaaaaaaaaaaaaaaaa"], [b"abcabcabcabcx", b"", b"bcabcabc", b"x"],
+                                 [b"the cat sat on the mat" * 2, b"on the mat the cat", "é😀é😀é".encode(), bytes(30), b"\xff" * 9]])
+def test_factor_arrays(raw):
+    data = np.frombuffer(b"".join(raw), np.uint8)
+    off = np.concatenate([[0], np.cumsum([len(x) for x in raw])]).astype(np.int64)
+    for depth in (5, 7, 40):
+        before, after = suffix_dedup.factors(data, off, depth)
+        want = brute_factors(raw)
+        assert before.tolist() == [min(x, depth) for x in want[0]]
+        assert after.tolist() == [min(x, depth) for x in want[1]]
+
+
+def test_factors_of_random_texts():
+    r = np.random.default_rng(3)
+    for k in range(30):
+        raw = [bytes(r.integers(97, 99 + k % 3, r.integers(0, 40)).astype(np.uint8)) for _ in range(5)]
+        data = np.frombuffer(b"".join(raw), np.uint8)
+        off = np.concatenate([[0], np.cumsum([len(x) for x in raw])]).astype(np.int64)
+        assert suffix_dedup.factors(data, off, 64)[0].tolist() == brute_factors(raw)[0]
+
+
+def test_automaton_compares_words():
+    machine = phrase_dedup.automaton([(b"a b c", 7), (b"b c", 3), (b"a b c", 9)])
+    assert sorted(phrase_dedup.occurrences(machine, b"x a  b\tc b")) == [(1, 3, 7), (1, 3, 9), (2, 2, 3)]
+    # Every word the same symbol: hits are told apart by their words.
+    before, phrase_dedup._SYMBOLS = phrase_dedup._SYMBOLS, 1
+    try:
+        machine = phrase_dedup.automaton([(b"a b", 1), (b"c d", 2)])
+        assert sorted(phrase_dedup.occurrences(machine, b"q a b c d")) == [(1, 2, 1), (3, 2, 2)]
+    finally:
+        phrase_dedup._SYMBOLS = before
+
+
+@pytest.mark.parametrize("limit", [512, 1])
+def test_removal_comes_from_the_automaton(spark, monkeypatch, limit):
+    """A phrase that is left out of the automata is not removed."""
+    one, two = " ".join(f"a{k}" for k in range(60)), " ".join(f"b{k}" for k in range(60))
+    docs = spark.createDataFrame([(1, f"{one} x {two}"), (2, f"y {one} z"), (3, f"u {two} v"), (4, f"y2 {one} z2")],
+                                 "doc_id long, text string")
+    count = lambda: {r.doc_id: r.n_removed for r in phrase_dedup.remove_phrases(docs, group_limit=limit).collect()}
+    assert count() == {1: 0, 2: 60, 3: 60, 4: 60}
+    confirmed = phrase_dedup.confirmed_phrases
+    monkeypatch.setattr(phrase_dedup, "confirmed_phrases", lambda *a: confirmed(*a).where(~F.contains(
+        F.col("phrase").cast("string"), F.lit("a30 "))))
+    assert count() == {1: 0, 2: 0, 3: 60, 4: 0}
+
+
 def shingle_sets(rows, k):
     low = str.maketrans({c: c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"})
     out = []
