@@ -49,9 +49,10 @@ _WORD = 7
 class Suffixes:
     """Suffixes of some texts (``data`` cut at ``off``), in order up to a depth
     of ``depth`` bytes or a little more; no suffix goes on into the next text.
-    Suffixes that agree so far are in order of position."""
+    Suffixes that agree so far are in order of position. Those of fewer than
+    ``least`` bytes are left out of the order."""
 
-    def __init__(self, data: np.ndarray, off: np.ndarray, depth: int):
+    def __init__(self, data: np.ndarray, off: np.ndarray, depth: int, least: int = 0):
         self.data, self.n = data, len(data)
         self.end = np.repeat(off[1:], np.diff(off))  # of the text that a position is in
         at = np.arange(self.n)
@@ -66,14 +67,16 @@ class Suffixes:
             after = np.where(at + d < self.end, r[np.minimum(at + d, max(self.n - 1, 0))], 0) if self.n else r
             self.ranks.append(self._ranked(r * (self.n + 2) + after))
             self.depths.append(2 * d)
-        self.order = np.argsort(self.ranks[-1], kind="stable")
+        live = np.flatnonzero(self.end - at >= least)
+        self.order = live[np.argsort(self.ranks[-1][live] * np.int64(self.n + 1) + live)]
 
     @staticmethod
     def _ranked(key: np.ndarray) -> np.ndarray:
         """Ranks from 1; equal keys have equal ranks."""
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
+        held = key[order]
         step = np.ones(len(key), np.int32)
-        step[1:] = key[order][1:] != key[order][:-1]
+        step[1:] = held[1:] != held[:-1]
         rank = np.empty(len(key), np.int32)
         rank[order] = np.cumsum(step)
         return rank
@@ -116,12 +119,14 @@ def _nearest(values: np.ndarray) -> np.ndarray:
         at[todo] = at[at[todo]]
 
 
-def factors(data: np.ndarray, off: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+def factors(data: np.ndarray, off: np.ndarray, depth: int, least: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """The longest previous and the longest next factor of every position, up
-    to ``depth``. A string that starts in one text and its copy may overlap;
-    neither leaves its text."""
-    s = Suffixes(data, off, depth)
+    to ``depth``; those below ``least`` come as 0, which spares the work on
+    them. A string and its copy may overlap; neither leaves its text."""
+    s = Suffixes(data, off, depth, least)
     place = s.order  # positions in suffix order
+    # A pair that parts before the deepest rank within ``least`` is below it.
+    known = [r for d, r in zip(s.depths, s.ranks) if d <= least]
     out = []
     for sign in (1, -1):
         best = np.zeros(s.n, np.int64)
@@ -129,8 +134,12 @@ def factors(data: np.ndarray, off: np.ndarray, depth: int) -> tuple[np.ndarray,
             p = place[::way]
             near = _nearest(sign * p)
             has = np.flatnonzero(near >= 0)
-            best[p[has]] = np.maximum(best[p[has]], s.common(p[has], p[near[has]]))
-        out.append(np.minimum(best, depth))
+            mine, other = p[has], p[near[has]]
+            if known:
+                alike = known[-1][mine] == known[-1][other]
+                mine, other = mine[alike], other[alike]
+            best[mine] = np.maximum(best[mine], s.common(mine, other))
+        out.append(np.where(best >= least, np.minimum(best, depth), 0))
     return out[0], out[1]
 
 
@@ -144,7 +153,7 @@ def _bucket(keep_first: bool, length: int):
             t = t.take(pa.array(np.sort(once)))
             parts = t.column("part").to_pylist()
             off = np.concatenate([[0], np.cumsum([len(x) for x in parts], dtype=np.int64)])
-            before, after = factors(np.frombuffer(b"".join(parts), np.uint8), off, length)
+            before, after = factors(np.frombuffer(b"".join(parts), np.uint8), off, length, length)
             hit = before >= length if keep_first else np.maximum(before, after) >= length
             open_ = t.column("open").to_numpy(zero_copy_only=False)
             hit &= np.repeat(open_, np.diff(off))

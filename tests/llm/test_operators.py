@@ -115,6 +115,8 @@ def test_factor_arrays(raw):
         want = brute_factors(raw)
         assert before.tolist() == [min(x, depth) for x in want[0]]
         assert after.tolist() == [min(x, depth) for x in want[1]]
+        long = suffix_dedup.factors(data, off, depth, depth)
+        assert [x.tolist() for x in long] == [[depth * (x >= depth) for x in w] for w in want]
 
 
 def test_factors_of_random_texts():
