@@ -19,6 +19,7 @@ from quire.sources.tables import table, text_table
 PAGES_PER_BOOK = 50
 FIRST_MARKED_PAGE = 10
 MARK_EVERY = 7
+LATE_BOOK, LATE_FIRST = 4, 18
 
 # Invented titles for the TOC dimension (chapters 1..5; 6 is missing on purpose).
 TOC_ROWS = [
@@ -28,7 +29,7 @@ TOC_ROWS = [
     (4, "Turning the Corner"),
     (5, "Closing the Circle"),
 ]
-
+AFTERWORD = (7, "Afterword")
 
 # Site-move rewrite applied to the web pages table (three literal pairs, the
 # middle one a no-op, like the restructuring step being reproduced).
@@ -56,11 +57,13 @@ def _upper(c):
 
 def book_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``book_pages(book_id, page_no, text)``: 50 pages per book; pages 10, 17, …
-    start with a chapter-number line and an upper-case title line."""
+    start with a chapter-number line and an upper-case title line. Chapters
+    are numbered from 1; in every fourth book from 18, so past 19."""
     d = table(spark, sf_dir, "documents").select("doc_id", "text")
     page_no = (F.col("doc_id") % PAGES_PER_BOOK).cast("int")
     is_mark = (page_no >= FIRST_MARKED_PAGE) & (((page_no - FIRST_MARKED_PAGE) % MARK_EVERY) == 0)
     chap = (F.floor((page_no - FIRST_MARKED_PAGE) / F.lit(float(MARK_EVERY))) + 1).cast("bigint")
+    chap = chap + F.when(_book_of("doc_id") % LATE_BOOK == LATE_BOOK - 1, LATE_FIRST - 1).otherwise(0)
     first_line = F.element_at(F.split(F.col("text"), "\n"), 1)
     heading = F.concat(chap.cast("string"), F.lit("\n"),
                        _upper(F.substring(first_line, 1, 60)), F.lit("\n"), F.col("text"))
@@ -76,6 +79,19 @@ def toc(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(TOC_ROWS, "chapter_no int, title string")
 
 
+def book_toc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``book_toc(book_id, chapter_no, title)``: each book's own table of
+    contents, which grows with the books: its numbers, and titles of its own.
+    The sixth chapter is not listed, though there is one."""
+    books = table(spark, sf_dir, "documents").select(_book_of("doc_id").alias("book_id")).distinct()
+    late = F.when(F.col("book_id") % LATE_BOOK == LATE_BOOK - 1, LATE_FIRST - 1).otherwise(0)
+    # Fixed size: one row for each chapter of a book.
+    rows = spark.createDataFrame([*TOC_ROWS, AFTERWORD], "chapter_no int, title string")
+    return books.crossJoin(F.broadcast(rows)).select(
+        "book_id", (F.col("chapter_no") + late).cast("int").alias("chapter_no"),
+        F.concat("title", F.lit(", volume "), F.col("book_id").cast("string")).alias("title"))
+
+
 CHAPTER_FORMS = {
     "raw": lambda t: t,
     "para": lambda t: F.replace(t, F.lit("\n"), F.lit("\n\n")),

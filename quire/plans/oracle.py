@@ -49,11 +49,18 @@ view("book_pages", f"""
 SELECT CAST(floor(doc_id / 50.0) AS BIGINT) AS book_id,
        CAST(doc_id % 50 AS INTEGER) AS page_no,
        CASE WHEN doc_id % 50 >= 10 AND (doc_id % 50 - 10) % 7 = 0
-            THEN CAST(CAST(floor((doc_id % 50 - 10) / 7.0) + 1 AS BIGINT) AS VARCHAR) || {NL}
+            THEN CAST(CAST(floor((doc_id % 50 - 10) / 7.0) + 1 AS BIGINT)
+                      + CASE WHEN CAST(floor(doc_id / 50.0) AS BIGINT) % 4 = 3 THEN 17 ELSE 0 END AS VARCHAR) || {NL}
                  || upper(replace(substring(split_part(text, {NL}, 1), 1, 60), 'ß', 'ss')) || {NL} || text
             ELSE text END AS text
 FROM documents""")
 
+view("book_toc", """
+SELECT b.book_id, CAST(t.chapter_no + CASE WHEN b.book_id % 4 = 3 THEN 17 ELSE 0 END AS INTEGER) AS chapter_no,
+       t.title || ', volume ' || b.book_id AS title
+FROM (SELECT DISTINCT CAST(floor(doc_id / 50.0) AS BIGINT) AS book_id FROM documents) b,
+     (SELECT * FROM toc UNION ALL SELECT 7, 'Afterword') t""", ["toc"])
+
 view("toc", "SELECT CAST(chapter_no AS INTEGER) AS chapter_no, title FROM (VALUES "
      + ", ".join(f"({n}, {sql_str(t)})" for n, t in TOC_ROWS) + ") AS t(chapter_no, title)")
 
@@ -81,7 +88,7 @@ FROM documents""")
 # --- step 1: pages -> chapters ------------------------------------------------
 
 view("chapter_starts", f"""
-SELECT book_id, chapter_no, min(page_no) AS start_page FROM (
+SELECT s.book_id, s.chapter_no, min(page_no) AS start_page FROM (
   SELECT book_id, page_no, first_line, TRY_CAST(first_line AS INTEGER) AS chapter_no,
          length(regexp_replace(title, '[^\\p{{Lu}}]', '', 'g')) AS n_upper,
          length(regexp_replace(title, '[^\\p{{L}}]', '', 'g')) AS n_letters
@@ -89,10 +96,11 @@ SELECT book_id, chapter_no, min(page_no) AS start_page FROM (
     SELECT book_id, page_no, {strip('lines[1]')} AS first_line,
            array_to_string(lines[2:3], ' ') AS title
     FROM (SELECT book_id, page_no, string_split(text, {NL})[1:10] AS lines
-          FROM book_pages WHERE page_no >= 10 AND text IS NOT NULL AND text <> '')))
-WHERE regexp_matches(first_line, '^[0-9]{{1,2}}$') AND chapter_no BETWEEN 1 AND 19
+          FROM book_pages WHERE page_no >= 10 AND text IS NOT NULL AND text <> ''))) s
+JOIN (SELECT book_id, max(chapter_no) AS most FROM book_toc GROUP BY book_id) m ON m.book_id = s.book_id
+WHERE regexp_matches(first_line, '^[0-9]{{1,2}}$') AND chapter_no BETWEEN 1 AND m.most
   AND n_letters > 0 AND n_upper::DOUBLE / n_letters > 0.25
-GROUP BY book_id, chapter_no""", ["book_pages"])
+GROUP BY s.book_id, s.chapter_no""", ["book_pages", "book_toc"])
 
 view("chapter_ranges", """
 SELECT s.book_id, s.chapter_no, s.start_page,
@@ -117,7 +125,7 @@ LEFT JOIN (SELECT book_id, chapter_no, string_agg(text, {NL2} ORDER BY page_no)
                   count(*) AS n_text_pages
            FROM chapter_pages GROUP BY book_id, chapter_no) a
   ON r.book_id = a.book_id AND r.chapter_no = a.chapter_no
-LEFT JOIN toc t ON r.chapter_no = t.chapter_no""", ["chapter_ranges", "chapter_pages", "toc"])
+LEFT JOIN book_toc t ON r.chapter_no = t.chapter_no AND r.book_id = t.book_id""", ["chapter_ranges", "chapter_pages", "book_toc"])
 
 
 def _closure(names: list[str]) -> list[str]:

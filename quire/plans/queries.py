@@ -54,14 +54,14 @@ def _ranges(spark, sf_dir, write: bool = True):
     page join and the outer join for empty chapters reuse them instead of
     scanning and aggregating the pages twice."""
     pages = FX.book_pages(spark, sf_dir)
-    ranges = PG.chapter_ranges(PG.chapter_starts(pages), PG.book_page_counts(pages))
+    ranges = PG.chapter_ranges(PG.chapter_starts(pages, toc=FX.book_toc(spark, sf_dir)), PG.book_page_counts(pages))
     return (materialize(ranges) if write else ranges), pages
 
 
 @query
 def chapter_starts(spark, sf_dir):
     """P1 + P2 + A1: first qualifying page per chapter number."""
-    return PG.chapter_starts(FX.book_pages(spark, sf_dir))
+    return PG.chapter_starts(FX.book_pages(spark, sf_dir), toc=FX.book_toc(spark, sf_dir))
 
 
 @query
@@ -82,7 +82,7 @@ def chapter_pages(spark, sf_dir):
 def chapter_text(spark, sf_dir):
     """J1 + A2 + A4 + J2: chapter file text and sizes."""
     ranges, pages = _ranges(spark, sf_dir)
-    return PG.chapter_texts(pages, ranges, FX.toc(spark))
+    return PG.chapter_texts(pages, ranges, FX.book_toc(spark, sf_dir))
 
 
 # --- step 3/4: chunkers -----------------------------------------------------------
@@ -565,7 +565,7 @@ def text_file_roundtrip(spark, sf_dir):
     """K1 + S2 + S3: chapter files written one per partition directory and
     read back whole, keys parsed from the path."""
     ranges, pages = _ranges(spark, sf_dir)
-    ch = PG.chapter_texts(pages, ranges, FX.toc(spark))
+    ch = PG.chapter_texts(pages, ranges, FX.book_toc(spark, sf_dir))
     path = _scratch(spark, "chapter-files")
     SK.write_text_files(ch.withColumn("chapter", SK.chapter_dir(F.col("chapter_no"))), path,
                         "file_text", ["book_id", "chapter"])
