@@ -11,7 +11,6 @@ is parameterised on them.
 
 # Page scan: front matter skipped, chapter-number line, title case ratio.
 FRONT_MATTER_PAGES = 10
-CHAPTER_NUMBER_PATTERN = r"^\d{1,2}$"
 MIN_CHAPTER_NUMBER = 1
 MAX_CHAPTER_NUMBER = 19
 TITLE_UPPER_RATIO = 0.25
@@ -66,7 +65,6 @@ SEGMENT_MIN_BODY = 500
 
 # Model step: attempts, backoff base, pause after each call, failure text.
 MAX_ATTEMPTS = 3
-BACKOFF_BASE_S = 1                  # 2 ** attempt seconds: 1, 2
 PAUSE_AFTER_CALL_S = 1
 FAILED_CHUNK_TEXT = "[Translation failed for chunk %d]"
 SUMMARY_INPUT_CHARS = 3000
@@ -76,7 +74,6 @@ ELLIPSIS = "..."
 
 # Rate limits.
 SPEECH_QPM = 5
-SPEECH_QPM_SECOND_BACKEND = 10
 RATE_WINDOW_S = 60
 
 # Audio size estimate.

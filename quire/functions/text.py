@@ -25,14 +25,6 @@ def py_strip(c) -> Column:
     return F.trim(col(c), F.lit(PY_WHITESPACE))
 
 
-def rfind(c, pattern: str) -> Column:
-    """``str.rfind(pattern)``: 0-based start of the last occurrence, else -1."""
-    c = col(c)
-    after_last = F.substring_index(c, pattern, -1)
-    return F.when(F.instr(c, pattern) == 0, F.lit(-1)).otherwise(
-        F.length(c) - F.length(after_last) - F.lit(len(pattern)))
-
-
 def split_literal(c, sep: str, limit: int = -1) -> Column:
     """``str.split(sep)`` with a literal separator (regex-quoted)."""
     return F.split(col(c), re.escape(sep), limit)
@@ -73,6 +65,16 @@ def py_upper_ratio_gt(c, ratio: float) -> Column:
     return (letters > 0) & ((upper / letters) > F.lit(ratio))
 
 
+# Every decimal digit of Unicode and its value, built by rule.
+_DIGITS = [ch for ch in map(chr, range(0x110000)) if ch.isdecimal()]
+_VALUES = "".join(str(int(ch)) for ch in _DIGITS)
+
+
+def ascii_digits(c) -> Column:
+    """Decimal digits of any script as 0-9, as ``int()`` reads them."""
+    return F.translate(col(c), "".join(_DIGITS), _VALUES)
+
+
 def try_int(c) -> Column:
     """``int(s)`` that yields NULL instead of raising."""
     return col(c).try_cast("int")

@@ -37,7 +37,7 @@ def start_candidates(pages: DataFrame, skip: int = C.FRONT_MATTER_PAGES,
         most = F.coalesce(F.col("_most"), most)
         digits = F.greatest(F.length(most.cast("string")), digits)
     lines = F.slice(F.split(F.col("text"), "\n"), 1, C.PAGE_LINES_SCANNED)
-    first = T.py_strip(F.element_at(lines, 1))
+    first = T.ascii_digits(T.py_strip(F.element_at(lines, 1)))
     title = F.array_join(F.slice(lines, 2, 2), " ")
     number = T.try_int(first)
     ok = (first.rlike(r"^[0-9]+$") & (F.length(first) <= digits) & number.between(F.lit(lo), most)
@@ -91,14 +91,6 @@ def assign_pages(pages: DataFrame, ranges: DataFrame) -> DataFrame:
         F.col("p.page_no").alias("page_no"), F.col("p.text").alias("text"))
 
 
-def ordered_concat(df: DataFrame, keys: list[str], order: str, value: str,
-                   sep: str = C.PAGE_JOIN_SEPARATOR, alias: str = "text") -> DataFrame:
-    """A2: ``sep.join(values ordered by order)`` per group (``listagg``)."""
-    sep_sql = sep.replace("\\", "\\\\").replace("'", "\\'").replace("\n", "\\n")
-    agg = F.expr(f"listagg({value}, '{sep_sql}') WITHIN GROUP (ORDER BY {order})")
-    return df.groupBy(*keys).agg(agg.alias(alias))
-
-
 def chapter_texts(pages: DataFrame, ranges: DataFrame, toc: DataFrame | None = None,
                   default_title: str = C.DEFAULT_TITLE_SCAN) -> DataFrame:
     """J1 + A2 + A4 + J2: the chapter file for every range.

@@ -810,3 +810,7 @@ SELECT book_id, pattern_no, chapter_no, title, CAST(length(text) AS INTEGER) AS
        CAST(k + 1 AS INTEGER) AS piece_no, substring(text, 10000 * k + 1, 10000) AS text
 FROM (SELECT *, unnest(range(0, (length(text) - 1) // 10000 + 1)) AS k FROM seg_chapters
       WHERE pattern_no = 0 OR length(text) >= 500)""")
+
+oracle("summary_files", ["cat_summaries", "raw_chapters"], """
+SELECT s.book_id, s.chapter_no, s.text, printf('chapter_%02d_summary_formatted.md', s.chapter_no) AS formatted_file
+FROM cat_summaries s JOIN raw_chapters r ON r.book_id = s.book_id AND r.chapter_no = s.chapter_no""")

@@ -575,6 +575,21 @@ def text_file_roundtrip(spark, sf_dir):
                        F.length("value").alias("n_chars"), F.col("value").alias("file_text"))
 
 
+@query
+def summary_files(spark, sf_dir):
+    """K3 + K7: a summary file for each chapter that has a summary, none for
+    the others; read back with the name of its formatted twin."""
+    given = FX.given_summaries(spark, sf_dir).select(*_SK, T.py_strip("output").alias("text"))
+    every = FX.raw_chapters(spark, sf_dir).select(*_SK).join(given, _SK, "left").select(
+        "book_id", SK.chapter_dir(F.col("chapter_no")).alias("chapter"), F.coalesce("text", F.lit("")).alias("text"))
+    path = _scratch(spark, "summaries")
+    SK.write_non_empty(every, path, "text", ["book_id", "chapter"])
+    back = SF.read_text_files(spark, path)
+    return back.select(F.col("book_id").cast("bigint").alias("book_id"), SF.key_from_name(F.col("file_path")).alias("chapter_no"),
+                       F.col("value").alias("text"),
+                       SK.formatted_name(F.concat("chapter", F.lit("_summary.md"))).alias("formatted_file"))
+
+
 @query
 def json_roundtrip(spark, sf_dir):
     """K4 + S5: per-book catalogue JSON arrays written as files and read back."""

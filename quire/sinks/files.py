@@ -14,12 +14,6 @@ from pyspark.sql import functions as F
 from quire.functions import text as T
 
 
-def chapter_file_text(number: Column, title: Column, body: Column, numbered: bool = True) -> Column:
-    """K1/K2: ``"N. title\\n\\nbody"`` (``"title\\n\\nbody"`` when not numbered)."""
-    head = F.format_string("%d. %s", number, title) if numbered else title
-    return F.concat(head, F.lit("\n\n"), body)
-
-
 def chapter_dir(number: Column) -> Column:
     """Directory value that carries the file stem ``chapter_NN``."""
     return F.concat(F.lit("chapter_"), T.zero_pad(number))
@@ -39,14 +33,6 @@ def write_non_empty(df: DataFrame, path: str, text_col: str, partition_cols: lis
     write_text_files(df.where(F.col(text_col) != ""), path, text_col, partition_cols)
 
 
-def write_json_lines(df: DataFrame, path: str, partition_cols: list[str] | None = None) -> None:
-    """K4 (scalable form): JSON lines, one object per row."""
-    w = df.write.mode("overwrite")
-    if partition_cols:
-        w = w.partitionBy(*partition_cols)
-    w.json(path)
-
-
 def write_parquet(df: DataFrame, path: str, partition_cols: list[str] | None = None,
                   mode: str = "overwrite") -> None:
     """K8 and every intermediate table: Parquet (BINARY columns included)."""

@@ -29,6 +29,12 @@ def test_chapter_numbers_up_to_the_books_own_contents(spark):
     assert plain == [(b, n) for b in (1, 2, 3) for n in range(C.MIN_CHAPTER_NUMBER, 20)]
 
 
+def test_chapter_numbers_in_digits_of_any_script(spark):
+    pages = spark.createDataFrame([(1, 10, "１２\nLOUD TITLE"), (1, 11, "٣\nLOUD TITLE"), (1, 12, "𝟕\nLOUD TITLE"), (1, 13, "²\nLOUD TITLE"),
+                                   (1, 14, "٣x\nLOUD TITLE")], "book_id long, page_no int, text string")
+    assert rows(PG.chapter_starts(pages), "chapter_no", "start_page") == [(3, 11), (7, 12), (12, 10)]
+
+
 def test_range_join_out_of_order_starts(spark):
     starts = spark.createDataFrame([(1, 1, 20), (1, 2, 15), (1, 3, 30)],
                                    "book_id bigint, chapter_no int, start_page int")
