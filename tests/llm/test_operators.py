@@ -416,6 +416,51 @@ def test_edited_leaks_beside_exact_ones(spark, small):
     assert decontaminate.keep_clean(table, items).count() == 0
 
 
+def test_common_phrases_are_no_seeds(spark, monkeypatch):
+    """A phrase in half of all texts and in every item brings no pairs; edited
+    copies are found as before."""
+    import random
+    r = random.Random(7)
+    word = lambda: "".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6))
+    phrase = "one of the most of all".split()
+    items = [(k, [word() for _ in range(12)] + phrase + [word() for _ in range(12)]) for k in range(8)]
+    texts = [" ".join([word() for _ in range(20)] + phrase * (i % 2) + [word() for _ in range(20)]) for i in range(600)]
+    leaks = [(k, " ".join(word() if n % 5 == at else w for n, w in enumerate(ws))) for k, ws in items for at in range(5)]
+    docs = spark.createDataFrame(list(enumerate(texts + [t for _, t in leaks])), "doc_id long, text string")
+    table = spark.createDataFrame([(k, " ".join(w)) for k, w in items], "item_id long, text string")
+    want = {(600 + i, k) for i, (k, _) in enumerate(leaks)}
+    assert {(x.doc_id, x.item_id) for x in decontaminate.contaminated(docs, table).collect()} == want
+    grams = decontaminate.item_grams(table.selectExpr("item_id as item", "item_id", "text"), 3).cache()
+    found = decontaminate.hits(decontaminate.keyed(docs), grams, 3).cache()
+    seeds = decontaminate.rare_seeds(grams, found, docs.count())
+    assert found.join(seeds, "gram").select("cls").distinct().count() == len(leaks)
+    assert found.select("cls").distinct().count() > 300
+    # Without the measure of rarity half of all texts meet every item.
+    monkeypatch.setattr(decontaminate, "COMMON", 1.0)
+    every = decontaminate.rare_seeds(grams, found, docs.count())
+    assert found.join(every, "gram").select("cls", "item").distinct().count() >= 300 * 8
+
+
+def test_seeds_lose_no_aligned_pair(spark, small):
+    """Every pair of a text and an item that aligns over the threshold, by
+    Smith-Waterman on all pairs, is found."""
+    import numpy as np
+    docs = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text")
+    items = spark.read.parquet(f"{small}/benchmark.parquet").select("item_id", "text")
+
+    def hashed(t):
+        data = np.frombuffer((t or "").encode(), np.uint8)
+        return decontaminate.folded_words(data, np.array([0, len(data)]))[0]
+    want = set()
+    tests = [(r.item_id, hashed(r.text)) for r in items.collect()]
+    for d in docs.collect():
+        words = hashed(d.text)
+        for k, item in tests:
+            if len(item) and decontaminate.align(item, words)[0] >= decontaminate.THRESHOLD * decontaminate.MATCH * len(item):
+                want.add((d.doc_id, k))
+    assert {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs, items).collect()} == want and want
+
+
 def test_alignment():
     import numpy as np
     a, b = np.array([1, 2, 3, 4]), np.array([9, 1, 2, 7, 3, 4, 8])
