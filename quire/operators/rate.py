@@ -11,8 +11,9 @@ calls, in integer microseconds so every engine agrees exactly:
 * audit (R3):       gap to the previous send ``< d`` (W6) and more than
   ``qpm`` sends within one window (W7, via the ``qpm``-th previous send).
 
-All running values come from :func:`quire.operators.scan.keyed_scan`, so
-one very busy key is spread over many tasks.
+Running values come from :func:`quire.operators.scan.keyed_scan` and lags from
+:func:`quire.operators.scan.halo_lags`, so one very busy key is spread over
+many tasks.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions import constants as C
-from quire.operators.scan import keyed_scan, lag_by_index
+from quire.operators.scan import halo_lags, keyed_scan
 
 US = 1_000_000
 
@@ -53,15 +54,17 @@ def closed_loop_schedule(calls: DataFrame, key: str, service: str, order: list[s
                     (send + F.col(service)).alias("end_us"))
 
 
-def audit(sends: DataFrame, key: str, index: str, t: str, d_us: int, qpm: int,
-          window_us: int = C.RATE_WINDOW_S * US) -> DataFrame:
+def audit(sends: DataFrame, key: str, order: list[str], t: str, d_us: int, qpm: int,
+          window_us: int = C.RATE_WINDOW_S * US, n_slices: int | None = None) -> DataFrame:
     """Flag W6 (gap to the previous send below ``d_us``) and W7 (the
     ``qpm``-th previous send lies inside the window, i.e. more than ``qpm``
-    sends in ``(t - window, t]``) for every row."""
-    one = lag_by_index(sends.select(key, index, t), key, index, [t], 1, "_prev")
-    both = lag_by_index(one, key, index, [t], qpm, "_back")
-    return both.select(
-        key, index, t,
-        (F.col(t) - F.col(f"{t}_prev")).alias("gap_us"),
-        F.coalesce(F.col(t) - F.col(f"{t}_prev") < d_us, F.lit(False)).alias("gap_violation"),
-        F.coalesce(F.col(t) - F.col(f"{t}_back") < window_us, F.lit(False)).alias("window_violation"))
+    sends in ``(t - window, t]``) for every row. ``span_us`` is the time that
+    the last ``qpm + 1`` sends took; it and ``gap_us`` are null where a key has
+    fewer."""
+    s = halo_lags(sends.select(*dict.fromkeys([key, *order, t])), key, order, [t], sorted({1, qpm}), n_slices)
+    return s.select(
+        key, t,
+        (F.col(t) - F.col(f"{t}_lag1")).alias("gap_us"),
+        (F.col(t) - F.col(f"{t}_lag{qpm}")).alias("span_us"),
+        F.coalesce(F.col(t) - F.col(f"{t}_lag1") < d_us, F.lit(False)).alias("gap_violation"),
+        F.coalesce(F.col(t) - F.col(f"{t}_lag{qpm}") < window_us, F.lit(False)).alias("window_violation"))

@@ -86,3 +86,40 @@ def lag_by_index(df: DataFrame, key, index: str, cols: list[str], k: int = 1,
     for i, c in enumerate(keys):
         cond = cond & (F.col(c) == F.col(f"_k{i}"))
     return df.join(prev, cond, "left").drop(*[f"_k{i}" for i in range(len(keys))], "_j")
+
+
+def halo_lags(df: DataFrame, key: str, order: list[str], cols: list[str], lags: list[int],
+              n_slices: int | None = None) -> DataFrame:
+    """Add ``lag(col, k)`` per key, in ``order``, as ``<col>_lag<k>`` for each
+    ``k`` of ``lags``. No index and no self-join: rows are range-partitioned by
+    ``(key, order)`` and each slice takes the last ``max(lags)`` rows of the
+    key before it as a halo, so all lags are one window inside the slice and
+    rows are shuffled twice, however many lags there are.
+
+    What travels beside the rows is the last ``max(lags)`` rows of each slice
+    and key. A null key is a key of its own; ties in ``order`` give either
+    order, as a plain window does; an empty table gives an empty one."""
+    k = max(lags)
+    rows = materialize(df.repartitionByRange(_n_parts(df, n_slices), F.col(key), *[F.col(o) for o in order])
+                       .withColumn("_pid", F.spark_partition_id()))
+    need = list(dict.fromkeys([*order, *cols]))
+    counts = rows.groupBy("_pid", key).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(key).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    counts = materialize(counts.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0))))
+    # The ranking is cut to k rows before the shuffle (window group limit).
+    back = Window.partitionBy("_pid", key).orderBy(*[F.col(o).desc() for o in order])
+    tails = rows.select("_pid", key, *[c for c in need if c != key]) \
+        .withColumn("_r", F.row_number().over(back)).where(F.col("_r") <= k)
+    c, t = counts.alias("c"), tails.alias("t")
+    placed = t.join(c, F.col(f"t.{key}").eqNullSafe(F.col(f"c.{key}")) & (F.col("t._pid") == F.col("c._pid"))).select(
+        "t.*", (F.col("c._off") + F.col("c._n") - F.col("t._r") + 1).alias("_i"))
+    # Row i is in the halo of the slices that start after i, ..., i + k - 1 rows.
+    reach = placed.select("*", F.explode(F.expr(f"sequence(_i, _i + {k - 1})")).alias("_at")).alias("h")
+    halo = reach.join(c, F.col(f"h.{key}").eqNullSafe(F.col(f"c.{key}")) & (F.col("h._at") == F.col("c._off"))
+                      & (F.col("c._pid") > F.col("h._pid")))
+    halo = halo.select(F.col("c._pid").alias("_pid"), F.col(f"h.{key}").alias(key),
+                       *[F.col(f"h.{x}").alias(x) for x in need if x != key], F.lit(True).alias("_halo"))
+    both = rows.withColumn("_halo", F.lit(False)).unionByName(halo, allowMissingColumns=True)
+    w = Window.partitionBy("_pid", key).orderBy(F.col("_halo").desc(), *order)
+    lagged = both.select("*", *[F.lag(x, n).over(w).alias(f"{x}_lag{n}") for x in cols for n in lags])
+    return lagged.where(~F.col("_halo")).select(*df.columns, *[f"{x}_lag{n}" for x in cols for n in lags])

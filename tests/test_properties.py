@@ -25,7 +25,7 @@ def _by_key(df, keys):
 def test_open_loop_properties(spark, small):
     s = RT.open_loop_schedule(FX.arrivals(spark, small), "user_id", "at_us", ["ts", "event_id"],
                               FX.OPEN_LOOP_GAP_US)
-    a = RT.audit(s, "user_id", "i", "send_us", FX.OPEN_LOOP_GAP_US, FX.AUDIT_QPM)
+    a = RT.audit(s, "user_id", ["i"], "send_us", FX.OPEN_LOOP_GAP_US, FX.AUDIT_QPM)
     assert s.where(F.col("send_us") < F.col("at_us")).count() == 0
     assert a.where("gap_violation OR window_violation").count() == 0
 
