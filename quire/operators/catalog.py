@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from quire.functions import constants as C
 from quire.functions import text as T
 from quire.operators.lines import markdown_to_html
+from quire.sinks.stream import stream_files
 
 
 def preview(summary: Column, n: int = C.PREVIEW_CHARS) -> Column:
@@ -63,20 +64,45 @@ def catalogue_json(cat: DataFrame) -> DataFrame:
         F.count("*").alias("n_chapters"))
 
 
+def export_chapter() -> Column:
+    """K5: one chapter of the export; ``original`` is cut to 500 chars."""
+    return F.struct(
+        "number", "title",
+        F.concat(F.substring("original", 1, C.EXPORT_PREVIEW_CHARS), F.lit(C.ELLIPSIS)).alias("original"),
+        "translation", "summary", "audio")
+
+
 def book_export(chapters: DataFrame, book_title: Column) -> DataFrame:
     """K5: nested export per book; ``original`` is always cut to 500 chars
     plus ``...``. ``chapters(book_id, number, title, original, translation,
     summary, audio)``; ``book_title``: an expression over ``book_id``."""
-    ch = chapters.select("book_id", F.struct(
-        "number", "title",
-        F.concat(F.substring("original", 1, C.EXPORT_PREVIEW_CHARS), F.lit(C.ELLIPSIS)).alias("original"),
-        "translation", "summary", "audio").alias("c"))
+    ch = chapters.select("book_id", export_chapter().alias("c"))
     per_book = ch.groupBy("book_id").agg(F.array_sort(F.collect_list("c")).alias("chapters"))
     return per_book.select(
         "book_id", F.to_json(F.struct(
             book_title.alias("book_title"), F.size("chapters").alias("total_chapters"), F.col("chapters"))).alias("json"))
 
 
+def write_book_export(chapters: DataFrame, book_title: Column, base: str) -> DataFrame:
+    """K5 as one file a book (``base/<book_id>.json``), whatever the book's
+    size: the JSON of ``book_export``, with a line for the head, one for each
+    chapter and one for the end. Returns the files (name, n_bytes, n_rows)."""
+    head = F.concat(F.lit('{"book_title":'), F.to_json(F.array(book_title)).substr(F.lit(2), F.length(F.to_json(F.array(book_title))) - 2),
+                    F.lit(',"total_chapters":'), F.col("n_rows").cast("string"), F.lit(',"chapters":[\n'))
+    return stream_files(chapters, "book_id", "number", F.to_json(export_chapter()),
+                        F.format_string("%d.json", F.col("book_id")), base, head=head, between=",\n", tail="\n]}")
+
+
+def read_book_export(spark: SparkSession, base: str) -> DataFrame:
+    """The chapters of the files of ``write_book_export``, a line at a time:
+    files are split, and no row holds more than a chapter."""
+    schema = "number INT, title STRING, original STRING, translation STRING, summary STRING, audio STRING"
+    lines = spark.read.text(f"{base.rstrip('/')}/*.json", lineSep="\n").select(
+        F.regexp_extract(F.col("_metadata.file_name"), r"^(\d+)\.json$", 1).cast("bigint").alias("book_id"), "value")
+    return lines.where(F.col("value").startswith('{"number":')).select(
+        "book_id", F.from_json(F.regexp_replace("value", r",\z", ""), schema).alias("c")).select("book_id", "c.*")
+
+
 def chapter_page(number: Column, title: Column, summary_full: Column, has_audio: Column,
                  markdown: Column) -> Column:
     """page = header, summary box (full text) if any, audio box if the

@@ -42,6 +42,7 @@ PAGE_REWRITES = [
 FIRST_N = 2
 PIECE = 10_000
 CHUNK_BLOCK = 1 << 16   # several blocks for most books
+PAGED_SPLIT = 1 << 16   # several ranges for most files
 RANGE_START, RANGE_END = 3, 7
 
 

@@ -692,23 +692,33 @@ SELECT book_id, CAST(to_json(list(struct_pack(number := number, title := title,
        count(*) AS n_chapters
 FROM cat GROUP BY book_id""")
 
-oracle("book_export", ["cat_translations", "cat_summaries", "cat_merged", "raw_chapters", "toc"], """
+view("export_chapters", """
+SELECT t.book_id, CAST(t.chapter_no AS INTEGER) AS number, coalesce(c.title, printf('Chapter %d', t.chapter_no)) AS title,
+       substring(r.text, 1, 500) || '...' AS original, t.text AS translation,
+       coalesce(s.text, '') AS summary,
+       CASE WHEN m.chapter_no IS NOT NULL THEN printf('audio/chapter_%02d_full.mp3', t.chapter_no) ELSE '' END AS audio
+FROM cat_translations t
+JOIN raw_chapters r ON t.book_id = r.book_id AND t.chapter_no = r.chapter_no
+LEFT JOIN cat_summaries s ON t.book_id = s.book_id AND t.chapter_no = s.chapter_no
+LEFT JOIN cat_merged m ON t.book_id = m.book_id AND t.chapter_no = m.chapter_no
+LEFT JOIN toc c ON t.chapter_no = c.chapter_no""", ["cat_translations", "cat_summaries", "cat_merged", "raw_chapters", "toc"])
+
+oracle("book_export", ["export_chapters"], """
 SELECT book_id, CAST(to_json(struct_pack(book_title := printf('Book %d', book_id),
        total_chapters := CAST(count(*) AS INTEGER),
        chapters := list(struct_pack(number := number, title := title, original := original,
                                     translation := translation, summary := summary, audio := audio)
                         ORDER BY number))) AS VARCHAR) AS json
-FROM (
-  SELECT t.book_id, t.chapter_no AS number, coalesce(c.title, printf('Chapter %d', t.chapter_no)) AS title,
-         substring(r.text, 1, 500) || '...' AS original, t.text AS translation,
-         coalesce(s.text, '') AS summary,
-         CASE WHEN m.chapter_no IS NOT NULL THEN printf('audio/chapter_%02d_full.mp3', t.chapter_no) ELSE '' END AS audio
-  FROM cat_translations t
-  JOIN raw_chapters r ON t.book_id = r.book_id AND t.chapter_no = r.chapter_no
-  LEFT JOIN cat_summaries s ON t.book_id = s.book_id AND t.chapter_no = s.chapter_no
-  LEFT JOIN cat_merged m ON t.book_id = m.book_id AND t.chapter_no = m.chapter_no
-  LEFT JOIN toc c ON t.chapter_no = c.chapter_no)
-GROUP BY book_id""")
+FROM export_chapters GROUP BY book_id""")
+
+oracle("book_stream", ["export_chapters"], """
+SELECT *, CAST(count(*) OVER (PARTITION BY book_id) AS INTEGER) AS total_chapters FROM export_chapters""")
+
+oracle("paged_files", ["book_pages"], """
+SELECT book_id, CAST(n AS INTEGER) AS page_no, CAST(length(text) AS INTEGER) AS n_chars, md5(text) AS md5
+FROM (SELECT book_id, replace(coalesce(text, ''), chr(12), ' ') AS text,
+             row_number() OVER (PARTITION BY book_id ORDER BY page_no) AS n FROM book_pages)
+WHERE text <> ''""")
 
 oracle("book_cards", ["cat", "raw_chapters"], """
 SELECT c.book_id, c.number, printf('chapters/chapter_%02d.html', c.number) AS href,

@@ -31,7 +31,9 @@ from quire.plans import fixtures as FX
 from quire.session import apply_runtime_conf, materialize, scratch_path
 from quire.sinks import committed as CF
 from quire.sinks import files as SK
+from quire.sinks import stream as ST
 from quire.sources import files as SF
+from quire.sources import paged as SP
 from quire.streaming.arrivals import run_arrivals
 from quire.streaming.incremental import run_incremental
 
@@ -493,12 +495,10 @@ def catalogue_json(spark, sf_dir):
     return CT.catalogue_json(_catalogue(spark, sf_dir))
 
 
-@query
-def book_export(spark, sf_dir):
-    """K5: nested per-book export (original cut to 500 + '...')."""
+def _export_chapters(spark, sf_dir):
     tr, summ, merged = _catalog_inputs(spark, sf_dir)
     orig = FX.raw_chapters(spark, sf_dir).select(*_SK, F.col("text").alias("original"))
-    ch = (tr.join(orig, _SK)
+    return (tr.join(orig, _SK)
           .join(summ.withColumnRenamed("text", "summary"), _SK, "left")
           .join(merged.withColumn("_m", F.lit(True)), _SK, "left")
           .join(FX.toc(spark), "chapter_no", "left")
@@ -508,7 +508,25 @@ def book_export(spark, sf_dir):
                   F.coalesce("summary", F.lit("")).alias("summary"),
                   F.when(F.col("_m"), F.format_string("audio/chapter_%02d_full.mp3", F.col("chapter_no")))
                   .otherwise(F.lit("")).alias("audio")))
-    return CT.book_export(ch, F.format_string("Book %d", F.col("book_id")))
+
+
+@query
+def book_export(spark, sf_dir):
+    """K5: nested per-book export (original cut to 500 + '...')."""
+    return CT.book_export(_export_chapters(spark, sf_dir), F.format_string("Book %d", F.col("book_id")))
+
+
+@query
+def book_stream(spark, sf_dir):
+    """K5 for books larger than a cell: one JSON file a book, written by many
+    tasks at the offsets of its chapters and read back line by line (the head,
+    then one line for each chapter)."""
+    base = _scratch(spark, "book-stream")
+    files = CT.write_book_export(_export_chapters(spark, sf_dir), F.format_string("Book %d", F.col("book_id")), base)
+    lines = CT.read_book_export(spark, base)
+    size = files.select(F.regexp_extract("name", r"(\d+)\.json$", 1).cast("bigint").alias("book_id"),
+                        F.col("n_rows").cast("int").alias("total_chapters"))
+    return lines.join(size, "book_id")
 
 
 @query
@@ -635,6 +653,20 @@ def binary_committed(spark, sf_dir):
                        F.md5("content").alias("md5"))
 
 
+@query
+def paged_files(spark, sf_dir):
+    """S1 + S2: each book's pages in one long file with form feeds between
+    them, read by byte ranges (several for each file); empty pages skipped."""
+    base = _scratch(spark, "paged")
+    pages = FX.book_pages(spark, sf_dir)
+    ST.stream_files(pages, "book_id", "page_no", F.replace("text", F.lit("\f"), F.lit(" ")),
+                    F.format_string("book_%d.txt", F.col("book_id")), base, between="\f")
+    back = SP.read_pages(spark, base, split=FX.PAGED_SPLIT).where("text <> ''")
+    return back.select(F.regexp_extract("file", r"book_(\d+)\.txt$", 1).cast("bigint").alias("book_id"),
+                       F.col("page_no").cast("int").alias("page_no"), F.length("text").alias("n_chars"),
+                       F.md5("text").alias("md5"))
+
+
 # --- additions: line table, cleaning audit, binary files ----------------------------------
 
 @query
