@@ -42,6 +42,7 @@ PAGE_REWRITES = [
 FIRST_N = 2
 PIECE = 10_000
 CHUNK_BLOCK = 1 << 16   # several blocks for most books
+PAGE_CHARS, PAGES_APART = 997, 100_000
 PAGED_SPLIT = 1 << 16   # several ranges for most files
 RANGE_START, RANGE_END = 3, 7
 
@@ -192,6 +193,19 @@ def broken_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select("book_id", "chapter_no", broken.alias("text"), F.col("text").alias("original"))
 
 
+def cut_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``cut_pages(book_id, page_no, text)``: the broken chapters of a book set
+    on pages of ``PAGE_CHARS`` characters; a word cut in two gets a hyphen."""
+    b = broken_docs(spark, sf_dir)
+    pieces = b.select("book_id", "chapter_no", "text", F.explode(F.expr(
+        f"sequence(0, cast(floor(length(text) / {PAGE_CHARS}) as int))")).alias("i"))
+    piece = F.expr(f"substring(text, i * {PAGE_CHARS} + 1, {PAGE_CHARS})")
+    after = F.expr(f"substring(text, (i + 1) * {PAGE_CHARS} + 1, 1)")
+    cut = piece.rlike(r"\p{L}\z") & after.rlike(r"^\p{L}")
+    return pieces.select("book_id", (F.col("chapter_no") * PAGES_APART + F.col("i")).cast("int").alias("page_no"),
+                         F.concat(piece, F.when(cut, "-").otherwise("")).alias("text"))
+
+
 # --- deterministic model stand-ins (failures are a function of the key) -----------
 
 _ASCII_UP = str.maketrans(string.ascii_lowercase, string.ascii_uppercase)

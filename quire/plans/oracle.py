@@ -481,19 +481,52 @@ SELECT book_id, chapter_no,
        replace(replace(text, 'tion ', 'ti-' || {NL} || 'on '), ', ', ',' || {NL2}) AS text, text AS original
 FROM raw_chapters""", ["raw_chapters"])
 
-view("repaired", f"""
-SELECT book_id, chapter_no, string_agg(g, {NL2} ORDER BY grp) AS fixed FROM (
-  SELECT book_id, chapter_no, grp, string_agg(para, ' ' ORDER BY i) AS g FROM (
+def repaired_sql(source: str, keys: str) -> str:
+    """The repaired text of each row of ``source``, as ``fixed``."""
+    return f"""
+SELECT {keys}, string_agg(g, {NL2} ORDER BY grp) AS fixed FROM (
+  SELECT {keys}, grp, string_agg(para, ' ' ORDER BY i) AS g FROM (
     SELECT *, sum(CASE WHEN i > 1 AND NOT regexp_matches(prev_para, '[.!?:]\\z')
                             AND regexp_matches(para, '^\\p{{Ll}}') THEN 0 ELSE 1 END)
-                OVER (PARTITION BY book_id, chapter_no ORDER BY i ROWS UNBOUNDED PRECEDING) AS grp
-    FROM (SELECT *, lag(para) OVER (PARTITION BY book_id, chapter_no ORDER BY i) AS prev_para FROM (
-      SELECT book_id, chapter_no, i, lst[i] AS para FROM (
-        SELECT book_id, chapter_no,
+                OVER (PARTITION BY {keys} ORDER BY i ROWS UNBOUNDED PRECEDING) AS grp
+    FROM (SELECT *, lag(para) OVER (PARTITION BY {keys} ORDER BY i) AS prev_para FROM (
+      SELECT {keys}, i, lst[i] AS para FROM (
+        SELECT {keys},
                string_split(regexp_replace(text, '(\\p{{L}})-' || {NL} || '(\\p{{Ll}})', '\\1\\2', 'g'), {NL2}) AS lst
-        FROM broken_docs), range(1, len(lst) + 1) r(i))))
-  GROUP BY book_id, chapter_no, grp)
-GROUP BY book_id, chapter_no""", ["broken_docs"])
+        FROM {source}), range(1, len(lst) + 1) r(i))))
+  GROUP BY {keys}, grp)
+GROUP BY {keys}"""
+
+
+view("repaired", repaired_sql("broken_docs", "book_id, chapter_no"), ["broken_docs"])
+
+view("cut_pages", """
+SELECT book_id, CAST(chapter_no * 100000 + i AS INTEGER) AS page_no,
+       substring(text, i * 997 + 1, 997)
+       || CASE WHEN regexp_matches(substring(text, i * 997 + 1, 997), '\\p{L}\\z')
+                AND regexp_matches(substring(text, (i + 1) * 997 + 1, 1), '^\\p{L}') THEN '-' ELSE '' END AS text
+FROM (SELECT book_id, chapter_no, text, unnest(range(0, CAST(floor(length(text) / 997.0) AS BIGINT) + 1)) AS i
+      FROM broken_docs)""", ["broken_docs"])
+
+view("page_ends", f"""
+SELECT book_id, page_no, text, lag(text) OVER w AS before, lead(text) OVER w AS after
+FROM (SELECT book_id, page_no, {strip('text')} AS text FROM cut_pages)
+WHERE text <> '' WINDOW w AS (PARTITION BY book_id ORDER BY page_no)""", ["cut_pages"])
+
+view("page_glue", """
+SELECT book_id, page_no,
+       CASE WHEN before IS NULL THEN '' WHEN NOT regexp_matches(text, '^\\p{Ll}') THEN chr(10) || chr(10)
+            WHEN regexp_matches(before, '\\p{L}-\\z') THEN '' WHEN regexp_matches(before, '[.!?:]\\z') THEN chr(10) || chr(10)
+            ELSE ' ' END AS glue,
+       CASE WHEN regexp_matches(text, '\\p{L}-\\z') AND regexp_matches(coalesce(after, ''), '^\\p{Ll}')
+            THEN substring(text, 1, length(text) - 1) ELSE text END AS text
+FROM page_ends""", ["page_ends"])
+
+view("page_repaired", repaired_sql("page_glue", "book_id, page_no"), ["page_glue"])
+
+oracle("repair_pages", ["page_glue", "page_repaired"], """
+SELECT g.book_id, g.page_no, g.glue, CAST(length(r.fixed) AS INTEGER) AS n_chars, md5(r.fixed) AS md5
+FROM page_glue g JOIN page_repaired r ON g.book_id = r.book_id AND g.page_no = r.page_no""")
 
 oracle("repair_breaks", ["repaired", "broken_docs"], """
 SELECT b.book_id, b.chapter_no, CAST(length(b.text) AS INTEGER) AS n_before,

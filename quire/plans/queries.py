@@ -17,6 +17,7 @@ from quire.operators import catalog as CT
 from quire.operators import chunk as CH
 from quire.operators import lines as LN
 from quire.operators import model as MD
+from quire.operators import page_borders as PB
 from quire.operators import pages as PG
 from quire.operators import parts as PT
 from quire.operators import project as PJ
@@ -277,6 +278,14 @@ def repair_breaks(spark, sf_dir):
         (F.col("fixed") == F.col("original")).alias("restored"), F.col("fixed").alias("text"))
 
 
+@query
+def repair_pages(spark, sf_dir):
+    """T9 over page borders: words and sentences joined across the pages of
+    each book; the repaired pages and what stands before each."""
+    fixed = PB.repair_pages(FX.cut_pages(spark, sf_dir))
+    return fixed.select("book_id", "page_no", "glue", F.length("text").alias("n_chars"), F.md5("text").alias("md5"))
+
+
 @query
 def content_preserved(spark, sf_dir):
     """Only Markdown symbols / whitespace added by formatting; the repair
