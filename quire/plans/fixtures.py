@@ -43,7 +43,7 @@ FIRST_N = 2
 PIECE = 10_000
 CHUNK_BLOCK = 1 << 16   # several blocks for most books
 PAGE_CHARS, PAGES_APART = 997, 100_000
-PAGED_SPLIT = 1 << 16   # several ranges for most files
+PAGED_SPLIT = 1 << 24
 RANGE_START, RANGE_END = 3, 7
 
 

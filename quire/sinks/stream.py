@@ -67,18 +67,19 @@ def stream_files(rows: DataFrame, key: str, order: str, text: Column, name: Colu
     clash = heads.groupBy("_name").agg(F.count(F.lit(1)).alias("n")).where("n > 1 or _name is null")
     if not clash.isEmpty():
         raise ValueError(f"two files of one name: {clash.first()}")
-    p, a, h = pieces.withColumn("_k", F.to_json(F.struct("_key"))).alias("p"), placed.alias("a"), heads.alias("h")
-    whole = p.join(a, (F.col("p._k") == F.col("a._k")) & F.col("p._order").eqNullSafe(F.col("a._order"))).join(
-        h, F.col("p._k") == F.col("h._k"))
+    # A row's place travels to it as a row of its own, sorted just before it:
+    # the texts are shuffled once, and by range.
     first, last = F.col("_i") == 1, F.col("_i") == F.col("n_rows")
-    whole = whole.select(
-        "_name", (F.col("_at") + F.when(first, 0).otherwise(F.octet_length("_head"))).alias("_at"),
-        F.concat(F.when(first, F.col("_head")).otherwise(""), "_text",
-                 F.when(last, F.lit(tail)).otherwise(between)).alias("_text"))
+    places = placed.join(heads, "_k").select(
+        "_k", "_order", F.lit(None).cast("string").alias("_text"), "_name",
+        (F.col("_at") + F.when(first, 0).otherwise(F.octet_length("_head"))).alias("_at"),
+        F.when(first, F.col("_head")).otherwise("").alias("_before"), F.when(last, F.lit(tail)).otherwise(between).alias("_after"))
+    texts = pieces.select(F.to_json(F.struct("_key")).alias("_k"), "_order", "_text")
     run = uuid.uuid4().hex
     parts = [n_slices] if n_slices else []
-    written = whole.repartitionByRange(*parts, "_name", "_at").sortWithinPartitions("_name", "_at") \
-        .mapInPandas(_writer(f"{folder}/_attempts/{run}"), "name string, n long")
+    both = places.unionByName(texts, allowMissingColumns=True)
+    written = both.repartitionByRange(*parts, "_k", "_order").sortWithinPartitions("_k", "_order", F.col("_text").isNotNull()) \
+        .select("_text", "_name", "_at", "_before", "_after").mapInPandas(_writer(f"{folder}/_attempts/{run}"), "name string, n long")
     written = materialize(written).groupBy("name").agg(F.sum("n").alias("n_bytes"))
     want = heads.select(F.col("_name").alias("name"), "n_rows", (
         F.octet_length("_head") + F.col("_body") - len(between.encode()) + len(tail.encode())).alias("_want"))
@@ -93,7 +94,7 @@ def stream_files(rows: DataFrame, key: str, order: str, text: Column, name: Colu
 def _writer(folder: str):
     def write(batches):
         """Stretches of one file go out in buffers; yields the bytes written."""
-        name, at, buffer, out, total = None, 0, bytearray(), None, 0
+        name, at, buffer, out, total, spot = None, 0, bytearray(), None, 0, None
 
         def flush():
             nonlocal at
@@ -110,7 +111,11 @@ def _writer(folder: str):
             return pd.DataFrame([(name, total)], columns=["name", "n"])
 
         for pdf in batches:
-            for file, place, text in zip(pdf["_name"], pdf["_at"], pdf["_text"]):
+            for text, file, place, before, after in pdf.itertuples(index=False):
+                if not isinstance(text, str):
+                    spot = (file, place, before, after)
+                    continue
+                file, place, before, after = spot
                 if file != name:
                     if out is not None:
                         yield close()
@@ -118,7 +123,7 @@ def _writer(folder: str):
                     os.makedirs(os.path.dirname(path), exist_ok=True)
                     name, total, out = file, 0, os.open(path, os.O_WRONLY | os.O_CREAT, 0o644)
                     at = int(place)
-                data = text.encode()
+                data = f"{before}{text}{after}".encode()
                 buffer += data
                 total += len(data)
                 if len(buffer) >= BUFFER:

@@ -51,7 +51,8 @@ def test_stream_files_refuses(spark, tmp_path):
 
 def test_a_second_attempt_changes_nothing(tmp_path):
     import pandas as pd
-    rows = pd.DataFrame({"_name": ["a", "a", "b"], "_at": [3, 5, 0], "_text": ["xy", "z", "q"]})
+    rows = pd.DataFrame([(None, "a", 3, "", "y"), ("x", *[None] * 4), (None, "a", 5, "", ""), ("z", *[None] * 4),
+                         (None, "b", 0, "q", ""), ("", *[None] * 4)], columns=["_text", "_name", "_at", "_before", "_after"])
     for _ in range(2):
         assert pd.concat(ST._writer(str(tmp_path))([rows])).values.tolist() == [["a", 3], ["b", 1]]
     assert (tmp_path / "a").read_bytes() == b"\0\0\0xyz"
@@ -89,6 +90,15 @@ def test_pages_of_ranges(separator):
         assert got == want, (data, size, block)
 
 
+def test_ranges_are_packed():
+    ranges = [("a", 0, 100), ("a", 100, 150), *[(c, 0, 1) for c in "bcdefgh"]]
+    lists = SP.packed(ranges, 100)
+    assert [r for x in lists for r in x] == ranges
+    assert all(len(x) == 1 or sum(z - a for _, a, z in x) <= 100 for x in lists)
+    assert SP.packed([], 100) == []
+    assert len(SP.packed([(str(i), 0, 10) for i in range(1000)], 64 << 20)) == 1
+
+
 def test_read_pages(spark, tmp_path):
     (tmp_path / "sub").mkdir()
     (tmp_path / "a.txt").write_bytes("é\f\fz\n\f".encode())
