@@ -506,7 +506,8 @@ def catalogue_json(spark, sf_dir):
 
 def _export_chapters(spark, sf_dir):
     tr, summ, merged = _catalog_inputs(spark, sf_dir)
-    orig = FX.raw_chapters(spark, sf_dir).select(*_SK, F.col("text").alias("original"))
+    # Only the preview travels to the join.
+    orig = FX.raw_chapters(spark, sf_dir).select(*_SK, F.substring("text", 1, C.EXPORT_PREVIEW_CHARS).alias("original"))
     return (tr.join(orig, _SK)
           .join(summ.withColumnRenamed("text", "summary"), _SK, "left")
           .join(merged.withColumn("_m", F.lit(True)), _SK, "left")
