@@ -61,10 +61,19 @@ def audit(sends: DataFrame, key: str, order: list[str], t: str, d_us: int, qpm:
     sends in ``(t - window, t]``) for every row. ``span_us`` is the time that
     the last ``qpm + 1`` sends took; it and ``gap_us`` are null where a key has
     fewer."""
-    s = halo_lags(sends.select(*dict.fromkeys([key, *order, t])), key, order, [t], sorted({1, qpm}), n_slices)
-    return s.select(
-        key, t,
-        (F.col(t) - F.col(f"{t}_lag1")).alias("gap_us"),
-        (F.col(t) - F.col(f"{t}_lag{qpm}")).alias("span_us"),
-        F.coalesce(F.col(t) - F.col(f"{t}_lag1") < d_us, F.lit(False)).alias("gap_violation"),
-        F.coalesce(F.col(t) - F.col(f"{t}_lag{qpm}") < window_us, F.lit(False)).alias("window_violation"))
+    s = audit_all(sends, key, order, [t], d_us, qpm, window_us, n_slices)
+    return s.select(key, t, *[F.col(f"{t}_{c}").alias(c) for c in ("gap_us", "span_us", "gap_violation", "window_violation")])
+
+
+def audit_all(sends: DataFrame, key: str, order: list[str], times: list[str], d_us: int, qpm: int,
+              window_us: int = C.RATE_WINDOW_S * US, n_slices: int | None = None) -> DataFrame:
+    """:func:`audit` of several times of the same rows in one pass; its columns
+    have the time's name before them."""
+    s = halo_lags(sends.select(*dict.fromkeys([key, *order, *times])), key, order, times, sorted({1, qpm}), n_slices)
+    out = []
+    for t in times:
+        gap, span = F.col(t) - F.col(f"{t}_lag1"), F.col(t) - F.col(f"{t}_lag{qpm}")
+        out += [gap.alias(f"{t}_gap_us"), span.alias(f"{t}_span_us"),
+                F.coalesce(gap < d_us, F.lit(False)).alias(f"{t}_gap_violation"),
+                F.coalesce(span < window_us, F.lit(False)).alias(f"{t}_window_violation")]
+    return s.select(key, *times, *out)

@@ -38,7 +38,7 @@ def keyed_scan(df: DataFrame, key: str, order: list[str], sums: dict[str, Column
     """Add the 1-based position ``index`` of each row within its key (in
     ``order``), inclusive running sums (``sums``: name → value) and inclusive
     running maxima of ``x - index * c`` (``linear_max``: name → (x, c)),
-    without collecting any key into one task."""
+    without collecting any key into one task. A null key is a key of its own."""
     sums = sums or {}
     linear_max = linear_max or {}
     # The slice id is physical, so it is written down once (checkpoint) and
@@ -64,7 +64,9 @@ def keyed_scan(df: DataFrame, key: str, order: list[str], sums: dict[str, Column
         *[F.coalesce(F.sum(f"_tot_{n}").over(before), F.lit(0)).alias(f"_so_{n}") for n in sums],
         *[F.max(F.col(f"_pm_{n}") - F.col("_off") * c).over(before).alias(f"_pmax_{n}")
           for n, (_, c) in linear_max.items()])
-    j = local.join(summ, ["_pid", key])
+    # A null key is a key of its own.
+    summ = summ.withColumnsRenamed({"_pid": "_sp", key: "_sk"})
+    j = local.join(summ, (F.col("_pid") == F.col("_sp")) & F.col(key).eqNullSafe(F.col("_sk")))
     out = j.select(
         *df.columns,
         (F.col("_off") + F.col("_li")).alias(index),

@@ -635,13 +635,27 @@ SELECT user_id, event_id, epoch_us(ts) AS at_us,
        row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS i
 FROM events""")
 
-oracle("rate_audit", ["arrivals"], """
+view("open_rec", """open_rec(user_id, i, send_us) AS (
+  SELECT user_id, i, at_us FROM arrivals WHERE i = 1
+  UNION ALL
+  SELECT a.user_id, a.i, greatest(a.at_us, r.send_us + 3600000000)
+  FROM open_rec r JOIN arrivals a ON a.user_id IS NOT DISTINCT FROM r.user_id AND a.i = r.i + 1)""", ["arrivals"], raw=True)
+
+view("open_loop", """
+SELECT a.user_id, a.event_id, a.i, a.at_us, r.send_us, r.send_us - a.at_us AS delay_us
+FROM arrivals a JOIN open_rec r ON a.user_id IS NOT DISTINCT FROM r.user_id AND a.i = r.i""", ["open_rec", "arrivals"])
+
+oracle("rate_audit", ["open_loop"], """
 SELECT user_id, count(*) AS n_requests,
-       count(*) FILTER (WHERE at_us - a1 < 3600000000) AS gap_violations,
-       count(*) FILTER (WHERE at_us - a5 < 60000000) AS window_violations,
+       count(*) FILTER (WHERE at_us - a1 < 3600000000) AS raw_gap_violations,
+       count(*) FILTER (WHERE at_us - a5 < 60000000) AS raw_window_violations,
+       count(*) FILTER (WHERE send_us - s1 < 3600000000) AS sched_gap_violations,
+       count(*) FILTER (WHERE send_us - s5 < 60000000) AS sched_window_violations,
+       count(*) FILTER (WHERE delay_us > 0) AS n_delayed, max(delay_us) AS max_delay_us,
        min(at_us - a1) AS least_gap_us, min(at_us - a5) AS least_span_us
-FROM (SELECT *, lag(at_us) OVER w AS a1, lag(at_us, 5) OVER w AS a5
-      FROM arrivals WINDOW w AS (PARTITION BY user_id ORDER BY i))
+FROM (SELECT *, lag(at_us) OVER w AS a1, lag(at_us, 5) OVER w AS a5,
+             lag(send_us) OVER w AS s1, lag(send_us, 5) OVER w AS s5
+      FROM open_loop WINDOW w AS (PARTITION BY user_id ORDER BY i))
 GROUP BY user_id""")
 
 

@@ -8,6 +8,7 @@ from quire.operators import pages as PG
 from quire.operators import scan as SC
 from quire.operators import sweep as SW
 from quire.plans import fixtures as FX
+from quire.plans import queries as Q
 
 
 @pytest.mark.parametrize("n_rows, n_slices", [(3000, 16), (40, 32), (1, 4), (0, 4)])
@@ -62,3 +63,33 @@ def test_sweep_equals_range_join(spark, small):
     want = PG.assign_pages(pages, ranges).select("book_id", "chapter_no", "page_no")
     got = SW.sweep_join(PG.non_empty_pages(pages), ranges, "book_id", "page_no", "start_page", "end_page", "chapter_no", 5)
     assert sorted(map(tuple, got.select("book_id", "chapter_no", "page_no").collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_rate_audit_covers_the_schedule(spark, tmp_path):
+    """Arrivals too close are raw violations and delays; the schedule of them
+    has none. Users without a number and arrivals without a time count too."""
+    r = random.Random(5)
+    rows = [(i, r.choice([None, *range(40_000)]), r.choice([1, 1, 1, 2, None])) for i in range(300)]
+    events = spark.createDataFrame(rows, "event_id long, s int, user_id long")
+    events.selectExpr("event_id", "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, s) as ts", "user_id") \
+        .write.parquet(f"{tmp_path}/events.parquet")
+    hour, minute, base = 3_600_000_000, 60_000_000, 1_704_067_200_000_000
+    want = []
+    for user in (1, 2, None):
+        at = sorted((x[1] is not None, x[1] or 0) for x in rows if x[2] == user)
+        at = [base + t * 1_000_000 if known else None for known, t in at]
+        send, last = [], None
+        for t in at:
+            last = max([x for x in (t, None if last is None else last + hour) if x is not None], default=None)
+            send.append(last)
+
+        def steps(ts, n):
+            return [b - a for a, b in zip(ts, ts[n:]) if a is not None and b is not None]
+
+        late = [s - t for s, t in zip(send, at) if t is not None and s is not None]
+        want.append((user, len(at), sum(x < hour for x in steps(at, 1)), sum(x < minute for x in steps(at, 5)),
+                     sum(x < hour for x in steps(send, 1)), sum(x < minute for x in steps(send, 5)),
+                     sum(x > 0 for x in late), max(late), min(steps(at, 1)), min(steps(at, 5))))
+    got = Q.QUERIES["rate_audit"](spark, str(tmp_path))
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, want))
+    assert all(x[4] == x[5] == 0 < x[6] for x in want)
