@@ -2,8 +2,9 @@
 
 The original pipeline calls a remote model once per chunk, retries up to three
 times with 1 s / 2 s backoff and turns a final failure into a fixed text.
-Here the call is a *pluggable callable* run by ``mapInPandas`` on Arrow
-batches (the only Python boundary in the engine). Attempts, backoff,
+Here the call is a *pluggable callable* run by ``mapInArrow`` on parts of
+Arrow batches (:mod:`quire.functions.arrow`), so that a task holds a bounded
+number of texts and answers. Attempts, backoff,
 service time, status and error are columns, so one failing chunk never
 fails a task and every policy downstream (sentinel, empty, passthrough,
 stop-at-first-failure, merge-only-if-complete) is plain DataFrame logic.
@@ -18,10 +19,12 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quire.functions import arrow as AR
 from quire.functions import constants as C
 from quire.session import materialize  # noqa: F401  (re-exported)
 
@@ -54,7 +57,7 @@ def call_model(df: DataFrame, model: Model, keys: list[str], input_col: str = "i
     (``sentinel``), ``''`` (``empty``), the input (``passthrough``) or NULL.
     ``carry`` columns pass through unchanged (no join back to the input).
     ``parallelism`` bounds how many batches run at once (default: the scan's
-    tasks). A model that raises fails rows, not the job: the batch is called
+    tasks); a batch is at most ``arrow.PART`` bytes of text, or one row. A model that raises fails rows, not the job: the batch is called
     again row by row, and a row that raises has the message as its error.
     """
     carry = [c for c in (carry or []) if c not in keys]
@@ -69,52 +72,55 @@ def call_model(df: DataFrame, model: Model, keys: list[str], input_col: str = "i
     cols = list(dict.fromkeys(keys + carry + [input_col] + ([part_col] if part_col in df.columns else [])))
     out_cols = [f.name for f in key_fields]
 
+    def answer(part):
+        pdf = part.to_pandas()
+        n = len(pdf)
+        output = np.empty(n, dtype=object)
+        error = np.empty(n, dtype=object)
+        attempts = np.zeros(n, dtype=np.int32)
+        service = np.zeros(n, dtype=np.int64)
+        ok = np.zeros(n, dtype=bool)
+        pending = np.arange(n)
+        for a in range(1, max_attempts + 1):
+            if len(pending) == 0:
+                break
+            batch = pdf.iloc[pending].reset_index(drop=True)
+            res = _isolated(model, batch, a)
+            got = res["output"].to_numpy(dtype=object)
+            success = np.array([g is not None for g in got], dtype=bool)
+            attempts[pending] = a
+            service[pending] += res["service_us"].to_numpy(dtype=np.int64)
+            output[pending[success]] = got[success]
+            ok[pending[success]] = True
+            error[pending[success]] = None
+            error[pending[~success]] = res["error"].to_numpy(dtype=object)[~success]
+            pending = pending[~success]
+        failed = ~ok
+        if on_failure == "sentinel":
+            nos = pdf[part_col].to_numpy() if part_col in pdf else np.zeros(n, dtype=int)
+            output[failed] = [C.FAILED_CHUNK_TEXT % int(p) for p in nos[failed]]
+        elif on_failure == "empty":
+            output[failed] = b"" if binary else ""
+        elif on_failure == "passthrough":
+            output[failed] = pdf[input_col].to_numpy(dtype=object)[failed]
+        else:
+            output[failed] = None
+        return pa.RecordBatch.from_arrays(
+            [*(part.column(c) for c in out_cols),
+             pa.array(output, pa.binary() if binary else pa.string(), from_pandas=True),
+             pa.array(np.where(ok, "ok", "failed").tolist(), pa.string()), pa.array(attempts),
+             pa.array((np.left_shift(1, np.maximum(attempts - 1, 0)) - 1).astype(np.int32)),
+             pa.array(error, pa.string(), from_pandas=True), pa.array(service)], schema.names)
+
     def run(batches):
-        for pdf in batches:
-            n = len(pdf)
-            output = np.empty(n, dtype=object)
-            error = np.empty(n, dtype=object)
-            attempts = np.zeros(n, dtype=np.int32)
-            service = np.zeros(n, dtype=np.int64)
-            ok = np.zeros(n, dtype=bool)
-            pending = np.arange(n)
-            for a in range(1, max_attempts + 1):
-                if len(pending) == 0:
-                    break
-                batch = pdf.iloc[pending].reset_index(drop=True)
-                res = _isolated(model, batch, a)
-                got = res["output"].to_numpy(dtype=object)
-                success = np.array([g is not None for g in got], dtype=bool)
-                attempts[pending] = a
-                service[pending] += res["service_us"].to_numpy(dtype=np.int64)
-                output[pending[success]] = got[success]
-                ok[pending[success]] = True
-                error[pending[success]] = None
-                error[pending[~success]] = res["error"].to_numpy(dtype=object)[~success]
-                pending = pending[~success]
-            failed = ~ok
-            if on_failure == "sentinel":
-                parts = pdf[part_col].to_numpy() if part_col in pdf else np.zeros(n, dtype=int)
-                output[failed] = [C.FAILED_CHUNK_TEXT % int(p) for p in parts[failed]]
-            elif on_failure == "empty":
-                output[failed] = b"" if binary else ""
-            elif on_failure == "passthrough":
-                output[failed] = pdf[input_col].to_numpy(dtype=object)[failed]
-            else:
-                output[failed] = None
-            res_df = pdf[out_cols].copy()
-            res_df["output"] = output
-            res_df["status"] = np.where(ok, "ok", "failed")
-            res_df["attempts"] = attempts
-            res_df["backoff_s"] = (np.left_shift(1, np.maximum(attempts - 1, 0)) - 1).astype(np.int32)
-            res_df["error"] = error
-            res_df["service_us"] = service
-            yield res_df
+        for b in batches:
+            for part in AR.parts(b):
+                yield answer(part)
 
     rows = df.select(*cols)
     if parallelism is not None:
         rows = rows.repartition(parallelism, *keys)
-    return rows.mapInPandas(run, schema)
+    return rows.mapInArrow(run, schema)
 
 
 def _isolated(model: Model, batch: pd.DataFrame, attempt: int) -> pd.DataFrame:
