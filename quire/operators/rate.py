@@ -35,8 +35,10 @@ def gap_us(qpm: int = C.SPEECH_QPM, window_s: int = C.RATE_WINDOW_S) -> int:
 def open_loop_schedule(arrivals: DataFrame, key: str, at: str, order: list[str], d_us: int,
                        n_slices: int | None = None) -> DataFrame:
     """R2: earliest send time per request given arrival ``at`` (µs) and a
-    minimum spacing ``d_us``; adds ``i``, ``send_us`` and ``delay_us``."""
-    s = keyed_scan(arrivals, key, order, linear_max={"_m": (F.col(at), d_us)}, n_slices=n_slices)
+    minimum spacing ``d_us``; adds ``i``, ``send_us`` and ``delay_us``. A null
+    key is a key of its own."""
+    # A value that no key has stands for null, so that the scan's joins keep it.
+    s = keyed_scan(arrivals.withColumn("_k", F.to_json(F.struct(key))), "_k", order, linear_max={"_m": (F.col(at), d_us)}, n_slices=n_slices)
     send = F.col("i") * d_us + F.col("_m")
     return s.select(*arrivals.columns, "i", send.alias("send_us"),
                     (send - F.col(at)).alias("delay_us"))
