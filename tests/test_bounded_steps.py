@@ -5,6 +5,7 @@ import pyarrow as pa
 
 from quire.functions import arrow as AR
 from quire.operators import model as MD
+from quire.plans import fixtures as FX
 
 
 def test_parts_are_bounded_and_whole():
@@ -27,3 +28,17 @@ def test_model_batches_are_bounded(spark):
     assert sorted(r.chapter_no for r in got) == list(range(1200))
     assert all(r.status == "ok" and len(r.output) == 4000 for r in got)
     assert max(r.service_us for r in got) <= AR.PART
+
+
+def test_spoken_parts_are_bounded(spark):
+    """Binary answers, of texts that take several bytes a character."""
+    def sized(batch, attempt):
+        out = FX.SPEECH_MODEL(batch, attempt)
+        return out.assign(service_us=int(batch["input"].str.len().sum()) * 3)
+
+    rows = spark.range(600).coalesce(1).selectExpr("id as chapter_no", "1 as part_no", "repeat('的', 2000) as input")
+    got = MD.call_model(rows, sized, ["chapter_no", "part_no"], on_failure="null", binary=True).collect()
+    want = {n: "的".encode() * 2000 if (n + 2) % 4 + 1 <= 3 else None for n in range(600)}
+    assert {r.chapter_no: None if r.output is None else bytes(r.output) for r in got} == want
+    assert {r.chapter_no: r.attempts for r in got} == {n: min((n + 2) % 4 + 1, 3) for n in range(600)}
+    assert max(r.service_us / r.attempts for r in got) <= AR.PART
