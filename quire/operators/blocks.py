@@ -25,9 +25,13 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
+from quire.functions import arrow as AR
 from quire.functions import constants as C
 from quire.functions import text as T
 from quire.operators.scan import keyed_scan
@@ -120,14 +124,20 @@ def layout(rows: DataFrame, keys: list[str], order: list[str], text_col: str = "
         "_key", F.to_json("_key", {"ignoreNullFields": "false"}).alias("key_id"), "b", "text", "n"))
 
 
-def per_block(fn: Callable, block: int):
+def per_block(blocks: DataFrame, fn: Callable, block: int, schema: str) -> DataFrame:
     """``fn(row, text, own, left)`` for each block: its own code points and
-    those from its start to the end of the whole text."""
+    those from its start to the end of the whole text. A task holds a bounded
+    part of its blocks as objects, and the answer for one of them."""
+    fields = to_arrow_schema(StructType.fromDDL(schema))
+
     def work(batches):
-        for pdf in batches:
-            yield pd.concat([fn(r, r.text, int(min(block, r.n - r.b * block)), int(r.n - r.b * block))
-                             for r in pdf.itertuples()], ignore_index=True) if len(pdf) else None
-    return lambda batches: (x for x in work(batches) if x is not None)
+        for b in batches:
+            for part in AR.parts(b):
+                for r in part.to_pandas().itertuples():
+                    out = fn(r, r.text, int(min(block, r.n - r.b * block)), int(r.n - r.b * block))
+                    yield from pa.Table.from_pandas(out, fields, preserve_index=False).to_batches()
+
+    return blocks.mapInArrow(work, schema)
 
 
 def entries(blocks: DataFrame, size: int, rules: list[Rule], block: int) -> DataFrame:
@@ -135,8 +145,8 @@ def entries(blocks: DataFrame, size: int, rules: list[Rule], block: int) -> Data
     def leave(r, text, own, left):
         return pd.DataFrame({"key_id": [r.key_id], "b": [r.b], "m": [exits(successors(text, own, left, size, rules), size).tolist()]})
 
-    maps = blocks.where(F.col("n") > block * (F.col("b") + 1)).select("key_id", "b", "text", "n").mapInPandas(
-        per_block(leave, block), "key_id string, b long, m array<int>")
+    maps = per_block(blocks.where(F.col("n") > block * (F.col("b") + 1)).select("key_id", "b", "text", "n"), leave, block,
+                     "key_id string, b long, m array<int>")
     maps = composed(maps, ["key_id"], blocks.agg(F.max("b")).first()[0] or 0,
                     lambda before, m: F.transform(before, lambda x: F.get(m, x)))
     return maps.select("key_id", (F.col("b") + 1).alias("b"), F.get("m", F.lit(0)).alias("entry"))
@@ -172,7 +182,7 @@ def _chunks(rows: DataFrame, keys: list[str], order: list[str], rules: list[Rule
         return pd.DataFrame({"key_id": r.key_id, "b": r.b, "k": range(1, len(out) + 1), "text": out}).astype(
             {"b": "int64", "k": "int64"})
 
-    parts = materialize(at.mapInPandas(per_block(cut, block), "key_id string, b long, k long, text string"))
+    parts = materialize(per_block(at, cut, block, "key_id string, b long, k long, text string"))
     earlier = Window.partitionBy("key_id").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
     counts = parts.groupBy("key_id", "b").agg(F.count(F.lit(1)).alias("c")).select(
         "key_id", "b", F.coalesce(F.sum("c").over(earlier), F.lit(0)).alias("before"),

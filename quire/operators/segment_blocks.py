@@ -92,8 +92,8 @@ def matches(laid: DataFrame, halo: int, block: int, patterns: list[str] = C.SEGM
         return pd.DataFrame({"key_id": r.key_id, "pattern_no": range(1, len(found) + 1), "b": r.b,
                              "m": [[{"t": t, "x": x} for t, x in m] for m in found]})
 
-    maps = laid.where(F.col("n") > block * (F.col("b") + 1)).select("key_id", "b", "text", "n").mapInPandas(
-        BL.per_block(leave, block), "key_id string, pattern_no int, b long, m array<struct<t:int,x:int>>")
+    maps = BL.per_block(laid.where(F.col("n") > block * (F.col("b") + 1)).select("key_id", "b", "text", "n"), leave, block,
+                        "key_id string, pattern_no int, b long, m array<struct<t:int,x:int>>")
 
     def at(m: Column, x: Column) -> Column:
         return F.get(F.filter(m, lambda s: s["t"] >= x), F.lit(0))["x"]
@@ -113,8 +113,9 @@ def matches(laid: DataFrame, halo: int, block: int, patterns: list[str] = C.SEGM
         return pd.DataFrame(rows, columns=["key_id", "pattern_no", "start", "stop", "title", "kept"]).astype(
             {"pattern_no": "int32", "start": "int64", "stop": "int64", "kept": bool})
 
-    return materialize(laid.join(enter, ["key_id", "b"], "left").select("key_id", "b", "text", "n", "entry").mapInPandas(
-        BL.per_block(pick, block), "key_id string, pattern_no int, start long, stop long, title string, kept boolean"))
+    entered = laid.join(enter, ["key_id", "b"], "left").select("key_id", "b", "text", "n", "entry")
+    return materialize(BL.per_block(
+        entered, pick, block, "key_id string, pattern_no int, start long, stop long, title string, kept boolean"))
 
 
 def _spread(ranges: DataFrame, laid: DataFrame, block: int) -> DataFrame:

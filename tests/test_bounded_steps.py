@@ -4,6 +4,7 @@ import pandas as pd
 import pyarrow as pa
 
 from quire.functions import arrow as AR
+from quire.operators import blocks as BL
 from quire.operators import model as MD
 from quire.plans import fixtures as FX
 
@@ -42,3 +43,17 @@ def test_spoken_parts_are_bounded(spark):
     assert {r.chapter_no: None if r.output is None else bytes(r.output) for r in got} == want
     assert {r.chapter_no: r.attempts for r in got} == {n: min((n + 2) % 4 + 1, 3) for n in range(600)}
     assert max(r.service_us / r.attempts for r in got) <= AR.PART
+
+
+def test_blocks_are_taken_in_parts(spark):
+    """The frames that hold blocks as objects are bounded, with nothing lost."""
+    rows = spark.range(400).coalesce(1).selectExpr("string(id) as key_id", "0L as b", "repeat('x', 9000) as text", "9000L as n")
+
+    def seen(r, text, own, left):
+        import sys
+        held = sys._getframe(1).f_locals["part"].num_rows if "part" in sys._getframe(1).f_locals else -1
+        return pd.DataFrame({"key_id": [r.key_id], "own": [own], "held": [held]})
+
+    got = BL.per_block(rows, seen, 1 << 16, "key_id string, own long, held long").collect()
+    assert sorted(int(r.key_id) for r in got) == list(range(400))
+    assert {r.own for r in got} == {9000} and 0 < max(r.held for r in got) * 9000 <= AR.PART
