@@ -4,6 +4,8 @@ import pandas as pd
 import pyarrow as pa
 
 from quire.functions import arrow as AR
+from quire.llm import suffix_dedup as SD
+from quire.llm import vectors as V
 from quire.operators import blocks as BL
 from quire.operators import model as MD
 from quire.plans import fixtures as FX
@@ -57,3 +59,20 @@ def test_blocks_are_taken_in_parts(spark):
     got = BL.per_block(rows, seen, 1 << 16, "key_id string, own long, held long").collect()
     assert sorted(int(r.key_id) for r in got) == list(range(400))
     assert {r.own for r in got} == {9000} and 0 < max(r.held for r in got) * 9000 <= AR.PART
+
+
+def test_repeats_are_removed_in_parts():
+    """The kept bytes of a batch are not held together."""
+    n = V.SLICE_BYTES // 100_000 * 3
+    rows = {"doc_id": list(range(n)), "text": [str(k) + "x" * 100_000 for k in range(n)], "whole": [k % 5 == 4 for k in range(n)],
+            "windows": [[{"first": 10, "n": 1}] if k % 5 == 3 else None for k in range(n)]}
+    schema = pa.schema({"doc_id": pa.int64(), "text": pa.string(), "whole": pa.bool_(),
+                        "windows": pa.list_(pa.struct({"first": pa.int32(), "n": pa.int32()}))})
+    got = list(SD._apply(400)([pa.RecordBatch.from_pydict(rows, schema)]))
+    sizes = [len(t) for t in rows["text"]]
+    gone = [sizes[k] if k % 5 == 4 else 400 if k % 5 == 3 else 0 for k in range(n)]
+    for name, want in (("doc_id", list(range(n))), ("n_bytes", sizes), ("n_removed", gone), ("n_spans", [int(x > 0) for x in gone])):
+        assert [x for b in got for x in b.column(name).to_pylist()] == want
+    kept = [x for b in got for x in b.column("kept").to_pylist()]
+    assert kept == [b"" if k % 5 == 4 else (t[:10] + t[410:]).encode() if k % 5 == 3 else t.encode() for k, t in enumerate(rows["text"])]
+    assert len(got) > 1 and max(b.column("kept").nbytes for b in got) <= 2 * V.SLICE_BYTES
