@@ -645,8 +645,8 @@ def incremental_arrivals(spark, sf_dir):
     """X1 with state: three arrivals, the second with parts of the first again
     (other bytes), the third with late ones; each part counts once, as it
     first came, and no output is read back."""
-    chunks = materialize(FX.speech_chunks(spark, sf_dir))
-    parts = chunks.select(*_CK, F.octet_length("text").alias("n_bytes"))
+    # Only keys and sizes arrive, so only they are written.
+    parts = materialize(FX.speech_chunks(spark, sf_dir).select(*_CK, F.octet_length("text").alias("n_bytes")))
     base = _scratch(spark, "arrivals")
     late = (F.col("chapter_no") * 7 + F.col("part_no")) % 11 == 0
     even = F.col("part_no") % 2 == 0

@@ -125,3 +125,32 @@ def test_a_lost_copy_is_noticed(spark, tmp_path):
     with pytest.raises(Exception, match="FileNotFound"):
         CF.commit(manifest, base)
     manifest.unpersist()
+
+
+def test_arrivals_of_many_keys(spark, tmp_path):
+    """Rows of a key in several files of a batch, nulls, and a batch done again;
+    nothing runs in Python for each key."""
+    schema = "k int, part int, n int, text string"
+    inp, out, ck = (str(tmp_path / x) for x in ("in", "out", "ck"))
+    struct = spark.createDataFrame([], schema).schema
+
+    def arrive(rows):
+        SK.write_parquet(spark.createDataFrame(rows, schema).repartition(3), inp, mode="append")
+        run_arrivals(spark, inp, struct, out, ck, ["k", "part"])
+        return sorted(tuple(r) for r in spark.read.parquet(out).where("k < 100 or k is null").na.fill(-1).collect())
+
+    many = [(100 + i, j, i * 7 % 5, f"t{j}") for i in range(500) for j in range(3)]
+    first = arrive(many + [(1, 1, None, "a"), (1, 1, 4, "c"), (1, 1, 4, "b"), (None, 1, 2, "x"), (None, 1, 2, None), (2, 2, None, None)])
+    assert first == [(-1, 1, 2, "x"), (1, 1, 4, "b"), (2, 2, -1, None)]
+    # The end of the batch is lost: it is done again, with the same result.
+    last = max(glob.glob(f"{ck}/arrived/commits/[0-9]*"), key=lambda f: int(os.path.basename(f)))
+    os.remove(last)
+    os.remove(f"{ck}/arrived/commits/.{os.path.basename(last)}.crc")
+    assert arrive([(1, 1, 0, "late"), (3, 3, 1, "new")]) == [*first, (3, 3, 1, "new")]
+    back = spark.read.parquet(out).where("k >= 100")
+    assert sorted((r.k, r.part, r.n, r.text) for r in back.collect()) == many
+    from quire.streaming import arrivals
+    assert not hasattr(arrivals, "pd")
+    streamed = arrivals.first_arrivals(spark.readStream.schema(struct).parquet(inp), ["k", "part"])
+    plan = streamed._jdf.queryExecution().logical().toString()
+    assert "Deduplicate" in plan and "Python" not in plan and "Pandas" not in plan
