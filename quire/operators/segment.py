@@ -68,11 +68,15 @@ def title_kept(title: Column) -> Column:
 
 
 def _swap(text: Column, pairs: list[tuple[str, str]]) -> Column:
-    out = text
-    for old, new in pairs:
-        out = F.replace(out, F.lit(old), F.lit(new))
-    return F.when(text.contains(ESCAPE) | text.contains(MATCH_START) | text.contains(TITLE_START)
-                  | text.contains(TITLE_END), out).otherwise(text)
+    # Bound once: each use of an expression inside a lambda computes it again.
+    def swapped(t: Column) -> Column:
+        out = t
+        for old, new in pairs:
+            out = F.replace(out, F.lit(old), F.lit(new))
+        return F.when(t.contains(ESCAPE) | t.contains(MATCH_START) | t.contains(TITLE_START)
+                      | t.contains(TITLE_END), out).otherwise(t)
+
+    return T.let(text, swapped)
 
 
 def _escape(text: Column) -> Column:
@@ -88,15 +92,16 @@ def match_pieces(text: Column, pattern: str) -> Column:
     marked = F.regexp_replace(_escape(text), F.lit(java_pattern(pattern)),
                               F.lit(MATCH_START + "$0" + TITLE_START + "$1" + TITLE_END))
     split = F.split(marked, MATCH_START)
-    raw = F.slice(split, 2, F.size(split))  # all but the first
+    raw = T.let(split, lambda x: F.slice(x, 2, F.size(x)))  # all but the first
 
     def parse(piece):
-        rest = F.substring_index(piece, TITLE_START, -1)
-        title = T.py_strip(_restore(F.substring_index(rest, TITLE_END, 1)))
-        return F.struct(_restore(F.substring_index(piece, TITLE_START, 1)).alias("full"),
-                        title.alias("title"),
-                        _restore(F.substring_index(rest, TITLE_END, -1)).alias("body"),
-                        title_kept(title).alias("kept"))
+        # One mark of each kind in a piece; one pass cuts it at both.
+        def named(x):
+            return T.let(T.py_strip(_restore(F.element_at(x, 2))), lambda title: F.struct(
+                _restore(F.element_at(x, 1)).alias("full"), title.alias("title"),
+                _restore(F.element_at(x, 3)).alias("body"), title_kept(title).alias("kept")))
+
+        return T.let(F.split(piece, f"[{TITLE_START}{TITLE_END}]", 3), named)
 
     return F.transform(raw, parse)
 
@@ -135,21 +140,27 @@ def n_kept(pieces: Column) -> Column:
 
 def segment(text: Column, fallback_title: Column,
             patterns: list[str] = C.SEGMENT_PATTERNS,
-            min_matches: int = C.SEGMENT_MIN_MATCHES) -> Column:
+            min_matches: int = C.SEGMENT_MIN_MATCHES, counts: list[Column] | None = None) -> Column:
     """A8 + P5: ``struct<pattern_no, chapters>`` from the first pattern with at
     least ``min_matches`` kept matches; else one chapter holding the whole
-    text (pattern_no 0). Later patterns are evaluated only if needed."""
+    text (pattern_no 0). Later patterns are evaluated only if needed.
+    ``counts``: the kept matches of each pattern where they are known already
+    (:func:`pattern_report`); then only the winning pattern is evaluated."""
     fallback = F.struct(F.lit(0).alias("pattern_no"), F.array(F.struct(
         F.lit(1).alias("chapter_no"), fallback_title.alias("title"), text.alias("text"))
     ).cast(CHAPTER_T).alias("chapters"))
 
+    def won(k: int, pcs: Column) -> Column:
+        return F.struct(F.lit(k + 1).alias("pattern_no"), chapters_from_pieces(pcs).alias("chapters"))
+
     def chain(k: int) -> Column:
         if k == len(patterns):
             return fallback
+        if counts is not None:
+            return F.when(counts[k] >= min_matches,
+                          T.let(match_pieces(text, patterns[k]), lambda pcs: won(k, pcs))).otherwise(chain(k + 1))
         return T.let(match_pieces(text, patterns[k]), lambda pcs: F.when(
-            n_kept(pcs) >= min_matches,
-            F.struct(F.lit(k + 1).alias("pattern_no"), chapters_from_pieces(pcs).alias("chapters"))
-        ).otherwise(chain(k + 1)))
+            n_kept(pcs) >= min_matches, won(k, pcs)).otherwise(chain(k + 1)))
 
     return chain(0)
 

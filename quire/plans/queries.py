@@ -231,10 +231,13 @@ def segment_fallback(spark, sf_dir):
     fallback chapter) and the number of chapters kept after P4."""
     docs = FX.marked_docs(spark, sf_dir)
     rep = SG.pattern_report(docs, ["book_id", "text", "title"])
-    seg = T.with_once(rep, _s=SG.segment(F.col("text"), F.col("title")))
+    # The counts come once, out of a generator: the segmentation reads them.
+    names = [f"kept_{i}" for i in range(1, 6)]
+    rep = T.with_once(rep.select("book_id", "title", "text", F.array(*names).alias("_k")), _n=F.col("_k"))
+    seg = T.with_once(rep, _s=SG.segment(F.col("text"), F.col("title"), counts=[F.get("_n", F.lit(i)) for i in range(5)]))
     kept = F.filter("_s.chapters", lambda c: (F.col("_s.pattern_no") == 0)
                     | (F.length(c["text"]) >= C.SEGMENT_MIN_BODY))
-    return seg.select("book_id", *[f"kept_{i}" for i in range(1, 6)],
+    return seg.select("book_id", *[F.get("_n", F.lit(i)).alias(name) for i, name in enumerate(names)],
                       F.col("_s.pattern_no").alias("pattern_no"), F.size(kept).alias("n_chapters"))
 
 

@@ -63,3 +63,25 @@ def test_steps_follow_the_scan():
         ends = [e for _, e, _ in SB.chosen(found, entry)]
         x = next(x for t, x in SB.scan_steps(found, own, 60) if t >= entry) if entry < 60 else None
         assert x is None or x == max([e - own for e in ends] + [0])
+
+
+def test_pieces_are_cut_once_and_losing_patterns_are_spared(spark):
+    """Marks inside texts are kept, known counts give the same chapters, and
+    no part of a piece is computed again for each use of it."""
+    from quire.operators import segment as SG
+    odd = "abcdef"
+    rows = [(b, t + odd) for b, t in enumerate("\n".join(x[2] for x in made_up(seed)) for seed in range(8))]
+    rows += [(50, f"{odd}\nChapter 1: Long Enough Title {odd}\n{odd}" * 5), (51, None), (52, "")]
+    docs = spark.createDataFrame(rows, "book_id long, text string").withColumn("title", F.lit("T"))
+    counted = SG.pattern_report(docs, ["book_id", "text", "title"])
+    counts = [F.col(f"kept_{i}") for i in range(1, 6)]
+    both = counted.select("book_id", "text", SG.segment(F.col("text"), F.col("title")).alias("a"),
+                          SG.segment(F.col("text"), F.col("title"), counts=counts).alias("b")).collect()
+    assert all(r.a == r.b for r in both) and len(both) == len(rows)
+    for r in both:
+        if r.text:
+            want = whole(r.text, "T", 0)
+            assert [(r.a.pattern_no, c.chapter_no, c.title, c.text) for c in r.a.chapters] == want
+    assert {r.a.pattern_no for r in both} >= {0, 1}
+    made = SG.match_pieces(F.col("text"), C.SEGMENT_PATTERNS[0])._jc.toString()
+    assert made.count("substring_index") == 0 and made.count("regexp_replace") == 1
