@@ -104,7 +104,17 @@ def layout(rows: DataFrame, keys: list[str], order: list[str], text_col: str = "
     written once."""
     rows = rows.where(F.col(text_col).isNotNull() & (F.col(text_col) != "")).select(
         F.struct(*keys).alias("_key"), *order, F.col(text_col).alias("_text"))
-    placed = keyed_scan(rows, "_key", [*order, "_text"], sums={"_upto": F.length("_text").cast("long")})
+    # Offsets come from a scan of keys and lengths alone, and travel to the
+    # texts in one join. Rows of equal order are told apart by their texts, so
+    # if there are any, the texts go through the scan.
+    sizes = materialize(rows.select("_key", *order, F.length("_text").cast("long").alias("_n")))
+    if sizes.groupBy("_key", *order).agg(F.count(F.lit(1)).alias("c")).where("c > 1").isEmpty():
+        scanned = keyed_scan(sizes, "_key", order, sums={"_upto": F.col("_n")}).alias("s")
+        t = rows.alias("t")
+        same = [F.col(f"t.{c}").eqNullSafe(F.col(f"s.{c}")) for c in ["_key", *order]]
+        placed = t.join(scanned, same).select("t.*", "s.i", "s._upto")
+    else:
+        placed = keyed_scan(rows, "_key", [*order, "_text"], sums={"_upto": F.length("_text").cast("long")})
     first = F.col("i") == 1
     start = F.col("_upto") - F.length("_text") + F.when(first, 0).otherwise((F.col("i") - 2) * len(sep))
     placed = placed.select("_key", start.cast("long").alias("_o"),
@@ -117,7 +127,8 @@ def layout(rows: DataFrame, keys: list[str], order: list[str], text_col: str = "
     pieces = spread.where(lo < hi).select(
         "_key", "b", lo.alias("_at"), "_z",
         F.substring("_text", (lo - F.col("_o") + 1).cast("int"), (hi - lo).cast("int")).alias("_piece"))
-    whole = ends.groupBy(F.col("_key").alias("_k")).agg(F.max("_z").alias("n"))
+    whole = sizes.groupBy(F.col("_key").alias("_k")).agg(
+        (F.sum("_n") + (F.count(F.lit(1)) - 1) * len(sep)).alias("n"))
     blocks = pieces.groupBy("_key", "b").agg(F.expr("listagg(_piece, '') WITHIN GROUP (ORDER BY _at)").alias("text"))
     # A text may end inside the halo of its last full block: no block of its own.
     return materialize(blocks.join(whole, F.col("_key") == F.col("_k")).where(F.col("b") * block < F.col("n")).select(

@@ -22,13 +22,13 @@ import bisect
 import re
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions import constants as C
-from quire.functions.constants import PY_WHITESPACE
 from quire.operators import blocks as BL
-from quire.operators.scan import keyed_scan, lag_by_index
+from quire.operators.scan import keyed_scan
 from quire.session import materialize
 
 REST = 256   # more than the bounded parts of any pattern
@@ -82,40 +82,80 @@ def title_kept(title: str) -> bool:
             and not title.startswith(C.SEGMENT_TITLE_BANNED_PREFIX))
 
 
-def matches(laid: DataFrame, halo: int, block: int, patterns: list[str] = C.SEGMENT_PATTERNS) -> DataFrame:
-    """(key_id, pattern_no, start, stop, title, kept): every match of every
-    pattern, with offsets in the whole text."""
-    compiled = [re.compile(p, re.IGNORECASE | re.MULTILINE) for p in patterns]
+def around(text: str, own: int, found: list[tuple[int, int, str]]) -> list[dict]:
+    """Each match with the place after the last text before it (-1: white
+    space alone before it in this block) and of the first text after it (-1:
+    none up to the end of the whole text)."""
+    out = []
+    for s, e, title in found:
+        before, after = s, e
+        while before and text[before - 1].isspace():
+            before -= 1
+        while after < len(text) and text[after].isspace():
+            after += 1
+        out.append({"s": s, "e": e, "title": title, "kept": title_kept(title), "before": before or -1,
+                    "after": after if after < len(text) else -1})
+    return out
 
-    def leave(r, text, own, left):
-        found = [scan_steps(candidates(p, text, own), own, halo) for p in compiled]
-        return pd.DataFrame({"key_id": r.key_id, "pattern_no": range(1, len(found) + 1), "b": r.b,
-                             "m": [[{"t": t, "x": x} for t, x in m] for m in found]})
 
-    maps = BL.per_block(laid.where(F.col("n") > block * (F.col("b") + 1)).select("key_id", "b", "text", "n"), leave, block,
-                        "key_id string, pattern_no int, b long, m array<struct<t:int,x:int>>")
+_FOUND = "s:int,e:int,title:string,kept:boolean,before:int,after:int"
+
+
+def matches(laid: DataFrame, halo: int, block: int, patterns: list[str] = C.SEGMENT_PATTERNS) -> tuple[DataFrame, DataFrame]:
+    """(key_id, pattern_no, start, stop, title, kept, before, after): every
+    match of every pattern, with offsets in the whole text, where the text
+    before it ends and the text after it starts (both without white space; see
+    :func:`around`); and (key_id, b, last): where the text of a block ends.
+    The texts are read once: what could match is written down."""
+    compiled = [re.compile(p, re.IGNORECASE | re.MULTILINE) for p in patterns]
+
+    def look(r, text, own, left):
+        last = len(text[:own].rstrip())
+        rows = [(r.key_id, 0, r.b, None, [], r.b * block + last if last else None)]
+        for k, p in enumerate(compiled, 1):
+            found = candidates(p, text, own)
+            steps = [{"t": t, "x": x} for t, x in scan_steps(found, own, halo)] if left > block else None
+            rows.append((r.key_id, k, r.b, steps, around(text, own, found), None))
+        return pd.DataFrame(rows, columns=["key_id", "pattern_no", "b", "m", "found", "last"]).astype(
+            {"pattern_no": "int32", "last": "Int64"})
+
+    seen = materialize(BL.per_block(
+        laid.select("key_id", "b", "text", "n"), look, block,
+        f"key_id string, pattern_no int, b long, m array<struct<t:int,x:int>>, found array<struct<{_FOUND}>>, last long"))
+    ends = seen.where("pattern_no = 0 and last is not null").select("key_id", "b", "last")
 
     def at(m: Column, x: Column) -> Column:
         return F.get(F.filter(m, lambda s: s["t"] >= x), F.lit(0))["x"]
 
+    maps = seen.where("m is not null").select("key_id", "pattern_no", "b", "m")
     maps = BL.composed(maps, ["key_id", "pattern_no"], laid.agg(F.max("b")).first()[0] or 0,
                        lambda before, m: F.transform(before, lambda s: F.struct(s["t"].alias("t"), at(m, s["x"]).alias("x"))))
-    # One entry for each pattern.
-    enter = maps.select("key_id", (F.col("b") + 1).alias("b"), F.struct("pattern_no", at(F.col("m"), F.lit(0)).alias("x")).alias("e")) \
-        .groupBy("key_id", "b").agg(F.array_sort(F.collect_list("e")).alias("entry"))
-
-    def pick(r, text, own, left):
-        rows = []
-        for k, p in enumerate(compiled):
-            entry = int(r.entry[k]["x"]) if r.entry is not None else 0
-            rows += [(r.key_id, k + 1, r.b * block + s, r.b * block + e, title, title_kept(title))
-                     for s, e, title in chosen(candidates(p, text, own), entry)]
-        return pd.DataFrame(rows, columns=["key_id", "pattern_no", "start", "stop", "title", "kept"]).astype(
-            {"pattern_no": "int32", "start": "int64", "stop": "int64", "kept": bool})
-
-    entered = laid.join(enter, ["key_id", "b"], "left").select("key_id", "b", "text", "n", "entry")
-    return materialize(BL.per_block(
-        entered, pick, block, "key_id string, pattern_no int, start long, stop long, title string, kept boolean"))
+    enter = maps.select("key_id", "pattern_no", (F.col("b") + 1).alias("b"), at(F.col("m"), F.lit(0)).alias("entry"))
+
+    def pick(batches):
+        # One block's matches at a time.
+        for batch in batches:
+            for i in range(batch.num_rows):
+                key, no, b, found, entry = (c[i].as_py() for c in batch.columns)
+                got = [(x["s"], x["e"]) for x in found]
+                got = [(key, no, b, s, e) for s, e, _ in chosen([(*x, "") for x in got], entry or 0)]
+                if got:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
+                        zip(*got), (pa.string(), pa.int32(), pa.int64(), pa.int32(), pa.int32()))],
+                        ["key_id", "pattern_no", "b", "s", "e"])
+
+    found = seen.where("size(found) > 0").select("key_id", "pattern_no", "b", "found")
+    entered = found.select("key_id", "pattern_no", "b", F.transform(
+        "found", lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"))).alias("found")).join(
+        enter, ["key_id", "pattern_no", "b"], "left")
+    picked = entered.mapInArrow(pick, "key_id string, pattern_no int, b long, s int, e int")
+    each = found.select("key_id", "pattern_no", "b", F.inline("found"))
+    got = each.join(picked, ["key_id", "pattern_no", "b", "s", "e"])
+    place = F.col("b") * block
+    return materialize(got.select(
+        "key_id", "pattern_no", "b", (place + F.col("s")).alias("start"), (place + F.col("e")).alias("stop"), "title",
+        "kept", F.when(F.col("before") >= 0, place + F.col("before")).alias("before"),
+        F.when(F.col("after") >= 0, place + F.col("after")).alias("after"))), ends
 
 
 def _spread(ranges: DataFrame, laid: DataFrame, block: int) -> DataFrame:
@@ -141,22 +181,26 @@ def split_into_chapters(rows: DataFrame, keys: list[str], order: list[str], titl
         if needed <= halo:
             break
         halo = needed
-    found = matches(laid, halo, block, patterns).where("kept")
+    found, block_ends = matches(laid, halo, block, patterns)
+    found = found.where("kept")
     winner = found.groupBy("key_id", "pattern_no").agg(F.count(F.lit(1)).alias("c")) \
         .where(F.col("c") >= C.SEGMENT_MIN_MATCHES).groupBy("key_id").agg(F.min("pattern_no").alias("pattern_no"))
     winner = materialize(winner)
     whole = laid.where("b = 0").select("key_id", "_key", "n")
     numbered = materialize(keyed_scan(found.join(winner, ["key_id", "pattern_no"]).select(
-        "key_id", "pattern_no", "start", "stop", "title"), "key_id", ["start"], index="i"))
-    bodies = lag_by_index(numbered, "key_id", "i", ["start"], -1, "_next").join(whole.drop("_key"), "key_id").select(
-        "key_id", "pattern_no", F.col("i").cast("int").alias("chapter_no"), "title", F.col("stop").alias("a"),
-        F.coalesce("start_next", "n").alias("z"))
-    # Bodies are stripped: the first and last place that is no white space.
-    ws = F.lit(PY_WHITESPACE)
-    inner = _spread(materialize(bodies).where("a < z"), laid, block).where(F.trim("part", ws) != "")
-    ends = inner.groupBy("key_id", "pattern_no", "chapter_no", "title").agg(
-        F.min(F.col("lo") + F.length("part") - F.length(F.ltrim("part", ws))).alias("a"),
-        F.max(F.col("lo") + F.length(F.rtrim("part", ws))).alias("z")).where(F.col("z") - F.col("a") >= min_body)
+        "key_id", "pattern_no", "b", "start", "title", "before", "after"), "key_id", ["start"], index="i"))
+    # Bodies are stripped: from the first text after a match to the last before
+    # the next one, or of all. No run of white space is as long as a block, so
+    # where a block has none before a match, the one before it has.
+    earlier = block_ends.select("key_id", (F.col("b") + 1).alias("b"), "last")
+    stops = numbered.join(earlier, ["key_id", "b"], "left").select(
+        "key_id", "i", F.coalesce("before", "last", F.lit(0)).alias("z"))
+    text_ends = block_ends.groupBy("key_id").agg(F.max("last").alias("_end"))
+    nexts = stops.select("key_id", (F.col("i") - 1).alias("i"), "z")
+    bodies = numbered.join(nexts, ["key_id", "i"], "left").join(text_ends, "key_id", "left").select(
+        "key_id", "pattern_no", F.col("i").cast("int").alias("chapter_no"), "title", F.col("after").alias("a"),
+        F.coalesce("z", "_end").alias("z"))
+    ends = bodies.where((F.col("a") < F.col("z")) & (F.col("z") - F.col("a") >= min_body))
     alone = whole.join(winner, "key_id", "left_anti").select(
         "key_id", F.lit(0).alias("pattern_no"), F.lit(1).alias("chapter_no"), F.lit(None).cast("string").alias("title"),
         F.lit(0).cast("long").alias("a"), F.col("n").alias("z"))
@@ -165,8 +209,11 @@ def split_into_chapters(rows: DataFrame, keys: list[str], order: list[str], titl
                           F.expr(f"explode(sequence(0L, (z - a - 1) div {piece}))").alias("k"))
     cut = cut.withColumn("a", F.col("a") + F.col("k") * piece).withColumn("z", F.least("z", F.col("a") + piece))
     names = ["key_id", "pattern_no", "chapter_no", "title", "n_chars", "k"]
-    pieces = _spread(cut, laid, block).groupBy(*names).agg(
-        F.expr("listagg(part, '') WITHIN GROUP (ORDER BY lo)").alias("text"))
+    # Most pieces are in one block, and only the others are put together.
+    inside = F.expr(f"a div {block} = (z - 1) div {block}")
+    pieces = _spread(cut.where(inside), laid, block).select(*names, F.col("part").alias("text")).unionByName(
+        _spread(cut.where(~inside), laid, block).groupBy(*names).agg(
+            F.expr("listagg(part, '') WITHIN GROUP (ORDER BY lo)").alias("text")))
     return pieces.join(whole.select("key_id", "_key.*"), "key_id").select(
         *keys, "pattern_no", "chapter_no", F.coalesce(F.col("title"), title).alias("title"),
         F.col("n_chars").cast("int").alias("n_chars"), (F.col("k") + 1).cast("int").alias("piece_no"), "text")

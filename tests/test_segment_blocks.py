@@ -85,3 +85,36 @@ def test_pieces_are_cut_once_and_losing_patterns_are_spared(spark):
     assert {r.a.pattern_no for r in both} >= {0, 1}
     made = SG.match_pieces(F.col("text"), C.SEGMENT_PATTERNS[0])._jc.toString()
     assert made.count("substring_index") == 0 and made.count("regexp_replace") == 1
+
+
+def test_texts_are_read_once_and_moved_by_join(spark, monkeypatch):
+    """The scan of the offsets sees lengths alone, one step reads the blocks,
+    and pages of one number are put in the order of their texts as before."""
+    from quire.operators import blocks as BL
+    scanned, steps = [], []
+    scan, per_block = BL.keyed_scan, BL.per_block
+    monkeypatch.setattr(BL, "keyed_scan", lambda df, *a, **kw: scanned.append(df.columns) or scan(df, *a, **kw))
+    monkeypatch.setattr(BL, "per_block", lambda *a: steps.append(a[1].__name__) or per_block(*a))
+    title = F.concat(F.lit("Book "), F.coalesce(F.col("book_id").cast("string"), F.lit("none")))
+    heads = "".join(f"\n \nChapter {k}: One Line After Another Here\n" + "  \n " * 30 + f"body {k} " * 9 + " \n\t" * 40 for k in range(1, 7))
+    rows = [(1, 2, heads), (1, 1, "before it all"), (None, 1, "no number" + "\n" * 200), (None, None, heads), (3, 7, " \n" * 9)]
+
+    def split(some):
+        df = spark.createDataFrame(some, "book_id long, page_no int, text string")
+        out = SB.split_into_chapters(df, ["book_id"], ["page_no"], title, block=700, halo=700, piece=50, min_body=1)
+        got = {}
+        for r in out.collect():
+            got.setdefault((r.book_id, r.pattern_no, r.chapter_no, r.title, r.n_chars), []).append((r.piece_no, r.text))
+        return {k: "".join(t for _, t in sorted(v)) for k, v in got.items()}
+
+    want = {}
+    for book, text in ((1, "before it all\n\n" + heads), (None, heads + "\n\nno number" + "\n" * 200), (3, " \n" * 9)):
+        name = "Book none" if book is None else f"Book {book}"
+        want |= {(book, no, k, t, len(x)): x for no, k, t, x in whole(text, name, 1)}
+    assert split(rows) == want
+    assert all("_text" not in c for c in scanned) and steps == ["look"]
+    # Ties: the scan has to order them by their texts.
+    tied = [(5, 1, "b second"), (5, 1, "a first"), (5, 1, "a first"), (5, 0, "start")]
+    joined = "start\n\na first\n\na first\n\nb second"
+    assert split(tied) == {(5, 0, 1, "Book 5", len(joined)): joined}
+    assert any("_text" in c for c in scanned)
