@@ -76,3 +76,20 @@ def test_repeats_are_removed_in_parts():
     kept = [x for b in got for x in b.column("kept").to_pylist()]
     assert kept == [b"" if k % 5 == 4 else (t[:10] + t[410:]).encode() if k % 5 == 3 else t.encode() for k, t in enumerate(rows["text"])]
     assert len(got) > 1 and max(b.column("kept").nbytes for b in got) <= 2 * V.SLICE_BYTES
+
+
+def test_batches_of_python_steps_are_bounded(spark):
+    """The bytes that Spark hands a Python step at a time, in a session that
+    someone else made."""
+    from quire.session import BOUNDED_CONF, apply_runtime_conf
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], ["n", "size"])
+
+    for k in BOUNDED_CONF:
+        spark.conf.unset(k)
+    apply_runtime_conf(spark)
+    rows = spark.range(9000).coalesce(1).selectExpr("id", "repeat('x', 4000) as input")
+    got = rows.mapInArrow(sizes, "n long, size long").collect()
+    assert sum(r.n for r in got) == 9000 and max(r.size for r in got) <= (4 << 20) + 8000
