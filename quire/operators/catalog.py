@@ -17,6 +17,9 @@ from quire.functions import text as T
 from quire.operators.lines import markdown_to_html
 from quire.sinks.stream import stream_files
 
+#: Bytes of a book export that a task reads.
+READ_BYTES = 32 << 20
+
 
 def preview(summary: Column, n: int = C.PREVIEW_CHARS) -> Column:
     """P10: stripped summary cut to ``n`` chars plus ``...``; missing ⇒ literal."""
@@ -93,14 +96,27 @@ def write_book_export(chapters: DataFrame, book_title: Column, base: str) -> Dat
                         F.format_string("%d.json", F.col("book_id")), base, head=head, between=",\n", tail="\n]}")
 
 
-def read_book_export(spark: SparkSession, base: str) -> DataFrame:
+def read_book_export(spark: SparkSession, base: str, n_bytes: int | None = None) -> DataFrame:
     """The chapters of the files of ``write_book_export``, a line at a time:
-    files are split, and no row holds more than a chapter."""
+    files are split, and no row holds more than a chapter. The folder is one
+    listing: a pattern in the path would make each file a path of its own, and
+    their listing a job with a task for each.
+
+    ``n_bytes``: the size of all files, if known. Spark counts a small file as
+    4 MB, so books would be read by few in a task; their tasks are then joined
+    to ``READ_BYTES`` each on average, but not to fewer than a shuffle has."""
     schema = "number INT, title STRING, original STRING, translation STRING, summary STRING, audio STRING"
-    lines = spark.read.text(f"{base.rstrip('/')}/*.json", lineSep="\n").select(
+    lines = spark.read.option("pathGlobFilter", "*.json").text(base, lineSep="\n").select(
         F.regexp_extract(F.col("_metadata.file_name"), r"^(\d+)\.json$", 1).cast("bigint").alias("book_id"), "value")
+    if n_bytes is not None:
+        lines = lines.coalesce(max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_bytes // READ_BYTES)))
     return lines.where(F.col("value").startswith('{"number":')).select(
-        "book_id", F.from_json(F.regexp_replace("value", r",\z", ""), schema).alias("c")).select("book_id", "c.*")
+        "book_id", F.from_json(_uncomma(F.col("value")), schema).alias("c")).select("book_id", "c.*")
+
+
+def _uncomma(line: Column) -> Column:
+    """The line without one comma at its end; a pattern would stop at each comma."""
+    return F.when(line.endswith(","), F.substring(line, F.lit(1), F.length(line) - 1)).otherwise(line)
 
 
 def chapter_page(number: Column, title: Column, summary_full: Column, has_audio: Column,

@@ -232,7 +232,9 @@ def pack_paragraphs(df: DataFrame, keys: list[str], text_col: str = "text",
 
 def strip_markdown(text: Column) -> Column:
     """Drop ``#`` and ``*`` then strip."""
-    return T.py_strip(F.translate(text, "#*", ""))
+    # Two searches copy what lies between the marks; ``translate`` makes a
+    # string of every character.
+    return T.py_strip(F.replace(F.replace(text, F.lit("#"), F.lit("")), F.lit("*"), F.lit("")))
 
 
 def part_file_name(chapter_no: Column, part_no: Column, n_parts: Column,

@@ -544,7 +544,7 @@ def book_stream(spark, sf_dir):
     then one line for each chapter)."""
     base = _scratch(spark, "book-stream")
     files = CT.write_book_export(_export_chapters(spark, sf_dir), F.format_string("Book %d", F.col("book_id")), base)
-    lines = CT.read_book_export(spark, base)
+    lines = CT.read_book_export(spark, base, files.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0])
     size = files.select(F.regexp_extract("name", r"(\d+)\.json$", 1).cast("bigint").alias("book_id"),
                         F.col("n_rows").cast("int").alias("total_chapters"))
     return lines.join(size, "book_id")

@@ -49,9 +49,11 @@ def stream_files(rows: DataFrame, key: str, order: str, text: Column, name: Colu
     ties would have no defined place. No rows, no files."""
     folder = mounted(base).rstrip("/")
     head = F.lit("") if head is None else head
-    pieces = materialize(rows.select(F.col(key).alias("_key"), F.col(order).alias("_order"),
-                                     F.coalesce(text, F.lit("")).alias("_text")))
-    sizes = pieces.select("_key", "_order", (F.octet_length("_text") + len(between.encode())).cast("long").alias("_n"))
+    pieces = rows.select(F.col(key).alias("_key"), F.col(order).alias("_order"), F.coalesce(text, F.lit("")).alias("_text"))
+    # The sizes are written beside the texts, so that the scans of keys and
+    # sizes below read no text.
+    pieces = materialize(pieces.withColumn("_n", (F.octet_length("_text") + len(between.encode())).cast("long")))
+    sizes = pieces.select("_key", "_order", "_n")
     # A null key gets a value of its own that no text can be, so that the
     # scan's joins keep it.
     sizes = sizes.withColumn("_k", F.to_json(F.struct("_key")))

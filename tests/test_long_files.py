@@ -70,6 +70,29 @@ def test_book_stream_is_the_export(spark, small, tmp_path):
     assert {k: json.loads(v) for k, v in _written(tmp_path).items()} == want
 
 
+def test_many_books_are_one_listing(spark, tmp_path):
+    """The files are listed without a job, small ones read in few tasks, and
+    each line loses one comma, whatever its text ends with."""
+    n = 40
+    chapters = spark.range(2 * n).select(
+        (F.col("id") % n).alias("book_id"), (F.col("id") / n).cast("int").alias("number"), F.lit("t,").alias("title"),
+        F.lit("o").alias("original"), F.lit(",,\n,").alias("translation"), F.lit("").alias("summary"), F.lit(",").alias("audio"))
+    n_bytes = CT.write_book_export(chapters, F.lit("b"), str(tmp_path)).agg(F.sum("n_bytes")).first()[0]
+    (tmp_path / "other.txt").write_text('{"number":9}\n')
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "4m")
+        spark.sparkContext.setJobGroup("listing", "listing")
+        lines = CT.read_book_export(spark, str(tmp_path), n_bytes)
+        spark.sparkContext.setJobGroup("rest", "rest")
+        assert not list(spark.sparkContext.statusTracker().getJobIdsForGroup("listing"))
+        assert lines.rdd.getNumPartitions() <= int(spark.conf.get("spark.sql.shuffle.partitions")) < n
+        got = sorted(tuple(r) for r in lines.collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got == sorted((b, k, "t,", "o...", ",,\n,", "", ",") for b in range(n) for k in range(2))
+
+
 @pytest.mark.parametrize("separator", [b"\f", b"\n-", b"\r\n-"])
 def test_pages_of_ranges(separator):
     """Every page once, for all ways to cut small files, with separators over
