@@ -153,6 +153,15 @@ def repair_breaks(text: Column) -> Column:
     return T.let(F.split(joined, "\n\n", -1), glue)
 
 
+# --- A9: sizes before and after ---------------------------------------------------
+
+def size_ratio(after: Column, before: Column) -> Column:
+    """``after / before``. A text that was empty before has no ratio and gets
+    NaN, the IEEE quotient 0/0 (the largest value for ``min`` and ``max``); in
+    ANSI mode the plain division would fail the whole job."""
+    return F.when(before == 0, F.lit(float("nan"))).otherwise(after / before)
+
+
 # --- T10: content preservation ---------------------------------------------------
 
 def content_key(text: Column) -> Column:

@@ -706,9 +706,10 @@ def clean_audit(spark, sf_dir):
     fixed = LN.repair_breaks(F.col("text"))
     per = d.select("book_id", F.length("text").alias("b"), F.length(fixed).alias("a"),
                    (fixed == F.col("original")).alias("ok"))
+    ratio = LN.size_ratio(F.col("a"), F.col("b"))
     return per.groupBy("book_id").agg(
         F.sum("b").alias("chars_before"), F.sum("a").alias("chars_after"),
-        F.min(F.col("a") / F.col("b")).alias("min_ratio"), F.max(F.col("a") / F.col("b")).alias("max_ratio"),
+        F.min(ratio).alias("min_ratio"), F.max(ratio).alias("max_ratio"),
         F.count_if("ok").alias("n_restored"), F.count("*").alias("n_chapters"))
 
 
