@@ -277,7 +277,7 @@ def repair_breaks(spark, sf_dir):
     fixed = LN.repair_breaks(F.col("text"))
     return d.select("book_id", "chapter_no", fixed.alias("fixed"), "text", "original").select(
         "book_id", "chapter_no", F.length("text").alias("n_before"), F.length("fixed").alias("n_after"),
-        (F.length("fixed") / F.length("text")).alias("ratio"),
+        LN.size_ratio(F.length("fixed"), F.length("text")).alias("ratio"),
         (F.col("fixed") == F.col("original")).alias("restored"), F.col("fixed").alias("text"))
 
 

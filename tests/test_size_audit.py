@@ -38,3 +38,13 @@ def test_clean_audit_of_empty_chapters(spark, tmp_path):
     assert (rows[0].min_ratio, rows[2].min_ratio, rows[2].max_ratio) == (0.5, 1.0, 1.0)
     assert all(math.isnan(x) for x in (rows[0].max_ratio, rows[1].min_ratio, rows[1].max_ratio))
     assert (got.columns, sorted(map(_key, rows.values()))) == _oracle(path, "clean_audit")
+
+
+def test_repair_breaks_of_empty_chapters(spark, tmp_path):
+    path = _documents(spark, tmp_path)
+    got = QUERIES["repair_breaks"](spark, path)
+    rows = {(r.book_id, r.chapter_no): r for r in got.collect()}
+    assert {k for k, r in rows.items() if math.isnan(r.ratio)} == {(0, 1), (1, 1), (1, 2)}
+    assert all((r.n_before, r.n_after, r.text, r.restored) == (0, 0, "", True) for r in rows.values() if math.isnan(r.ratio))
+    assert {k: r.ratio for k, r in rows.items() if not math.isnan(r.ratio)} == {(0, 2): 14 / 17, (0, 3): 1.0, (0, 4): 0.5, (2, 1): 1.0}
+    assert (got.columns, sorted(map(_key, rows.values()))) == _oracle(path, "repair_breaks")
